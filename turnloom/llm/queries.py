@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from turnloom.llm import mixing, url_filter
+from turnloom.llm import fingerprints, mixing, substring_dedup, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Return each query by name."""
     return {
         "op1_url_filter": url_filter.op1_url_filter,
+        "op2_fingerprints": fingerprints.op2_fingerprints,
+        "op9_substring_dedup": substring_dedup.op9_substring_dedup,
         "op10_mixing": mixing.op10_mixing,
     }
 
