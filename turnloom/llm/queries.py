@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from turnloom.llm import fingerprints, mixing, near_dedup, substring_dedup, url_filter
+from turnloom.llm import fingerprints, language_model, mixing, near_dedup, substring_dedup, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filter": url_filter.op1_url_filter,
         "op2_fingerprints": fingerprints.op2_fingerprints,
+        "op5_language_model": language_model.op5_language_model,
         "op7_near_dedup": near_dedup.op7_near_dedup,
         "op9_substring_dedup": substring_dedup.op9_substring_dedup,
         "op10_mixing": mixing.op10_mixing,
