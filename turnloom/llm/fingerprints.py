@@ -16,11 +16,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnloom.llm import kernel
+from turnloom.llm.layout import range_buckets
 from turnloom.llm.storage import partitions
 
 BINS = 512
@@ -128,10 +128,7 @@ def next_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     spark = docs.sparkSession
     keyed = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("key", F.coalesce("doc_id", F.lit(-(2**63))))
-    n = 4 * partitions(spark)
-    cuts = sorted(set(keyed.select(F.col("key").cast("double").alias("key")).approxQuantile("key", [i / n for i in range(1, n)], 1 / (4 * n))))
-    bounds = [-float("inf"), *cuts, float("inf")]
-    binned = Bucketizer(splits=bounds, inputCol="position", outputCol="place").transform(keyed.withColumn("position", F.col("key").cast("double"))).withColumn("bucket", F.col("place").cast("int")).drop("position", "place") if cuts else keyed.withColumn("bucket", F.lit(0))
+    binned = range_buckets(keyed)
     tops = sorted((b, k) for b, k in binned.groupBy("bucket").agg(F.max("key")).collect())  # one row a bucket
     above = [(k, tops[(i + 1) % len(tops)][0]) for i, (_, k) in enumerate(tops)]
     extra = F.broadcast(spark.createDataFrame(above, "key bigint, above int"))  # as many rows as buckets

@@ -20,6 +20,7 @@ from turnloom.llm.storage import materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
 GROUP = 400
+SPREAD = 64
 
 
 def n_words(text: Column) -> Column:
@@ -92,10 +93,11 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), cap: int = 3, t
     sources = sized.groupBy("key").agg(F.first("source").alias("source"), F.sum("size").alias("source_size"), F.count("*").alias("documents"), F.greatest(F.avg("size"), F.lit(1e-9)).alias("mean_size"))
     targets = materialize(source_targets(sources, weights, cap), "mix-targets")
     lam = balance(sized, targets, cap, tilt)
-    plan = targets.join(lam, "key").drop("source")
+    # a hot source's rows meet SPREAD copies of its one plan row, so no join task holds more than a share of them
+    plan = targets.join(lam, "key").drop("source").withColumn("spread", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
     x = F.pow(F.col("size") / F.col("mean_size"), F.lit(tilt))
-    rated = sized.join(plan, "key").withColumn("rate", F.when(F.col("lam").isNull(), F.lit(float(cap))).otherwise(F.least(F.lit(float(cap)), F.exp(F.least(F.col("lam") * x, F.lit(50.0))))))
-    salt = F.pmod(F.xxhash64("doc_id", "size"), F.greatest(F.lit(1), F.ceil(F.col("documents") / GROUP)))
+    rated = sized.withColumn("spread", F.pmod(F.xxhash64("doc_id", "size"), F.lit(SPREAD)).cast("int")).join(plan, ["key", "spread"]).withColumn("rate", F.when(F.col("lam").isNull(), F.lit(float(cap))).otherwise(F.least(F.lit(float(cap)), F.exp(F.least(F.col("lam") * x, F.lit(50.0))))))
+    salt = F.pmod(F.xxhash64("size", "doc_id"), F.greatest(F.lit(1), F.ceil(F.col("documents") / GROUP)))
     grouped = rated.groupBy("key", salt.alias("salt")).agg(
         F.first("source_size").alias("source_size"), F.first("target").alias("target"), F.sort_array(F.collect_list(F.struct("size", "doc_id", "source", "rate")), asc=False).alias("rows")
     )

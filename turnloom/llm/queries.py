@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from turnloom.llm import fingerprints, language_model, mixing, near_dedup, substring_dedup, url_filter
+from turnloom.llm import fingerprints, language_model, mixing, near_dedup, substring_dedup, token_output, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_fingerprints": fingerprints.op2_fingerprints,
         "op5_language_model": language_model.op5_language_model,
         "op7_near_dedup": near_dedup.op7_near_dedup,
+        "op8_token_output": token_output.op8_token_output,
         "op9_substring_dedup": substring_dedup.op9_substring_dedup,
         "op10_mixing": mixing.op10_mixing,
     }
