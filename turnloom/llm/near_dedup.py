@@ -5,10 +5,10 @@ circle) generate all coordinates: coordinate k is the least value of the second
 by side, so a shingle contributes one slice of the permutation.
 
 Candidates.  50 bands of 5 rows: two documents with a Jaccard similarity of 0.75 share no band with probability (1 - 0.75**5)**50 = 1.3e-6.
-Equal sets are one class from the start.  In each band bucket, the classes are first compared with one leader only.  Buckets whose members
-are then still in several components are finished exactly: small ones by the pairs across components, large ones by further leaders, a few
-each round, until all members of the bucket are in one component or have been compared.  So no bucket makes more rows than a fixed multiple
-of its members a round, and nothing is capped.
+Equal sets are one class from the start.  In each band bucket, the classes are first compared with one leader only.  In buckets whose
+members are then still in several components, the members outside the largest one are heads: about ``HEADS`` a round are compared with all
+members of other components, until none is left.  So a bucket makes at most ``HEADS`` rows a member and round, no link between different
+components is left untested, and nothing is capped.
 
 Components.  Labels are the least ids of neighbours, halved by pointer jumping, in tables that are written each round.
 
@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnloom.llm import kernel
@@ -32,8 +32,7 @@ WORDS = 5
 ROWS = 5
 BANDS = 50
 CIRCLE = 1 << 20
-SMALL = 64
-LEADERS = 8
+HEADS = 64
 
 _SECOND: list[np.ndarray] = []
 
@@ -94,10 +93,14 @@ def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(grams.view(np.int64)))], names=["id", "grams"])
 
 
-def verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+def gram_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Write and return (id, grams): the full shingle sets of the documents in ``ids``."""
+    chosen = docs.join(ids, docs["doc_id"] == ids["id"], "left_semi").select("doc_id", "text")
+    return materialize(chosen.mapInArrow(_grams, "id bigint, grams array<bigint>").dropDuplicates(["id"]), "near-sets")
+
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Keep the pairs (a, b) whose full sets have ``100 * intersection >= percent * union``."""
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    sets = materialize(docs.join(ids, docs["doc_id"] == ids["id"], "left_semi").dropDuplicates(["doc_id"]).select("doc_id", "text").mapInArrow(_grams, "id bigint, grams array<bigint>"), "near-sets")
     left, right = sets.select(F.col("id").alias("a"), F.col("grams").alias("ga")), sets.select(F.col("id").alias("b"), F.col("grams").alias("gb"))
     both = F.size(F.array_intersect("ga", "gb"))
     return pairs.join(left, "a").join(right, "b").where(both * 100 >= (F.size("ga") + F.size("gb") - both) * percent).select("a", "b")
@@ -121,8 +124,14 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _joined(members: DataFrame, labels: DataFrame) -> DataFrame:
-    return members.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+def joined_up(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """Return the labels (id, component) after the documents of ``edges`` (a, b) are linked; only components are walked again."""
+    a, b = labels.select(F.col("id").alias("a"), F.col("component").alias("ca")), labels.select(F.col("id").alias("b"), F.col("component").alias("cb"))
+    between = materialize(edges.join(a, "a").join(b, "b").where("ca <> cb").select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct(), "near-between")
+    if between.isEmpty():
+        return labels
+    moved = components(between).select(F.col("id").alias("component"), F.col("component").alias("now"))
+    return materialize(labels.join(moved, "component", "left").select("id", F.coalesce("now", "component").alias("component")), "near-labels")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -133,43 +142,40 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
     docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     signed = materialize(docs.mapInArrow(_sign, "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>"), "near-signatures")
     whole = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    # ids of one document that is repeated with different texts are linked by hand below
     classes = whole.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("id"))
     leads = materialize(
         whole.join(classes.withColumnRenamed("id", "doc_id"), ["set_a", "set_b", "n_shingles", "doc_id"], "left_semi").dropDuplicates(["doc_id", "set_a", "set_b"]).select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), F.explode("bands").alias("band")),
         "near-bands",
     )
     counts = leads.groupBy("band").agg(F.count("*").alias("size"), F.min("id").alias("leader")).where("size > 1")
-    members = materialize(leads.join(counts, "band").select("band", "id", "n", "size", "leader"), "near-members")
+    members = materialize(leads.join(counts, "band").select("band", "id", "n", "leader"), "near-members")
+    sets = gram_sets(docs, members.select("id").distinct())
     fits = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
 
     def canonical(pairs: DataFrame) -> DataFrame:
         return pairs.where(F.col("id") != F.col("other")).where(fits).select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
 
-    heads = members.where("id = leader").select("band", F.col("id").alias("other"), F.col("n").alias("m"))
-    tested = materialize(canonical(members.join(heads, "band")), "near-tested")
-    edges = materialize(verified(tested, docs, percent), "near-edges")
-    labels = components(edges)
-    left = members.withColumn("led", F.col("id") == F.col("leader"))
+    stars = materialize(canonical(members.select("band", "id", "n", F.col("leader").alias("other")).join(members.where("id = leader").select("band", F.col("n").alias("m")), "band")), "near-stars")
+    labels = joined_up(materialize(members.select("id").distinct().withColumn("component", F.col("id")), "near-labels"), verified(stars, sets, percent))
+    tested, open_members = stars, members.withColumn("head", F.col("id") == F.col("leader"))
     while True:
-        now = _joined(left.select("band", "id", "n", "size", "led"), labels)
-        split = now.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("band")
-        now = materialize(now.join(split, "band", "left_semi"), "near-open")
-        ranked = now.where("NOT led").withColumn("rank", F.row_number().over(Window.partitionBy("band").orderBy(F.xxhash64("band", "id"), "id")))
-        heads = ranked.where(F.when(F.col("size") <= SMALL, F.lit(True)).otherwise(F.col("rank") <= LEADERS)).select("band", F.col("id").alias("other"), F.col("n").alias("m"), F.col("component").alias("other_component"))
-        pairs = canonical(now.join(heads, "band").where("component <> other_component")).join(tested, ["a", "b"], "left_anti")
-        fresh = materialize(pairs, "near-pairs")
-        done = fresh.isEmpty()
-        if not done:
-            found = materialize(verified(fresh, docs, percent), "near-edges")
-            tested = tested.unionByName(fresh)
-            if not found.isEmpty():
-                edges = edges.unionByName(found)
-                labels = components(edges)
-        led = heads.select("band", F.col("other").alias("id"), F.lit(True).alias("now_led"))
-        left = materialize(now.drop("component").join(led, ["band", "id"], "left").withColumn("led", F.col("led") | F.coalesce("now_led", F.lit(False))).drop("now_led"), "near-open")
-        if done and left.where("NOT led").isEmpty():
-            break
+        now = open_members.drop("component").join(labels, "id")
+        shares = now.groupBy("band", "component").agg(F.count("*").alias("k"))
+        split = shares.groupBy("band").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("k", -F.col("component"))).alias("major")).where("parts > 1")
+        now = materialize(now.join(split.select("band", "major"), "band").drop("parts"), "near-open")
+        minor = now.where("component <> major AND NOT head")
+        waiting = minor.groupBy("band").agg(F.count("*").alias("waiting"))
+        draw = F.pmod(F.xxhash64("id", "band"), F.lit(1 << 20)) * F.col("waiting") < F.lit(HEADS << 20)
+        heads = materialize(minor.join(waiting, "band").where((F.col("waiting") <= HEADS) | draw).select("band", F.col("id").alias("other"), F.col("n").alias("m"), F.col("component").alias("other_component")), "near-heads")
+        if heads.isEmpty():
+            if waiting.isEmpty():
+                break
+            heads = materialize(minor.groupBy("band").agg(F.min("id").alias("id")).join(minor, ["band", "id"]).select("band", F.col("id").alias("other"), F.col("n").alias("m"), F.col("component").alias("other_component")), "near-heads")
+        pairs = materialize(canonical(now.join(heads, "band").where("component <> other_component")).join(tested, ["a", "b"], "left_anti"), "near-pairs")
+        labels = joined_up(labels, verified(pairs, sets, percent))
+        tested = tested.unionByName(pairs)
+        used = heads.select("band", F.col("other").alias("id"), F.lit(True).alias("used"))
+        open_members = now.drop("major", "component").join(used, ["band", "id"], "left").withColumn("head", F.col("head") | F.coalesce("used", F.lit(False))).drop("used")
     reps = classes.join(labels, "id", "left").select("set_a", "set_b", "n_shingles", F.col("id").alias("class_id"), F.coalesce("component", "id").alias("component"))
     out = signed.drop("bands").join(reps, ["set_a", "set_b", "n_shingles"], "left")
     linked = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
