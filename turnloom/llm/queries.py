@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from turnloom.llm import decontamination, fingerprints, html_text, language_model, mixing, near_dedup, substring_dedup, token_output, url_filter
+from turnloom.llm import decontamination, fingerprints, html_text, language_model, mixing, near_dedup, quality, substring_dedup, token_output, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -17,6 +17,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_html_extraction": html_text.op3_html_extraction,
         "op4_decontamination": decontamination.op4_decontamination,
         "op5_language_model": language_model.op5_language_model,
+        "op6_quality_classifier": quality.op6_quality_classifier,
         "op7_near_dedup": near_dedup.op7_near_dedup,
         "op8_token_output": token_output.op8_token_output,
         "op9_substring_dedup": substring_dedup.op9_substring_dedup,
