@@ -18,6 +18,7 @@ doc_id are judged together, once for each row; a null doc_id is linked with noth
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +33,7 @@ WORDS = 5
 ROWS = 5
 BANDS = 50
 CIRCLE = 1 << 20
-HEADS = 64
+HEADS = 256
 
 _SECOND: list[np.ndarray] = []
 
@@ -158,14 +159,14 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
     stars = materialize(canonical(members.select("band", "id", "n", F.col("leader").alias("other")).join(members.where("id = leader").select("band", F.col("n").alias("m")), "band")), "near-stars")
     labels = joined_up(materialize(members.select("id").distinct().withColumn("component", F.col("id")), "near-labels"), verified(stars, sets, percent))
     tested, open_members = stars, members.withColumn("head", F.col("id") == F.col("leader"))
-    while True:
+    for turn in itertools.count():
         now = open_members.drop("component").join(labels, "id")
         shares = now.groupBy("band", "component").agg(F.count("*").alias("k"))
         split = shares.groupBy("band").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("k", -F.col("component"))).alias("major")).where("parts > 1")
         now = materialize(now.join(split.select("band", "major"), "band").drop("parts"), "near-open")
         minor = now.where("component <> major AND NOT head")
         waiting = minor.groupBy("band").agg(F.count("*").alias("waiting"))
-        draw = F.pmod(F.xxhash64("id", "band"), F.lit(1 << 20)) * F.col("waiting") < F.lit(HEADS << 20)
+        draw = F.pmod(F.xxhash64("id", "band", F.lit(turn)), F.lit(1 << 20)) * F.col("waiting") < F.lit(HEADS << 20)
         heads = materialize(minor.join(waiting, "band").where((F.col("waiting") <= HEADS) | draw).select("band", F.col("id").alias("other"), F.col("n").alias("m"), F.col("component").alias("other_component")), "near-heads")
         if heads.isEmpty():
             if waiting.isEmpty():
