@@ -21,7 +21,7 @@ from turnloom.llm import kernel
 from turnloom.llm.storage import materialize, partitions
 
 NO_ID = np.int64(2**63 - 1)
-CHUNK_BYTES = 6 << 20
+CHUNK_BYTES = 3 << 20
 _Z = zstandard.ZstdCompressor(level=1)
 _Z3 = zstandard.ZstdCompressor(level=3)
 
