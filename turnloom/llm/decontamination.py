@@ -29,10 +29,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from turnloom.llm import kernel
+from turnloom.llm.storage import materialize
 
-WIDTH, STRIDE, ITEM_STRIDE = 24, 12, 6
+WIDTH, STRIDE, ITEM_STRIDE = 24, 12, 12
 FEATURES = 1 << 13
-RANK, OVERSAMPLE = 48, 16
+RANK, OVERSAMPLE = 192, 16
 SLICES = 8
 BLOCK_ITEMS = 2000
 _PLAIN = np.arange(256, dtype=np.uint8)
@@ -148,8 +149,8 @@ class Index:
         out = np.zeros((len(start), self.basis.shape[1]), dtype=np.float32)
         f = feature(words)
         ends = np.append(start, len(words))
-        for i in range(0, len(start), 2048):
-            j = min(i + 2048, len(start))
+        for i in range(0, len(start), 512):
+            j = min(i + 512, len(start))
             out[i:j] = np.add.reduceat(self.basis[f[ends[i] : ends[j]]], start[i:j] - start[i], axis=0)
         return out
 
@@ -159,7 +160,7 @@ def fit(docs: DataFrame, items: list[str], id_col: str, text_col: str, fit_passa
     df, passages = frequencies(docs, text_col)
     idf = np.log((1.0 + passages) / (1.0 + df)).astype(np.float32)
     share = min(1.0, fit_passages / max(passages, 1))
-    chosen = docs.where(F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).select(F.col(text_col).alias("text"))
+    chosen = materialize(docs.where(F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).select(F.col(text_col).alias("text")), "latent-sample")
     bench = words_of(pa.array(items, pa.string()))
     many = max(1, len(steps(bench[1], WIDTH)[0]))
     weight = 0.5 * min(passages, fit_passages) / many
@@ -170,9 +171,9 @@ def fit(docs: DataFrame, items: list[str], id_col: str, text_col: str, fit_passa
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = _gram(((w, f) for _, w, f in _parts(batches, "text")), idf, m)
             if total.any():
-                yield from _emit(total)
+                yield from _emit(total.astype(np.float32))
 
-        sums = _tree_sum(chosen.mapInArrow(run, "part int, slice int, body binary"), "float64")
+        sums = _tree_sum(chosen.mapInArrow(run, "part int, slice int, body binary"), "float32").astype(np.float64)
         own = _gram(iter([bench]), idf, m, weight)
         return own + sums.reshape(m.shape) if len(sums) else own
 
@@ -267,7 +268,7 @@ class Items:
 LEAK = "item_id bigint, cosine double, item_share double, answer_share double, first_word bigint, last_word bigint"
 
 
-def with_leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.5, common: float = 0.6, answer: float = 0.5, short: int = 8, fit_passages: int = 200_000, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", answer_col: str | None = None) -> DataFrame:
+def with_leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.6, common: float = 0.6, answer: float = 0.5, short: int = 8, fit_passages: int = 200_000, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", answer_col: str | None = None) -> DataFrame:
     """Return ``docs`` with the array column ``_leaks``: the benchmark items that each document holds."""
     items = benchmark.select(F.col(item_col).cast("bigint").alias("id"), F.col(text_col).alias("text"), (F.col(answer_col) if answer_col else F.lit(None)).cast("string").alias("answer")).where("text IS NOT NULL")
     blocks = max(1, -(-items.count() // BLOCK_ITEMS))
