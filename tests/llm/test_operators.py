@@ -1,0 +1,343 @@
+"""The training-data operators against brute force on small rows: nulls, empty and long texts, ties, repeats, clashing columns, empty tables."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from turnloom.llm import decontamination, fingerprints, html_text, kernel, language_model, mixing, near_dedup, quality, substring_dedup, token_codec, token_output, url_filter
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+def words(text):
+    return WORD.findall(text or "")
+
+
+def corpus(n=60, seed=3):
+    """Random texts with exact and near copies, a shared passage, odd rows and one long text."""
+    rng = random.Random(seed)
+    vocabulary = ["".join(rng.choice("abcdefghijklmnoé") for _ in range(rng.randint(2, 7))) for _ in range(900)]
+    text = lambda k: " ".join(rng.choice(vocabulary) for _ in range(k))
+    passage = text(60)
+    rows = [(i, text(rng.randint(1, 160)).capitalize()) for i in range(n)]
+    base = text(120).split()
+    for i in range(n, n + 12):
+        copy = list(base)
+        for _ in range(rng.randint(0, 6)):
+            copy[rng.randrange(len(copy))] = rng.choice(vocabulary)
+        rows.append((i, " ".join(copy)))
+    rows += [(n + 20 + i, rows[i][1]) for i in range(5)] + [(n + 30 + i, f"{text(20)}\n{passage}\t{text(9)}") for i in range(4)]
+    rows += [(n + 40, None), (n + 41, ""), (n + 42, "   \n\t"), (n + 43, "One two"), (n + 44, "one TWO"), (n + 45, "x" * 5000), (n + 46, text(30_000)), (n + 47, "a\x0bb\x0cc\xa0d\x1ce")]
+    return [(i, t, rng.choice(["en", "fr", None]), rng.choice(["s1", "s2", "s3", None]), len(t or "")) for i, t in rows]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = corpus()
+    return rows, spark.createDataFrame(rows, DOCS).withColumn("size", F.lit("clash")).withColumn("bucket", F.lit(1)).withColumn("key", F.lit(2)).withColumn("id", F.lit(3)).repartition(5)
+
+
+@pytest.fixture(scope="module")
+def nothing(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+def test_kernel_matches_plain_words():
+    texts = [t for _, t, *_ in corpus()]
+    data, offsets = kernel.text_buffers(pa.array(texts, pa.string()))
+    hashes, first = kernel.word_hashes(data, offsets, lower=True)
+    seen = {}
+    plain = [words((t or "").translate(LOWER)) for t in texts]
+    assert np.diff(first).tolist() == [len(w) for w in plain]
+    for w, h in zip([w for ws in plain for w in ws], hashes.tolist(), strict=True):
+        assert seen.setdefault(w, h) == h
+    assert len(set(seen.values())) == len(seen)
+    grams, at = kernel.shingles(hashes, first, 5)
+    assert np.diff(at).tolist() == [len(w) - 4 if len(w) >= 5 else min(len(w), 1) for w in plain]
+    assert np.array_equal(kernel.gram_hashes(hashes, 50)[:100], kernel.gram_hashes(hashes[:149], 50))
+
+
+def test_url_parts_rules_and_model(spark):
+    urls = [None, "no scheme/x", "http://WWW.Example.COM/en/1?q#f", "x://a.example.com/en/", "https://b.net/es/é?x", "y://://z", "http://casino-free-bets.org/win", "http://blog.therin.org/en/2", "http://com/", "http://xcom/", "http://"]
+    pages = spark.createDataFrame([(i, u, "clash") for i, u in enumerate(urls)], "page_id bigint, url string, host string")
+    made = {r.page_id: r for r in url_filter.judge(pages, url_filter.RULES, url_filter.train(spark)).collect()}
+    assert [(made[i].host, made[i].path) for i in (0, 1, 2, 5, 10)] == [("", ""), ("", ""), ("www.example.com", "/en/1"), (":", "//z"), ("", "")]
+    assert [(made[i].rule, made[i].verdict) for i in (2, 3, 4, 8)] == [("www.example.com/en/", "allow"), ("example.com/en/", "block"), ("net/es/", "block"), ("com/", "allow")]
+    assert [made[i].rule for i in (0, 6, 7, 9)] == [None] * 4
+    assert (made[6].verdict, made[7].verdict) == ("block", "allow")
+    model = url_filter.train(spark, rounds=2)
+    held = spark.createDataFrame(url_filter.SEED_URLS, "url string, label int").withColumn("page_id", F.monotonically_increasing_id())
+    right = url_filter.judge(held, [], url_filter.train(spark)).join(held, "page_id").where((F.col("verdict") == "block") == (F.col("label") == 1)).count()
+    assert right >= 0.95 * len(url_filter.SEED_URLS) and len(model["weights"]) == url_filter.BUCKETS
+    assert url_filter.judge(pages.where("false"), url_filter.RULES, model).isEmpty()
+
+
+def test_fingerprints(spark, docs, nothing):
+    rows, df = docs
+    made = {r.doc_id: r for r in fingerprints.next_documents(df).mapInArrow(fingerprints._neighbours, fingerprints.SCHEMA).collect()}
+    order = sorted(rows, key=lambda r: -r[0])
+    sets = lambda t: {tuple(w[i : i + 5]) for w in [words((t or "").translate(LOWER))] for i in range(len(w) - 4)} or ({tuple(w)} if (w := words((t or "").translate(LOWER))) else set())
+    errors = []
+    for k, (i, t, *_) in enumerate(order):
+        own, after = t or "", order[(k + 1) % len(order)][1] or ""
+        cut = len(own) // 3
+        edited = own[: len(own) - cut] + after[:cut]
+        assert (made[i].n_chars, made[i].edited_sha256) == (len(own), hashlib.sha256(edited.encode()).hexdigest())
+        a, b = sets(own), sets(edited)
+        errors.append(made[i].near_edited - (len(a & b) / len(a | b) if a | b else 1.0))
+    assert np.abs(errors).max() < 0.15 and np.abs(errors).mean() < 0.03
+    assert made[0].fingerprint == made[80].fingerprint and made[103].fingerprint == made[104].fingerprint
+    assert made[100].fingerprint == "" and fingerprints.next_documents(nothing).isEmpty()
+    one = fingerprints.next_documents(spark.createDataFrame([(None, "a b", None, None, 3)], DOCS)).mapInArrow(fingerprints._neighbours, fingerprints.SCHEMA).collect()
+    assert [(r.doc_id, r.near_next) for r in one] == [(None, 1.0)]
+
+
+def test_densified_bins_agree_like_the_sets():
+    rng = np.random.default_rng(1)
+    grams = rng.integers(0, 2**63, 40, dtype=np.uint64)
+    low = []
+    for part in (grams[:30], grams[10:]):  # similarity 0.5 with most bins empty
+        table = np.full((1, fingerprints.BINS), fingerprints._EMPTY)
+        np.minimum.at(table[0], (part >> fingerprints._SHIFT).astype(np.int64), part << fingerprints._LEFT)
+        low.append(fingerprints.densify(table)[0])
+    assert (low[0] != fingerprints._EMPTY).all() and abs((low[0] == low[1]).mean() - 0.5) < 0.2
+
+
+@pytest.mark.parametrize(
+    ("page", "expected"),
+    [
+        ("", ""), ("a &amp; b", "a & b"), ("<p>a<p>b", "a\n\nb"), ("<ul><li>x<li>y</ul>", "- x\n- y"), ("<ol start=3><li>x<li>y<ul><li>z</ul></ol>", "3. x\n4. y\n   - z"),
+        ("<table><tr><td>1<td>22<tr><th>333<td>4</table>", "1   | 22\n333 | 4"), ("<script>x<y</script>a<!-- b -->c", "ac"), ("<div hidden>n</div><p style='Display : none'>n</p>y", "y"),
+        ("<head><title>t</title></head><body>b", "b"), ("<pre> a\n  b</pre>", " a\n  b"), ("a<br>b  \n c", "a\nb c"), ("1 < 2 <", "1 < 2 <"), ("<b>x</b><i> y", "x y"), ("</p>a</div></b>", "a"),
+        ("<blockquote>q</blockquote>z", "  q\n\nz"), ("<dl><dt>t<dd>d</dl>", "t\n  d"), ("<td>x", "x"), ("<textarea> <b> </textarea>", " <b> "),
+    ],
+)
+def test_html_layout(page, expected):
+    assert html_text.render(page) == expected
+
+
+def test_html_is_safe_and_keeps_all_words(spark):
+    assert html_text.render("<div>" * 3000 + "deep") == "deep"
+    rng = random.Random(5)
+    tags = ["<p>", "</p>", "<li>", "<ul>", "</ul>", "<table>", "<td>", "</table>", "<tr>", "<b>", "</b>", "<br>", "<div>", "</div>", "<ol>", "<h1>", "<pre>", "</pre>"]
+    for _ in range(60):
+        tokens = [rng.choice(tags) if rng.random() < 0.5 else f"w{i}" for i in range(40)]
+        text = html_text.render(" ".join(tokens))
+        assert [w for w in re.findall(r"w\d+", text)] and set(re.findall(r"w\d+", text)) == {t for t in tokens if t[0] == "w"}
+    pages = spark.createDataFrame([(1, None), (2, ""), (3, "<p>x")], "page_id bigint, html string").withColumn("text", F.lit("clash"))
+    assert [tuple(r) for r in html_text.extract(pages).orderBy("page_id").collect()] == [(1, None), (2, ""), (3, "x")]
+
+
+def test_decontamination(spark):
+    rng = random.Random(9)
+    vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 8))) for _ in range(1500)]
+    text = lambda k: [rng.choice(vocabulary) for _ in range(k)]
+    items = [text(rng.randint(16, 60)) for _ in range(20)]
+    rows, planted = [], set()
+    for i in range(200):
+        body = text(rng.randint(20, 300))
+        if i % 10 == 0:
+            k = i // 10
+            item = list(items[k])
+            if i % 20 == 0:  # a paraphrase: one word in eight is another, and the case and the marks change
+                item = [rng.choice(vocabulary) if j % 8 == 3 else w.upper() + "," for j, w in enumerate(item)]
+            at = rng.randrange(len(body))
+            body[at:at] = item
+            planted.add((i, k))
+        rows.append((i, " ".join(body), "en", "s", 0))
+    rows += [(900, None, None, None, None), (901, "", None, None, 0), (None, " ".join(items[3]), None, None, 0)]
+    docs = spark.createDataFrame(rows, DOCS)
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)] + [(99, None), (98, "")], "item_id bigint, text string")
+    made = {(r.doc_id, r.item_id) for r in decontamination.leaks(docs, bench).collect()}
+    assert made == planted | {(None, 3)}
+    assert decontamination.leaks(docs.where("false"), bench).isEmpty() and decontamination.leaks(docs, bench.where("false")).isEmpty()
+    kept = decontamination.with_leaks(docs.withColumn("item_id", F.lit(1)), bench).where(F.size("_leaks") == 0)
+    assert kept.count() == 182 and decontamination.lcs(np.array([1, 2, 3, 4]), np.array([1, 3, 9, 4])) == 3
+
+
+def test_language_model(spark, docs, nothing):
+    rows, df = docs
+    made = {r.doc_id: r for r in language_model.score(df).collect()}
+    tokens = {i: [*words((t or "").translate(LOWER)), "</s>"] for i, t, *_ in rows}
+    counts = Counter(w for i, ws in tokens.items() if zlib.crc32(str(i).encode()) % 7 != 2 for w in ws)
+    n, v = sum(counts.values()), len(counts)
+    for i, ws in tokens.items():
+        r = made[i]
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (zlib.crc32(str(i).encode()) % 7 == 2, len(ws), sum(counts[w] > 0 for w in ws), n)
+        assert math.isclose(r.base_score, sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in ws), rel_tol=1e-9)
+        assert r.score < 0
+    held = [made[i] for i in tokens if made[i].held_out and len(tokens[i]) < 1000]
+    assert sum(r.score for r in held) > sum(r.base_score for r in held)
+    assert language_model.score(nothing).isEmpty()
+    probabilities = language_model.learn([(3, 4, 8, 10.0), (0, -1, 8, 5.0), (3, -1, -1, 1.0)], 100.0)
+    assert np.allclose(probabilities.sum(axis=1), 1) and probabilities[0, 0] == 0
+
+
+def test_quality(spark, nothing):
+    rng = random.Random(4)
+    rows, labels = [], []
+    for i in range(300):
+        bad = rng.random() < 0.3
+        body = " ".join(("".join(rng.choice("aeiourstn") for _ in range(rng.randint(2, 8))) + ("!!***" if bad else "")) for _ in range(rng.randint(5, 60)))
+        rows.append((i, body, "en", "s9" if bad else "s1", len(body)))
+        if i < 200:
+            labels.append((i, int(not bad)))
+    rows += [(900, None, None, None, None), (901, "", None, None, 0)]
+    docs = spark.createDataFrame(rows, DOCS).withColumn("quality", F.lit("clash"))
+    given = spark.createDataFrame(labels + [(5, labels[5][1]), (6, None), (None, 1)], "doc_id bigint, quality int")
+    made = {r.doc_id: r._quality for r in quality.with_quality(docs, quality.train(docs, given, rounds=1)).collect()}
+    right = sum((made[i] >= 0.5) == ("!!" not in rows[i][1]) for i in range(200, 300))
+    assert right >= 97 and len(made) == 302
+    assert quality.train(docs, given.where("quality = 1")) == 1.0 and quality.train(nothing, given.where("false")) == 0.5
+    assert quality.with_quality(docs, 1.0).where("_quality = 1").count() == 302
+
+
+def plain_components(rows):
+    sets = {}
+    for i, t, *_ in rows:
+        w = words((t or "").translate(LOWER))
+        sets[i] = {tuple(w[k : k + 5]) for k in range(len(w) - 4)} or ({tuple(w)} if w else set())
+    up = {i: i for i in sets}
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    ids = sorted(sets)
+    for x in ids:
+        for y in ids:
+            if x < y and sets[x] and 100 * len(sets[x] & sets[y]) >= 75 * len(sets[x] | sets[y]):
+                a, b = sorted((root(x), root(y)))
+                up[b] = a
+    return {i: (len(sets[i]), root(i)) for i in ids}
+
+
+def test_near_duplicates(spark, docs, nothing):
+    rows, df = docs
+    made = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(df).collect()}
+    assert made == plain_components(rows)
+    assert near_dedup.near_duplicates(nothing).isEmpty()
+
+
+def test_near_duplicates_of_edited_families(spark):
+    rng = random.Random(8)
+    base, rows = [f"w{i}" for i in range(80)], []
+    for i in range(90):
+        copy = list(base)
+        for _ in range(rng.choice([0, 1, 2, 3, 4])):
+            copy[rng.randrange(80)] = f"n{rng.randrange(10**6)}"
+        rows.append((i, " ".join(copy), None, None, 0))
+    made = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(spark.createDataFrame([*rows, (None, rows[0][1], None, None, 0)], DOCS)).where("doc_id IS NOT NULL").collect()}
+    assert made == plain_components(rows)
+
+
+def test_sketches_and_signatures_estimate_similarity(spark):
+    rng = np.random.default_rng(2)
+    grams = np.sort(rng.integers(0, 2**63, 2000, dtype=np.uint64))
+    a, b = grams[:1600], grams[400:]  # similarity 0.6
+    both = near_dedup.signatures(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]))
+    assert abs((both[0] == both[1]).mean() - 0.6) < 0.12
+    sketch = near_dedup.sketches(both)
+    row = spark.createDataFrame([(sketch[0].tolist(), sketch[1].tolist())], "a array<bigint>, b array<bigint>")
+    assert row.select(near_dedup.unlike(F.col("a"), F.col("b"))).first()[0] == int(((both[0] & 15) != (both[1] & 15)).sum())
+
+
+@pytest.mark.parametrize("n", [0, 1, 5, token_codec.BLOCK, token_codec.BLOCK * 2 + 77])
+def test_codec_round_trip(n):
+    rng = np.random.default_rng(n)
+    ids = np.concatenate([rng.integers(0, 2**32 - 1, n // 2, dtype=np.uint64), rng.zipf(1.3, n - n // 2) % 5000]).astype("<u4")
+    blob = token_codec.encode_segment(ids)
+    assert np.array_equal(token_codec.decode_segment(blob), ids)
+
+
+def test_codec_learns_and_finds_damage():
+    ids = np.tile(np.arange(50, dtype="<u4"), 400)
+    blob = token_codec.encode_segment(ids)
+    assert len(blob) < len(ids) // 4
+    broken = bytearray(blob)
+    broken[-9] ^= 255
+    with pytest.raises(ValueError, match="damaged"):
+        token_codec.decode_segment(bytes(broken))
+    with pytest.raises(ValueError, match="segment"):
+        token_codec.decode_segment(b"\0" * 20)
+
+
+def test_token_output(spark, docs, nothing):
+    from tokenizers import Tokenizer
+
+    rows, df = docs
+    tokenizer = Tokenizer.from_file(token_output.default_tokenizer())
+    made = {r.doc_id: r for r in token_output.read_tokens(token_output.write_tokens(df)).collect()}
+    at = 0
+    for i, t, *_ in sorted(rows):
+        ids = [*tokenizer.encode(t or "", add_special_tokens=False).ids, 2]
+        assert (made[i].start, made[i].n_tokens, made[i].ids) == (at, len(ids), ids)
+        at += len(ids)
+    twice = spark.createDataFrame([(1, "b"), (1, "a"), (None, "c"), (1, "a")], "doc_id bigint, text string")
+    assert [r.doc_id for r in token_output.read_tokens(token_output.write_tokens(twice), digest=True).orderBy("start").collect()] == [1, 1, 1, None]
+    assert token_output.read_tokens(token_output.write_tokens(nothing)).isEmpty()
+
+
+def test_substring_dedup(spark, docs, nothing):
+    rows, df = docs
+    first = {}
+    for i, t, *_ in sorted(rows):
+        w = words(t)
+        for k in range(len(w) - 49):
+            first.setdefault(tuple(w[k : k + 50]), i)
+    made = {r.doc_id: r for r in substring_dedup.dedup(df).collect()}
+    removed = 0
+    for i, t, *_ in rows:
+        w = words(t)
+        gone = [False] * len(w)
+        for k in range(len(w) - 49):
+            if first[tuple(w[k : k + 50])] < i:
+                gone[k : k + 50] = [True] * 50
+        kept = " ".join(x for x, g in zip(w, gone, strict=True) if not g)
+        removed += sum(gone)
+        assert (made[i].n_words, made[i].n_removed, made[i].kept_sha256, made[i].kept) == (len(w), sum(gone), hashlib.sha256(kept.encode()).hexdigest(), kept)
+    assert removed > 300 and substring_dedup.dedup(nothing).isEmpty()
+    same = spark.createDataFrame([(None, " ".join(map(str, range(60)))), (7, " ".join(map(str, range(60)))), (7, " ".join(map(str, range(60))))], "doc_id bigint, text string")
+    assert sorted((str(r.doc_id), r.n_removed) for r in substring_dedup.dedup(same).collect()) == [("7", 0), ("7", 0), ("None", 60)]
+
+
+def test_mixing(spark, docs, nothing):
+    rows, df = docs
+    made = mixing.mix(df).collect()
+    assert len(made) == len(rows)
+    sizes, targets, taken = Counter(), {}, Counter()
+    for r in made:
+        assert r.size == len(words(next(t for i, t, *_ in rows if i == r.doc_id))) and 0 <= r.taken <= 3 * r.size and r.taken == r.copies * r.size
+        sizes[r.source] += r.size
+        targets[r.source] = r.target
+        taken[r.source] += r.taken
+    order = sorted((s for s in sizes if s is not None)) + [None]
+    weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(order)}
+    left, free, plan = float(sum(sizes.values())), set(order), {}
+    while True:  # share, cap, share the excess again
+        level = left / sum(weight[s] for s in free)
+        over = [s for s in free if level * weight[s] > 3 * sizes[s]]
+        if not over:
+            break
+        for s in over:
+            plan[s] = 3.0 * sizes[s]
+            left -= plan[s]
+            free.discard(s)
+    plan |= {s: level * weight[s] for s in free}
+    for s in order:
+        assert math.isclose(targets[s], plan[s], rel_tol=1e-9)
+        longest = max(r.size for r in made if r.source == s)
+        assert abs(taken[s] - plan[s]) <= 0.03 * plan[s] + longest / 2  # whole copies of a document that outweighs its source
+    again = {(r.doc_id, r.taken) for r in mixing.mix(df.repartition(3)).collect()}
+    assert again == {(r.doc_id, r.taken) for r in made} and mixing.mix(nothing).isEmpty()

@@ -268,7 +268,7 @@ class Items:
 LEAK = "item_id bigint, cosine double, item_share double, answer_share double, first_word bigint, last_word bigint"
 
 
-def with_leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.6, common: float = 0.6, answer: float = 0.5, short: int = 8, fit_passages: int = 200_000, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", answer_col: str | None = None) -> DataFrame:
+def with_leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.55, common: float = 0.6, answer: float = 0.5, short: int = 8, fit_passages: int = 200_000, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", answer_col: str | None = None) -> DataFrame:
     """Return ``docs`` with the array column ``_leaks``: the benchmark items that each document holds."""
     items = benchmark.select(F.col(item_col).cast("bigint").alias("id"), F.col(text_col).alias("text"), (F.col(answer_col) if answer_col else F.lit(None)).cast("string").alias("answer")).where("text IS NOT NULL")
     blocks = max(1, -(-items.count() // BLOCK_ITEMS))
