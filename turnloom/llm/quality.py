@@ -105,7 +105,7 @@ def _sample(df: DataFrame, key: str, limit: int) -> DataFrame:
 
 
 def _fit(rows: DataFrame, view: str, penalty: float = 3e-4) -> tuple[np.ndarray, float]:
-    model = LogisticRegression(featuresCol="features", labelCol="label", maxIter=40, regParam=penalty, tol=1e-5).fit(rows.select(array_to_vector(F.col(view)).alias("features"), "label"))
+    model = LogisticRegression(featuresCol="features", labelCol="label", maxIter=25, regParam=penalty, tol=1e-5).fit(rows.select(array_to_vector(F.col(view)).alias("features"), "label").coalesce(6))  # a bounded sample, so few tasks a step
     return model.coefficients.toArray(), float(model.intercept)
 
 
@@ -125,7 +125,7 @@ class Classifier:
         return text * self.text_scale[0] + self.text_scale[1] + meta * self.meta_scale[0] + self.meta_scale[1] - self.prior
 
 
-def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 8000, max_pool: int = 8000, rounds: int = 3, confident: float = 0.99) -> Classifier | float:
+def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 8000, max_pool: int = 8000, rounds: int = 2, confident: float = 0.99) -> Classifier | float:
     """Fit by co-training; without labels of both classes, return the prior."""
     voted = labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("double").alias("label"))
     chosen = materialize(_sample(materialize(voted, "quality-labels"), "doc_id", max_labelled), "quality-labels")
