@@ -331,3 +331,19 @@ def test_documents(spark, tmp_path):
 def test_report(spark):
     rows = stats.dashboard([stats.long_form(spark.createDataFrame([(1, 2.5)], "a int, b double"), "x")])
     assert "2.5" in stats.render(rows) and math.isclose(rows.agg(F.sum("value")).first()[0], 3.5)
+
+
+def test_functions_for_sql(spark):
+    from turnloom.functions import vectors
+
+    spark.udtf.register("verdicts", review.verdict_udtf())
+    assert [tuple(r) for r in spark.sql("SELECT * FROM verdicts('1. CLEAN\n x\n2. sensitive')").collect()] == [(0, 1, False), (2, 2, True)]
+    rows = spark.createDataFrame([("a", [1.0, 2.0]), ("a", [3.0, 4.0])], "k string, v array<double>")
+    assert rows.groupBy("k").agg(vectors.mean_vector_udaf()("v").alias("v")).first().v == [2.0, 3.0]
+
+
+def test_audio_of_calls(spark):
+    calls = spark.createDataFrame([("a",), ("b",), ("c",)], "call_id string")
+    files = spark.createDataFrame([("a", "/x/a/full_normalized.wav"), ("a", "/x/a.wav"), ("b", "/x/b.wav")], "call_id string, path string")
+    made = {r.call_id: (r.path, r.error) for r in wav.audio_of_calls(calls, files).collect()}
+    assert made == {"a": ("/x/a/full_normalized.wav", None), "b": ("/x/b.wav", None), "c": (None, "no audio for call c")}

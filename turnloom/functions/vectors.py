@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from typing import Any
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,3 +27,13 @@ def mean_vectors(rows: DataFrame, keys: list[str], vector: str) -> DataFrame:
     means = each.groupBy(*keys, "at").agg(F.avg(F.col("x").cast("double")).alias("x"))
     packed = F.transform(F.array_sort(F.collect_list(F.struct("at", "x"))), lambda s: s["x"]).alias(vector)
     return means.groupBy(*keys).agg(packed) if keys else means.agg(packed)
+
+
+def mean_vector_udaf():
+    """An Arrow aggregate for SQL and DataFrames: the mean of a group's vectors, null without any."""
+    @F.pandas_udf("array<double>")
+    def mean_vector(v: pd.Series) -> Any:
+        rows = [np.asarray(x, dtype=np.float64) for x in v if x is not None]
+        return np.mean(rows, axis=0).tolist() if rows else None
+
+    return mean_vector

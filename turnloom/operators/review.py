@@ -128,3 +128,17 @@ def confidence_gate(calls: DataFrame, least: float = MIN_CONFIDENCE) -> DataFram
 def model_turn_issues(issues: Column) -> Column:
     """The issues that a model may state about a turn."""
     return F.filter(F.coalesce(issues, _no_codes()), lambda x: x.isin(*MODEL_TURN_ISSUES))
+
+
+def verdict_udtf():
+    """A table function for SQL: (line_no, turn, sensitive) of a scrub response."""
+
+    @F.udtf(returnType="line_no: int, turn: int, sensitive: boolean")
+    class Verdicts:
+        def eval(self, response: str):
+            for k, line in enumerate((response or "").split("\n")):
+                left, dot, right = line.partition(".")
+                if dot and left.strip().isdigit():
+                    yield k, int(left), "SENSITIVE" in right.upper()
+
+    return Verdicts

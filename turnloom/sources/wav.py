@@ -301,3 +301,11 @@ def issue(samples: np.ndarray, rate: int, frame_ms: int = 30) -> str | None:
     if not len(head) or not len(tail):
         return "mostly_silence"
     return "tail_decay" if head.mean() - tail.mean() > MAX_DECAY_DB else None
+
+
+def audio_of_calls(calls: DataFrame, files: DataFrame, name: str = "full_normalized.wav") -> DataFrame:
+    """Add ``path``: the call's whole recording, else its plain file, else null with an ``error``, so that one call's lack fails only that call."""
+    marked = files.select("call_id", "path", (F.element_at(F.split("path", "/"), -1) == name).alias("_whole"))
+    found = marked.groupBy("call_id").agg(F.max(F.when(F.col("_whole"), F.col("path"))).alias("_first"), F.max(F.when(~F.col("_whole"), F.col("path"))).alias("_second"))
+    out = calls.join(found, "call_id", "left").withColumn("path", F.coalesce("_first", "_second")).drop("_first", "_second")
+    return out.withColumn("error", F.when(F.col("path").isNull(), F.concat(F.lit("no audio for call "), F.col("call_id").cast("string"))))
