@@ -28,7 +28,7 @@ def query(name: str, sql: str | None = None):
 
 
 def r6(c: str) -> Column:
-    return F.round(c, 6).alias(c)
+    return (F.round(c, 6) + 0.0).alias(c)  # no negative zero
 
 
 @query("g1_call_speakers", "SELECT call_id, string_agg(DISTINCT speaker, ',' ORDER BY speaker) AS speakers, CAST(count(DISTINCT speaker) AS INT) AS num_speakers FROM {turns} GROUP BY call_id")
@@ -337,12 +337,12 @@ def _scored(v: Views) -> DataFrame:
     return voiceprint.similarities(voiceprint.speaker_vectors(v.vectors), voiceprint.enroll(v.vectors.where("label = 0"), "made-up", "label-0"), "made-up")
 
 
-@query("g12_mean_vector", MEANS + " SELECT call_id, speaker, CAST(pos AS INT) AS pos, round(x, 6) AS x FROM m")
+@query("g12_mean_vector", MEANS + " SELECT call_id, speaker, CAST(pos AS INT) AS pos, round(x, 6) + 0.0 AS x FROM m")
 def _(v):
-    return voiceprint.speaker_vectors(v.vectors).select("call_id", "speaker", F.posexplode("embedding").alias("pos", "x")).withColumn("x", F.round("x", 6))
+    return voiceprint.speaker_vectors(v.vectors).select("call_id", "speaker", F.posexplode("embedding").alias("pos", "x")).withColumn("x", F.round("x", 6) + 0.0)
 
 
-@query("x14_cosine", MEANS + " SELECT call_id, speaker, round(similarity, 6) AS similarity FROM c")
+@query("x14_cosine", MEANS + " SELECT call_id, speaker, round(similarity, 6) + 0.0 AS similarity FROM c")
 def _(v):
     return _scored(v).select("call_id", "speaker", r6("similarity"))
 
