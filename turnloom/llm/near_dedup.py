@@ -173,9 +173,9 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
     classes = whole.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("id"))
     firsts = whole.join(classes.withColumnRenamed("id", "doc_id"), ["set_a", "set_b", "n_shingles", "doc_id"], "left_semi").dropDuplicates(["doc_id"])
     firsts = materialize(firsts.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "bands", "sketch"), "near-classes")
-    leads = firsts.select("id", "n", F.explode("bands").alias("band"))
+    leads = firsts.select("id", "n", F.posexplode("bands").alias("band_no", "band"))
     counts = leads.groupBy("band").agg(F.count("*").alias("size"), F.min("id").alias("leader")).where("size > 1")
-    members = materialize(leads.join(counts, "band").select("band", "id", "n", "leader"), "near-members")
+    members = materialize(leads.join(counts, "band").select("band", "band_no", "id", "n", "leader"), "near-members")
     sets = gram_sets(docs, members.select("id").distinct())
     fits = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
 
@@ -184,7 +184,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
 
     stars = materialize(canonical(members.select("band", "id", "n", F.col("leader").alias("other")).join(members.where("id = leader").select("band", F.col("n").alias("m")), "band")), "near-stars")
     labels = joined_up(materialize(members.select("id").distinct().withColumn("component", F.col("id")), "near-labels"), verified(stars, sets, percent))
-    looks = firsts.select("id", "sketch")
+    looks = firsts.select("id", "sketch", F.transform("bands", lambda x: x.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).alias("marks"))
     tested, open_members = stars, members.withColumn("head", F.col("id") == F.col("leader"))
     for turn in itertools.count():
         now = open_members.drop("component").join(labels, "id")
@@ -194,12 +194,15 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
         minor = now.where("component <> major AND NOT head")
         waiting = minor.groupBy("band").agg(F.count("*").alias("waiting"))
         draw = F.pmod(F.xxhash64("id", "band", F.lit(turn)), F.lit(1 << 20)) * F.col("waiting") < F.lit(HEADS << 20)
-        heads = materialize(minor.join(waiting, "band").where((F.col("waiting") <= HEADS) | draw).select("band", F.col("id").alias("other"), F.col("n").alias("m"), F.col("component").alias("other_component"), F.col("sketch").alias("other_sketch")), "near-heads")
+        heads = materialize(minor.join(waiting, "band").where((F.col("waiting") <= HEADS) | draw).select("band", F.col("id").alias("other"), F.col("n").alias("m"), F.col("component").alias("other_component"), F.col("sketch").alias("other_sketch"), F.col("marks").alias("other_marks")), "near-heads")
         if heads.isEmpty():
             if waiting.isEmpty():
                 break
-            heads = materialize(minor.groupBy("band").agg(F.min("id").alias("id")).join(minor, ["band", "id"]).select("band", F.col("id").alias("other"), F.col("n").alias("m"), F.col("component").alias("other_component"), F.col("sketch").alias("other_sketch")), "near-heads")
-        pairs = materialize(canonical(now.join(heads, "band").where("component <> other_component").where(unlike(F.col("sketch"), F.col("other_sketch")) <= MOST_UNLIKE)).join(tested, ["a", "b"], "left_anti"), "near-pairs")
+            heads = materialize(minor.groupBy("band").agg(F.min("id").alias("id")).join(minor, ["band", "id"]).select("band", F.col("id").alias("other"), F.col("n").alias("m"), F.col("component").alias("other_component"), F.col("sketch").alias("other_sketch"), F.col("marks").alias("other_marks")), "near-heads")
+        alike = unlike(F.col("sketch"), F.col("other_sketch")) <= MOST_UNLIKE
+        # a pair is made in the first band that it shares, and so once
+        first = F.array_position(F.zip_with("marks", "other_marks", lambda x, y: x == y), True) == F.col("band_no") + 1
+        pairs = materialize(canonical(now.join(heads, "band").where("component <> other_component").where(alike & first)).join(tested, ["a", "b"], "left_anti"), "near-pairs")
         labels = joined_up(labels, verified(pairs, sets, percent))
         tested = tested.unionByName(pairs)
         used = heads.select("band", F.col("other").alias("id"), F.lit(True).alias("used"))
