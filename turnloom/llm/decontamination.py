@@ -35,6 +35,8 @@ WIDTH, STRIDE, ITEM_STRIDE = 24, 12, 12
 FEATURES = 1 << 13
 RANK, OVERSAMPLE = 192, 16
 SLICES = 8
+#: tasks over the bounded sample; each sends one product of features x dimensions
+FIT_TASKS = 6
 BLOCK_ITEMS = 2000
 _PLAIN = np.arange(256, dtype=np.uint8)
 _PLAIN[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = 0x20
@@ -113,9 +115,25 @@ def _rows(words: np.ndarray, start: np.ndarray, idf: np.ndarray) -> tuple[np.nda
     return f, (w / np.repeat(norm, size)).astype(np.float32)
 
 
+def _sums(f: np.ndarray, start: np.ndarray, matrix: np.ndarray, w: np.ndarray | None = None, rows: int = 512) -> np.ndarray:
+    """Return, for each run of words that begins at ``start``, the (weighted) sum of its words' rows of ``matrix``.
+
+    Word k of many runs is added at a time, so sums stay in the processor's cache.
+    """
+    out = np.zeros((len(start), matrix.shape[1]), dtype=np.float32)
+    size = np.diff(np.append(start, len(f)))
+    for i in range(0, len(start), rows):
+        own, at, acc = size[i : i + rows], start[i : i + rows], out[i : i + rows]
+        for k in range(int(own.max(initial=0))):
+            some = slice(None) if own.min() > k else np.flatnonzero(own > k)
+            word = at[some] + k
+            acc[some] += matrix[f[word]] if w is None else matrix[f[word]] * w[word, None]
+    return out
+
+
 def _times(f: np.ndarray, w: np.ndarray, start: np.ndarray, matrix: np.ndarray) -> np.ndarray:
     """Return passages x matrix."""
-    return np.add.reduceat(matrix[f] * w[:, None], start, axis=0) if len(start) else np.zeros((0, matrix.shape[1]), np.float32)
+    return _sums(f, start, matrix, w)
 
 
 def _back(f: np.ndarray, w: np.ndarray, start: np.ndarray, product: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -146,13 +164,7 @@ class Index:
 
     def project(self, words: np.ndarray, start: np.ndarray) -> np.ndarray:
         """Return the sum of basis rows of each run of words that begins at ``start``."""
-        out = np.zeros((len(start), self.basis.shape[1]), dtype=np.float32)
-        f = feature(words)
-        ends = np.append(start, len(words))
-        for i in range(0, len(start), 512):
-            j = min(i + 512, len(start))
-            out[i:j] = np.add.reduceat(self.basis[f[ends[i] : ends[j]]], start[i:j] - start[i], axis=0)
-        return out
+        return _sums(feature(words), start, self.basis)
 
 
 def fit(docs: DataFrame, items: list[str], id_col: str, text_col: str, fit_passages: int = 200_000, seed: int = 5) -> Index:
@@ -173,7 +185,7 @@ def fit(docs: DataFrame, items: list[str], id_col: str, text_col: str, fit_passa
             if total.any():
                 yield from _emit(total.astype(np.float32))
 
-        sums = _tree_sum(chosen.mapInArrow(run, "part int, slice int, body binary"), "float32").astype(np.float64)
+        sums = _tree_sum(chosen.coalesce(FIT_TASKS).mapInArrow(run, "part int, slice int, body binary"), "float32").astype(np.float64)
         own = _gram(iter([bench]), idf, m, weight)
         return own + sums.reshape(m.shape) if len(sums) else own
 
@@ -241,7 +253,9 @@ class Items:
         whole = _unit(whole)
         for i in range(0, len(start), 4096):
             near = whole[i : i + 4096] @ self.vectors
-            for p, k in zip(*np.nonzero(near >= cosine), strict=True):
+            high = np.flatnonzero(near.max(axis=1) >= cosine)
+            for q, k in zip(*np.nonzero(near[high] >= cosine), strict=True):
+                p = int(high[q])
                 r, n = int(row[i + p]), int(self.owner[k])
                 have = found.setdefault(r, {}).get(n)
                 at_word = int(start[i + p])
