@@ -165,6 +165,36 @@ def test_decontamination(spark):
     assert kept.count() == 182 and decontamination.lcs(np.array([1, 2, 3, 4]), np.array([1, 3, 9, 4])) == 3
 
 
+def test_decontamination_finds_all_that_the_judge_accepts(spark):
+    rng = random.Random(21)
+    vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 8))) for _ in range(3000)]
+    text = lambda k: [rng.choice(vocabulary) for _ in range(k)]
+    items = [text(rng.randint(15, 60)) for _ in range(2300)] + [text(k) for k in (1, 2, 3, 5, 7)]
+    rows, planted = [], set()
+    for i in range(120):
+        body, k = text(rng.randint(60, 200)), 2304 - i if i < 5 else rng.randrange(2300)
+        share = rng.choice([0.62, 0.7, 0.8]) if i >= 5 else 1
+        kept = set(rng.sample(range(len(items[k])), math.ceil(share * len(items[k]))))
+        at = rng.randrange(len(body))
+        body[at:at] = [w if j in kept else rng.choice(vocabulary) for j, w in enumerate(items[k])]
+        rows.append((i, " ".join(body), "en", "s", 0))
+        planted.add((i, k))
+    made = {(r.doc_id, r.item_id) for r in decontamination.leaks(spark.createDataFrame(rows, DOCS).repartition(3), spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id bigint, text string")).collect()}
+
+    def accepted(body, k):  # the judge at every passage, item by item
+        item, answer = items[k], items[k][-max(1, len(items[k]) // 3) :]
+        common = lambda a, b: decontamination.lcs(np.array(a, object), np.array(b, object)) / len(a)
+        for at in range(0, len(body), 12):
+            part = body[max(0, at - len(item)) : at + 24 + len(item)]
+            if len(set(item) & set(part)) and common(item, part) >= (1 if len(item) < 8 else 0.6) and common(answer, part) >= 0.5:
+                return True
+        return False
+
+    bodies = [r[1].split() for r in rows]
+    brute = {(i, k) for i, body in enumerate(bodies) for k, item in enumerate(items) if sum(w in body for w in item) >= (1 if len(item) < 8 else 0.6) * len(item) and accepted(body, k)}
+    assert len(brute & planted) > 80 and made == brute
+
+
 def test_language_model(spark, docs, nothing):
     rows, df = docs
     made = {r.doc_id: r for r in language_model.score(df).collect()}

@@ -4,9 +4,14 @@ Passages are runs of 24 words (case and ASCII punctuation folded), a new one eve
 Document frequencies count all passages of the corpus.  A randomised SVD gives the latent space: each task multiplies its passages with
 the random test matrix and back, and the small products are summed in two levels; after one power iteration a Rayleigh-Ritz step yields the
 basis, scaled to unit variance.  The basis is an index and is fitted on a documented sample: every document whose hash falls under
-``fit_passages / passages`` (all of them in small corpora), together with the benchmark.  Every passage of every document is then
+``fit_passages / passages`` (all of them in small corpora), together with about ``BLOCK_ITEMS`` items chosen by hash from the whole
+benchmark (all of them in small ones).  Every passage of every document is then
 projected and compared, in blocks, with all passages of the benchmark; those with a cosine of ``cosine`` or more are candidates.
 
+An exact join of words follows, since the latent space loses part of the passages, more of them the larger the benchmark is.  An item of
+n words of which t must be there shares at least k of its n - t + k rarest words with the words around a leak; all places with that many
+are judged too.  So whatever the judge accepts at the start of any passage is found, verbatim, short or paraphrased.
+
 A candidate is a leak if the longest common subsequence of the item and the words around the candidate covers ``common`` of the item,
 and ``answer`` of the item's answer (its last third, or the answer column) is found there in order.  So paraphrases with changed words, cut
 or added phrases are found; items with fewer than ``short`` words must be there completely.
@@ -38,6 +43,8 @@ SLICES = 8
 #: tasks over the bounded sample; each sends one product of features x dimensions
 FIT_TASKS = 6
 BLOCK_ITEMS = 2000
+#: words and items of the exact join that are held at once
+HITS = 1 << 21
 _PLAIN = np.arange(256, dtype=np.uint8)
 _PLAIN[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = 0x20
 
@@ -216,7 +223,7 @@ def lcs(a: np.ndarray, b: np.ndarray) -> int:
 class Items:
     """Benchmark items of one block, ready to compare."""
 
-    def __init__(self, ids: list[int], texts: list[str], answers: list[str | None], index: Index):
+    def __init__(self, ids: list[int], texts: list[str], answers: list[str | None], index: Index, common: float, short: int):
         words, first = words_of(pa.array(texts, pa.string()))
         given, at = words_of(pa.array(answers, pa.string()))
         self.index, self.ids = index, []
@@ -234,11 +241,64 @@ class Items:
                 self.words.append(w)
                 self.answers.append(own if len(own) else w[-max(1, len(w) // 3) :])
         self.owner = np.array(owner, dtype=np.int64)
+        self._rarest(common, short)
         if starts:
             pieces = [self.words[n][s : s + WIDTH] for n, s in starts]
             begin = np.concatenate([[0], np.cumsum([len(p) for p in pieces])[:-1]])
             self.vectors = np.ascontiguousarray(_unit(index.project(np.concatenate(pieces), begin)).T)
 
+    def _rarest(self, common: float, short: int) -> None:
+        """Index, by word, the items that have it among their rarest, and how many of these each item must share with a leak."""
+        self.sizes = np.array([len(w) for w in self.words], dtype=np.int64)
+        self.shared = np.ones(len(self.words), dtype=np.int64)
+        keys, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for n, w in enumerate(self.words):
+            least = len(w) if len(w) < short else max(1, int(np.ceil(common * len(w) - 1e-6)))
+            self.shared[n] = min(least, 2) if len(w) < short else -(-least // 3)
+            rare = np.argsort(-self.index.idf[feature(w)], kind="stable")[: len(w) - least + self.shared[n]]
+            keys.append(w[rare])
+            owners.append(np.full(len(rare), n))
+        keys, owners = np.concatenate(keys), np.concatenate(owners)
+        order = np.argsort(keys, kind="stable")
+        self.rare, begin = np.unique(keys[order], return_index=True)
+        self.rare_at, self.rare_items = np.append(begin, len(keys)), owners[order]
+        self.may = np.zeros(1 << 20, dtype=bool)
+        self.may[(self.rare >> np.uint64(44)).astype(np.int64)] = True
+
+    def _places(self, words: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """Yield (row, item, first word of a passage) wherever the words around the passage share enough of the item's rarest words."""
+        x = np.flatnonzero(self.may[(words >> np.uint64(44)).astype(np.int64)])
+        key = np.searchsorted(self.rare, words[x])
+        same = self.rare[np.minimum(key, len(self.rare) - 1)] == words[x]
+        x, key = x[same], key[same]
+        row = np.searchsorted(first, x, side="right") - 1
+        many = np.diff(self.rare_at)[key]
+        load = np.concatenate([[0], np.cumsum(many)])
+        ends = np.searchsorted(row, np.arange(len(first) - 1), side="right")  # the words of rows up to each one
+        i = 0
+        while i < len(x):  # whole rows, of about HITS words and items at a time
+            j = int(np.searchsorted(load, load[i] + HITS, side="right")) - 1
+            j = int(ends[row[i]]) if j <= ends[row[i]] else int(ends[row[min(j, len(x) - 1)] - 1]) if j < len(x) else len(x)
+            n_hits = many[i:j]
+            word = np.repeat(x[i:j], n_hits)
+            item = self.rare_items[np.repeat(self.rare_at[key[i:j]], n_hits) + np.arange(len(word)) - np.repeat(load[i:j] - load[i], n_hits)]
+            order = np.argsort(item, kind="stable")
+            word, item = word[order], item[order]
+            last = np.arange(len(item)) + self.shared[item] - 1
+            have = np.flatnonzero(last < len(item))
+            have = have[item[last[have]] == item[have]]
+            a, b, n = word[have], word[last[have]], item[have]
+            own = np.searchsorted(first, a, side="right") - 1
+            low = np.maximum(b - WIDTH - self.sizes[n] + 1, first[own])
+            low = first[own] - (first[own] - low) // STRIDE * STRIDE  # the next start of a passage
+            high = np.minimum(a + self.sizes[n], first[own + 1] - 1)
+            ok = (b < first[own + 1]) & (low <= high)
+            low, n, own, count = low[ok], n[ok], own[ok], (high[ok] - low[ok]) // STRIDE + 1
+            at = np.repeat(low, count) + (np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)) * STRIDE
+            for place in np.unique(np.stack([np.repeat(own, count), np.repeat(n, count), at], axis=1), axis=0).tolist():
+                yield tuple(place)
+            i = j
+
     def leaks(self, words: np.ndarray, first: np.ndarray, cosine: float, common: float, answer: float, short: int) -> dict[int, list[tuple]]:
         """Return, by row, its leaks (item_id, cosine, share of the item, share of the answer, first word, last word)."""
         found: dict[int, dict[int, tuple]] = {}
@@ -264,6 +324,14 @@ class Items:
                 got = self._judge(n, float(near[p, k]), words, int(first[r]), int(first[r + 1]), at_word, common, answer, short)
                 if have is None or got[0] > have[0] or (got[0] == have[0] and got[2] > have[2]):
                     found[r][n] = got
+        for r, n, at_word in self._places(words, first):
+            have = found.get(r, {}).get(n)
+            if have is not None and have[0]:
+                continue
+            got = self._judge(n, 0.0, words, int(first[r]), int(first[r + 1]), at_word, common, answer, short)
+            if got[0]:
+                p = int(at[r]) + (at_word - int(first[r])) // STRIDE
+                found.setdefault(r, {})[n] = (True, float((whole[p] @ self.vectors[:, self.owner == n]).max()), *got[2:])
         out = {r: [(self.ids[n], g[1], g[2], g[3], g[4] - int(first[r]), g[5] - int(first[r])) for n, g in sorted(x.items()) if g[0]] for r, x in found.items()}
         return {r: x for r, x in out.items() if x}
 
@@ -285,16 +353,17 @@ LEAK = "item_id bigint, cosine double, item_share double, answer_share double, f
 def with_leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.55, common: float = 0.6, answer: float = 0.5, short: int = 8, fit_passages: int = 200_000, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", answer_col: str | None = None) -> DataFrame:
     """Return ``docs`` with the array column ``_leaks``: the benchmark items that each document holds."""
     items = benchmark.select(F.col(item_col).cast("bigint").alias("id"), F.col(text_col).alias("text"), (F.col(answer_col) if answer_col else F.lit(None)).cast("string").alias("answer")).where("text IS NOT NULL")
-    blocks = max(1, -(-items.count() // BLOCK_ITEMS))
-    index = None
+    total = items.count()
+    blocks = max(1, -(-total // BLOCK_ITEMS))
+    share = min(1.0, BLOCK_ITEMS / max(total, 1))
+    sample = items.where(F.pmod(F.xxhash64(F.lit("fit"), F.col("id"), F.col("text")), F.lit(1 << 20)) < int(share * (1 << 20)))  # about BLOCK_ITEMS rows of all blocks
+    index = fit(docs, [r.text for r in sample.collect()], id_col, text_col, fit_passages)
     kept = T.StructType([f for f in docs.schema.fields if f.name != "_leaks"])
     schema = T.StructType([*kept.fields, T.StructField("_leaks", T.ArrayType(T._parse_datatype_string(LEAK)))])
     out = docs.drop("_leaks").withColumn("_leaks", F.array().cast(schema["_leaks"].dataType))
     for k in range(blocks):
         block = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == k).collect()  # about BLOCK_ITEMS rows
-        if index is None:
-            index = fit(docs, [r.text for r in block], id_col, text_col, fit_passages)
-        ready = Items([r.id for r in block], [r.text for r in block], [r.answer for r in block], index)
+        ready = Items([r.id for r in block], [r.text for r in block], [r.answer for r in block], index, common, short)
         out = out.mapInArrow(_finder(ready, text_col, (cosine, common, answer, short)), schema)
     return out
 
