@@ -36,3 +36,37 @@ def test_query_matches_oracle(spark, oracle, name):
 @pytest.mark.parametrize("name", sorted(set(core.QUERIES) - set(core.ORACLES)))
 def test_query_without_oracle_has_rows(spark, name):
     assert core.QUERIES[name](spark, FOLDER).count() > 0
+
+
+def on_rows(spark, oracle, name, table, rows, schema, folder):
+    """The query and its SQL over given rows of one table."""
+    spark.createDataFrame(rows, schema).write.parquet(f"{folder}/{table}.parquet")
+    made = core.QUERIES[name](spark, str(folder))
+    expected = oracle.sql(core.ORACLES[name].replace(f"FROM {table}", f"FROM '{folder}/{table}.parquet/*.parquet'"))
+    assert made.count() == len(rows)
+    assert rows_of(made.columns, [tuple(r) for r in made.collect()]) == rows_of(expected.columns, expected.fetchall())
+    return {r[0]: r for r in made.collect()}
+
+
+# the SQL that x2_join_words had for the rows without loose marks still holds for them
+PLAIN = "SELECT conv_id, turn, text AS joined FROM conversations WHERE strpos(text, '  ') = 0 AND strpos(text, chr(10)) = 0 AND NOT regexp_matches(text, '(^| )[-.,!?;:''\")]( |$)') AND text NOT LIKE ' %' AND text NOT LIKE '% '"
+
+
+@pytest.mark.parametrize(("name", "sql"), [("x2_join_words", PLAIN)])
+def test_whole_tables_keep_the_earlier_rows(spark, oracle, name, sql):
+    made = core.QUERIES[name](spark, FOLDER)
+    expected = oracle.sql(sql)
+    assert set(rows_of(expected.columns, expected.fetchall())) <= set(rows_of(made.columns, [tuple(r) for r in made.collect()]))
+
+
+def test_join_words_attaches_marks(spark, oracle, tmp_path):
+    texts = [None, "", " ", "a", " a", "a ", "a  b", "a , b", "a . ) b", ". a", 'a " b', "a ' b", "a\nb . c", "a - b -- c", "a .,! b", " , ", "say : ' hi ' !"]
+    made = on_rows(spark, oracle, "x2_join_words", "conversations", [(i, 0, t) for i, t in enumerate(texts)], "conv_id bigint, turn bigint, text string", tmp_path)
+
+    def joined(words):
+        out = ""
+        for i, w in enumerate(words):
+            out += w if i == 0 or w in ".,!?;:'\")-" else " " + w
+        return out
+
+    assert [made[i].joined for i in range(len(texts))] == [None if t is None else joined(t.split(" ")) for t in texts]

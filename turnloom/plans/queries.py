@@ -557,10 +557,9 @@ def _(v):
     return v.turns.select("call_id", "idx", name.alias("name"), text.clip_parts(name)["turn"].alias("turn"))
 
 
-@query("x2_join_words", "SELECT conv_id, turn, text AS joined FROM conversations WHERE strpos(text, '  ') = 0 AND strpos(text, chr(10)) = 0 AND NOT regexp_matches(text, '(^| )[-.,!?;:''\")]( |$)') AND text NOT LIKE ' %' AND text NOT LIKE '% '")
+@query("x2_join_words", """SELECT conv_id, turn, array_to_string(list_transform(string_split(text, ' '), lambda w, i: CASE WHEN i = 1 OR strpos('.,!?;:''")-', w) > 0 THEN w ELSE ' ' || w END), '') AS joined FROM conversations""")
 def _(v):
-    plain = v.conversations.where("instr(text, '  ') = 0 AND instr(text, '\n') = 0").where(~F.col("text").rlike("(^| )[-.,!?;:'\")]( |$)")).where("text NOT LIKE ' %' AND text NOT LIKE '% '")
-    return plain.select("conv_id", "turn", text.join_words(F.split("text", " ")).alias("joined"))
+    return v.conversations.select("conv_id", "turn", text.join_words(F.split("text", " ")).alias("joined"))
 
 
 @query("a8_call_ids", "SELECT vec_id, CASE WHEN vec_id % 2 = 0 THEN CAST(vec_id AS VARCHAR) ELSE 'clip.' || CAST(vec_id AS VARCHAR) END AS call_id FROM embeddings")
