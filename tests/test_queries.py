@@ -48,11 +48,20 @@ def on_rows(spark, oracle, name, table, rows, schema, folder):
     return {r[0]: r for r in made.collect()}
 
 
+def test_formats_at_the_edges(spark, oracle, tmp_path):
+    values = [None, 0, 59, 60, 999, 1000, 1050, 1250, 3600, 999_949, 999_950, 1_000_000, 1_050_000, 999_999_999, 1_000_000_000, 1_005_000_000, 2_675_000_000]
+    made = on_rows(spark, oracle, "x10_formats", "documents", list(enumerate(values)), "doc_id bigint, n_chars bigint", tmp_path)
+    assert [made[values.index(v)].size for v in (None, 1250, 1_050_000, 1_005_000_000)] == ["n/a", "1.3 KB", "1.1 MB", "1.01 GB"] and made[0].duration is None
+
+
 # the SQL that x2_join_words had for the rows without loose marks still holds for them
 PLAIN = "SELECT conv_id, turn, text AS joined FROM conversations WHERE strpos(text, '  ') = 0 AND strpos(text, chr(10)) = 0 AND NOT regexp_matches(text, '(^| )[-.,!?;:''\")]( |$)') AND text NOT LIKE ' %' AND text NOT LIKE '% '"
+# likewise for x10_formats below a million and away from halves
+SMALL = """SELECT doc_id, CASE WHEN n_chars >= 1000 THEN printf('%.1f KB', n_chars / 1000.0) ELSE printf('%d B', n_chars) END AS size,
+    CASE WHEN n_chars >= 3600 THEN printf('%dh %dm', n_chars // 3600, (n_chars % 3600) // 60) WHEN n_chars >= 60 THEN printf('%dm %ds', n_chars // 60, n_chars % 60) ELSE printf('%.1fs', CAST(n_chars AS DOUBLE)) END AS duration FROM documents WHERE n_chars < 1000000 AND n_chars % 100 <> 50"""
 
 
-@pytest.mark.parametrize(("name", "sql"), [("x2_join_words", PLAIN)])
+@pytest.mark.parametrize(("name", "sql"), [("x2_join_words", PLAIN), ("x10_formats", SMALL)])
 def test_whole_tables_keep_the_earlier_rows(spark, oracle, name, sql):
     made = core.QUERIES[name](spark, FOLDER)
     expected = oracle.sql(sql)

@@ -37,20 +37,20 @@ def number(value: Column, digits: int = 1) -> Column:
 
 
 def bytes_text(value: Column) -> Column:
-    """A size in decimal units."""
+    """A size in decimal units, halves rounded up; ``n/a`` for null."""
     n = value.cast("bigint")
     scaled = F.when(n >= 1_000_000_000, F.format_string("%.2f GB", n / 1e9)).when(n >= 1_000_000, F.format_string("%.1f MB", n / 1e6)).when(n >= 1000, F.format_string("%.1f KB", n / 1e3))
-    return F.coalesce(scaled, F.format_string("%d B", n), F.lit("n/a")) if value is not None else F.lit("n/a")
+    return F.coalesce(scaled, F.when(n.isNotNull(), F.format_string("%d B", n)), F.lit("n/a"))
 
 
 def duration_text(seconds: Column) -> Column:
-    """Hours and minutes, minutes and seconds, or seconds."""
+    """Hours and minutes, minutes and seconds, or seconds; null stays null."""
     s = seconds.cast("double")
     hours, minutes = F.floor(s / 3600), F.floor(s / 60)
     return (
         F.when(s >= 3600, F.format_string("%dh %dm", hours, F.floor((s - hours * 3600) / 60)))
         .when(s >= 60, F.format_string("%dm %ds", minutes, F.floor(s - minutes * 60)))
-        .otherwise(F.format_string("%.1fs", s))
+        .when(s.isNotNull(), F.format_string("%.1fs", s))
     )
 
 

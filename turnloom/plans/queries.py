@@ -544,11 +544,12 @@ def _(v):
     return stats.reason_ranks(review.confidence_gate(_responses(v)).select(F.explode("reject_reasons").alias("reason")))
 
 
-@query("x10_formats", """SELECT doc_id, CASE WHEN n_chars >= 1000 THEN printf('%.1f KB', n_chars / 1000.0) ELSE printf('%d B', n_chars) END AS size,
-    CASE WHEN n_chars >= 3600 THEN printf('%dh %dm', n_chars // 3600, (n_chars % 3600) // 60) WHEN n_chars >= 60 THEN printf('%dm %ds', n_chars // 60, n_chars % 60) ELSE printf('%.1fs', CAST(n_chars AS DOUBLE)) END AS duration FROM documents WHERE n_chars < 1000000 AND n_chars % 100 <> 50""")
+@query("x10_formats", """SELECT doc_id, CASE WHEN n_chars IS NULL THEN 'n/a' WHEN n_chars >= 1000000000 THEN CAST((n_chars + 5000000) // 1000000000 AS VARCHAR) || printf('.%02d GB', (n_chars + 5000000) // 10000000 % 100)
+    WHEN n_chars >= 1000000 THEN CAST((n_chars + 50000) // 1000000 AS VARCHAR) || printf('.%d MB', (n_chars + 50000) // 100000 % 10) WHEN n_chars >= 1000 THEN CAST((n_chars + 50) // 1000 AS VARCHAR) || printf('.%d KB', (n_chars + 50) // 100 % 10)
+    ELSE printf('%d B', n_chars) END AS size,
+    CASE WHEN n_chars >= 3600 THEN printf('%dh %dm', n_chars // 3600, (n_chars % 3600) // 60) WHEN n_chars >= 60 THEN printf('%dm %ds', n_chars // 60, n_chars % 60) WHEN n_chars IS NOT NULL THEN printf('%.1fs', CAST(n_chars AS DOUBLE)) END AS duration FROM documents""")
 def _(v):
-    rows = v.documents.where("n_chars < 1000000 AND n_chars % 100 <> 50")
-    return rows.select("doc_id", text.bytes_text(F.col("n_chars")).alias("size"), text.duration_text(F.col("n_chars")).alias("duration"))
+    return v.documents.select("doc_id", text.bytes_text(F.col("n_chars")).alias("size"), text.duration_text(F.col("n_chars")).alias("duration"))
 
 
 @query("x11_clip_names", "SELECT call_id, idx, CAST(call_id AS VARCHAR) || '_turn_' || printf('%03d', idx) || '.wav' AS name, CAST(idx AS INT) AS turn FROM {turns}")
