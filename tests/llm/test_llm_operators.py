@@ -138,6 +138,16 @@ def test_html_is_safe_and_keeps_all_words(spark):
     assert [tuple(r) for r in html_text.extract(pages).orderBy("page_id").collect()] == [(1, None), (2, ""), (3, "x")]
 
 
+@pytest.mark.parametrize("attributes", ['style="overflow: hidden"', 'class="box hidden"', 'title="The hidden garden"', 'href="/hidden/garden"', "href=/hidden/garden", "data-hidden", "hidden=until-found", "data-style='display:none'", 'style="display:none;display:block"'])
+def test_html_shows_what_only_names_hidden(attributes):
+    assert html_text.render(f"<div {attributes}>seen</div>") == "seen"
+
+
+@pytest.mark.parametrize("attributes", ["hidden", "HIDDEN=''", 'class="a"hidden', 'id=x hidden="hidden"', 'style="color:red; Display : none"', "style=display:none", "style='visibility:hidden!important;visibility:visible'"])
+def test_html_hides_what_is_hidden(attributes):
+    assert html_text.render(f"<p>a</p><div {attributes}>gone<b>too</b></div>") == "a"
+
+
 def test_decontamination(spark):
     rng = random.Random(9)
     vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 8))) for _ in range(1500)]

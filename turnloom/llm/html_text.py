@@ -37,7 +37,9 @@ CLOSES = {
 }
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*+)>", re.S)
-_HIDDEN = re.compile(r"""(?:^|[\s"'/])hidden(?=$|[\s=/"'>])(?!\s*=\s*["']?until-found)|style\s*=\s*(?:"[^"]*|'[^']*|\S*)(?:display\s*:\s*none|visibility\s*:\s*hidden)""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+_MAY_HIDE = re.compile("hidden|style", re.I)
+_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
 _SPACE = re.compile(r"[ \t\n\r\f]{2,}|[\t\n\r\f]")
 _START = re.compile(r"""\bstart\s*=\s*["']?(-?\d+)""", re.I)
 _BREAK, _KEEP_SPACE, _KEEP_LINE, _KEEP_TAB = "﷐", "﷑", "﷒", "﷓"  # noncharacters, which no page may hold
@@ -48,6 +50,24 @@ def _width(text: str) -> int:
     return sum((unicodedata.east_asian_width(c) in "WF") + 1 - bool(unicodedata.combining(c)) for c in text) if not text.isascii() else len(text)
 
 
+def _hides(attributes: str) -> bool:
+    """Whether a tag's attributes make its element invisible: ``hidden``, or a style with ``display:none`` or ``visibility:hidden``."""
+    if not _MAY_HIDE.search(attributes):
+        return False
+    found: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(attributes):
+        found.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")  # the first of a name counts
+    if "hidden" in found and found["hidden"].strip().lower() != "until-found":
+        return True
+    style: dict[str, tuple[bool, str]] = {}
+    for part in _COMMENT.sub("", html.unescape(found.get("style", ""))).lower().split(";"):
+        name, _, value = part.partition(":")
+        value, mark, _ = value.partition("!")
+        if bool(mark) >= style.get(name.strip(), (False, ""))[0]:  # the last one counts, but for important ones
+            style[name.strip()] = (bool(mark), value.strip())
+    return style.get("display", (False, ""))[1] == "none" or style.get("visibility", (False, ""))[1] == "hidden"
+
+
 class _Node:
     __slots__ = ("tag", "unseen", "pre", "lines", "inline", "rows", "cells", "count")
 
@@ -144,7 +164,7 @@ class _Builder:
 
     def push(self, tag: str, attributes: str) -> None:
         top = self.stack[-1]
-        low = attributes and (_HIDDEN.search(attributes) is not None)
+        low = attributes and _hides(attributes)
         shut = tag == "dialog" and "open" not in attributes
         node = _Node(tag, top.unseen or tag in UNSEEN or bool(low) or shut, top.pre or tag in ("pre", "textarea", "xmp"))
         if tag == "ol" and attributes and (m := _START.search(attributes)):
