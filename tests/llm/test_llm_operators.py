@@ -282,6 +282,48 @@ def test_near_duplicates_of_edited_families(spark):
     assert made == plain_components(rows)
 
 
+def test_near_duplicates_of_a_repeated_id(spark):
+    """Two texts of one doc_id join the groups of both."""
+    word = lambda k: " ".join(f"{k}{i}" for i in range(40))
+    rows = [(5, word("a")), (5, word("b")), (5, word("b")), (7, word("a")), (9, word("b") + " tail"), (3, word("c")), (4, None), (4, "")]
+    made = sorted((r.doc_id, r.component_id, r.kept) for r in near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect())
+    assert made == [(3, 3, True), (4, 4, True), (4, 4, True), (5, 5, True), (5, 5, True), (5, 5, True), (7, 5, False), (9, 5, False)]
+
+
+def test_pairs_grow_with_a_group_not_with_its_square(spark, monkeypatch):
+    """2000 near copies, some of them far from nearly all others: all links are kept, and few pairs are compared."""
+    rng, n = random.Random(9), 2000
+    base, rows = [f"w{i}" for i in range(90)], []
+    for i in range(n):
+        copy = list(base)
+        for _ in range(rng.choice([0, 1, 1, 2, 2, 3, 4, 5, 7])):
+            copy[rng.randrange(90)] = f"n{rng.randrange(10**6)}"
+        rows.append((i, " ".join(copy), None, None, 0))
+    sets = [{hash(tuple(w[k : k + 5])) for k in range(86)} for w in (t.split() for _, t, *_ in rows)]
+    known = {g: k for k, g in enumerate(sorted(set().union(*sets)))}
+    has = np.zeros((n, len(known)), dtype=np.float32)
+    for i, s in enumerate(sets):
+        has[i, [known[g] for g in s]] = 1
+    both, size = has @ has.T, has.sum(axis=1)
+    near = 100 * both >= 75 * (size[:, None] + size[None, :] - both)
+    label = np.arange(n)
+    for _ in range(n):
+        low = np.where(near, label[None, :], n).min(axis=1)
+        if (low == label).all():
+            break
+        label = low
+    compared, check = [], near_dedup.verified
+
+    def counted(pairs, *rest):
+        compared.append(pairs.count())
+        return check(pairs, *rest)
+
+    monkeypatch.setattr(near_dedup, "verified", counted)
+    made = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(spark.createDataFrame(rows, DOCS)).collect()}
+    assert made == dict(enumerate(label.tolist())) and len(set(label.tolist())) > 20
+    assert sum(compared) < 60 * n < near.sum() / 4
+
+
 def test_sketches_and_signatures_estimate_similarity(spark):
     rng = np.random.default_rng(2)
     grams = np.sort(rng.integers(0, 2**63, 2000, dtype=np.uint64))

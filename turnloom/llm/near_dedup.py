@@ -5,20 +5,23 @@ circle) generate all coordinates: coordinate k is the least value of the second
 by side, so a shingle contributes one slice of the permutation.
 
 Candidates.  50 bands of 5 rows: two documents with a Jaccard similarity of 0.75 share no band with probability (1 - 0.75**5)**50 = 1.3e-6.
-Equal sets are one class from the start.  In each band bucket, the classes are first compared with one leader only.  In buckets whose
-members are then still in several components, the members outside the largest one are heads: about ``HEADS`` a round are compared with all
-members of other components, until none is left; pairs whose sketches (four bits of each coordinate) differ too much for a similarity of
-0.75 are left out in the join itself, with about the error of the bands.  So a bucket makes at most ``HEADS`` rows a member and round, and nothing is capped.
+Equal sets are one class from the start, and only classes are compared.  Comparison goes in waves, with new components between them.  In the
+first wave each class meets the leader of each of its buckets.  After that only buckets whose members lie in several components are open, and
+there only the members outside the bucket's largest component look for links: with about 8, then 64 drawn members of other components, and in
+the last wave with all of them.  Most members of a dense group are linked after a few looks, so what the last wave meets in full are the few
+members that are linked with hardly anyone.  No pair is made inside a component and none twice.  The join itself leaves out pairs whose
+sketches (four bits of each coordinate) differ too much for a similarity of 0.75, which adds about the error of the bands, and pairs whose
+parity maps differ too much, which adds no error: sets differ in at least as many shingles as their maps in bits.  So hardly more pairs than
+links are made.  Nothing is capped.
 
 Components.  Labels are the least ids of neighbours, halved by pointer jumping, in tables that are written each round.
 
 Defined results: a null or empty text has no shingles and is linked with nothing; fewer than five words are one shingle; rows that repeat a
-doc_id are judged together, once for each row; a null doc_id is linked with nothing; an empty table gives an empty result.
+doc_id are one document, which has the links of all its texts; a null doc_id is linked with nothing; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Iterator
 from functools import reduce
 
@@ -28,13 +31,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnloom.llm import kernel
-from turnloom.llm.storage import materialize
+from turnloom.llm.storage import discard, materialize
 
 WORDS = 5
 ROWS = 5
 BANDS = 50
 CIRCLE = 1 << 20
-HEADS = 256
+#: members of a bucket that are met in the waves between the first one (the leader) and the last one (all)
+LOOKS = (8, 64)
+#: bits of a parity map: each shingle flips one
+MAP = 4096
+#: parts of a class that meet its row apart, so that thousands of exact copies do not meet in one task
+SALTS = 16
 SKETCH = 16
 #: sketches of sets with a similarity of 0.75 differ in 58.6 of 250 coordinates on average (deviation 6.7); in more than 90 with probability 2e-6
 MOST_UNLIKE = 90
@@ -90,6 +98,19 @@ def unlike(a: Column, b: Column) -> Column:
     return reduce(lambda x, y: x + y, [each(i) for i in range(SKETCH)])
 
 
+def parity_maps(grams: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Return, for each row's set, which of MAP places an odd number of its shingles fall on (rows x MAP / 64)."""
+    n = len(at) - 1
+    place = np.repeat(np.arange(n), np.diff(at)) * MAP + (grams & np.uint64(MAP - 1)).astype(np.int64)
+    odd = np.bincount(place, minlength=n * MAP).astype(np.uint8) & 1
+    return np.packbits(odd.reshape(n, MAP), axis=1).view(np.int64)
+
+
+def differing(a: Column, b: Column) -> Column:
+    """In how many places two parity maps differ."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+
+
 def _lists(rows: np.ndarray) -> pa.Array:
     n, k = rows.shape
     return pa.ListArray.from_arrays(pa.array(np.arange(0, n * k + 1, k), pa.int32()), pa.array(rows.reshape(-1)))
@@ -102,28 +123,43 @@ def _sets(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]
         yield i, j, *kernel.distinct(*kernel.shingles(words, first, WORDS))
 
 
+def _set_sums(grams: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+    """Return two 64-bit hashes of each row's set."""
+    empty = np.diff(at) == 0
+    sums = [np.add.reduceat(np.append(kernel.mix(grams ^ np.uint64(s)), np.uint64(0)), at[:-1]) for s in (1, 2)]
+    return [np.where(empty, 0, s).astype(np.uint64).view(np.int64) for s in sums]
+
+
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i, j, grams, at in _sets(batch.column(1)):
-            n = np.diff(at)
             signed = signatures(grams, at)
-            sums = [np.add.reduceat(np.append(kernel.mix(grams ^ np.uint64(s)), np.uint64(0)), at[:-1]) for s in (1, 2)]
-            empty = n == 0
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(i, j - i), pa.array(n, pa.int64()), *[pa.array(np.where(empty, 0, s).astype(np.uint64).view(np.int64)) for s in sums], _lists(band_keys(signed)), _lists(sketches(signed))],
+                [batch.column(0).slice(i, j - i), pa.array(np.diff(at), pa.int64()), *map(pa.array, _set_sums(grams, at)), _lists(band_keys(signed)), _lists(sketches(signed))],
                 names=["doc_id", "n_shingles", "set_a", "set_b", "bands", "sketch"],
             )
 
 
 def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Columns in: id, text, and the set's hashes; a text with another set than its class (of a repeated doc_id) is passed over."""
     for batch in batches:
         for i, j, grams, at in _sets(batch.column(1)):
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(grams.view(np.int64)))], names=["id", "grams"])
+            same = np.logical_and.reduce([s == batch.column(k).slice(i, j - i).to_numpy() for k, s in zip((2, 3), _set_sums(grams, at), strict=True)])
+            sets = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(grams.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), sets], names=["id", "grams"]).filter(pa.array(same))
+
+
+def _maps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(0, batch.num_rows, 256):
+            sets = batch.column(1).slice(i, 256)
+            maps = parity_maps(sets.flatten().to_numpy().view(np.uint64), np.concatenate([[0], np.cumsum(sets.value_lengths().to_numpy())]))
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 256), _lists(maps)], names=["id", "map"])
 
 
-def gram_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Write and return (id, grams): the full shingle sets of the documents in ``ids``."""
-    chosen = docs.join(ids, docs["doc_id"] == ids["id"], "left_semi").select("doc_id", "text")
+def gram_sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Write and return (id, grams): the full shingle sets of ``classes`` (id, least, set_a, set_b)."""
+    chosen = docs.join(classes, docs["doc_id"] == classes["least"]).select("id", "text", "set_a", "set_b")
     return materialize(chosen.mapInArrow(_grams, "id bigint, grams array<bigint>").dropDuplicates(["id"]), "near-sets")
 
 
@@ -147,70 +183,111 @@ def components(edges: DataFrame) -> DataFrame:
         up = labels.select(F.col("id").alias("low"), F.col("component").alias("over"))
         step = lower.join(up, "low", "left").select("id", "old", F.least("low", F.coalesce("over", "low")).alias("component"))
         step = materialize(step, "near-labels")
-        labels = step.select("id", "component")
+        discard(labels)
+        labels = step
         if step.where("old <> component").isEmpty():
+            discard(links)
             return labels
 
 
 def joined_up(labels: DataFrame, edges: DataFrame) -> DataFrame:
-    """Return the labels (id, component) after the documents of ``edges`` (a, b) are linked; only components are walked again."""
+    """Return the labels (id, component) after the classes of ``edges`` (a, b) are linked; only components are walked again."""
     a, b = labels.select(F.col("id").alias("a"), F.col("component").alias("ca")), labels.select(F.col("id").alias("b"), F.col("component").alias("cb"))
     between = materialize(edges.join(a, "a").join(b, "b").where("ca <> cb").select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct(), "near-between")
     if between.isEmpty():
+        discard(between)
         return labels
-    moved = components(between).select(F.col("id").alias("component"), F.col("component").alias("now"))
-    return materialize(labels.join(moved, "component", "left").select("id", F.coalesce("now", "component").alias("component")), "near-labels")
+    walked = components(between)
+    moved = walked.select(F.col("id").alias("component"), F.col("component").alias("now"))
+    out = materialize(labels.join(moved, "component", "left").select("id", F.coalesce("now", "component").alias("component")), "near-labels")
+    discard(between, walked, labels)
+    return out
 
 
-def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Return doc_id, n_shingles, class_id, component_id and kept of every document.
+def _pairs(id_: str, other: str) -> list[Column]:
+    return [F.least(id_, other).alias("a"), F.greatest(id_, other).alias("b")]
 
-    class_id is the least doc_id with the same set.
+
+def linked_classes(firsts: DataFrame, docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Return the labels (id, component) of the classes that share a bucket.
+
+    firsts: (id, n, bands, sketch) of every class.
     """
-    docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    signed = materialize(docs.mapInArrow(_sign, "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>, sketch array<bigint>"), "near-signatures")
-    whole = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = whole.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("id"))
-    firsts = whole.join(classes.withColumnRenamed("id", "doc_id"), ["set_a", "set_b", "n_shingles", "doc_id"], "left_semi").dropDuplicates(["doc_id"])
-    firsts = materialize(firsts.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "bands", "sketch"), "near-classes")
     leads = firsts.select("id", "n", F.posexplode("bands").alias("band_no", "band"))
     counts = leads.groupBy("band").agg(F.count("*").alias("size"), F.min("id").alias("leader")).where("size > 1")
     members = materialize(leads.join(counts, "band").select("band", "band_no", "id", "n", "leader"), "near-members")
-    sets = gram_sets(docs, members.select("id").distinct())
+    labels = materialize(members.select("id").distinct().withColumn("component", F.col("id")), "near-labels")
+    sets = gram_sets(docs, classes.join(labels, "id", "left_semi").select("id", "least", "set_a", "set_b"))
     fits = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
-
-    def canonical(pairs: DataFrame) -> DataFrame:
-        return pairs.where(F.col("id") != F.col("other")).where(fits).select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
-
-    stars = materialize(canonical(members.select("band", "id", "n", F.col("leader").alias("other")).join(members.where("id = leader").select("band", F.col("n").alias("m")), "band")), "near-stars")
-    labels = joined_up(materialize(members.select("id").distinct().withColumn("component", F.col("id")), "near-labels"), verified(stars, sets, percent))
-    looks = firsts.select("id", "sketch", F.transform("bands", lambda x: x.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).alias("marks"))
-    tested, open_members = stars, members.withColumn("head", F.col("id") == F.col("leader"))
-    for turn in itertools.count():
-        now = open_members.drop("component").join(labels, "id")
-        shares = now.groupBy("band", "component").agg(F.count("*").alias("k"))
-        split = shares.groupBy("band").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("k", -F.col("component"))).alias("major")).where("parts > 1")
-        now = materialize(now.join(split.select("band", "major"), "band").drop("parts").join(looks, "id") if turn == 0 else now.join(split.select("band", "major"), "band").drop("parts"), "near-open")
-        minor = now.where("component <> major AND NOT head")
-        waiting = minor.groupBy("band").agg(F.count("*").alias("waiting"))
-        draw = F.pmod(F.xxhash64("id", "band", F.lit(turn)), F.lit(1 << 20)) * F.col("waiting") < F.lit(HEADS << 20)
-        heads = materialize(minor.join(waiting, "band").where((F.col("waiting") <= HEADS) | draw).select("band", F.col("id").alias("other"), F.col("n").alias("m"), F.col("component").alias("other_component"), F.col("sketch").alias("other_sketch"), F.col("marks").alias("other_marks")), "near-heads")
-        if heads.isEmpty():
-            if waiting.isEmpty():
-                break
-            heads = materialize(minor.groupBy("band").agg(F.min("id").alias("id")).join(minor, ["band", "id"]).select("band", F.col("id").alias("other"), F.col("n").alias("m"), F.col("component").alias("other_component"), F.col("sketch").alias("other_sketch"), F.col("marks").alias("other_marks")), "near-heads")
+    marks = F.transform("bands", lambda x: x.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).alias("marks")
+    leaders = members.where("id = leader").select("band", F.col("n").alias("m"))
+    tested = materialize(members.where("id <> leader").join(leaders, "band").where(fits).select(*_pairs("id", "leader")).distinct(), "near-pairs")
+    labels = joined_up(labels, verified(tested, sets, percent))
+    now = members
+    for wave, most in enumerate((*LOOKS, None)):
+        placed = now.join(labels, "id")
+        shares = placed.groupBy("band", "component").agg(F.count("*").alias("k"))
+        split = shares.groupBy("band").agg(F.count("*").alias("parts"), F.sum("k").alias("size"), F.max_by("component", F.struct("k", -F.col("component"))).alias("major")).where("parts > 1").drop("parts")
+        opened = materialize(placed.join(split, "band"), "near-open")
+        if wave:
+            discard(now)
+        else:
+            ids = opened.select("id").distinct()
+            maps = sets.join(ids, "id", "left_semi").mapInArrow(_maps, "id bigint, map array<bigint>")
+            looks = firsts.join(ids, "id", "left_semi").select("id", "sketch", marks).join(maps, "id")
+            bare, opened = opened, materialize(opened.join(looks, "id"), "near-open")
+            discard(bare)
+        minor = opened.where("component <> major")
+        if minor.isEmpty():
+            discard(opened)
+            break
+        # a member is drawn alike in all its buckets of one size, so a pair meets there or nowhere in this wave
+        draw = F.lit(True) if most is None else F.pmod(F.xxhash64("id", F.lit(wave)), F.lit(1 << 20)) * F.col("size") < F.lit(most << 20)
+        met = opened.where(draw).select("band", F.col("id").alias("other"), F.col("n").alias("m"), F.col("component").alias("other_component"), F.col("sketch").alias("other_sketch"), F.col("marks").alias("other_marks"), F.col("map").alias("other_map"))
         alike = unlike(F.col("sketch"), F.col("other_sketch")) <= MOST_UNLIKE
+        may = differing(F.col("map"), F.col("other_map")) * (100 + percent) <= (F.col("n") + F.col("m")) * (100 - percent)
         # a pair is made in the first band that it shares, and so once
         first = F.array_position(F.zip_with("marks", "other_marks", lambda x, y: x == y), True) == F.col("band_no") + 1
-        pairs = materialize(canonical(now.join(heads, "band").where("component <> other_component").where(alike & first)).join(tested, ["a", "b"], "left_anti"), "near-pairs")
+        found = minor.join(met, "band").where("component <> other_component").where(fits & alike & first & may).select(*_pairs("id", "other")).distinct()
+        pairs = materialize(found.join(tested, ["a", "b"], "left_anti"), "near-pairs")
         labels = joined_up(labels, verified(pairs, sets, percent))
-        tested = tested.unionByName(pairs)
-        used = heads.select("band", F.col("other").alias("id"), F.lit(True).alias("used"))
-        open_members = now.drop("major", "component").join(used, ["band", "id"], "left").withColumn("head", F.col("head") | F.coalesce("used", F.lit(False))).drop("used")
-    reps = classes.join(labels, "id", "left").select("set_a", "set_b", "n_shingles", F.col("id").alias("class_id"), F.coalesce("component", "id").alias("component"))
-    out = signed.drop("bands").join(reps, ["set_a", "set_b", "n_shingles"], "left")
-    linked = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
-    final = out.select("doc_id", "n_shingles", F.when(linked, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"), F.when(linked, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
+        both = materialize(tested.unionByName(pairs), "near-pairs") if most is not None else tested
+        discard(pairs, *([tested] if both is not tested else []))
+        tested, now = both, opened.select("band", "band_no", "id", "n", "sketch", "marks", "map")
+        now._stored_at = opened._stored_at
+    else:
+        discard(now)
+    discard(members, sets, tested)
+    return labels
+
+
+def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Return doc_id, n_shingles, class_id, component_id and kept of every document.
+
+    class_id is the least doc_id with the same set.
+    """
+    docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    signed = materialize(docs.mapInArrow(_sign, "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>, sketch array<bigint>"), "near-signatures")
+    salted = signed.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+    key = ["set_a", "set_b", "n_shingles"]
+    parts = salted.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*key, "salt").agg(F.min("doc_id").alias("least"))
+    classes = materialize(parts.groupBy(*key).agg(F.min("least").alias("least"), F.collect_list("salt").alias("salts")).withColumn("id", F.monotonically_increasing_id()), "near-classes")
+    spread = classes.select(*key, F.explode("salts").alias("salt"), "id", F.col("least").alias("class_id"))
+    owned = materialize(salted.select("doc_id", *key, "salt").join(spread, [*key, "salt"], "left").select("doc_id", "n_shingles", "id", "class_id"), "near-documents")
+    own = classes.select(*key, F.col("least").alias("doc_id"), "id")
+    firsts = materialize(signed.join(own, [*key, "doc_id"]).select("id", F.col("n_shingles").alias("n"), "bands", "sketch").dropDuplicates(["id"]), "near-firsts")
+    labels = linked_classes(firsts, docs, classes, percent)
+    # a doc_id with several texts links their classes
+    several = owned.where("id IS NOT NULL").groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("top")).where("a < top").drop("top")
+    shared = materialize(owned.join(several, "doc_id").where("id <> a").select("a", F.col("id").alias("b")).distinct(), "near-shared")
+    if not shared.isEmpty():
+        everyone = materialize(classes.join(labels, "id", "left").select("id", F.coalesce("component", "id").alias("component")), "near-labels")
+        discard(labels)
+        labels = joined_up(everyone, shared)
+    named = classes.select("id", "least").join(labels, "id").groupBy("component").agg(F.min("least").alias("component_id"))
+    of_class = materialize(labels.join(named, "component").select("id", "component_id"), "near-components")
+    discard(signed, classes, firsts, labels, shared)
+    final = owned.join(of_class, "id", "left").select("doc_id", "n_shingles", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("component_id", "class_id", "doc_id").alias("component_id"))
     return final.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
