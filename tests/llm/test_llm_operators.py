@@ -223,23 +223,72 @@ def test_language_model(spark, docs, nothing):
     assert np.allclose(probabilities.sum(axis=1), 1) and probabilities[0, 0] == 0
 
 
-def test_quality(spark, nothing):
+def quality_corpus():
+    """Clean, junk and toxic texts; junk comes from a source of its own, and two thirds of the documents have labels."""
     rng = random.Random(4)
     rows, labels = [], []
-    for i in range(300):
-        bad = rng.random() < 0.3
-        body = " ".join(("".join(rng.choice("aeiourstn") for _ in range(rng.randint(2, 8))) + ("!!***" if bad else "")) for _ in range(rng.randint(5, 60)))
-        rows.append((i, body, "en", "s9" if bad else "s1", len(body)))
-        if i < 200:
-            labels.append((i, int(not bad)))
-    rows += [(900, None, None, None, None), (901, "", None, None, 0)]
-    docs = spark.createDataFrame(rows, DOCS).withColumn("quality", F.lit("clash"))
-    given = spark.createDataFrame(labels + [(5, labels[5][1]), (6, None), (None, 1)], "doc_id bigint, quality int")
-    made = {r.doc_id: r._quality for r in quality.with_quality(docs, quality.train(docs, given, rounds=1)).collect()}
-    right = sum((made[i] >= 0.5) == ("!!" not in rows[i][1]) for i in range(200, 300))
-    assert right >= 97 and len(made) == 302
-    assert quality.train(docs, given.where("quality = 1")) == 1.0 and quality.train(nothing, given.where("false")) == 0.5
-    assert quality.with_quality(docs, 1.0).where("_quality = 1").count() == 302
+    for i in range(1500):
+        kind = rng.choice(["clean", "clean", "clean", "junk", "toxic"])
+        body = ["".join(rng.choice("aeiourstn") for _ in range(rng.randint(2, 8))) + ("!!***" if kind == "junk" else "") for _ in range(rng.randint(5, 60))]
+        if kind == "toxic":
+            body.insert(rng.randrange(len(body)), rng.choice(["Vilezz,", "zzloser", "ZZSCUM!"]))
+        text = " ".join(body)
+        rows.append((i, text, "en", "s9" if kind == "junk" else "s1", len(text), kind))
+        if i < 1000:
+            labels.append((i, int(kind != "junk"), int(kind == "toxic")))
+    rows += [(9000, None, None, None, None, "odd"), (9001, "", None, None, 0, "odd"), (9002, "rest " * 50_000, "en", "s1", 250_000, "odd"), (9002, "rest " * 50_000, "en", "s1", 250_000, "odd")]
+    return rows, labels
+
+
+def test_quality(spark, nothing):
+    rows, labels = quality_corpus()
+    docs = spark.createDataFrame([r[:5] for r in rows], DOCS).withColumn("quality", F.lit("clash")).withColumn("lang_slot", F.lit("clash"))
+    schema = "doc_id bigint, quality int, toxic int"
+    given = spark.createDataFrame(labels + [(5, *labels[5][1:]), (6, None, None), (None, 1, 0)], schema)
+    scored = quality.with_quality(docs, quality.train(docs, given))
+    assert scored.columns == [*docs.columns, "_quality"] and {(r.quality, r.lang_slot) for r in scored.collect()} == {("clash", "clash")}
+    made = {r.doc_id: r._quality for r in scored.collect()}
+    right = sum((made[i] >= 0.5) == (rows[i][5] == "clean") for i in range(1000, 1500))
+    assert right >= 485 and len(made) == 1503 and scored.count() == 1504
+    assert sum(made[i] < 0.5 for i in range(1000, 1500) if rows[i][5] == "toxic") >= 0.9 * sum(rows[i][5] == "toxic" for i in range(1000, 1500))
+    assert quality.train(docs, given.where("quality = 1 AND toxic = 0")) == 1.0 and quality.train(nothing, given.where("false")) == 0.5
+    assert quality.with_quality(docs, 1.0).where("_quality = 1").count() == 1504
+    tie = quality.votes(spark.createDataFrame([(1, 1, 0), (1, 0, 0), (2, None, 1), (3, None, 0), (4, 1, 1), (4, 1, 0), (4, 1, 1)], schema))
+    assert {tuple(r) for r in tie.collect()} == {(1, 1.0), (2, 0.0), (4, 0.0)}
+
+
+def plain_text_logit(text, view):
+    """The text view's log-odds, trigram by trigram and word by word."""
+    data = (text or "").encode()
+    places = [(data[i] * 7919 + data[i + 1] * 31337 + data[i + 2] * 104729 >> 3) % quality.TRIGRAMS for i in range(len(data) - 2)]
+    total = view.bias + sum(view.trigrams[p] for p in places) / max(len(places), 1)
+    plain = [w.lower() for w in words("".join(" " if c in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~" else c for c in text or ""))]
+    n = max(len(plain), 1)
+    total += view.repeats @ np.array([sum(a == b for a, b in zip(plain, plain[1:], strict=False)) / n, len(set(plain)) / n])
+    hashes = kernel.word_hashes(*kernel.text_buffers(pa.array([" ".join(sorted(set(plain)))])), lower=True)[0]
+    return total + sum(view.words[np.flatnonzero(view.telling == h)[0]] for h in hashes if h in view.telling)
+
+
+def test_one_round_of_co_training(spark):
+    """The metadata view after one round is the one that a plain restatement fits on its own labels and the text view's confident marks."""
+    rows, labels = quality_corpus()
+    docs, given = spark.createDataFrame([r[:5] for r in rows[:1501]], DOCS), spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    before, after = quality.train(docs, given, rounds=0, confident=0.9), quality.train(docs, given, rounds=1, confident=0.9)
+    slots = {r[0]: tuple(r)[1:] for r in docs.select("doc_id", *quality._slots()).collect()}
+    held = {r[0] for r in docs.where("pmod(xxhash64(doc_id), 5) = 0").select("doc_id").collect()}
+    label = {i: float(q == 1 and not t) for i, q, t in labels}
+    own = Counter((*slots[i], y) for i, y in label.items() if i not in held)
+    logits = {i: plain_text_logit(t, before.text) for i, t, *_ in rows[:1501]}
+    made = before.text.logits(*kernel.text_buffers(pa.array([r[1] for r in rows[:1501]], pa.string())))
+    assert np.allclose(made, list(logits.values()))
+    marks = Counter((*slots[i], float(x > 0)) for i, x in logits.items() if i not in label and abs(x) >= math.log(9))
+    assert sum(marks.values()) > 50
+    plain = lambda *parts: quality.MetaView([(*k, n) for c in parts for k, n in c.items()]).weights
+    assert np.allclose(before.meta.weights, plain(own), atol=1e-6) and np.allclose(after.meta.weights, plain(own, marks), atol=1e-6)
+    x, y, weight = np.array([[0.0], [1.0], [2.0], [3.0]]), np.array([0, 1, 0, 1]), np.array([3.0, 1.0, 2.0, 4.0])
+    w = quality.logistic(x, y, weight, 1e-3)
+    p = 1 / (1 + np.exp(-(x[:, 0] * w[0] + w[1])))
+    assert np.allclose([(weight * (p - y) * x[:, 0]).sum() + 1e-2 * w[0], (weight * (p - y)).sum()], 0, atol=1e-5)
 
 
 def plain_components(rows):

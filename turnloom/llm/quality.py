@@ -1,22 +1,27 @@
 """Quality classifier by co-training on two views.
 
-The text view sees hashed character trigrams and how much a text repeats itself; the metadata view sees language, source, length and layout
-(lines, not words).  Each round fits a logistic regression on either view and hands the pool documents of which one view is confident, with
-their pseudo-labels, to the other view's training set.  After the last round each view is calibrated on held-out labels (Platt), and the
-calibrated log-odds are added, less the prior they share.  A view that knows nothing is calibrated to the prior and so has no say.
+The text view sees hashed character trigrams, how much a text repeats itself, and which of ``n_words`` telling words it holds (those whose
+presence goes most with the label, by chi-squared, in the labelled training sample).  The metadata view sees language, source and stated
+length only.  A document is good if its quality label is 1 and it is not labelled toxic.
 
-Fitting uses bounded samples: about ``max_labelled`` labelled documents and ``max_pool`` others, chosen by hash.  Scoring covers all whole
-texts in one pass without a shuffle.
+Each round, each view marks all documents without a label, and those of which it is confident join the other view's training set, anew in
+every round, so a mark that a view no longer stands by is taken back.  Metadata has few distinct values (cells), so its training set is a
+count of confident documents for each cell and label, however many documents there are; documents that the metadata view is confident of
+are fitted over the partitions.  If neither training set changes, further rounds would change nothing and are left out.  After the last
+round each view is calibrated on held-out labels (Platt), and the calibrated log-odds are added, less the prior they share.  A view that
+knows nothing is calibrated to the prior and so has no say.
+
+Labelled documents are a sample of about ``max_labelled``, chosen by hash; a fifth of them is held out.  Marking and scoring cover all whole
+texts, without a shuffle of texts.
 
 Defined results: a null text is an empty text; null metadata is a value of its own; rows that repeat are scored alike; several labels of one
-document count by majority, a tie as good; null labels are left out; if labels of both classes are lacking, all documents get the prior (0.5 without labels) and
-are kept; an empty table gives an empty result.
+document count by majority, a tie as good; null labels are left out (a toxic document without a quality label is bad); if labels of both
+classes are lacking, all documents get the prior (0.5 without labels); an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,156 +32,260 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from turnloom.llm import kernel
-from turnloom.llm.storage import materialize
+from turnloom.llm.storage import discard, materialize
 
 TRIGRAMS = 1024
 REPEATS = 2
-LANGS, SOURCES, SHAPES = 8, 64, 8
+N_WORDS = 256
+#: values of each metadata field, after hashing or rounding
+LANGS, SOURCES, SIZES = 8, 64, 48
+ITERATIONS = 40
+#: rows of the labelled sample that one fitting task takes
+FIT_ROWS = 1000
 _MIX = np.array([7919, 31337, 104729], dtype=np.int64)
+_PLAIN = np.arange(256, dtype=np.uint8)
+_PLAIN[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = 0x20
+
+
+def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Return word hashes without case and ASCII punctuation, and the first word of each row."""
+    return kernel.word_hashes(_PLAIN[data], offsets, lower=True)
 
 
-def _content(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Return the hashed trigram at each byte that begins one, each row's first one, and the repetition measures of each row."""
-    n = len(offsets) - 1
+def _trigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Return the hashed trigram at each byte that begins one inside its row, and each row's first one."""
     at = np.concatenate([[0], np.cumsum(np.maximum(np.diff(offsets) - 2, 0))])
     wide = data.astype(np.int64)
     hashed = (wide[:-2] * _MIX[0] + wide[1:-1] * _MIX[1] + wide[2:] * _MIX[2]) >> 3 & (TRIGRAMS - 1) if len(data) > 2 else np.zeros(0, np.int64)
-    keep = np.arange(at[-1]) + np.repeat(offsets[:-1] - at[:-1], np.diff(at))
-    words, first = kernel.word_hashes(data, offsets, lower=True)
+    return hashed[np.arange(at[-1]) + np.repeat(offsets[:-1] - at[:-1], np.diff(at))], at
+
+
+def _repeats(words: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Return, for each row, the shares of words that repeat the one before and of distinct words."""
     again = np.concatenate([[False], words[1:] == words[:-1]]) if len(words) else np.zeros(0, bool)
     again[first[:-1][first[:-1] < len(words)]] = False
     sizes = np.maximum(np.diff(first), 1)
-    distinct = np.diff(kernel.distinct(words, first)[1]) / sizes
     sums = np.concatenate([[0], np.cumsum(again)])
-    repeats = np.stack([(sums[first[1:]] - sums[first[:-1]]) / sizes, distinct], axis=1) if n else np.zeros((0, REPEATS))
-    return hashed[keep], at, repeats
-
+    return np.stack([(sums[first[1:]] - sums[first[:-1]]) / sizes, np.diff(kernel.distinct(words, first)[1]) / sizes], axis=1)
 
-def _slot(value: str | None, size: int) -> int:
-    return zlib.crc32((value or "\0").encode()) % size
 
+def _present(words: np.ndarray, first: np.ndarray, telling: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Return (row, telling word) of every telling word that a row holds, each once."""
+    if not len(telling) or not len(words):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    k = np.minimum(np.searchsorted(telling, words), len(telling) - 1)
+    at = np.flatnonzero(telling[k] == words)
+    once = np.unique((np.searchsorted(first, at, side="right") - 1) * len(telling) + k[at])
+    return once // len(telling), once % len(telling)
 
-def _metadata(batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Return the metadata view: hashed language and source, and length and layout."""
-    n = len(offsets) - 1
-    out = np.zeros((n, LANGS + SOURCES + SHAPES), dtype=np.float32)
-    rows = np.arange(n)
-    out[rows, [_slot(x, LANGS) for x in batch.column(batch.schema.get_field_index("lang")).to_pylist()]] = 1
-    out[rows, [LANGS + _slot(x, SOURCES) for x in batch.column(batch.schema.get_field_index("source")).to_pylist()]] = 1
-    size = np.diff(offsets)
 
-    def per_row(mask: np.ndarray) -> np.ndarray:
-        sums = np.concatenate([[0], np.cumsum(mask)])
-        return sums[offsets[1:]] - sums[offsets[:-1]]
-
-    lines = per_row(data == 10) + 1
-    blanks = per_row(data == 32)
-    stated = batch.column(batch.schema.get_field_index("n_chars")).fill_null(0).to_numpy(zero_copy_only=False)
-    shape = [np.log1p(size) / 10, np.log1p(lines) / 5, np.log1p(size / lines) / 10, np.log1p(stated.clip(0)) / 10, blanks / np.maximum(size, 1), np.log1p(blanks / lines) / 5, lines == 1, size == 0]
-    out[:, LANGS + SOURCES :] = np.stack(shape, axis=1)
-    return out
-
-
-def _views(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     for batch in batches:
-        _, all_offsets = kernel.text_buffers(batch.column(batch.schema.get_field_index("text")))
+        texts = batch.column(batch.schema.get_field_index("text"))
+        _, all_offsets = kernel.text_buffers(texts)
         for i, j in kernel.blocks(all_offsets):
-            part = batch.slice(i, j - i)
-            data, offsets = kernel.text_buffers(part.column(part.schema.get_field_index("text")))
-            yield part, *_content(data, offsets), _metadata(part, data, offsets)
+            yield batch.slice(i, j - i), *kernel.text_buffers(texts.slice(i, j - i))
 
 
-def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part, hashed, at, repeats, meta in _views(batches):
-        for i in range(0, part.num_rows, 256):
-            j = min(i + 256, part.num_rows)
-            span = hashed[at[i] : at[j]]
-            row = np.repeat(np.arange(j - i), np.diff(at[i : j + 1]))
-            counts = np.bincount(row * TRIGRAMS + span, minlength=(j - i) * TRIGRAMS).reshape(j - i, TRIGRAMS)
-            share = counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)
-            both = np.concatenate([share * 100, repeats[i:j]], axis=1).astype(np.float32)
-            yield pa.RecordBatch.from_arrays([part.column(part.schema.get_field_index("doc_id")).slice(i, j - i), pa.array(list(both), pa.list_(pa.float32())), pa.array(list(meta[i:j]), pa.list_(pa.float32()))], names=["id", "text_view", "meta_view"])
+def _examples(telling: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Columns in: text and others; out: the others, and ``view``."""
 
-
-def _sample(df: DataFrame, key: str, limit: int) -> DataFrame:
-    """About ``limit`` rows, chosen by the hash of ``key``."""
-    share = min(1.0, limit / max(df.count(), 1))
-    return df.where(F.pmod(F.xxhash64(F.lit("sample"), F.col(key)), F.lit(1 << 20)) < int(share * (1 << 20)))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, data, offsets in _blocks(batches):
+            hashed, at = _trigrams(data, offsets)
+            words, first = _words(data, offsets)
+            n = part.num_rows
+            view = np.zeros((n, TRIGRAMS + REPEATS + len(telling)), dtype=np.float32)
+            row = np.repeat(np.arange(n), np.diff(at))
+            counts = np.bincount(row * TRIGRAMS + hashed, minlength=n * TRIGRAMS).reshape(n, TRIGRAMS)
+            view[:, :TRIGRAMS] = counts * (100.0 / np.maximum(np.diff(at), 1))[:, None]
+            view[:, TRIGRAMS : TRIGRAMS + REPEATS] = _repeats(words, first)
+            r, k = _present(words, first, telling)
+            view[r, TRIGRAMS + REPEATS + k] = 1
+            names = [x for x in part.schema.names if x != "text"]
+            yield pa.RecordBatch.from_arrays([*[part.column(part.schema.get_field_index(x)) for x in names], pa.array(list(view), pa.list_(pa.float32()))], names=[*names, "view"])
+
+    return run
+
+
+class TextView:
+    """A fitted text view: weights and bias over trigram shares, repeats and telling words."""
+
+    def __init__(self, telling: np.ndarray, weights: np.ndarray, bias: float):
+        self.telling, self.bias = telling, bias
+        self.trigrams, self.repeats, self.words = weights[:TRIGRAMS] * 100, weights[TRIGRAMS : TRIGRAMS + REPEATS], weights[TRIGRAMS + REPEATS :]
+
+    def logits(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Return the log-odds of each row."""
+        hashed, at = _trigrams(data, offsets)
+        words, first = _words(data, offsets)
+        sums = np.concatenate([[0.0], np.cumsum(self.trigrams[hashed])])
+        r, k = _present(words, first, self.telling)
+        return (sums[at[1:]] - sums[at[:-1]]) / np.maximum(np.diff(at), 1) + _repeats(words, first) @ self.repeats + np.bincount(r, self.words[k], len(offsets) - 1) + self.bias
+
+    def add_to(self, docs: DataFrame, name: str, keep_text: bool = True) -> DataFrame:
+        """Return ``docs`` (with a column text) and the column ``name`` of log-odds."""
+        kept = [f for f in docs.schema.fields if f.name != name and (keep_text or f.name != "text")]
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part, data, offsets in _blocks(batches):
+                columns = [part.column(part.schema.get_field_index(f.name)) for f in kept]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(self.logits(data, offsets))], names=[*[f.name for f in kept], name])
+
+        return docs.mapInArrow(run, T.StructType([*kept, T.StructField(name, T.DoubleType())]))
+
+
+def _slots() -> list[Column]:
+    """The cell of a document: hashed language and source, and its stated length in half octaves."""
+    slot = lambda c, n: F.pmod(F.crc32(F.encode(F.coalesce(F.col(c), F.lit("\0")), "UTF-8")), F.lit(n)).cast("int")
+    size = F.col("n_chars").cast("double")
+    bins = F.when(size.isNull(), 0).when(size < 1, 1).otherwise(F.least(F.lit(SIZES - 1), 2 + F.floor(2 * F.log2(F.greatest(size, F.lit(1.0)))))).cast("int")
+    return [slot("lang", LANGS).alias("lang_slot"), slot("source", SOURCES).alias("source_slot"), bins.alias("size_slot")]
+
+
+CELL = ["lang_slot", "source_slot", "size_slot"]
+
+
+def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float, rounds: int = 30) -> np.ndarray:
+    """Return the coefficients (the bias last, without a penalty) of a weighted logistic regression, by Newton steps."""
+    x = np.concatenate([x, np.ones((len(x), 1))], axis=1)
+    ridge = np.append(np.full(x.shape[1] - 1, penalty), 1e-9) * weight.sum()
+    w = np.zeros(x.shape[1])
+
+    def loss(w: np.ndarray) -> float:
+        return float((weight * np.logaddexp(0.0, np.where(y > 0, -1.0, 1.0) * (x @ w))).sum() + (ridge * w * w).sum() / 2)
+
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -40, 40)))
+        step = np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + np.diag(ridge), x.T @ (weight * (p - y)) + ridge * w)
+        scale = 1.0
+        while scale > 1e-4 and loss(w - scale * step) > loss(w):
+            scale /= 2
+        w = w - scale * step
+        if np.abs(scale * step).max() < 1e-8:
+            break
+    return w
 
 
-def _fit(rows: DataFrame, view: str, penalty: float = 3e-4) -> tuple[np.ndarray, float]:
-    model = LogisticRegression(featuresCol="features", labelCol="label", maxIter=25, regParam=penalty, tol=1e-5).fit(rows.select(array_to_vector(F.col(view)).alias("features"), "label").coalesce(6))  # a bounded sample, so few tasks a step
-    return model.coefficients.toArray(), float(model.intercept)
+class MetaView:
+    """A fitted metadata view: a weight for each value of each field."""
 
+    def __init__(self, cells: list[tuple], penalty: float = 1e-3):
+        """cells: (language, source, size, label, documents), at most one row for each value of the five."""
+        rows = np.array(cells, dtype=np.float64).reshape(-1, 5)
+        x = np.concatenate([np.eye(n)[rows[:, k].astype(int)] for k, n in enumerate((LANGS, SOURCES, SIZES))], axis=1)
+        self.weights = logistic(x, rows[:, 3], rows[:, 4], penalty)
 
-def _logit(view: str, fitted: tuple[np.ndarray, float]) -> Column:
-    weights = F.from_json(F.lit("[" + ",".join(map(repr, map(float, fitted[0]))) + "]"), "array<double>")
-    return F.aggregate(F.zip_with(F.col(view), weights, lambda x, w: x * w), F.lit(fitted[1]), lambda a, b: a + b)
+    def logit(self) -> Column:
+        """The log-odds as a column over the cell's."""
+        total = F.lit(float(self.weights[-1]))
+        at = 0
+        for name, n in zip(CELL, (LANGS, SOURCES, SIZES), strict=True):
+            total = total + F.element_at(F.array(*[F.lit(float(w)) for w in self.weights[at : at + n]]), F.col(name) + 1)
+            at += n
+        return total
 
 
 class Classifier:
     """Two fitted views, their calibrations (slope, intercept) and the prior log-odds."""
 
-    def __init__(self, text: tuple, meta: tuple, text_scale: tuple, meta_scale: tuple, prior: float):
+    def __init__(self, text: TextView, meta: MetaView, text_scale: tuple[float, float], meta_scale: tuple[float, float], prior: float):
         self.text, self.meta, self.text_scale, self.meta_scale, self.prior = text, meta, text_scale, meta_scale, prior
 
-    def logits(self, text: np.ndarray, meta: np.ndarray) -> np.ndarray:
-        """Return the combined log-odds from the views' own."""
-        return text * self.text_scale[0] + self.text_scale[1] + meta * self.meta_scale[0] + self.meta_scale[1] - self.prior
 
+def telling_words(known: DataFrame, n: int) -> np.ndarray:
+    """Return the sorted hashes of the ``n`` words whose presence goes most with the label, by chi-squared."""
 
-def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 8000, max_pool: int = 8000, rounds: int = 2, confident: float = 0.99) -> Classifier | float:
+    def distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, data, offsets in _blocks(batches):
+            words, at = kernel.distinct(*_words(data, offsets))
+            label = np.repeat(part.column(part.schema.get_field_index("label")).to_numpy(), np.diff(at))
+            yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(label)], names=["word", "label"])
+
+    good, total = known.agg(F.sum("label"), F.count("*")).first()
+    seen = known.select("text", "label").mapInArrow(distinct_words, "word bigint, label double").groupBy("word").agg(F.sum("label").alias("g"), F.count("*").cast("double").alias("n"))
+    a, b = F.col("g"), F.col("n") - F.col("g")
+    spread = a * (float(total - good)) - b * float(good)
+    score = spread * spread / (F.col("n") * (float(total) - F.col("n") + 0.5))
+    best = seen.where("n >= 5").orderBy(score.desc(), "word").limit(n).collect()  # as many words as asked for
+    return np.sort(np.array([r.word for r in best], dtype=np.int64).view(np.uint64))
+
+
+def _fit_text(telling: np.ndarray, rows: DataFrame, labelled: int, penalty: float = 3e-4) -> TextView:
+    slim = rows.select(array_to_vector(F.col("view")).alias("features"), "label").coalesce(max(1, labelled // FIT_ROWS))
+    model = LogisticRegression(maxIter=ITERATIONS, regParam=penalty, tol=1e-6).fit(slim)
+    return TextView(telling, model.coefficients.toArray(), float(model.intercept))
+
+
+def _counted(cells: DataFrame) -> list[tuple]:
+    """Collect the number of documents for each cell and label: at most two rows for each of LANGS x SOURCES x SIZES cells."""
+    return [tuple(r) for r in cells.groupBy(*CELL, "label").agg(F.count("*").alias("n")).collect()]
+
+
+def votes(labels: DataFrame) -> DataFrame:
+    """Return doc_id and label (1: good) of the labelled documents."""
+    toxic = (F.col("toxic") == 1) if "toxic" in labels.columns else F.lit(False)
+    good = F.when(toxic, 0.0).when(F.col("quality").isNotNull(), (F.col("quality") == 1).cast("double"))
+    return labels.where("doc_id IS NOT NULL").select("doc_id", good.alias("good")).where("good IS NOT NULL").groupBy("doc_id").agg((F.avg("good") >= 0.5).cast("double").alias("label"))
+
+
+def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 8000, rounds: int = 3, confident: float = 0.99, n_words: int = N_WORDS) -> Classifier | float:
     """Fit by co-training; without labels of both classes, return the prior."""
-    voted = labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("double").alias("label"))
-    chosen = materialize(_sample(materialize(voted, "quality-labels"), "doc_id", max_labelled), "quality-labels")
-    need = docs.select("doc_id", "text", "lang", "source", F.col("n_chars").cast("bigint").alias("n_chars"))
-    # the sample of labels has about max_labelled rows, whatever the input
-    labelled_docs = need.join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_semi")
-    share = min(1.0, max_pool / max(docs.count(), 1))
-    in_pool = F.pmod(F.xxhash64(F.lit("pool"), F.col("doc_id")), F.lit(1 << 20)) < int(share * (1 << 20))
-    schema = "id bigint, text_view array<float>, meta_view array<float>"
-    known = materialize(labelled_docs.mapInArrow(_examples, schema).join(F.broadcast(chosen.withColumnRenamed("doc_id", "id")), "id").withColumn("held", F.pmod(F.xxhash64("id"), F.lit(5)) == 0), "quality-known")
+    voted = materialize(votes(labels), "quality-votes")
+    share = min(1.0, max_labelled / max(voted.count(), 1))
+    # about max_labelled rows, whatever the input
+    chosen = F.broadcast(voted.where(F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 20)) < int(share * (1 << 20))))
+    need = docs.select("doc_id", "text", *_slots())
+    known = materialize(need.join(chosen, "doc_id").withColumn("held", F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0), "quality-known")
     counts = {(r.held, r.label): r.n for r in known.groupBy("held", "label").agg(F.count("*").alias("n")).collect()}
     if any((h, c) not in counts for h in (True, False) for c in (0.0, 1.0)):
         total = sum(counts.values())
         return sum(n for (_, c), n in counts.items() if c) / total if total else 0.5
-    pool = materialize(need.where(in_pool).mapInArrow(_examples, schema).join(voted.select(F.col("doc_id").alias("id")), "id", "left_anti"), "quality-pool")
-    base = known.where("NOT held").select("id", "text_view", "meta_view", "label")
-    sets = {"text_view": base, "meta_view": base}
-    fitted = {}
-    for r in range(rounds + 1):
-        fitted = {view: _fit(rows, view) for view, rows in sets.items()}
-        if r == rounds:
+    labelled, sure = sum(counts.values()), float(np.log(confident / (1 - confident)))
+    telling = telling_words(known.where("NOT held"), n_words)
+    views = materialize(known.where("NOT held").select("text", "label").mapInArrow(_examples(telling), "label double, view array<float>"), "quality-views")
+    own_cells = _counted(known.where("NOT held"))
+    text, meta = _fit_text(telling, views, labelled), MetaView(own_cells)
+    from_meta, from_text, marks = None, [], None
+    for _ in range(rounds):
+        # the text view's confident documents, counted by cell, for the metadata view
+        if marks is None:
+            marked = text.add_to(need, "logit", keep_text=False).join(voted, "doc_id", "left_anti").where(F.abs("logit") >= sure)
+            marks = sorted(_counted(marked.withColumn("label", (F.col("logit") > 0).cast("double"))))
+        # the metadata view's confident documents, for the text view
+        logit = meta.logit()
+        picked = need.where(F.abs(logit) >= sure).withColumn("label", (logit > 0).cast("double")).join(voted, "doc_id", "left_anti")
+        gained = materialize(picked.select("text", "label").mapInArrow(_examples(telling), "label double, view array<float>"), "quality-gained")
+        signature = gained.agg(F.count("*"), F.sum(F.xxhash64("label", "view").cast("decimal(38,0)"))).first()
+        same = signature == from_meta or not (signature[0] or from_meta)
+        new_text = text if same else _fit_text(telling, views.unionByName(gained), labelled + signature[0])
+        meta = MetaView(own_cells + marks) if marks != from_text else meta
+        discard(gained)
+        if new_text is text and marks == from_text:
             break
-        sure = float(np.log(confident / (1 - confident)))
-        for view, other in (("text_view", "meta_view"), ("meta_view", "text_view")):
-            logit = _logit(view, fitted[view])
-            marked = pool.withColumn("_logit", logit).where(F.abs("_logit") >= sure).withColumn("label", (F.col("_logit") > 0).cast("double"))
-            sets[other] = base.unionByName(marked.select("id", "text_view", "meta_view", "label"))
-    held = known.where("held").select("label", F.array(_logit("text_view", fitted["text_view"])).alias("text_view"), F.array(_logit("meta_view", fitted["meta_view"])).alias("meta_view"))
-    scale = {}
-    for view in sets:
-        slope, intercept = _fit(held, view, 1e-4)
-        scale[view] = (max(float(slope[0]), 0.0), intercept)
+        from_text, from_meta = marks, signature
+        if new_text is not text:
+            text, marks = new_text, None
+    held = text.add_to(known.where("held").select("text", "label", *CELL), "t", keep_text=False).select("label", "t", meta.logit().alias("m")).collect()  # a fifth of the sample
+    table = np.array([tuple(r) for r in held], dtype=np.float64)
+    scale = []
+    for k in (1, 2):
+        slope, intercept = logistic(table[:, k : k + 1], table[:, 0], np.ones(len(table)), 1e-4)
+        scale.append((max(float(slope), 0.0), float(intercept)) if slope > 0 else (0.0, float(np.log(table[:, 0].mean() / (1 - table[:, 0].mean())))))
+    discard(known, views, voted)
     good = counts[(True, 1.0)] / (counts[(True, 1.0)] + counts[(True, 0.0)])
-    return Classifier(fitted["text_view"], fitted["meta_view"], scale["text_view"], scale["meta_view"], float(np.log(good / (1 - good))))
+    return Classifier(text, meta, *scale, float(np.log(good / (1 - good))))
 
 
-def with_quality(docs: DataFrame, model: Classifier | float) -> DataFrame:
-    """Return ``docs`` with ``_quality``, the probability that a document is good, over whole texts."""
-    kept = [f for f in docs.schema.fields if f.name != "_quality"]
+def with_quality(docs: DataFrame, model: Classifier | float, name: str = "_quality") -> DataFrame:
+    """Return ``docs`` with the column ``name``, the probability that a document is good, over whole texts."""
     if isinstance(model, float):
-        return docs.drop("_quality").withColumn("_quality", F.lit(model))
-    weights = (model.text[0][:TRIGRAMS] * 100, model.text[0][TRIGRAMS:])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, hashed, at, repeats, meta in _views(batches):
-            sums = np.concatenate([[0.0], np.cumsum(weights[0][hashed])])
-            text = (sums[at[1:]] - sums[at[:-1]]) / np.maximum(np.diff(at), 1) + repeats @ weights[1] + model.text[1]
-            score = 1 / (1 + np.exp(-model.logits(text, meta @ model.meta[0] + model.meta[1])))
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(score)], names=[*part.schema.names, "_quality"])
-
-    return docs.select(*[f.name for f in kept]).mapInArrow(run, T.StructType([*kept, T.StructField("_quality", T.DoubleType())]))
+        return docs.withColumn(name, F.lit(model))
+    columns = [c for c in docs.columns if c != name]
+    work = docs.select(F.struct(*[c for c in columns if c != "text"]).alias("row"), "text", *_slots())
+    logit = F.col("text_logit") * model.text_scale[0] + model.text_scale[1] + model.meta.logit() * model.meta_scale[0] + model.meta_scale[1] - model.prior
+    scored = model.text.add_to(work, "text_logit")
+    return scored.select(*["text" if c == "text" else F.col("row").getField(c).alias(c) for c in columns], (1 / (1 + F.exp(-logit))).alias(name))
 
 
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
