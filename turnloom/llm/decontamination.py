@@ -16,7 +16,8 @@ A candidate is a leak if the longest common subsequence of the item and the word
 and ``answer`` of the item's answer (its last third, or the answer column) is found there in order.  So paraphrases with changed words, cut
 or added phrases are found; items with fewer than ``short`` words must be there completely.
 
-The benchmark is read in blocks of ``BLOCK_ITEMS`` items, each of which is sent to the tasks; texts never move.
+The benchmark is read in blocks of ``BLOCK_ITEMS`` items.  ``BLOCKS`` of them at most are sent to the tasks at once, for one pass over all
+texts, which never move; a larger benchmark takes several passes, with a written table between them.
 
 Defined results: null and empty texts and items leak nothing; rows that repeat are judged alike; a null doc_id is kept as it is; an empty
 corpus or benchmark gives no leaks.
@@ -34,15 +35,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from turnloom.llm import kernel
-from turnloom.llm.storage import materialize
+from turnloom.llm.storage import discard, materialize
 
 WIDTH, STRIDE, ITEM_STRIDE = 24, 12, 12
 FEATURES = 1 << 13
 RANK, OVERSAMPLE = 192, 16
 SLICES = 8
-#: tasks over the bounded sample; each sends one product of features x dimensions
-FIT_TASKS = 6
+#: passages of the bounded sample that one fitting task takes; each task sends one product of features x dimensions
+FIT_PASSAGES = 25_000
 BLOCK_ITEMS = 2000
+BLOCKS = 4
 #: words and items of the exact join that are held at once
 HITS = 1 << 21
 _PLAIN = np.arange(256, dtype=np.uint8)
@@ -180,6 +182,7 @@ def fit(docs: DataFrame, items: list[str], id_col: str, text_col: str, fit_passa
     idf = np.log((1.0 + passages) / (1.0 + df)).astype(np.float32)
     share = min(1.0, fit_passages / max(passages, 1))
     chosen = materialize(docs.where(F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).select(F.col(text_col).alias("text")), "latent-sample")
+    tasks = max(1, min(passages, fit_passages) // FIT_PASSAGES)
     bench = words_of(pa.array(items, pa.string()))
     many = max(1, len(steps(bench[1], WIDTH)[0]))
     weight = 0.5 * min(passages, fit_passages) / many
@@ -192,7 +195,7 @@ def fit(docs: DataFrame, items: list[str], id_col: str, text_col: str, fit_passa
             if total.any():
                 yield from _emit(total.astype(np.float32))
 
-        sums = _tree_sum(chosen.coalesce(FIT_TASKS).mapInArrow(run, "part int, slice int, body binary"), "float32").astype(np.float64)
+        sums = _tree_sum(chosen.coalesce(tasks).mapInArrow(run, "part int, slice int, body binary"), "float32").astype(np.float64)
         own = _gram(iter([bench]), idf, m, weight)
         return own + sums.reshape(m.shape) if len(sums) else own
 
@@ -242,6 +245,7 @@ class Items:
                 self.answers.append(own if len(own) else w[-max(1, len(w) // 3) :])
         self.owner = np.array(owner, dtype=np.int64)
         self._rarest(common, short)
+        self._members()
         if starts:
             pieces = [self.words[n][s : s + WIDTH] for n, s in starts]
             begin = np.concatenate([[0], np.cumsum([len(p) for p in pieces])[:-1]])
@@ -265,8 +269,29 @@ class Items:
         self.may = np.zeros(1 << 20, dtype=bool)
         self.may[(self.rare >> np.uint64(44)).astype(np.int64)] = True
 
-    def _places(self, words: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """Yield (row, item, first word of a passage) wherever the words around the passage share enough of the item's rarest words."""
+    def _members(self) -> None:
+        """Index which words each item has, and how often: sorted keys (item, word), told apart by a table of bits first."""
+        self.all_words = np.unique(np.concatenate([np.zeros(0, np.uint64), *self.words]))
+        owner = np.repeat(np.arange(len(self.words)), self.sizes)
+        word = np.searchsorted(self.all_words, np.concatenate([np.zeros(0, np.uint64), *self.words]))
+        self.member, self.times = np.unique(owner * max(len(self.all_words), 1) + word, return_counts=True)
+        self.may_be = np.zeros(1 << 20, dtype=bool)
+        self.may_be[(self.all_words >> np.uint64(44)).astype(np.int64)] = True
+
+    def _covered(self, own: np.ndarray, item: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Return how many words of each item occur in words low .. high, where ``own`` has the item words of the text (-1: none)."""
+        size = high - low
+        cand = np.repeat(np.arange(len(item)), size)
+        word = own[np.repeat(low - np.cumsum(size) + size, size) + np.arange(size.sum())]
+        some = np.flatnonzero(word >= 0)
+        key = item[cand[some]] * len(self.all_words) + word[some]
+        at = np.minimum(np.searchsorted(self.member, key), len(self.member) - 1)
+        hit = self.member[at] == key
+        once = np.unique(cand[some[hit]] * len(self.member) + at[hit])
+        return np.bincount(once // len(self.member), self.times[once % len(self.member)], len(item))
+
+    def _places(self, words: np.ndarray, first: np.ndarray) -> Iterator[np.ndarray]:
+        """Yield rows (row, item, first word of a passage) wherever the words around the passage share enough of the item's rarest words."""
         x = np.flatnonzero(self.may[(words >> np.uint64(44)).astype(np.int64)])
         key = np.searchsorted(self.rare, words[x])
         same = self.rare[np.minimum(key, len(self.rare) - 1)] == words[x]
@@ -295,13 +320,11 @@ class Items:
             ok = (b < first[own + 1]) & (low <= high)
             low, n, own, count = low[ok], n[ok], own[ok], (high[ok] - low[ok]) // STRIDE + 1
             at = np.repeat(low, count) + (np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)) * STRIDE
-            for place in np.unique(np.stack([np.repeat(own, count), np.repeat(n, count), at], axis=1), axis=0).tolist():
-                yield tuple(place)
+            yield np.unique(np.stack([np.repeat(own, count), np.repeat(n, count), at], axis=1), axis=0)
             i = j
 
     def leaks(self, words: np.ndarray, first: np.ndarray, cosine: float, common: float, answer: float, short: int) -> dict[int, list[tuple]]:
         """Return, by row, its leaks (item_id, cosine, share of the item, share of the answer, first word, last word)."""
-        found: dict[int, dict[int, tuple]] = {}
         start, at = steps(first, STRIDE)
         if not len(start) or not len(self.owner):
             return {}
@@ -311,69 +334,80 @@ class Items:
         joins = np.flatnonzero(row[1:] == row[:-1])
         whole[joins] += half[joins + 1]
         whole = _unit(whole)
-        for i in range(0, len(start), 4096):
-            near = whole[i : i + 4096] @ self.vectors
-            high = np.flatnonzero(near.max(axis=1) >= cosine)
-            for q, k in zip(*np.nonzero(near[high] >= cosine), strict=True):
-                p = int(high[q])
-                r, n = int(row[i + p]), int(self.owner[k])
-                have = found.setdefault(r, {}).get(n)
-                at_word = int(start[i + p])
-                if have is not None and have[4] <= at_word < have[5]:  # this stretch is judged already
-                    continue
-                got = self._judge(n, float(near[p, k]), words, int(first[r]), int(first[r + 1]), at_word, common, answer, short)
-                if have is None or got[0] > have[0] or (got[0] == have[0] and got[2] > have[2]):
-                    found[r][n] = got
-        for r, n, at_word in self._places(words, first):
-            have = found.get(r, {}).get(n)
-            if have is not None and have[0]:
-                continue
-            got = self._judge(n, 0.0, words, int(first[r]), int(first[r + 1]), at_word, common, answer, short)
-            if got[0]:
-                p = int(at[r]) + (at_word - int(first[r])) // STRIDE
-                found.setdefault(r, {})[n] = (True, float((whole[p] @ self.vectors[:, self.owner == n]).max()), *got[2:])
-        out = {r: [(self.ids[n], g[1], g[2], g[3], g[4] - int(first[r]), g[5] - int(first[r])) for n, g in sorted(x.items()) if g[0]] for r, x in found.items()}
-        return {r: x for r, x in out.items() if x}
-
-    def _judge(self, n: int, near: float, words: np.ndarray, low: int, high: int, at: int, common: float, answer: float, short: int) -> tuple:
-        item = self.words[n]
-        a, b = max(low, at - len(item)), min(high, at + WIDTH + len(item))
-        part = words[a:b]
-        need = 1.0 if len(item) < short else common
-        if np.isin(item, part).sum() < need * len(item):
-            return (False, near, 0.0, 0.0, a, b)
+        own = np.full(len(words), -1, dtype=np.int64)
+        x = np.flatnonzero(self.may_be[(words >> np.uint64(44)).astype(np.int64)])
+        k = np.minimum(np.searchsorted(self.all_words, words[x]), len(self.all_words) - 1)
+        own[x] = np.where(self.all_words[k] == words[x], k, -1)
+        found: dict[tuple[int, int], tuple] = {}
+
+        def latent() -> Iterator[np.ndarray]:
+            for i in range(0, len(start), 4096):
+                near = whole[i : i + 4096] @ self.vectors
+                high = np.flatnonzero(near.max(axis=1) >= cosine)
+                p, v = np.nonzero(near[high] >= cosine)
+                yield np.unique(np.stack([row[i + high[p]], self.owner[v], start[i + high[p]]], axis=1), axis=0)
+
+        for places in (*latent(), *self._places(words, first)):
+            for i in range(0, len(places), 1 << 14):
+                r, n, begin = places[i : i + (1 << 14)].T
+                low, high = np.maximum(first[r], begin - self.sizes[n]), np.minimum(first[r + 1], begin + WIDTH + self.sizes[n])
+                need = np.where(self.sizes[n] < short, 1.0, common) * self.sizes[n]
+                for c in np.flatnonzero(self._covered(own, n, low, high) >= need - 1e-9).tolist():
+                    got = self._judge(int(n[c]), words, int(low[c]), int(high[c]), common, answer, short)
+                    have = found.get((int(r[c]), int(n[c])))
+                    if got and (have is None or got[:2] > have[1:3]):
+                        p = int(at[r[c]]) + int(begin[c] - first[r[c]]) // STRIDE
+                        found[int(r[c]), int(n[c])] = (float((whole[p] @ self.vectors[:, self.owner == n[c]]).max()), *got, int(low[c] - first[r[c]]), int(high[c] - first[r[c]]))
+        out: dict[int, list[tuple]] = {}
+        for r, n in sorted(found):
+            out.setdefault(r, []).append((self.ids[n], *found[r, n]))
+        return out
+
+    def _judge(self, n: int, words: np.ndarray, low: int, high: int, common: float, answer: float, short: int) -> tuple | None:
+        """Return the shares of item and answer that the words low .. high hold in order, if they make a leak."""
+        item, part = self.words[n], words[low:high]
         share = lcs(item, part) / len(item)
         kept = lcs(self.answers[n], part) / len(self.answers[n])
-        return (share >= need and kept >= answer, near, share, kept, a, b)
+        return (share, kept) if share >= (1.0 if len(item) < short else common) and kept >= answer else None
 
 
 LEAK = "item_id bigint, cosine double, item_share double, answer_share double, first_word bigint, last_word bigint"
 
 
-def with_leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.55, common: float = 0.6, answer: float = 0.5, short: int = 8, fit_passages: int = 200_000, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", answer_col: str | None = None) -> DataFrame:
-    """Return ``docs`` with the array column ``_leaks``: the benchmark items that each document holds."""
+def with_leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.55, common: float = 0.6, answer: float = 0.5, short: int = 8, fit_passages: int = 200_000, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", answer_col: str | None = None, name: str = "_leaks") -> DataFrame:
+    """Return ``docs`` with the array column ``name``: the benchmark items that each document holds."""
     items = benchmark.select(F.col(item_col).cast("bigint").alias("id"), F.col(text_col).alias("text"), (F.col(answer_col) if answer_col else F.lit(None)).cast("string").alias("answer")).where("text IS NOT NULL")
     total = items.count()
     blocks = max(1, -(-total // BLOCK_ITEMS))
     share = min(1.0, BLOCK_ITEMS / max(total, 1))
     sample = items.where(F.pmod(F.xxhash64(F.lit("fit"), F.col("id"), F.col("text")), F.lit(1 << 20)) < int(share * (1 << 20)))  # about BLOCK_ITEMS rows of all blocks
     index = fit(docs, [r.text for r in sample.collect()], id_col, text_col, fit_passages)
-    kept = T.StructType([f for f in docs.schema.fields if f.name != "_leaks"])
-    schema = T.StructType([*kept.fields, T.StructField("_leaks", T.ArrayType(T._parse_datatype_string(LEAK)))])
-    out = docs.drop("_leaks").withColumn("_leaks", F.array().cast(schema["_leaks"].dataType))
-    for k in range(blocks):
-        block = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == k).collect()  # about BLOCK_ITEMS rows
-        ready = Items([r.id for r in block], [r.text for r in block], [r.answer for r in block], index, common, short)
+    schema = T.StructType([*[f for f in docs.schema.fields if f.name != name], T.StructField(name, T.ArrayType(T._parse_datatype_string(LEAK)))])
+    out = docs.drop(name).withColumn(name, F.array().cast(schema[name].dataType))
+    written = None
+    for k in range(0, blocks, BLOCKS):
+        ready = []
+        for b in range(k, min(k + BLOCKS, blocks)):
+            block = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == b).collect()  # about BLOCK_ITEMS rows
+            ready.append(Items([r.id for r in block], [r.text for r in block], [r.answer for r in block], index, common, short))
         out = out.mapInArrow(_finder(ready, text_col, (cosine, common, answer, short)), schema)
+        if k + BLOCKS < blocks:
+            before, written = written, materialize(out, "leaks")
+            out = written
+            if before is not None:
+                discard(before)
     return out
 
 
-def _finder(items: Items, text_col: str, limits: tuple) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _finder(blocks: list[Items], text_col: str, limits: tuple) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     names = [x.split()[0] for x in LEAK.split(", ")]
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, words, first in _parts(batches, text_col):
-            leaks = items.leaks(words, first, *limits)
+            leaks: dict[int, list[tuple]] = {}
+            for items in blocks:
+                for r, found in items.leaks(words, first, *limits).items():
+                    leaks.setdefault(r, []).extend(found)
             if leaks:
                 last = part.num_columns - 1
                 before = part.column(last).to_pylist()

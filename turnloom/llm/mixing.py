@@ -8,7 +8,8 @@ iterations find the multipliers.  Rates become whole copies by error feedback fr
 size, so that each source's words come within about its shortest documents of the target, and reruns agree.
 
 Defined results: a null text has size 0 and is never taken; a null source is a source of its own and comes last; rows that repeat are
-documents of their own; an empty table gives an empty result.
+documents of their own; rows without doc_id are dealt to groups by their place in the input, so they never gather in one group; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from turnloom.llm.storage import materialize
+from turnloom.llm.storage import discard, materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
 GROUP = 400
@@ -28,6 +29,11 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.length(F.regexp_replace(F.regexp_replace(text, WORD, "x"), r"[\x20\x09-\x0D]+", "")), F.lit(0)).cast("bigint")
 
 
+def row_key(id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> Column:
+    """A key of a row's id, source and text."""
+    return F.xxhash64(id_col, source_col, text_col)
+
+
 def source_targets(sources: DataFrame, weights: tuple[float, ...], cap: float) -> DataFrame:
     """Add the weight and the token target of each source (columns key, source, source_size).
 
@@ -80,15 +86,21 @@ def balance(sizes: DataFrame, targets: DataFrame, cap: float, tilt: float, round
             .withColumn("error", F.coalesce(F.abs(miss) / F.greatest(F.col("target"), F.lit(1.0)), F.lit(0.0)))
             .withColumn("lam", F.when(F.col("error") <= tolerance, F.col("lam")).when(F.col("inside"), F.col("newton")).otherwise((F.col("low") + F.col("high")) / 2))
         )
-        state = materialize(stepped.select("key", "target", "mean_size", "source_size", F.coalesce("lam", F.lit(0.0)).alias("lam"), "low", "high", "full", "error"), "mix-state")
+        before, state = state, materialize(stepped.select("key", "target", "mean_size", "source_size", F.coalesce("lam", F.lit(0.0)).alias("lam"), "low", "high", "full", "error"), "mix-state")
+        discard(before)
         if (state.agg(F.max("error")).first()[0] or 0.0) <= tolerance:
             break
+    discard(spread)
     return state.select("key", F.when(~F.col("full"), F.col("lam")).alias("lam"))
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), cap: int = 3, tilt: float = 0.5, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """Return doc_id, source, size, source_size, target, rate, copies and taken of every document."""
-    sized = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"))
+    """Return doc_id, source, row_key, size, source_size, target, rate, copies and taken of every document.
+
+    row_key is ``row_key`` of the document's row, which tells rows of one doc_id with different texts apart.
+    """
+    sized = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), row_key(id_col, source_col, text_col).alias("row_key"), n_words(F.col(text_col)).alias("size"))
+    sized = sized.withColumn("tie", F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()).otherwise(F.col("row_key")))
     sized = materialize(sized.withColumn("key", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n"))), "mix-documents")
     sources = sized.groupBy("key").agg(F.first("source").alias("source"), F.sum("size").alias("source_size"), F.count("*").alias("documents"), F.greatest(F.avg("size"), F.lit(1e-9)).alias("mean_size"))
     targets = materialize(source_targets(sources, weights, cap), "mix-targets")
@@ -96,10 +108,10 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), cap: int = 3, t
     # a hot source's rows meet SPREAD copies of its one plan row, so no join task holds more than a share of them
     plan = targets.join(lam, "key").drop("source").withColumn("spread", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
     x = F.pow(F.col("size") / F.col("mean_size"), F.lit(tilt))
-    rated = sized.withColumn("spread", F.pmod(F.xxhash64("doc_id", "size"), F.lit(SPREAD)).cast("int")).join(plan, ["key", "spread"]).withColumn("rate", F.when(F.col("lam").isNull(), F.lit(float(cap))).otherwise(F.least(F.lit(float(cap)), F.exp(F.least(F.col("lam") * x, F.lit(50.0))))))
-    salt = F.pmod(F.xxhash64("size", "doc_id"), F.greatest(F.lit(1), F.ceil(F.col("documents") / GROUP)))
+    rated = sized.withColumn("spread", F.pmod(F.xxhash64("doc_id", "size", "tie"), F.lit(SPREAD)).cast("int")).join(plan, ["key", "spread"]).withColumn("rate", F.when(F.col("lam").isNull(), F.lit(float(cap))).otherwise(F.least(F.lit(float(cap)), F.exp(F.least(F.col("lam") * x, F.lit(50.0))))))
+    salt = F.pmod(F.xxhash64("size", "doc_id", "tie"), F.greatest(F.lit(1), F.ceil(F.col("documents") / GROUP)))
     grouped = rated.groupBy("key", salt.alias("salt")).agg(
-        F.first("source_size").alias("source_size"), F.first("target").alias("target"), F.sort_array(F.collect_list(F.struct("size", "doc_id", "source", "rate")), asc=False).alias("rows")
+        F.first("source_size").alias("source_size"), F.first("target").alias("target"), F.sort_array(F.collect_list(F.struct("size", "doc_id", "source", "row_key", "rate")), asc=False).alias("rows")
     )
     start = F.struct(F.array().cast("array<bigint>").alias("out"), F.lit(0.0).alias("want"), F.lit(0).cast("bigint").alias("got"))
 
@@ -111,7 +123,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), cap: int = 3, t
     copies = F.aggregate("rows", start, step, lambda acc: acc["out"])
     each = grouped.select("source_size", "target", F.explode(F.arrays_zip(F.col("rows").alias("row"), copies.alias("copies"))).alias("z"))
     return each.select(
-        F.col("z.row.doc_id").alias("doc_id"), F.col("z.row.source").alias("source"), F.col("z.row.size").alias("size"), "source_size", "target", F.col("z.row.rate").alias("rate"), F.col("z.copies").alias("copies"),
+        F.col("z.row.doc_id").alias("doc_id"), F.col("z.row.source").alias("source"), F.col("z.row.row_key").alias("row_key"), F.col("z.row.size").alias("size"), "source_size", "target", F.col("z.row.rate").alias("rate"), F.col("z.copies").alias("copies"),
         (F.col("z.copies") * F.col("z.row.size")).alias("taken"),
     )
 

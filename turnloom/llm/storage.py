@@ -35,6 +35,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return table
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """Return ``name``, lengthened until ``df`` has no such column."""
+    while name.lower() in map(str.lower, df.columns):
+        name += "_"
+    return name
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete tables that ``materialize`` wrote and that nothing reads any more."""
     for table in tables:
