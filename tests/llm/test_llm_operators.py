@@ -205,22 +205,71 @@ def test_decontamination_finds_all_that_the_judge_accepts(spark):
     assert len(brute & planted) > 80 and made == brute
 
 
+def plain_model(tokens, train):
+    """n-gram counts of the training texts, and the estimates at each token, word by word."""
+    grams = [Counter(), Counter(), Counter()]
+    for i in train:
+        ws = ["</s>", "</s>", *tokens[i]]
+        for k in range(2, len(ws)):
+            for order in range(3):
+                grams[order][tuple(ws[k - order : k + 1])] += 1
+    n, texts = sum(grams[0].values()), len(train)
+
+    def estimates(ws):
+        ws = ["</s>", "</s>", *ws]
+        for k in range(2, len(ws)):
+            one = grams[0][(ws[k - 1],)]
+            two = texts if k == 2 else grams[1][tuple(ws[k - 2 : k])]
+            bucket = 40 + two.bit_length() if two else one.bit_length()
+            yield bucket, [grams[2][tuple(ws[k - 2 : k + 1])] / two if two else 0.0, grams[1][tuple(ws[k - 1 : k + 1])] / one if one else 0.0, grams[0][(ws[k],)] / max(n, 1)]
+
+    return grams[0], n, estimates
+
+
 def test_language_model(spark, docs, nothing):
     rows, df = docs
     made = {r.doc_id: r for r in language_model.score(df).collect()}
     tokens = {i: [*words((t or "").translate(LOWER)), "</s>"] for i, t, *_ in rows}
-    counts = Counter(w for i, ws in tokens.items() if zlib.crc32(str(i).encode()) % 7 != 2 for w in ws)
-    n, v = sum(counts.values()), len(counts)
+    fold = {i: zlib.crc32(str(i).encode()) % 7 for i in tokens}
+    counts, n, estimates = plain_model(tokens, [i for i in tokens if fold[i] != 2])
+    rest, _, rest_estimates = plain_model(tokens, [i for i in tokens if fold[i] not in (2, 3)])
+    octave = lambda p: round(-math.log2(p) * language_model.STEP) if p else -1
+    cells = Counter((b, *map(octave, p)) for i in tokens if fold[i] == 3 for b, p in rest_estimates(tokens[i]))
+    weights = language_model.learn([(*k, m) for k, m in cells.items()], float(len(rest)))
+    v = len(counts)
     for i, ws in tokens.items():
         r = made[i]
-        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (zlib.crc32(str(i).encode()) % 7 == 2, len(ws), sum(counts[w] > 0 for w in ws), n)
-        assert math.isclose(r.base_score, sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in ws), rel_tol=1e-9)
-        assert r.score < 0
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (fold[i] == 2, len(ws), sum(counts[(w,)] > 0 for w in ws), n)
+        assert math.isclose(r.base_score, sum(math.log10((counts[(w,)] + 1) / (n + v + 1)) for w in ws), rel_tol=1e-9)
+        plain = sum(math.log10(sum(w * x for w, x in zip(weights[b], [*p, 1 / (v + 1)], strict=True))) for b, p in estimates(ws))
+        assert math.isclose(r.score, plain, rel_tol=1e-6)
     held = [made[i] for i in tokens if made[i].held_out and len(tokens[i]) < 1000]
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
     assert language_model.score(nothing).isEmpty()
-    probabilities = language_model.learn([(3, 4, 8, 10.0), (0, -1, 8, 5.0), (3, -1, -1, 1.0)], 100.0)
-    assert np.allclose(probabilities.sum(axis=1), 1) and probabilities[0, 0] == 0
+
+
+def test_language_model_of_odd_rows(spark):
+    rows = [(None, "a b c"), (None, "a b c"), (2**63 - 1, "a b"), (1, None), (1, ""), (1, "a b c")]
+    made = language_model.score(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted(((r.doc_id is None, r.doc_id or 0, r.n_tokens) for r in made)) == [(False, 1, 1), (False, 1, 1), (False, 1, 4), (False, 2**63 - 1, 3), (True, 0, 4), (True, 0, 4)]
+    assert all(math.isfinite(r.score) and r.score <= 0 for r in made) and len({r.score for r in made if r.n_tokens == 4}) == 1
+
+
+def test_learned_weights_maximise_the_held_out_likelihood():
+    rng = np.random.default_rng(3)
+    cells = [(int(b), int(x), int(y), int(z), float(k)) for b, x, y, z, k in zip(rng.choice([43, 50], 60), rng.integers(-1, 9, 60), rng.integers(0, 12, 60), rng.integers(4, 20, 60), rng.integers(1, 30, 60), strict=True)]
+    weights = language_model.learn(cells, 100.0, rounds=2000)
+    assert np.allclose(weights.sum(axis=1), 1) and (weights[:40, 0] == 0).all() and weights[0, 1] == 0
+    share = lambda o: 2.0 ** (-o / language_model.STEP) if o >= 0 else 0.0
+
+    def likelihood(b, w):
+        return sum(k * math.log(w @ np.array([share(x), share(y), share(z), 1 / 101])) for c, x, y, z, k in cells if c == b)
+
+    for b in (43, 50):
+        best = likelihood(b, weights[b])
+        for _ in range(200):
+            other = np.maximum(weights[b] + rng.normal(0, 0.02, 4), 1e-9)
+            assert likelihood(b, other / other.sum()) <= best + 1e-2
 
 
 def quality_corpus():

@@ -2,8 +2,8 @@
 
 A *chunk* is a block of whole documents, compressed.  Each chunk asks about the distinct keys (n-grams, windows) that it holds; questions
 go to buckets by key, a bucket merges the values of all chunks key by key, and each chunk gets its answers in the order of its sorted keys.
-A key occurs at most once a chunk, so frequent keys do not pile up, and a bucket holds a bounded share of all keys: the number of buckets
-follows the session's shuffle partitions.
+A key occurs at most once a chunk, so frequent keys do not pile up, and a bucket holds a bounded number of keys: there is one bucket for
+each ``BUCKET_BYTES`` of text, and at least one for each of the session's shuffle partitions.
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ from turnloom.llm.storage import materialize, partitions
 
 NO_ID = np.int64(2**63 - 1)
 CHUNK_BYTES = 3 << 20
+BUCKET_BYTES = 32 << 20
+FOLDS = 16
 _Z = zstandard.ZstdCompressor(level=1)
 _Z3 = zstandard.ZstdCompressor(level=3)
 
@@ -49,7 +51,7 @@ def unsqueeze_sorted(blob: bytes) -> np.ndarray:
 
 
 class Chunk:
-    """Documents of one block: ids (NO_ID for null), UTF-8 bytes and n+1 offsets."""
+    """Documents of one block: ids (NO_ID where ``nulls``), UTF-8 bytes and n+1 offsets."""
 
     def __init__(self, payload: bytes, number: int, fold: int):
         self.number, self.fold = number, fold
@@ -57,34 +59,49 @@ class Chunk:
         n = int(np.frombuffer(raw, np.int64, 1)[0])
         self.ids = np.frombuffer(raw, np.int64, n, 8)
         self.offsets = np.frombuffer(raw, np.int64, n + 1, 8 + 8 * n)
-        self.data = np.frombuffer(raw, np.uint8, -1, 16 + 16 * n)
+        self.nulls = np.frombuffer(raw, np.bool_, n, 16 + 16 * n)
+        self.data = np.frombuffer(raw, np.uint8, -1, 16 + 17 * n)
+
+    def id_column(self) -> pa.Array:
+        """The ids with their nulls."""
+        return pa.array(self.ids, pa.int64(), mask=self.nulls)
 
     @staticmethod
-    def pack(ids: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> bytes:
+    def pack(ids: np.ndarray, nulls: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> bytes:
         """Return the payload of a block."""
-        return _Z3.compress(b"".join((np.int64(len(ids)).tobytes(), ids.tobytes(), offsets.astype(np.int64).tobytes(), data.tobytes())))
+        return _Z3.compress(b"".join((np.int64(len(ids)).tobytes(), ids.tobytes(), offsets.astype(np.int64).tobytes(), nulls.tobytes(), data.tobytes())))
+
 
+def chunks(docs: DataFrame, name: str, id_col: str, text_col: str, fold: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None) -> DataFrame:
+    """Write and return the table of chunks (chunk, fold, size, payload).
 
-def chunks(docs: DataFrame, name: str, id_col: str, text_col: str, fold: Callable[[np.ndarray], np.ndarray] | None = None) -> DataFrame:
-    """Write and return the table of chunks (chunk, fold, payload); ``fold`` deals documents by id into separate chunks."""
+    ``fold(ids, nulls)`` deals documents into separate chunks; the fold is also the chunk's number modulo FOLDS.
+    """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         for batch in batches:
+            nulls = batch.column(0).is_null().to_numpy(zero_copy_only=False)
             ids = batch.column(0).fill_null(int(NO_ID)).to_numpy(zero_copy_only=False).astype(np.int64)
-            folds = np.zeros(len(ids), np.int64) if fold is None else fold(ids)
+            folds = np.zeros(len(ids), np.int64) if fold is None else fold(ids, nulls)
             for f in np.unique(folds):
                 rows = np.flatnonzero(folds == f)
                 column = batch.column(1) if len(rows) == len(ids) else batch.column(1).take(pa.array(rows))
                 data, offsets = kernel.text_buffers(column)
                 for i, j in kernel.blocks(offsets, CHUNK_BYTES):
                     a, b = offsets[i], offsets[j]
-                    payload = Chunk.pack(ids[rows[i:j]], data[a:b], offsets[i : j + 1] - a)
-                    yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([int(f)], pa.int32()), pa.array([payload], pa.binary())], names=["chunk", "fold", "payload"])
-                    number += 1
+                    payload = Chunk.pack(ids[rows[i:j]], nulls[rows[i:j]], data[a:b], offsets[i : j + 1] - a)
+                    values = [pa.array([number + int(f)], pa.int64()), pa.array([int(f)], pa.int32()), pa.array([int(b - a)], pa.int64()), pa.array([payload], pa.binary())]
+                    yield pa.RecordBatch.from_arrays(values, names=["chunk", "fold", "size", "payload"])
+                    number += FOLDS
 
     slim = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    return materialize(slim.mapInArrow(pack, "chunk bigint, fold int, payload binary"), name)
+    return materialize(slim.mapInArrow(pack, "chunk bigint, fold int, size bigint, payload binary"), name)
+
+
+def bucket_count(table: DataFrame) -> int:
+    """Return the number of buckets for the questions of a table of chunks."""
+    return max(partitions(table.sparkSession), -(-(table.agg(F.sum("size")).first()[0] or 0) // BUCKET_BYTES))
 
 
 def buckets_of(keys: np.ndarray, n: int) -> np.ndarray:
@@ -110,9 +127,8 @@ def question_rows(number: int, asked: Asked, n: int) -> pa.Table:
     return pa.Table.from_arrays([pa.array([r[k] for r in rows], t.type) for k, t in enumerate(types)], schema=types)
 
 
-def ask_all(table: DataFrame, ask: Callable[[Chunk], Asked]) -> DataFrame:
-    """Return the questions of all chunks."""
-    n = partitions(table.sparkSession)
+def ask_all(table: DataFrame, n: int, ask: Callable[[Chunk], Asked]) -> DataFrame:
+    """Return the questions of all chunks to ``n`` buckets."""
 
     def questions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -125,14 +141,13 @@ def ask_all(table: DataFrame, ask: Callable[[Chunk], Asked]) -> DataFrame:
 Merge = Callable[[int, int, np.ndarray, list[np.ndarray]], tuple[list[np.ndarray], dict[str, float]]]
 
 
-def exchange(asked: DataFrame, name: str, merge: Merge, dtype: type, answers: tuple[type, ...], totals: tuple[str, ...] = ()) -> DataFrame:
+def exchange(asked: DataFrame, n: int, name: str, merge: Merge, dtype: type, answers: tuple[type, ...], totals: tuple[str, ...] = (), told: Callable[[int], int] | None = None) -> DataFrame:
     """Return the answers as a written table (chunk, kind, bucket, answer, and a double for each of ``totals``).
 
     ``merge(kind, n, index, values)`` sees all questions to one bucket: the number of its distinct keys, each question's key as an index
     into them, and the value arrays.  It returns the answer arrays by distinct key and the bucket's totals, which the rows with chunk -1
-    carry.
+    carry.  A chunk gets the first ``told(chunk)`` answers, all by default.
     """
-    n = partitions(asked.sparkSession)
     names = ["chunk", "kind", "bucket", "answer", *totals]
 
     def answer(group: pa.Table) -> pa.Table:
@@ -145,8 +160,9 @@ def exchange(asked: DataFrame, name: str, merge: Merge, dtype: type, answers: tu
         index = np.concatenate([np.searchsorted(distinct, k) for k in keys])
         replies, sums = merge(kind, len(distinct), index, [np.concatenate([v[i] for v in vals]) for i in range(len(vals[0]))])
         at = np.concatenate([[0], np.cumsum([len(k) for k in keys])])
-        rows = [[squeeze(r[index[i:j]].astype(t)) for r, t in zip(replies, answers, strict=True)] for i, j in zip(at[:-1], at[1:], strict=True)]
         m = len(numbers)
+        many = [len(answers) if told is None else told(x) for x in numbers]
+        rows = [[squeeze(r[index[i:j]].astype(t)) for r, t in zip(replies[:k], answers[:k], strict=True)] for i, j, k in zip(at[:-1], at[1:], many, strict=True)]
         body = [pa.array([*numbers, -1], pa.int64()), pa.array([kind] * (m + 1), pa.int32()), pa.array([bucket] * (m + 1), pa.int32()), pa.array([*rows, None], pa.list_(pa.binary()))]
         return pa.Table.from_arrays([*body, *[pa.array([0.0] * m + [float(sums.get(t, 0))], pa.float64()) for t in totals]], names=names)
 

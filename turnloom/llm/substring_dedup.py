@@ -20,8 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from turnloom.llm import kernel
-from turnloom.llm.exchange import NO_ID, QUESTIONS, Answers, Asked, Chunk, answered, ask_all, chunks, exchange, merged, question_rows
-from turnloom.llm.storage import partitions
+from turnloom.llm.exchange import NO_ID, QUESTIONS, Answers, Asked, Chunk, answered, ask_all, bucket_count, chunks, exchange, merged, question_rows
 
 LENGTH = 50
 ANCHOR = 20
@@ -62,7 +61,7 @@ def _least_and_most(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.n
 def dedup(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = True) -> DataFrame:
     """Return doc_id, n_words, n_removed, n_spans, kept_sha256 and (with ``keep_text``) the kept words of every document."""
     table = chunks(docs, "substring-chunks", id_col, text_col)
-    n = partitions(docs.sparkSession)
+    n = bucket_count(table)
 
     def ask_anchors(chunk: Chunk) -> Asked:
         *_, least, row = _windows(chunk, length, anchor)
@@ -104,9 +103,9 @@ def dedup(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, id_col: s
         np.add.at(step, pos[hit] + length, -1)
         return _kept(chunk, first, np.cumsum(step[:-1]) > 0, keep_text)
 
-    seeds = exchange(ask_all(table, ask_anchors), "substring-seeds", shared, np.int64, (np.uint8,))
+    seeds = exchange(ask_all(table, n, ask_anchors), n, "substring-seeds", shared, np.int64, (np.uint8,))
     asked = answered(table, [seeds], extend, QUESTIONS)
-    lowest = exchange(asked, "substring-windows", smallest, np.int64, (np.int64,))
+    lowest = exchange(asked, n, "substring-windows", smallest, np.int64, (np.int64,))
     return answered(table, [seeds, lowest], cut, SCHEMA)
 
 
@@ -122,8 +121,7 @@ def _kept(chunk: Chunk, first: np.ndarray, gone: np.ndarray, keep_text: bool) ->
         removed.append(k)
         shas.append(hashlib.sha256(kept).hexdigest())
         texts.append(kept.decode() if keep_text else None)
-    ids = pa.array(chunk.ids, pa.int64(), mask=chunk.ids == NO_ID)
-    columns = [ids, pa.array(np.diff(first), pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(shas, pa.string()), pa.array(texts, pa.string())]
+    columns = [chunk.id_column(), pa.array(np.diff(first), pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(shas, pa.string()), pa.array(texts, pa.string())]
     return pa.Table.from_arrays(columns, names=[x.split()[0] for x in SCHEMA.split(", ")])
 
 
