@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from html.parser import HTMLParser
 
 import numpy as np
 import pyarrow as pa
@@ -119,7 +120,11 @@ def test_densified_bins_agree_like_the_sets():
         ("", ""), ("a &amp; b", "a & b"), ("<p>a<p>b", "a\n\nb"), ("<ul><li>x<li>y</ul>", "- x\n- y"), ("<ol start=3><li>x<li>y<ul><li>z</ul></ol>", "3. x\n4. y\n   - z"),
         ("<table><tr><td>1<td>22<tr><th>333<td>4</table>", "1   | 22\n333 | 4"), ("<script>x<y</script>a<!-- b -->c", "ac"), ("<div hidden>n</div><p style='Display : none'>n</p>y", "y"),
         ("<head><title>t</title></head><body>b", "b"), ("<pre> a\n  b</pre>", " a\n  b"), ("a<br>b  \n c", "a\nb c"), ("1 < 2 <", "1 < 2 <"), ("<b>x</b><i> y", "x y"), ("</p>a</div></b>", "a"),
-        ("<blockquote>q</blockquote>z", "  q\n\nz"), ("<dl><dt>t<dd>d</dl>", "t\n  d"), ("<td>x", "x"), ("<textarea> <b> </textarea>", " <b> "),
+        ("<table><tr><td colspan=2>head<td>z<tr><td>a<td>b<td>c</table>", "head  | z\na | b | c"), ("<table><tr><td rowspan=2>a<td>b<tr><td>c</table>", "a | b\n  | c"),
+        ("<table><tr><td rowspan=0>a<td>b<tr><td>c<tr><td>d</table>", "a | b\n  | c\n  | d"), ("<table><tr><td>one<td><ul><li>x<li>y</ul><tr><td>2<td>z</table>", "one | - x\n    | - y\n2   | z"),
+        ("<table><tr><td>a<br>b<td><table><tr><td>p<td>q</table></table>", "a | p | q\nb |"), ("<table><tr><td colspan=2>wide title<tr><td>a<td>b</table>", "wide title\na | b"),
+        ("<div style='visibility:hidden'>no<b style='visibility:visible'>yes</b>no</div>", "yes"), ("<div style='visibility:hidden'>no<p style='display:none'><i style='visibility:visible'>no</i></p></div>z", "z"),
+        ("<ol data-start=9><li>x</ol>", "1. x"), ("<dialog title=open>n</dialog><dialog open>y</dialog>", "y"), ("<blockquote>q</blockquote>z", "  q\n\nz"), ("<dl><dt>t<dd>d</dl>", "t\n  d"), ("<td>x", "x"), ("<textarea> <b> </textarea>", " <b> "),
     ],
 )
 def test_html_layout(page, expected):
@@ -138,6 +143,73 @@ def test_html_is_safe_and_keeps_all_words(spark):
     assert [tuple(r) for r in html_text.extract(pages).orderBy("page_id").collect()] == [(1, None), (2, ""), (3, "x")]
 
 
+class _Visible(HTMLParser):
+    """The visible words of pages whose elements are all closed, by the standard library's parser."""
+
+    def __init__(self, page):
+        super().__init__()
+        self.words, self.open = [], []
+        self.feed(page)
+        self.close()
+
+    def handle_starttag(self, tag, attrs):
+        if tag not in html_text.VOID:
+            own = dict(reversed(attrs))
+            style = (own.get("style") or "").replace(" ", "").lower()
+            gone, faded = self.open[-1][1:] if self.open else (False, False)
+            faded = False if "visibility:visible" in style else faded or "visibility:hidden" in style
+            self.open.append((tag, gone or tag in html_text.UNSEEN or "hidden" in own or "display:none" in style, faded))
+
+    def handle_endtag(self, tag):
+        if tag in [t for t, *_ in self.open]:
+            while self.open.pop()[0] != tag:
+                pass
+
+    def handle_data(self, data):
+        if not self.open or not any(self.open[-1][1:]):
+            self.words.append(data)
+
+
+def test_html_keeps_all_visible_characters_of_the_given_pages(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    made = {r.page_id: r.text for r in html_text.extract(pages).collect()}
+    marks = re.compile(r"(?m)^\s*(?:- |\d+\. )| \| |[\s|]")
+    for r in pages.collect():
+        assert Counter(marks.sub("", made[r.page_id])) == Counter(marks.sub("", "".join(_Visible(r.html).words))), r.html
+
+
+def test_html_keeps_all_visible_words_of_nested_elements():
+    rng = random.Random(12)
+    for _ in range(150):
+        n, parts = 0, []
+
+        def grow(depth):
+            nonlocal n
+            for _ in range(rng.randint(1, 3)):
+                parts.append(f" w{n}x ")
+                n += 1
+                if depth < 5 and rng.random() < 0.7:
+                    tag = rng.choice(["div", "span", "b", "section", "ul", "blockquote", "pre", "script" if rng.random() < 0.3 else "em"])
+                    parts.append(f"<{tag} {rng.choice(['', '', '', 'hidden', 'class=hidden', 'style=visibility:hidden', 'style=visibility:visible', 'style=display:none'])}>")
+                    (grow if tag != "script" else lambda _: parts.append("n0"))(depth + 1)
+                    parts.append(f"</{tag}>")
+
+        grow(0)
+        page = "".join(parts)
+        assert Counter(re.findall(r"w\d+x", html_text.render(page))) == Counter(re.findall(r"w\d+x", " ".join(_Visible(page).words))), page
+
+
+def test_html_of_long_and_repeated_pages(spark):
+    row = "<tr><td colspan=1000>a<td rowspan=99999>b<td>c</tr>"
+    page = f"<table>{row * 2000}</table>" + "<p>word" * 20_000
+    text = html_text.render(page)
+    assert text.count("word") == 20_000 and text.count("b") == 2000
+    wide = "<table>" + "<tr><td>" + "x" * 100_000 + "<td>z" + "<tr><td>a<td>b" * 5000 + "</table>"
+    assert len(html_text.render(wide)) < 2 * len(wide)
+    pages = spark.createDataFrame([(1, page), (1, page), (None, "x")], "page_id bigint, html string").withColumn("text", F.lit("clash"))
+    assert sorted((str(r.page_id), r.text) for r in html_text.extract(pages).collect()) == sorted([("1", text), ("1", text), ("None", "x")])
+
+
 @pytest.mark.parametrize("attributes", ['style="overflow: hidden"', 'class="box hidden"', 'title="The hidden garden"', 'href="/hidden/garden"', "href=/hidden/garden", "data-hidden", "hidden=until-found", "data-style='display:none'", 'style="display:none;display:block"'])
 def test_html_shows_what_only_names_hidden(attributes):
     assert html_text.render(f"<div {attributes}>seen</div>") == "seen"

@@ -42,7 +42,7 @@ FEATURES = 1 << 13
 RANK, OVERSAMPLE = 192, 16
 SLICES = 8
 #: passages of the bounded sample that one fitting task takes; each task sends one product of features x dimensions
-FIT_PASSAGES = 25_000
+FIT_PASSAGES = 50_000
 BLOCK_ITEMS = 2000
 BLOCKS = 4
 #: words and items of the exact join that are held at once

@@ -2,10 +2,12 @@
 
 Elements are built on a stack and rendered when they close, so nothing recurses and deep nesting costs no more than its tags.  All visible
 text is kept; blocks start on lines of their own, paragraphs and headings stand between blank lines, list items carry markers and indents,
-and the cells of a table are padded to the width of their column.
+and the cells of a table are padded to the width of their column.  A cell keeps its lines; one that spans columns takes their width, and one
+that spans rows leaves its place empty in the rows below.  Lines wider than ``WIDEST`` do not widen their column, so a page's text stays in
+proportion to the page.  A row of more than ``MAX_COLUMNS`` columns is laid out as if its cells spanned one.
 
-Not visible: comments, ``head``, ``script``, ``style``, ``template``, ``noscript`` and other elements without rendered text, and whatever has
-``hidden``, ``display:none`` or ``visibility:hidden``.
+Not visible: comments, ``head``, ``script``, ``style``, ``template``, ``noscript`` and other elements without rendered text, whatever has
+``hidden`` or ``display:none``, with all that is in it, and whatever has ``visibility:hidden``, but for what in it is ``visible`` again.
 
 Defined results: a null page gives a null text; an empty page, or one without visible text, the empty text; a tag that never ends is text;
 rows that repeat are rendered alike; an empty table gives an empty result.  Only id and html are read, so other columns cannot clash.
@@ -38,10 +40,12 @@ CLOSES = {
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*+)>", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
-_MAY_HIDE = re.compile("hidden|style", re.I)
+_MAY_MATTER = re.compile("hidden|style|span|start|open", re.I)
+MAX_COLUMNS = 1000
+WIDEST = 400
+_NUMBER = re.compile(r"\s*([+-]?\d{1,9})")
 _COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
 _SPACE = re.compile(r"[ \t\n\r\f]{2,}|[\t\n\r\f]")
-_START = re.compile(r"""\bstart\s*=\s*["']?(-?\d+)""", re.I)
 _BREAK, _KEEP_SPACE, _KEEP_LINE, _KEEP_TAB = "﷐", "﷑", "﷒", "﷓"  # noncharacters, which no page may hold
 _RESTORE = str.maketrans({_KEEP_SPACE: " ", _KEEP_TAB: "\t"})
 
@@ -50,34 +54,42 @@ def _width(text: str) -> int:
     return sum((unicodedata.east_asian_width(c) in "WF") + 1 - bool(unicodedata.combining(c)) for c in text) if not text.isascii() else len(text)
 
 
-def _hides(attributes: str) -> bool:
-    """Whether a tag's attributes make its element invisible: ``hidden``, or a style with ``display:none`` or ``visibility:hidden``."""
-    if not _MAY_HIDE.search(attributes):
-        return False
+def _attributes(raw: str) -> dict[str, str]:
+    """Return a tag's attributes by name, if any of them may matter here; the first of a name counts."""
     found: dict[str, str] = {}
-    for m in _ATTRIBUTE.finditer(attributes):
-        found.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")  # the first of a name counts
-    if "hidden" in found and found["hidden"].strip().lower() != "until-found":
-        return True
-    style: dict[str, tuple[bool, str]] = {}
-    for part in _COMMENT.sub("", html.unescape(found.get("style", ""))).lower().split(";"):
+    if raw and _MAY_MATTER.search(raw):
+        for m in _ATTRIBUTE.finditer(raw):
+            found.setdefault(m[1].lower(), html.unescape(m[2] or m[3] or m[4] or ""))
+    return found
+
+
+def _style(attributes: dict[str, str]) -> dict[str, str]:
+    """Return the values of a style attribute by property."""
+    found: dict[str, tuple[bool, str]] = {}
+    for part in _COMMENT.sub("", attributes.get("style", "")).lower().split(";"):
         name, _, value = part.partition(":")
         value, mark, _ = value.partition("!")
-        if bool(mark) >= style.get(name.strip(), (False, ""))[0]:  # the last one counts, but for important ones
-            style[name.strip()] = (bool(mark), value.strip())
-    return style.get("display", (False, ""))[1] == "none" or style.get("visibility", (False, ""))[1] == "hidden"
+        if bool(mark) >= found.get(name.strip(), (False, ""))[0]:  # the last one counts, but for important ones
+            found[name.strip()] = (bool(mark), value.strip())
+    return {k: v for k, (_, v) in found.items()}
+
+
+def _whole(attributes: dict[str, str], name: str, other: int) -> int:
+    m = _NUMBER.match(attributes.get(name, ""))
+    return int(m[1]) if m else other
 
 
 class _Node:
-    __slots__ = ("tag", "unseen", "pre", "lines", "inline", "rows", "cells", "count")
+    __slots__ = ("tag", "unseen", "faded", "pre", "lines", "inline", "rows", "cells", "count", "span")
 
-    def __init__(self, tag: str, unseen: bool, pre: bool):
-        self.tag, self.unseen, self.pre = tag, unseen, pre
+    def __init__(self, tag: str, unseen: bool, faded: bool, pre: bool):
+        self.tag, self.unseen, self.faded, self.pre = tag, unseen, faded, pre  # faded: visibility:hidden, which inner elements may end
         self.lines: list[str | None] = []  # None asks for a blank line
         self.inline: list[str] = []
-        self.rows: list[list[str]] | None = [] if tag == "table" else None
-        self.cells: list[str] | None = [] if tag == "tr" else None
+        self.rows: list[list[_Cell]] | None = [] if tag == "table" else None
+        self.cells: list[_Cell] | None = [] if tag == "tr" else None
         self.count = 0
+        self.span = (1, 1)
 
     def flush(self) -> None:
         if not self.inline:
@@ -109,26 +121,56 @@ class _Node:
         return out
 
 
-def _table(rows: list[list[str]]) -> list[str]:
-    widths: list[int] = []
+#: lines, columns and rows (0: all that follow) of a cell
+_Cell = tuple[list[str], int, int]
+
+
+def _table(rows: list[list[_Cell]]) -> list[str]:
+    """Lay out rows of cells in columns."""
+    placed: list[list[tuple[int, int, list[str]]]] = []  # first column, columns, lines
+    taken: dict[int, float] = {}  # column: rows that a cell from above still covers
     for row in rows:
-        for k, cell in enumerate(row):
-            if k == len(widths):
-                widths.append(0)
-            widths[k] = max(widths[k], _width(cell))
-    return [" | ".join(c + " " * (w - _width(c)) for c, w in zip(row, widths, strict=False)).rstrip() for row in rows if any(row)]
+        at, own = 0, []
+        spans = sum(c for _, c, _ in row) <= MAX_COLUMNS
+        covered, taken = taken, {c: n - 1 for c, n in taken.items() if n > 1}
+        for lines, columns, depth in row:
+            while at in covered:
+                at += 1
+            columns = columns if spans else 1
+            own.append((at, columns, lines))
+            if depth != 1:
+                taken |= dict.fromkeys(range(at, at + columns), float("inf") if depth == 0 else depth - 1)
+            at += columns
+        placed.append(own)
+    widths: dict[int, int] = {}
+    for wide in (False, True):
+        for at, columns, lines in (c for row in placed for c in row if (c[1] > 1) == wide):
+            need = max((w for w in map(_width, lines) if w <= WIDEST), default=0) - sum(widths.get(c, 0) + 3 for c in range(at, at + columns - 1))
+            widths[at + columns - 1] = max(widths.get(at + columns - 1, 0), need)
+    out = []
+    for row in placed:
+        if any(lines for *_, lines in row):
+            for k in range(max(len(lines) for *_, lines in row)):
+                parts, at = [], 0
+                for first, columns, lines in row:
+                    parts += [" " * widths.get(c, 0) for c in range(at, first)]
+                    text = lines[k] if k < len(lines) else ""
+                    parts.append(text + " " * (sum(widths.get(c, 0) for c in range(first, first + columns)) + 3 * (columns - 1) - _width(text)))
+                    at = first + columns
+                out.append(" | ".join(parts).rstrip())
+    return out
 
 
 class _Builder:
     def __init__(self) -> None:
-        self.root = _Node("#root", False, False)
+        self.root = _Node("#root", False, False, False)
         self.stack = [self.root]
         self.blocks = [self.root]
         self.opened: Counter[str] = Counter()
 
     def text(self, raw: str) -> None:
         top = self.stack[-1]
-        if top.unseen or not raw:
+        if top.unseen or top.faded or not raw:
             return
         block = self.blocks[-1]
         if block.tag in ("table", "tbody", "thead", "tfoot", "tr") and not raw.strip():
@@ -152,7 +194,7 @@ class _Builder:
             if tag in ("td", "th") and self.blocks[-1].tag in ("table", "tbody", "thead", "tfoot"):
                 self.push("tr", "")
         if tag == "br":
-            if not self.stack[-1].unseen:
+            if not (self.stack[-1].unseen or self.stack[-1].faded):
                 self.blocks[-1].inline.append(_BREAK)
         elif tag == "hr":
             self.blocks[-1].flush()
@@ -162,13 +204,17 @@ class _Builder:
         else:
             self.push(tag, attributes)
 
-    def push(self, tag: str, attributes: str) -> None:
+    def push(self, tag: str, raw: str) -> None:
         top = self.stack[-1]
-        low = attributes and _hides(attributes)
-        shut = tag == "dialog" and "open" not in attributes
-        node = _Node(tag, top.unseen or tag in UNSEEN or bool(low) or shut, top.pre or tag in ("pre", "textarea", "xmp"))
-        if tag == "ol" and attributes and (m := _START.search(attributes)):
-            node.count = int(m[1]) - 1
+        own = _attributes(raw)
+        style = _style(own) if "style" in own else {}
+        gone = "hidden" in own and own["hidden"].strip().lower() != "until-found" or style.get("display") == "none" or (tag == "dialog" and "open" not in own)
+        faded = style["visibility"] in ("hidden", "collapse") if style.get("visibility") in ("hidden", "collapse", "visible") else top.faded
+        node = _Node(tag, top.unseen or tag in UNSEEN or gone, faded, top.pre or tag in ("pre", "textarea", "xmp"))
+        if tag == "ol":
+            node.count = _whole(own, "start", 1) - 1
+        elif tag in ("td", "th"):
+            node.span = (min(max(_whole(own, "colspan", 1), 1), MAX_COLUMNS), max(_whole(own, "rowspan", 1), 0))
         self.stack.append(node)
         self.opened[tag] += 1
         if tag in BLOCK:
@@ -217,13 +263,13 @@ class _Builder:
         node.flush()
         into, tag = self.blocks[-1], node.tag
         if tag in ("td", "th") and into.cells is not None:
-            into.cells.append(" ".join(x.strip() for x in node.body() if x.strip()))
+            into.cells.append((node.body(), *node.span))
             return
         if tag == "tr":
             home = next((b for b in reversed(self.blocks) if b.rows is not None), None)
             if home is not None:
                 if node.lines:  # text outside cells
-                    node.cells.append(" ".join(node.body()))
+                    node.cells.append((node.body(), 1, 1))
                 home.rows.append(node.cells)
                 return
             node.lines += _table([node.cells])

@@ -1,10 +1,15 @@
 """Context-mixing range coder for token ids.
 
 A segment codes many blocks at once, one numpy lane a block; blocks share only the segment's header (the ids that occur and their rough
-shares) and are reset and checksummed one by one.  For each id the order-2 and the order-1 context each predict the id that followed them
-last.  Their agreement and their runs of success select adaptive counts, from which the mix of three outcomes is coded: order 2 is right,
-order 1 is right, or neither.  In the last case adaptive order-0 counts code the id itself.  Both decisions drive one carry-less range
-coder with 64 bits of state and 16-bit output words.
+shares) and are reset and checksummed one by one.  Three predictions are mixed for every id: order 0, a distribution over all ids from
+counts that start at the header's shares and adapt; order 1 and order 2, which put all their probability on the id that followed the last
+one or two ids last time.  The probability of an id is the weighted sum of all three, and one carry-less range coder with 64 bits of state
+and 16-bit output words codes it in one step.
+
+The weights are learned from coding cost: after each id they move towards the shares that the predictions had in its probability, which is
+the step of expectation-maximisation that lowers the cost.  There is one set of weights for each state of the two contexts: how often in a
+row each was right (0 to 3), and whether they agree.  All arithmetic that both sides must agree on is in whole numbers, but for one division
+of whole numbers in double precision.
 
 Segment: magic, sizes, compressed dictionary, then for each block its number of ids, the CRC-32 of its ids and its words.
 """
@@ -18,16 +23,20 @@ import numpy as np
 import zstandard
 
 BLOCK = 4096
-MAGIC = b"TLS1"
-_TOP, _BOTTOM, _WORD = np.uint64(1 << 48), np.uint64(1 << 40), np.uint64(16)
+#: blocks that are coded side by side; a larger segment is worked through in groups
+LANES = 1024
+MAGIC = b"TLS2"
 _U64 = np.uint64
+_TOP, _BOTTOM, _WORD = _U64(1 << 48), _U64(1 << 40), _U64(16)
+_ONE = _U64(1)
 _HASH1, _HASH2 = 11, 12
-_BITS = 12
+#: bits of the weights, of the order-0 shares, and of both
+_WBITS, _SBITS = 12, 16
+_BITS = _U64(_WBITS + _SBITS)
 _RATE = 5
-_ORDER0_GAIN = 8
-_ORDER0_BITS = np.uint64(16)
+_GAIN = 8
+_LEAST0 = 64
 _REFRESH = frozenset((0, 64, 128, 256, 512, 1024, 1536, 2048, 3072))
-_ONE = np.uint64(1)
 
 
 class _Model:
@@ -35,39 +44,50 @@ class _Model:
 
     def __init__(self, lanes: int, prior: np.ndarray):
         k = len(prior)
-        self.k, self.lane = k, np.arange(lanes)
-        self.counts = np.tile(prior.astype(np.uint32), (lanes, 1))
-        self.cum = np.zeros((lanes, k + 1), dtype=np.uint32)
+        self.k = k
+        self.counts = np.tile(prior.astype(np.uint32), lanes)
+        self.cum = np.zeros((lanes, k + 1), dtype=np.int32)
+        self.flat = self.cum.reshape(-1)
         # what followed a context last, times 4, plus how often in a row (0 to 3); small tables stay in the processor's cache
-        self.next1, self.next2 = np.zeros(lanes << _HASH1, dtype=np.uint32), np.zeros(lanes << _HASH2, dtype=np.uint32)
-        self.odds2, self.odds1 = np.full(lanes * 32, 1 << _BITS - 1, dtype=np.int64), np.full(lanes * 32, 1 << _BITS - 1, dtype=np.int64)
+        self.next1, self.next2 = np.zeros(lanes << _HASH1, dtype=np.int32), np.zeros(lanes << _HASH2, dtype=np.int32)
+        state = np.arange(32)
+        start2, start1 = np.where(state >> 3, 1024, 0), np.where(state >> 1 & 3, 1024, 0)
+        self.weight2, self.weight1 = np.tile(start2, lanes), np.tile(start1, lanes)
+        lane = np.arange(lanes)
+        self.base1, self.base2, self.rows, self.starts, self.tops = lane << _HASH1, lane << _HASH2, lane * 32, lane * (k + 1), lane * k
         self.p1, self.p2 = np.zeros(lanes, dtype=np.int64), np.zeros(lanes, dtype=np.int64)
 
     def refresh(self, m: int) -> None:
         """Bring the order-0 shares of 2**16 up to date; each id keeps one part at least."""
-        sums = np.cumsum(self.counts[:m], axis=1, dtype=np.float64)
-        sums *= ((1 << 16) - self.k) / sums[:, -1:]
-        self.cum[:m, 1:] = sums.astype(np.uint32) + np.arange(1, self.k + 1, dtype=np.uint32)
-        self.cum[:m, -1] = 1 << 16
+        for i in range(0, m, 128):
+            j = min(i + 128, m)
+            sums = np.cumsum(self.counts[i * self.k : j * self.k].reshape(j - i, self.k), axis=1, dtype=np.float64)
+            sums *= ((1 << _SBITS) - self.k) / sums[:, -1:]
+            self.cum[i:j, 1:] = sums.astype(np.int32) + np.arange(1, self.k + 1, dtype=np.int32)
+            self.cum[i:j, -1] = 1 << _SBITS
 
     def predict(self, m: int) -> None:
-        p1, lane = self.p1[:m], self.lane[:m]
-        self.at1 = (lane << _HASH1) + ((p1 * 40503 >> 4) & ((1 << _HASH1) - 1))
-        self.at2 = (lane << _HASH2) + ((self.p2[:m] * 40503 + p1 * 30011 >> 4) & ((1 << _HASH2) - 1))
-        e1, e2 = self.next1[self.at1].astype(np.int64), self.next2[self.at2].astype(np.int64)
+        p1 = self.p1[:m]
+        self.at1 = self.base1[:m] + ((p1 * 40503 >> 4) & ((1 << _HASH1) - 1))
+        self.at2 = self.base2[:m] + ((self.p2[:m] * 40503 + p1 * 30011 >> 4) & ((1 << _HASH2) - 1))
+        e1, e2 = self.next1.take(self.at1), self.next2.take(self.at2)
         self.c1, self.c2, self.n1, self.n2 = e1 >> 2, e2 >> 2, e1 & 3, e2 & 3
-        self.row = lane * 32 + self.n2 * 8 + self.n1 * 2 + (self.c1 == self.c2)
-        self.o2, self.o1 = self.odds2[self.row], self.odds1[self.row]
-        self.f0 = self.o2
-        self.f1 = (((1 << _BITS) - self.o2) * self.o1) >> _BITS
-
-    def learn(self, m: int, s: np.ndarray, right2: np.ndarray, right1: np.ndarray, miss: np.ndarray) -> None:
-        top = 1 << _BITS
-        self.odds2[self.row] = np.clip(self.o2 + ((right2 * top - self.o2) >> _RATE), 32, top - 64)
-        self.odds1[self.row] = np.where(right2, self.o1, np.clip(self.o1 + ((right1 * top - self.o1) >> _RATE), 128, top - 128))
-        self.counts[miss, s[miss]] += np.uint32(_ORDER0_GAIN)
-        self.next1[self.at1] = s * 4 + np.where(self.c1 == s, np.minimum(self.n1 + 1, 3), 1)
-        self.next2[self.at2] = s * 4 + np.where(self.c2 == s, np.minimum(self.n2 + 1, 3), 1)
+        self.row = self.rows[:m] + (self.n2 << 3 | self.n1 << 1 | (self.c1 == self.c2))
+        self.w1, self.w2 = self.weight1.take(self.row), self.weight2.take(self.row)
+        self.w0 = (1 << _WBITS) - self.w1 - self.w2
+
+    def learn(self, m: int, s: np.ndarray, right1: np.ndarray, right2: np.ndarray, size: np.ndarray) -> None:
+        """``size`` is what the id had of the 2**28 parts."""
+        share = float(1 << _WBITS + _SBITS) / size
+        w1, w2 = self.w1, self.w2
+        w2 += (w2 * right2 * share).astype(np.int64) - w2 >> _RATE
+        w1 += (w1 * right1 * share).astype(np.int64) - w1 >> _RATE
+        np.minimum(w2, (1 << _WBITS) - _LEAST0, out=w2)
+        np.minimum(w1, (1 << _WBITS) - _LEAST0 - w2, out=w1)
+        self.weight2[self.row], self.weight1[self.row] = w2, w1
+        self.counts[self.tops[:m] + s] += np.uint32(_GAIN)
+        self.next1[self.at1] = (s << 2) + np.minimum(self.n1 * right1 + 1, 3)
+        self.next2[self.at2] = (s << 2) + np.minimum(self.n2 * right2 + 1, 3)
         self.p2[:m] = self.p1[:m]
         self.p1[:m] = s
 
@@ -93,19 +113,16 @@ def _encode_lanes(symbols: np.ndarray, lengths: np.ndarray, prior: np.ndarray) -
             model.refresh(m)
         s = columns[t, :m]
         model.predict(m)
-        right2 = (model.c2 == s) & (model.n2 > 0)
-        right1 = (model.c1 == s) & (model.n1 > 0) & ~right2
-        f0, f1 = model.f0, model.f1
-        start = np.where(right2, 0, np.where(right1, f0, f0 + f1))
-        size = np.where(right2, f0, np.where(right1, f1, (1 << _BITS) - f0 - f1))
-        r = wide[:m] >> _U64(_BITS)
-        lo, wi = low[:m] + r * start.astype(_U64), r * size.astype(_U64)
-        miss = np.flatnonzero(~(right2 | right1))
-        base = model.cum[miss, s[miss]]
-        r = wi[miss] >> _ORDER0_BITS
-        lo[miss] += r * base
-        wi[miss] = r * (model.cum[miss, s[miss] + 1] - base)
-        model.learn(m, s, right2, right1, miss)
+        c1, c2 = model.c1, model.c2
+        at = model.starts[:m] + s
+        below = model.flat.take(at)
+        right1, right2 = c1 == s, c2 == s
+        start = model.w0 * below + ((model.w1 * (c1 < s) + model.w2 * (c2 < s)) << _SBITS)
+        size = model.w0 * (model.flat.take(at + 1) - below) + ((model.w1 * right1 + model.w2 * right2) << _SBITS)
+        r = wide[:m] >> _BITS
+        lo = low[:m] + r * start.view(_U64)
+        wi = r * size.view(_U64)
+        model.learn(m, s, right1, right2, size)
         go, cut = _due(lo, wi)
         while len(go):
             wi[cut] = (~lo[cut] + _ONE) & (_BOTTOM - _ONE)
@@ -122,22 +139,34 @@ def _encode_lanes(symbols: np.ndarray, lengths: np.ndarray, prior: np.ndarray) -
     return [out[i, : pos[i]].tobytes() for i in range(lanes)]
 
 
-def _find(cum: np.ndarray, lane: np.ndarray, value: np.ndarray) -> np.ndarray:
-    """Return the last column of each row of ``cum`` that is at most ``value``."""
-    k = cum.shape[1] - 1
-    flat, base = cum.reshape(-1), lane * (k + 1)
-    at = np.zeros(len(value), dtype=np.int64)
-    step = 1 << max(k - 1, 0).bit_length()
-    while step:
-        to = np.minimum(at + step, k)
-        at = np.where(flat[base + to] <= value, to, at)
-        step >>= 1
-    return np.minimum(at, k - 1)
+class _Finder:
+    """Finds the id of an order-0 value: a table of the 256 upper bits gives a range of ids, which is then halved."""
+
+    def __init__(self, lanes: int):
+        self.first = np.zeros((lanes, 257), dtype=np.int64)
+        self.flat, self.at = self.first.reshape(-1), np.arange(lanes) * 257
+
+    def refresh(self, model: _Model, m: int) -> None:
+        marks = np.arange(0, (1 << _SBITS) + 1, 256)
+        for i in range(m):
+            self.first[i] = np.searchsorted(model.cum[i], marks, side="right") - 1
+        np.minimum(self.first, model.k - 1, out=self.first)
+        self.steps = int((self.first[:m, 1:] - self.first[:m, :-1]).max()).bit_length()
+
+    def find(self, model: _Model, m: int, value: np.ndarray) -> np.ndarray:
+        cell = self.at[:m] + (value >> 8)
+        low, high = self.flat.take(cell), self.flat.take(cell + 1)  # the last id at or below ``value`` lies in low .. high
+        start = model.starts[:m]
+        for _ in range(self.steps):
+            middle = low + high + 1 >> 1
+            fits = model.flat.take(start + middle) <= value
+            low, high = np.where(fits, middle, low), np.where(fits, high, middle - 1)
+        return low
 
 
 def _decode_lanes(words: list[bytes], lengths: np.ndarray, prior: np.ndarray) -> np.ndarray:
     lanes, longest = len(words), int(lengths[0]) if len(lengths) else 0
-    model = _Model(lanes, prior)
+    model, finder = _Model(lanes, prior), _Finder(lanes)
     low, wide, code = np.zeros(lanes, dtype=_U64), np.full(lanes, 2**64 - 1, dtype=_U64), np.zeros(lanes, dtype=_U64)
     body = np.zeros((lanes, max(len(w) for w in words) // 2 + 4), dtype=np.uint16)
     for i, w in enumerate(words):
@@ -147,30 +176,40 @@ def _decode_lanes(words: list[bytes], lengths: np.ndarray, prior: np.ndarray) ->
         code = (code << _WORD) | body[:, i]
     out = np.zeros((longest, lanes), dtype=np.int64)
     active = np.searchsorted(-lengths, -np.arange(longest), side="left").tolist()
-    last = body.shape[1] - 1
+    last, most = body.shape[1] - 1, (1 << _WBITS + _SBITS) - 1
     for t in range(longest):
         m = active[t]
         if t in _REFRESH:
             model.refresh(m)
+            finder.refresh(model, m)
         model.predict(m)
+        c1, c2, w0, starts = model.c1, model.c2, model.w0, model.starts[:m]
         lo, co = low[:m].copy(), code[:m].copy()
-        f0, f2 = model.f0.astype(_U64), (model.f0 + model.f1).astype(_U64)
-        r = wide[:m] >> _U64(_BITS)
-        past, one, two = co - lo, r * f0, r * f2
-        right2, lost = past < one, past >= two
-        right1 = ~(right2 | lost)
-        lo += np.where(right2, _U64(0), np.where(lost, two, one))
-        wi = np.where(right2, one, np.where(lost, r * (_U64(1 << _BITS) - f2), two - one))
-        miss = np.flatnonzero(lost)
-        s = np.where(right2, model.c2, model.c1)
-        r = wi[miss] >> _ORDER0_BITS
-        got = _find(model.cum, miss, np.minimum((co[miss] - lo[miss]) // r, _U64(0xFFFF)).astype(np.uint32))
-        s[miss] = got
-        base = model.cum[miss, got]
-        lo[miss] += r * base
-        wi[miss] = r * (model.cum[miss, got + 1] - base)
+        r = wide[:m] >> _BITS
+        value = np.minimum((co - lo) // r, _U64(most)).view(np.int64)
+        # the two contexts' parts stand at their ids, the smaller one first
+        swap = c2 < c1
+        near, far = np.where(swap, c2, c1), np.where(swap, c1, c2)
+        w_near = np.where(swap, model.w2, model.w1) << _SBITS
+        w_both = model.w1 + model.w2 << _SBITS
+        cum = model.flat
+        a, b = w0 * cum.take(starts + near), w0 * cum.take(starts + near + 1)
+        c, d = w0 * cum.take(starts + far) + w_near, w0 * cum.take(starts + far + 1) + w_both
+        equal = c1 == c2
+        b = np.where(equal, b + w_both, b + w_near)
+        past_near = value >= a
+        past_far = value >= np.where(equal, b, c)
+        plain = np.clip((value - np.where(past_far, w_both, np.where(past_near, w_near, 0))) // w0, 0, (1 << _SBITS) - 1)
+        s = finder.find(model, m, plain)
+        s = np.where(past_near & (value < b), near, np.where(past_far & (value < d), far, s))
+        below = cum.take(starts + s)
+        right1, right2 = c1 == s, c2 == s
+        start = w0 * below + ((model.w1 * (c1 < s) + model.w2 * (c2 < s)) << _SBITS)
+        size = w0 * (cum.take(starts + s + 1) - below) + ((model.w1 * right1 + model.w2 * right2) << _SBITS)
+        lo += r * start.view(_U64)
+        wi = r * size.view(_U64)
         out[t, :m] = s
-        model.learn(m, s, right2, right1, miss)
+        model.learn(m, s, right1, right2, size)
         go, cut = _due(lo, wi)
         while len(go):
             wi[cut] = (~lo[cut] + _ONE) & (_BOTTOM - _ONE)
@@ -194,15 +233,17 @@ def encode_segment(ids: np.ndarray) -> bytes:
     known, symbols, count = np.unique(ids, return_inverse=True, return_counts=True)
     share = np.minimum(1 + np.round(count * (2.0**14 / n)), 2**14).astype("<u2")
     table = zstandard.ZstdCompressor(level=9).compress(np.diff(known, prepend=np.uint32(0)).astype("<u4").tobytes() + share.tobytes())
-    blocks = -(-n // BLOCK)
-    grid = np.zeros(blocks * BLOCK, dtype=np.int64)
-    grid[:n] = symbols
-    lengths = np.full(blocks, BLOCK, dtype=np.int64)
-    lengths[-1] = n - (blocks - 1) * BLOCK
-    words = _encode_lanes(grid.reshape(blocks, BLOCK)[:, : lengths[0]], lengths, share)
     parts = [struct.pack("<4sIII", MAGIC, n, BLOCK, len(table)), struct.pack("<I", len(known)), table]
-    for i, w in enumerate(words):
-        parts += [struct.pack("<III", lengths[i], zlib.crc32(ids[i * BLOCK : (i + 1) * BLOCK].tobytes()), len(w)), w]
+    for a in range(0, n, LANES * BLOCK):
+        own = symbols[a : a + LANES * BLOCK]
+        blocks = -(-len(own) // BLOCK)
+        grid = np.zeros(blocks * BLOCK, dtype=np.int64)
+        grid[: len(own)] = own
+        lengths = np.full(blocks, BLOCK, dtype=np.int64)
+        lengths[-1] = len(own) - (blocks - 1) * BLOCK
+        for i, w in enumerate(_encode_lanes(grid.reshape(blocks, BLOCK)[:, : lengths[0]], lengths, share)):
+            at = a + i * BLOCK
+            parts += [struct.pack("<III", lengths[i], zlib.crc32(ids[at : at + lengths[i]].tobytes()), len(w)), w]
     return b"".join(parts)
 
 
@@ -224,9 +265,12 @@ def decode_segment(blob: bytes) -> np.ndarray:
         sums.append(crc)
         words.append(blob[at + 12 : at + 12 + many])
         at += 12 + many
-    lengths = np.array(lengths, dtype=np.int64)
-    grid = known[_decode_lanes(words, lengths, prior)].astype("<u4")
-    for i, crc in enumerate(sums):
-        if zlib.crc32(grid[i, : lengths[i]].tobytes()) != crc:
-            raise ValueError(f"block {i} is damaged")
-    return np.concatenate([grid[:-1].reshape(-1), grid[-1, : lengths[-1]]])
+    out = []
+    for a in range(0, len(words), LANES):
+        own = np.array(lengths[a : a + LANES], dtype=np.int64)
+        grid = known[_decode_lanes(words[a : a + LANES], own, prior)].astype("<u4")
+        for i, (length, crc) in enumerate(zip(own.tolist(), sums[a : a + LANES], strict=True)):
+            if zlib.crc32(grid[i, :length].tobytes()) != crc:
+                raise ValueError(f"block {a + i} is damaged")
+        out += [grid[:-1].reshape(-1), grid[-1, : own[-1]]]
+    return np.concatenate(out)

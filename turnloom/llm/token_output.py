@@ -1,12 +1,12 @@
 """Token-ID output: documents as token ids in compressed segments, and a reader for them.
 
-Documents are laid out by ascending doc_id (ties by text, a null doc_id last) in range partitions, whose numbers follow the ids; each
-partition ("bucket") is written as segments of whole
-documents, coded by ``turnloom.llm.token_codec``.  A segment row is self-contained: its documents, their lengths, the number of ids before
-it in its range, and the coded ids.  The table is written by Spark, so a lost task is simply written again.
+Documents are laid out by ascending doc_id (a null doc_id last, ties by a hash of the text) in range partitions, whose numbers follow the
+ids; each partition ("bucket") is written as segments of whole documents, coded by ``turnloom.llm.token_codec``.  A segment row is
+self-contained: its documents, their lengths, the number of ids before it in its range, and the coded ids.  The table is written by Spark,
+so a lost task is simply written again.
 
-The tokenizer sees each distinct word once: this vocabulary splits at ASCII white space in any case, so the ids of a text are those of its
-words in order.  The cache of words is bounded.
+If a vocabulary splits at ASCII white space, which is tried out when it is loaded, the tokenizer sees each distinct word once, since the ids
+of a text are then those of its words in order; the cache of words is bounded.  Other vocabularies get whole texts.
 
 Defined results: a null or empty text is the end id alone; rows that repeat are written as often as they occur; an empty table gives an
 empty result.
@@ -28,12 +28,13 @@ from turnloom.llm.storage import materialize, partitions
 from turnloom.llm.token_codec import decode_segment, encode_segment
 
 END_ID = 2
-SEGMENT_IDS = 1 << 21
+SEGMENT_IDS = 1 << 22
 CACHE_WORDS = 400_000
-NULL_KEY = 2**63 - 1
-SEGMENTS = "bucket int, seq int, before bigint, n_ids bigint, doc_ids binary, lengths binary, payload binary"
+SEGMENTS = "bucket int, seq int, before bigint, n_ids bigint, doc_ids binary, no_ids binary, lengths binary, payload binary"
+#: texts that a vocabulary must encode word by word as it encodes them whole
+_PROBES = ["Ab cd", " ab\tcd\n\nef  gh ", "it's don't 12 34,56", "x\x0by\x0cz\r\nw", "\u00e9 \u0308\u00df <|endoftext|> a", "a\u00a0b \u2028 c", "1 2 3 . . !", "\n the\n The"]
 
-_TOKENIZERS: dict[str, object] = {}
+_TOKENIZERS: dict[str, tuple] = {}
 _CACHE: dict[str, dict[bytes, bytes]] = {}
 
 
@@ -50,7 +51,13 @@ def encode_text(text: bytes, path: str) -> bytes:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _TOKENIZERS[path], _CACHE[path] = Tokenizer.from_file(path), {}
+        made = Tokenizer.from_file(path)
+        ids = lambda x: made.encode(x, add_special_tokens=False).ids
+        by_word = all(ids(x) == [i for w in x.encode().split() for i in ids(w.decode())] for x in _PROBES)
+        _TOKENIZERS[path], _CACHE[path] = (made, by_word), {}
+    tokenizer, by_word = _TOKENIZERS[path]
+    if not by_word:
+        return np.array(tokenizer.encode_batch_fast([text.decode()], add_special_tokens=False)[0].ids, dtype="<u4").tobytes()
     cache = _CACHE[path]
     words = text.split()
     new = [w for w in set(words) if w not in cache]
@@ -58,7 +65,7 @@ def encode_text(text: bytes, path: str) -> bytes:
         cache.clear()
         new = list(set(words))
     if new:
-        for word, coded in zip(new, _TOKENIZERS[path].encode_batch_fast([w.decode() for w in new], add_special_tokens=False), strict=True):
+        for word, coded in zip(new, tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False), strict=True):
             cache[word] = np.array(coded.ids, dtype="<u4").tobytes()
     return b"".join([cache[w] for w in words])
 
@@ -72,8 +79,9 @@ def _segments(path: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], It
         def flush() -> pa.RecordBatch:
             ids = np.frombuffer(b"".join(bodies), dtype="<u4")
             lengths = np.array([len(b) // 4 for b in bodies], dtype=np.int64)
-            values = [bucket, seq, before, len(ids), np.array(keys, dtype=np.int64).tobytes(), lengths.tobytes(), encode_segment(ids)]
-            types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+            nulls = np.array([k is None for k in keys])
+            values = [bucket, seq, before, len(ids), np.array([k or 0 for k in keys], dtype=np.int64).tobytes(), nulls.tobytes(), lengths.tobytes(), encode_segment(ids)]
+            types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types, strict=True)], names=[x.split()[0] for x in SEGMENTS.split(", ")])
 
         for batch in batches:
@@ -92,8 +100,10 @@ def _segments(path: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], It
 
 def write_tokens(docs: DataFrame, path: str | None = None, tokenizer: str | None = None, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encode all documents and write their segments to ``path`` (default: the shared folder); return a reader of the written table."""
-    keyed = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NULL_KEY)).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    laid = keyed.repartitionByRange(partitions(docs.sparkSession), "key").sortWithinPartitions("key", "text")
+    keyed = docs.select(F.col(id_col).cast("bigint").alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    # rows of one id, or without one, are told apart by their texts, and equal rows by their place, so none of them gather in one range
+    order = [F.col("key").asc_nulls_last(), F.xxhash64("text"), F.col("place")]
+    laid = keyed.withColumn("place", F.monotonically_increasing_id()).repartitionByRange(partitions(docs.sparkSession), *order).sortWithinPartitions(*order).drop("place")
     coded = laid.mapInArrow(_segments(tokenizer or default_tokenizer(), end_id), SEGMENTS)
     if path is None:
         return materialize(coded, "token-segments")
@@ -113,16 +123,16 @@ def read_tokens(segments: DataFrame, digest: bool = False) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, keys, lengths, payload in zip(*(batch.column(c).to_pylist() for c in ("start", "doc_ids", "lengths", "payload")), strict=True):
+            for start, keys, nulls, lengths, payload in zip(*(batch.column(c).to_pylist() for c in ("start", "doc_ids", "no_ids", "lengths", "payload")), strict=True):
                 ids, n = decode_segment(payload), np.frombuffer(lengths, np.int64)
                 ends = np.cumsum(n)
-                key = np.frombuffer(keys, np.int64)
+                key = pa.array(np.frombuffer(keys, np.int64), pa.int64(), mask=np.frombuffer(nulls, np.bool_))
                 parts = [ids[e - k : e] for e, k in zip(ends.tolist(), n.tolist(), strict=True)]
                 last = pa.array([zlib.crc32(x.tobytes()) for x in parts], pa.int64()) if digest else pa.array([x.astype(np.int64) for x in parts], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64(), mask=key == NULL_KEY), pa.array(start + ends - n, pa.int64()), pa.array(n, pa.int64()), last], names=["doc_id", "start", "n_tokens", name])
+                yield pa.RecordBatch.from_arrays([key, pa.array(start + ends - n, pa.int64()), pa.array(n, pa.int64()), last], names=["doc_id", "start", "n_tokens", name])
 
     name = "ids_crc32" if digest else "ids"
-    located = segments.join(begin, "bucket").select((F.col("begin") + F.col("before")).alias("start"), "doc_ids", "lengths", "payload")
+    located = segments.join(begin, "bucket").select((F.col("begin") + F.col("before")).alias("start"), "doc_ids", "no_ids", "lengths", "payload")
     return located.mapInArrow(run, f"doc_id bigint, start bigint, n_tokens bigint, {name} {'bigint' if digest else 'array<bigint>'}")
 
 
