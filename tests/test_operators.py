@@ -210,9 +210,12 @@ def test_wav_round_trip_and_errors():
     x = np.stack([sine(0.1), sine(0.1, hz=200)], axis=1)
     y, rate = wav.decode(wav.encode(x, 16000))
     assert rate == 16000 and y.shape == x.shape and np.abs(y - x).max() < 1e-4
-    for bad in (b"", b"RIFFxxxxWAVE", wav.encode(np.zeros(0), 8000)):
+    whole = wav.encode(x, 16000)
+    for bad in (b"", b"RIFFxxxxWAVE", wav.encode(np.zeros(0), 8000), whole[:30], wav.encode(x, 0), whole[:22] + b"\0\0" + whole[24:]):
         with pytest.raises(ValueError):
             wav.decode(bad)
+    assert wav.header(whole) == (16000, 2, 1600) and wav.header(whole[:60], len(whole)) == (16000, 2, 1600)
+    assert wav.channels_first(x).shape == (2, 1600) and wav.channels_first(x[:, 0]).shape == (1, 1600)
 
 
 def test_audio_measures():
@@ -222,7 +225,11 @@ def test_audio_measures():
     assert np.abs(wav.resample(sine(1.0), 16000, 24000)[500:-500] - sine(1.0, 24000)[500:-500]).max() < 5e-3
     assert abs(wav.loudness(wav.normalize(sine(2.0), 16000), 16000) + 23.0) < 0.1
     assert abs(np.abs(wav.normalize(sine(0.1), 16000)).max() - 0.9) < 1e-3
-    assert wav.estimate_snr(x, 16000) > 40 and wav.estimate_snr(x[:10], 16000) == 0.0
+    assert wav.estimate_snr(x) > 40 and wav.estimate_snr(x[:10]) == 0.0
+    noisy = (np.random.default_rng(0).standard_normal(60000) * np.linspace(0.01, 0.5, 60000)).astype(np.float32)
+    levels = sorted(math.sqrt(float(np.mean(noisy[i * 512 : i * 512 + 2048].astype(np.float64) ** 2))) for i in range(1 + (60000 - 2048) // 512))
+    k = len(levels) // 10
+    assert k > 5 and abs(wav.estimate_snr(noisy) - 20 * math.log10(sum(levels[-k:]) / sum(levels[:k]))) < 1e-3
     assert [wav.issue(v, 16000) for v in (np.zeros(0, np.float32), np.zeros(16000, np.float32), sine(1.0, level=0.03), sine(0.1), sine(1.0))] == ["mostly_silence", "mostly_silence", "low_energy", "mostly_silence", None]
     assert wav.issue(sine(2.0) * np.linspace(1, 0.1, 32000).astype(np.float32), 16000) == "tail_decay"
 
@@ -243,9 +250,18 @@ def test_audio_stages(spark, tmp_path):
     info = {r.call_id: r for r in wav.headers(wav.whole_calls(files)).collect()}
     assert info["a"].frames == 96000 and info["a"].channels == 2 and not info["b"].ok and len(info) == 2
     made = wav.prepare(files).collect()
-    assert sorted(r.part for r in made if r.error is None) == ["channel_0", "channel_1", "full"] and sum(r.error is not None for r in made) == 1
+    assert sorted(r.part for r in made if r.error is None) == ["channel_0", "channel_1", "full_normalized"] and sum(r.error is not None for r in made) == 1
     turns = spark.createDataFrame([("a", 0, "s", 0.0, 4.0, "x"), ("a", 1, "t", 4.0, 4.1, "y"), ("z", 0, "s", 0.0, 1.0, "q")], TURN)
-    audio = spark.createDataFrame([r for r in made if r.part == "full"], wav.PREPARED)
+    audio = spark.createDataFrame([r for r in made if r.part == "full_normalized"], wav.PREPARED)
+    about = {r.call_id: r for r in wav.recording_metadata(wav.prepare(files)).collect()}
+    assert about["a"].output_files == ["full_normalized.wav", "channel_0.wav", "channel_1.wav"] and about["b"].error and about["b"].output_files == []
+    assert (about["a"].original_format, about["a"].output_bit_depth, about["a"].target_lufs, about["a"].processed_at[:2]) == ("wav", 16, -23.0, "20")
+    wrote = wav.write_files(wav.prepare(files).withColumn("name", F.concat("part", F.lit(".wav"))), str(tmp_path / "out")).collect()
+    assert len(wrote) == 3 and wav.decode((tmp_path / "out" / "a" / "channel_1.wav").read_bytes())[1] == 24000
+    assert {r.name for r in wav.under(spark, str(tmp_path / "out")).collect()} == {"a/full_normalized.wav", "a/channel_0.wav", "a/channel_1.wav"}
+    broken = audio.unionByName(audio.withColumn("call_id", F.lit("z")).withColumn("content", F.lit(b"RIFF")))
+    assert [(r.call_id, r.error) for r in wav.clips(turns, broken).where("error IS NOT NULL").collect()] == [("z", "not a WAV file")]
+    assert all(r.uri.startswith("data:audio/wav;base64,UklGR") for r in wav.clip_uris(turns, audio).collect())
     clips = {r.idx: r for r in wav.clips(turns, audio).collect()}
     assert clips[0].audio_issue is None and clips[1].audio_issue == "mostly_silence" and len(clips) == 2
     kept, calls, _ = stages.screen(turns, spark.createDataFrame([("a", False, []), ("z", False, [])], "call_id string, rejected boolean, reject_reasons array<string>"), wav.clips(turns, audio))
@@ -254,31 +270,69 @@ def test_audio_stages(spark, tmp_path):
 
 class Echo:
     def complete(self, prompts, max_tokens):
-        if "bad" in prompts[0]:
+        if any("bad" in p for p in prompts):
             raise RuntimeError("down")
-        if "max" in prompts[0] or "[0]" in prompts[0]:
-            return ['{"confidence": 0.9, "issues": [], "assignments": [{"index": 0, "speaker": "b", "name": "Bo", "issues": []}]}']
-        return ["1. CLEAN\n2. SENSITIVE"]
+        if "[0]" in prompts[0]:
+            return ['{"confidence": 0.9, "issues": [], "assignments": [{"index": 0, "speaker": "b", "name": "Bo", "issues": []}]}' if "half" not in p else '{"assignments": [{"index": 0' for p in prompts]
+        return ["1. CLEAN\n2. SENSITIVE"] * len(prompts)
 
     def transcribe(self, content, num_speakers, language):
         return json.dumps([{"speaker": "a", "start": 0.0, "end": 1.0, "text": "hi"}, {"speaker": "b", "start": 1.0, "end": 2.0, "text": "yes"}])
 
 
 def test_model_stages(spark):
-    turns = spark.createDataFrame([("c", 0, "a", 0.0, 5.0, "x"), ("c", 1, "b", 5.0, 9.0, "y"), ("d", 0, "a", 0.0, 1.0, "bad")], TURN)
+    turns = spark.createDataFrame([("c", 0, "a", 0.0, 5.0, "x"), ("c", 1, "b", 5.0, 9.0, "y"), ("d", 0, "a", 0.0, 1.0, "bad"), ("h", 0, "a", 0.0, 1.0, "half")], TURN)
     clean, failed = stages.scrub(turns, Echo)
-    assert [(r.call_id, r.idx) for r in clean.orderBy("call_id", "idx").collect()] == [("c", 0), ("d", 0)]
+    assert [(r.call_id, r.idx) for r in clean.orderBy("call_id", "idx").collect()] == [("c", 0), ("h", 0)]
     assert failed.first().error == "RuntimeError: down"
-    calls = spark.createDataFrame([("c", "en", 2), ("e", "fr", 2)], "call_id string, language string, num_speakers int")
-    judged, fixed = stages.validate(calls, turns.where("call_id = 'c'"), Echo)
+    calls = spark.createDataFrame([("c", "en", 2), ("d", "en", 2), ("e", "fr", 2), ("h", "en", 2)], "call_id string, language string, num_speakers int")
+    judged, fixed, held = stages.validate(calls, turns, Echo)
     assert {r.call_id: (r.rejected, r.reject_reasons) for r in judged.collect()} == {"c": (False, []), "e": (True, ["language_not_allowed"])}
     assert [r.speaker for r in fixed.orderBy("idx").collect()] == ["b", "b"]
+    assert {(r.call_id, r.error) for r in held.collect()} == {("d", "RuntimeError: down"), ("h", "not accepted")}
     heard, who, bad = stages.diarize(spark.createDataFrame([("k", b"1")], "call_id string, content binary"), Echo, language="en")
     assert heard.count() == 2 and who.first().num_speakers == 2 and bad.isEmpty()
     tried = models.isolated(turns, "text", "answer", Echo, lambda m, x: m.complete([x], 5)[0], accept=lambda a: False)
     assert {r.error for r in models.succeeded(tried, "answer")[1].collect()} == {"not accepted", "RuntimeError: down"}
 
 
+def test_models_are_told_apart_and_asked_in_batches(spark):
+    made = [lambda: "one", lambda: "two"]
+    assert [models.built(f) for f in made] == ["one", "two"] and models.key_of(made[0]) == models.key_of(made[0])
+    asked = []
+
+    class Counting:
+        def complete(self, prompts, max_tokens):
+            asked.append(list(prompts))
+            return ["no" if p == "b" and len(asked) < 3 else f"<{p}>" for p in prompts]
+
+    import pandas as pd
+
+    frames = []
+    models._with_answers, whole = (lambda rows, out, answers: frames.append(answers(pd.DataFrame({"p": ["a", "b", "c"]})))), models._with_answers
+    try:
+        models.completed(None, "p", "out", Counting, 9, lambda x: x, lambda a: a != "no")
+    finally:
+        models._with_answers = whole
+    assert asked == [["a", "b", "c"], ["b"], ["b"]] and [x["value"] for x in frames[0]] == ["<a>", "<b>", "<c>"]
+    for text, found in (('{"assignments": []}', []), ("```json\n[{\"index\": 1}]\n```", [{"index": 1}]), ('so {"assignments": [{"index": 2}]} ok', [{"index": 2}]), ('{"assignments": [', None), ('{"a": 1}', None), ("assignments", None), ("[1]", None)):
+        assert models.assignments_in(text) == found
+
+
+def test_first_n_of_an_order(spark):
+    import random
+
+    from turnloom.operators import dataset
+
+    rng = random.Random(1)
+    values = [rng.choice([-(2**63), 2**63 - 1, rng.randrange(-(2**63), 2**63), 7, 7]) for _ in range(300)]
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "idx int, o bigint")
+    plain = sorted((v, i) for i, v in enumerate(values))
+    for n in (1, 2, 57, 299, 300):
+        assert sorted((r.o, r.idx) for r in dataset.first_n(rows, n, "o", "idx", cells=16, few=3).collect()) == plain[:n]
+    assert dataset.first_n(rows.where("false"), 1, "o", "idx").isEmpty()
+
+
 def test_pipeline_resumes(spark, tmp_path):
     seen = []
 
@@ -295,10 +349,16 @@ def test_pipeline_resumes(spark, tmp_path):
     manifest, steps = pipeline.Manifest({"a": 1}), ["diarize", "scrub", "validate"]
     with pytest.raises(RuntimeError):
         pipeline.run(spark, str(tmp_path), {"diarize": stage("diarize", 1), "scrub": stage("scrub", 2), "validate": broken}, steps, manifest)
-    assert manifest.rest(steps) == ["validate"]
-    again = pipeline.Manifest(data=json.loads(manifest.text()))
+    assert manifest.rest(steps) == ["validate"] and not manifest.complete("validate")
+    again = pipeline.Manifest.parsed(manifest.text())
+    assert again.config == {"a": 1} and again.resumed_at
     tables = pipeline.run(spark, str(tmp_path), {"validate": lambda t: t["scrub"]}, again.rest(steps), again)
     assert seen == ["diarize", "scrub"] and tables["validate"].first().x == 2
+    root = str(tmp_path / "own")
+    for _ in range(2):  # the second run finds the manifest of the first one and only reads
+        own = pipeline.run(spark, root, {"diarize": stage("diarize", 5)}, ["diarize"])
+        assert own["diarize"].first().x == 5
+    assert seen == ["diarize", "scrub", "diarize"] and json.loads((tmp_path / "own" / "manifest.json").read_text())["steps"]["diarize"]["status"] == "complete"
     assert pipeline.chosen_steps("2-4", {"SKIP_SCRUB": "1"}) == ["diarize", "validate"] and pipeline.chosen_steps("label,scrub", {}) == ["scrub", "label"]
 
 
@@ -311,6 +371,9 @@ def test_stream_intake(spark, tmp_path):
     intake.run_available(stream(), out, check, key="call_id")
     intake.run_available(stream(), out, check, key="call_id")
     assert sorted(r.call_id for r in spark.read.parquet(out).collect()) == [0, 1, 2, 3, 4]
+    plain, log = str(tmp_path / "plain"), str(tmp_path / "log")
+    assert intake.run_available(stream(), plain, log) == 1 and intake.run_available(stream(), plain, log) == 0
+    assert spark.read.parquet(plain).count() == 6
 
 
 def test_documents(spark, tmp_path):
@@ -322,6 +385,10 @@ def test_documents(spark, tmp_path):
     assert documents.nested_calls(calls.drop("turns"), turns).first().turns[0].end == 1.5
     documents.write_lines(spark.createDataFrame([("a.wav", "é", 1.0)], "audio string, text string, duration double"), str(tmp_path / "lines"), 1)
     assert documents.read_lines(spark, str(tmp_path / "lines")).first().text == "é"
+    assert [r.split for r in documents.read_manifests(spark, str(tmp_path / "lines"), str(tmp_path / "none")).collect()] == ["train"]
+    documents.write_documents(calls.drop("source"), str(tmp_path / "docs"))
+    assert documents.read_json(spark, str(tmp_path / "docs" / "call_id=c"), "call_id string, language string").first().language == "en"
+    assert documents.read_json(spark, str(tmp_path / "none"), "a int", spark.range(2)).count() == 2
     raw = {"results": {"items": [{"type": "pronunciation", "start_time": "0.10", "end_time": "0.2", "alternatives": [{"content": "Hi"}]}], "speaker_labels": {"segments": [{"speaker_label": "s", "items": [{"start_time": "0.10"}]}]}}}
     (tmp_path / "w.json").write_text(json.dumps(raw))
     words, labels = documents.read_cloud_result(spark, str(tmp_path / "w.json"))

@@ -118,4 +118,7 @@ def duck(query: str) -> str:
     views = ", ".join(f"{n} AS ({t})" for n, t in done.items())
     if not views:
         return body
-    return f"WITH {views}, {body[5:]}" if body[:5].upper() == "WITH " else f"WITH {views} {body}"
+    for head in ("WITH RECURSIVE ", "WITH "):
+        if body.upper().startswith(head):
+            return f"{head}{views}, {body[len(head):]}"
+    return f"WITH {views} {body}"

@@ -40,7 +40,7 @@ def frame_db(samples: Column, size: int) -> Column:
 
 def audio_issue(samples: Column, size: int, silence_db: float = SILENCE_DB, low_db: float = LOW_ENERGY_DB, floor_db: float = SPEECH_FLOOR_DB, decay_db: float = MAX_DECAY_DB, least: int = 10) -> Column:
     """The first defect of a clip, else null."""
-    level = decibels(rms(samples, 1e-12), 1e-12)
+    level = decibels(rms(samples, 1e-10), 1e-12)
     db = frame_db(samples, size)
     n = F.size(db)
     speech = F.filter(db, lambda x: x > floor_db)
@@ -58,12 +58,12 @@ def audio_issue(samples: Column, size: int, silence_db: float = SILENCE_DB, low_
     )
 
 
-def snr(samples: Column, size: int) -> Column:
-    """Ratio of the mean power of the loudest tenth of frames to that of the quietest; 0 without a whole frame."""
-    power = F.array_sort(F.transform(frames(samples, size), lambda f: _mean(F.transform(f, lambda x: x * x))))
-    k = F.greatest(F.lit(1), F.floor(F.size(power) / 10)).cast("int")
-    noise, signal = _mean(F.slice(power, 1, k)), _mean(F.slice(power, F.size(power) - k + 1, k))
-    return F.when(F.size(power) > 0, 10.0 * F.log10((signal + 1e-10) / (noise + 1e-10))).otherwise(0.0)
+def snr(samples: Column, size: int = 2048, hop: int = 512) -> Column:
+    """Ratio of the mean level of the loudest tenth of overlapping frames to that of the quietest, in decibels; 0 without a whole frame."""
+    level = F.array_sort(F.transform(frames(samples, size, hop), lambda f: rms(f)))
+    k = F.greatest(F.lit(1), F.floor(F.size(level) / 10)).cast("int")
+    noise, signal = _mean(F.slice(level, 1, k)), _mean(F.slice(level, F.size(level) - k + 1, k))
+    return F.when(F.size(level) > 0, 20.0 * F.log10((signal + 1e-10) / (noise + 1e-10))).otherwise(0.0)
 
 
 def trim_bounds(samples: Column, size: int = 2048, hop: int = 512, silence_db: float = SILENCE_DB) -> Column:

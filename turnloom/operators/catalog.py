@@ -39,12 +39,6 @@ def shred(calls: DataFrame, turns: DataFrame, files: DataFrame | None = None) ->
     }
 
 
-def register(tables: dict[str, DataFrame]) -> None:
-    """Make the tables temporary views."""
-    for name, df in tables.items():
-        df.createOrReplaceTempView(name)
-
-
 def schema_text() -> str:
     """The catalog's schema for people to read."""
     return "\n".join(f"{name}({columns})" for name, columns in VIEWS.items())
@@ -62,11 +56,12 @@ def any_case(query: str) -> str:
 
 
 def select_ids(spark: SparkSession, tables: dict[str, DataFrame], query: str, ignore_case: bool = True) -> DataFrame:
-    """Distinct values of the first column of a query over the catalog."""
+    """Distinct values of the first column of a query over the catalog, whose tables are visible to this query only."""
     if not re.match(r"\s*(select|with|from|values|table)\b", query, re.I):
         raise ValueError("only queries are accepted")
-    register(tables)
-    made = spark.sql(any_case(query) if ignore_case else query)
+    body = (any_case(query) if ignore_case else query).replace("{", "{{").replace("}", "}}")
+    names = ", ".join(f"{t} AS (SELECT * FROM {{{t}}})" for t in tables)
+    made = spark.sql(f"WITH {names} SELECT * FROM ({body})", **tables)
     return made.select(made[made.columns[0]].cast("string").alias("call_id")).distinct()
 
 
@@ -77,9 +72,14 @@ def issue_counts(tables: dict[str, DataFrame], ids: DataFrame) -> DataFrame:
 
 
 class Invalidation:
-    """Outputs of chosen calls, to be removed from stage tables and from all stages that follow."""
+    """Outputs of chosen calls, to be removed from stage tables and from all stages that follow.
 
-    def __init__(self, ids: DataFrame, stages: list[str], order: list[str], cascade: bool = True):
+    ``allowed`` are the stages that may be named; nothing is removed before ``apply``.
+    """
+
+    def __init__(self, ids: DataFrame, stages: list[str], order: list[str], cascade: bool = True, allowed: tuple[str, ...] | None = None):
+        if not stages or not set(stages) <= set(order if allowed is None else allowed):
+            raise ValueError(f"stages are some of {', '.join(order if allowed is None else allowed)}")
         first = min(order.index(s) for s in stages)
         self.ids, self.stages = ids.select("call_id").distinct(), order[first:] if cascade else [s for s in order if s in stages]
 
@@ -91,6 +91,10 @@ class Invalidation:
             out = out.unionByName(p)
         return out
 
+    def listing(self, catalog: dict[str, DataFrame]) -> DataFrame:
+        """The chosen calls with the number of their turn issues."""
+        return issue_counts(catalog, self.ids)
+
     def apply(self, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
         """The stage tables without the chosen calls."""
         return {s: df.join(self.ids, "call_id", "left_anti") if s in self.stages else df for s, df in tables.items()}

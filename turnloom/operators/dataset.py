@@ -39,17 +39,37 @@ def holdout_size(total: int, share: float = 0.06, least: int = 20) -> int:
     return 0 if total <= least else max(1, round(total * share))
 
 
-def split(rows: DataFrame, share: float = 0.06, order: Column | None = None) -> DataFrame:
-    """Add ``split``: the first rows in a fixed pseudo-random order are val, the rest train.
+def first_n(rows: DataFrame, n: int, order: str, *keys: str, cells: int = 4096, few: int = 100_000) -> DataFrame:
+    """The ``n`` least rows by a whole-number column and then by keys, for ``n`` up to the number of rows.
 
-    The n-th order value is found by a top-n over (order, keys), so no row passes a single task but the holdout's.
+    The range of the order is cut into cells, whose counts tell which one holds the n-th row; that cell is cut again until it holds ``few``
+    rows.  Only rows of the last cell are ranked.
     """
+    low, high = rows.agg(F.min(order), F.max(order)).first()
+    whole, rest = F.lit(False), n
+    while low is not None:
+        shift = max(0, (high - low).bit_length() - cells.bit_length() + 2)
+        counts = rows.where(F.col(order).between(low, high)).groupBy(F.shiftright(order, shift).alias("cell")).agg(F.count("*")).collect()  # at most ``cells`` rows
+        for cell, k in sorted(map(tuple, counts)):
+            if rest <= k:
+                break
+            rest -= k
+        low, high = max(low, cell << shift), min(high, (cell + 1 << shift) - 1)
+        whole = F.col(order) < low
+        if shift == 0 or k <= few:
+            break
+    last = rows.where(F.col(order).between(low, high)).orderBy(order, *keys).limit(rest) if low is not None else rows.where(F.lit(False))
+    return rows.where(whole).unionByName(last)
+
+
+def split(rows: DataFrame, share: float = 0.06, order: Column | None = None) -> DataFrame:
+    """Add ``split``: the first rows in a fixed pseudo-random order are val, the rest train."""
     draw = shuffled("call_id", "idx", seed=1) if order is None else order
     n = holdout_size(rows.count(), share)
     keyed = rows.withColumn("_order", draw)
     if n == 0:
         return keyed.withColumn("split", F.lit("train")).drop("_order")
-    held = keyed.orderBy("_order", "call_id", "idx").limit(n).select("call_id", "idx", F.lit("val").alias("split"))
+    held = first_n(keyed.select("call_id", "idx", "_order"), n, "_order", "call_id", "idx").select("call_id", "idx", F.lit("val").alias("split"))
     return keyed.join(held, ["call_id", "idx"], "left").withColumn("split", F.coalesce("split", F.lit("train"))).drop("_order")
 
 
@@ -59,6 +79,11 @@ def manifest(rows: DataFrame, audio: str = "audio") -> DataFrame:
     return public(made)
 
 
+def combined(train: DataFrame, val: DataFrame) -> DataFrame:
+    """Both manifests as one, with ``split``."""
+    return train.withColumn("split", F.lit("train")).unionByName(val.withColumn("split", F.lit("val")), allowMissingColumns=True)
+
+
 def public(rows: DataFrame) -> DataFrame:
     """Without columns whose names begin with ``_``."""
     return rows.select(*[c for c in rows.columns if not c.startswith("_")])

@@ -36,6 +36,11 @@ def survivors(turns: DataFrame) -> DataFrame:
     return counted.withColumn("reject_reason", reason).withColumn("rejected", F.col("reject_reason").isNotNull())
 
 
+def sorted_reasons(reasons: Column) -> Column:
+    """Distinct reasons in order, nulls left out."""
+    return F.array_sort(F.array_distinct(F.array_compact(reasons)))
+
+
 def removed_counts(turns: DataFrame) -> DataFrame:
     """How often each code dropped a turn, a row for each call and code."""
     return turns.select("call_id", F.explode("drop_codes").alias("code")).groupBy("call_id", "code").agg(F.count("*").alias("n"))

@@ -60,22 +60,28 @@ def reason_ranks(reasons: DataFrame) -> DataFrame:
     return reasons.groupBy("reason").agg(F.count("*").alias("n")).withColumn("rank", F.row_number().over(Window.orderBy(F.col("n").desc(), "reason")))  # one row a reason
 
 
-def label_stats(turns: DataFrame, flags: DataFrame) -> DataFrame:
-    """Turns of me and of others, seconds of me, and flagged calls."""
+def label_stats(turns: DataFrame, flags: DataFrame, top: int = 4) -> DataFrame:
+    """Turns of me and of others, seconds of me in all and by language, flagged calls, and how often each flag was raised."""
     me = F.col("speaker_label") == "me"
     own = turns.agg(F.count_if(me).alias("me_turns"), F.count_if(~me).alias("other_turns"), F.coalesce(F.sum(F.when(me, F.col("duration"))), F.lit(0.0)).alias("me_seconds"))
-    return long_form(own, "label").unionByName(long_form(flags.agg(F.count_if(F.size("flags") > 0).alias("flagged_calls")), "label"))
+    out = long_form(own, "label").unionByName(long_form(flags.agg(F.count_if(F.size("flags") > 0).alias("flagged_calls")), "label"))
+    raised = flags.select(F.explode("flags").alias("flag")).groupBy("flag").agg(F.count("*").cast("double").alias("value"))
+    out = out.unionByName(raised.select(F.lit("label").alias("stage"), F.concat(F.lit("flag:"), "flag").alias("metric"), "value"))
+    if "language" not in turns.columns:
+        return out
+    by = language_totals(turns.where(me & F.col("language").isNotNull()), "language", "duration", top)
+    return out.unionByName(by.select(F.lit("label").alias("stage"), F.concat(F.lit("me_seconds:"), "label").alias("metric"), F.col("seconds").alias("value")))
 
 
 def export_stats(rows: DataFrame, clips: DataFrame | None = None) -> DataFrame:
-    """Rows and seconds by split; without stated durations, those of the clips."""
+    """Rows and seconds by split, and seconds in all: if the manifests state none, those of the clips."""
     own = rows.groupBy("split").agg(F.count("*").alias("rows"), F.coalesce(F.sum("duration"), F.lit(0.0)).alias("seconds"))
     pairs = own.select(F.lit("finetune").alias("stage"), F.explode(F.array(F.struct(F.concat("split", F.lit("_rows")).alias("metric"), F.col("rows").cast("double").alias("value")), F.struct(F.concat("split", F.lit("_seconds")).alias("metric"), F.col("seconds").alias("value")))).alias("p"))
-    out = pairs.select("stage", "p.metric", "p.value")
-    if clips is None:
-        return out
-    spare = long_form(clips.agg(F.coalesce(F.sum("duration"), F.lit(0.0)).alias("clip_seconds")), "finetune")
-    return out.unionByName(spare)
+    total = rows.agg(F.coalesce(F.sum("duration"), F.lit(0.0)).alias("seconds"))
+    if clips is not None:
+        spare = clips.agg(F.coalesce(F.sum("duration"), F.lit(0.0)).alias("spare"))
+        total = total.join(spare).select(F.when(F.col("seconds") == 0, F.col("spare")).otherwise(F.col("seconds")).alias("seconds"))  # one row each
+    return pairs.select("stage", "p.metric", "p.value").unionByName(long_form(total, "finetune"))
 
 
 def dashboard(parts: list[DataFrame]) -> DataFrame:

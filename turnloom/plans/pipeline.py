@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import itertools
 import json
 import os
 from collections.abc import Callable, Mapping
+from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from time import monotonic
 
@@ -17,28 +19,43 @@ OPTIONAL = ("scrub", "validate")
 Stage = Callable[[Mapping[str, DataFrame]], DataFrame]
 
 
+@dataclass
 class Manifest:
-    """What was run, with its configuration and times; kept on the driver as JSON text."""
+    """A log of steps that ended; what is complete, and what a reader of the file sees, follow from it."""
 
-    def __init__(self, config: dict | None = None, data: dict | None = None):
-        self.data = data or {"started_at": now(), "config": config or {}, "steps": {}}
+    config: dict = field(default_factory=dict)
+    started_at: str = field(default_factory=lambda: now())
+    events: list[dict] = field(default_factory=list)
+    resumed_at: str | None = None
 
     def record(self, step: str, status: str, elapsed: float, error: str | None = None) -> None:
-        """Note the end of a step."""
-        self.data["steps"][step] = {"status": status, "elapsed": round(elapsed, 1), "finished_at": now()} | ({"error": error} if error else {})
+        """Add the end of a step."""
+        event = {"step": step, "status": status, "elapsed": round(elapsed, 1), "finished_at": now()}
+        self.events.append(event if error is None else {**event, "error": error})
 
     def complete(self, step: str) -> bool:
-        """Whether a step has ended well."""
-        return self.data["steps"].get(step, {}).get("status") == "complete"
+        """Whether a step's last end was a good one."""
+        return any(e["status"] == "complete" for e in self.events if e is self._last(step))
+
+    def _last(self, step: str) -> dict | None:
+        return max((e for e in self.events if e["step"] == step), key=self.events.index, default=None)
 
     def rest(self, steps: list[str]) -> list[str]:
-        """The steps from the first one that is not complete."""
-        at = next((k for k, s in enumerate(steps) if not self.complete(s)), len(steps))
-        return steps[at:]
+        """The steps that have to run: all that do not belong to the unbroken row of complete ones at the beginning."""
+        done = list(itertools.takewhile(self.complete, steps))
+        return steps[len(done) :]
 
     def text(self) -> str:
-        """The manifest as JSON."""
-        return json.dumps(self.data, indent=2, ensure_ascii=False)
+        """The manifest as JSON: the last end of each step."""
+        steps = {e["step"]: {k: v for k, v in e.items() if k != "step"} for e in self.events}
+        whole = {"started_at": self.started_at, "resumed_at": self.resumed_at, "config": self.config, "steps": steps}
+        return json.dumps({k: v for k, v in whole.items() if v is not None}, indent=2, ensure_ascii=False)
+
+    @classmethod
+    def parsed(cls, text: str) -> Manifest:
+        """The manifest of an earlier run, taken up now."""
+        data = json.loads(text)
+        return cls(data.get("config", {}), data["started_at"], [{"step": s, **e} for s, e in data.get("steps", {}).items()], now())
 
 
 def now() -> str:
@@ -48,23 +65,37 @@ def now() -> str:
 
 def chosen_steps(spec: str | None = None, skip: Mapping[str, str] | None = None) -> list[str]:
     """Steps by number (``1,3-5``) or name, in order, without optional ones that ``SKIP_<STEP>`` turns off."""
-    skip = os.environ if skip is None else skip
-    if spec is None:
-        steps = ORDER
-    elif all(p.strip() in ORDER for p in spec.split(",")):
-        wanted = {p.strip() for p in spec.split(",")}
-        steps = [s for s in ORDER if s in wanted]
-    else:
-        steps = [ORDER[k - 1] for k in spans(spec, 1, len(ORDER))]
-    return [s for s in steps if not (s in OPTIONAL and skip.get(f"SKIP_{s.upper()}", "").lower() in ("1", "true", "yes"))]
-
-
-def run(spark: SparkSession, root: str, stages: Mapping[str, Stage], steps: list[str], manifest: Manifest | None = None, save: Callable[[Manifest], None] = lambda m: None) -> dict[str, DataFrame]:
+    named = {p.strip() for p in (spec or ",".join(ORDER)).split(",")}
+    wanted = named if named <= set(ORDER) else {ORDER[k - 1] for k in spans(spec, 1, len(ORDER))}
+    off = {s for s in OPTIONAL if (os.environ if skip is None else skip).get(f"SKIP_{s.upper()}", "").lower() in ("1", "true", "yes")}
+    return [s for s in ORDER if s in wanted - off]
+
+
+def saved_at(spark: SparkSession, path: str) -> tuple[Manifest | None, Callable[[Manifest], None]]:
+    """The manifest that a file holds, if it is there, and a function that replaces the file; both through Spark's file systems."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def save(manifest: Manifest) -> None:
+        out = system.create(place, True)
+        out.write(bytearray(manifest.text().encode()))
+        out.close()
+
+    if not system.exists(place):
+        return None, save
+    return Manifest.parsed("\n".join(r.value for r in spark.read.option("wholetext", True).text(path).collect())), save
+
+
+def run(spark: SparkSession, root: str, stages: Mapping[str, Stage], steps: list[str], manifest: Manifest | None = None, save: Callable[[Manifest], None] | None = None) -> dict[str, DataFrame]:
     """Run steps in order; each stage table is written under ``root`` and read again, and complete steps are only read.
 
-    A stage sees the tables of all stages before it, also of those that an earlier run completed.
+    A stage sees the tables of all stages before it, also of those that an earlier run completed.  Unless the caller does so, the manifest is
+    kept in ``root/manifest.json``, so a run that is started again goes on after its last complete step.
     """
-    manifest = manifest or Manifest()
+    if manifest is None:
+        known, own = saved_at(spark, f"{root}/manifest.json")
+        manifest, save = known or Manifest(), save or own
+    save = save or (lambda m: None)
     tables: dict[str, DataFrame] = {}
     for step in ORDER:
         path = f"{root}/{step}"

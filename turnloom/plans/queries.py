@@ -155,12 +155,17 @@ def _(v):
     return review.numbered_turns(v.turns, 4)
 
 
-@query("f6_indexed_prompt", "SELECT call_id, CAST(floor(idx / 4) AS BIGINT) AS batch, string_agg(printf('[%d] %s (', idx, speaker) || format('{:.1f}s - {:.1f}s): ', round(start_s, 1), round(end_s, 1)) || text, chr(10) ORDER BY idx) AS prompt, count(*) AS n_turns FROM {turns} GROUP BY ALL".replace("{:.1f}s - {:.1f}s", "<<1f>>"))
-def _(v):
-    return review.indexed_turns(v.turns, 4)
+TENTHS = "CAST(({ms} + 50) // 100 // 10 AS VARCHAR) || '.' || CAST(({ms} + 50) // 100 % 10 AS VARCHAR) || 's'"
+
 
+def tenths(c: str) -> str:
+    """SQL of seconds that are whole milliseconds, with one decimal, halves up."""
+    return TENTHS.replace("{ms}", f"CAST(round({c} * 1000) AS BIGINT)")
 
-del ORACLES["f6_indexed_prompt"]  # the engines round halves of a tenth differently
+
+@query("f6_indexed_prompt", f"SELECT call_id, CAST(floor(idx / 4) AS BIGINT) AS batch, string_agg(printf('[%d] %s (', idx, speaker) || {tenths('start_s')} || ' - ' || {tenths('end_s')} || '): ' || text, chr(10) ORDER BY idx) AS prompt, count(*) AS n_turns FROM {{turns}} GROUP BY ALL")
+def _(v):
+    return review.indexed_turns(v.turns, 4)
 
 
 @query("x9_language_code", "SELECT doc_id, lower(string_split(upper(lang) || '-XX', '-')[1]) AS code FROM documents")
@@ -223,18 +228,33 @@ def _(v):
     return review.turn_issue_set(rows).select("call_id", F.when(F.size("turn_issues") > 0, F.array_join("turn_issues", ",")).alias("turn_issues"))
 
 
-@query("x7_validation_response", "SELECT call_id, confidence, CAST(CASE WHEN file_issue = '' THEN 0 ELSE 1 END AS INT) AS n_issues, CAST(1 AS INT) AS n_assignments, 'spk_1' AS speaker FROM {responses}")
+@query("x7_validation_response", """
+    SELECT call_id, CASE WHEN call_id % 4 = 3 THEN NULL WHEN call_id % 4 = 2 THEN -1.0 ELSE confidence END AS confidence,
+      CASE WHEN call_id % 4 = 3 THEN NULL WHEN call_id % 4 = 2 OR file_issue = '' THEN '' ELSE file_issue END AS issues,
+      CASE WHEN call_id % 4 = 3 THEN NULL ELSE (SELECT string_agg(a.a_index || ':' || a.speaker || ':' || a.name, ',' ORDER BY a.a_index, a.pos) FROM {assignments} a WHERE a.call_id = r.call_id) END AS assigned
+    FROM {responses} r""")
 def _(v):
-    issues = F.when(F.col("file_issue") == "", F.lit("\"made_up\"")).otherwise(F.concat(F.lit('"'), "file_issue", F.lit('", "made_up"')))
-    body = F.format_string('Sure:\n{"confidence": %s, "issues": [%s], "assignments": [{"index": 0, "speaker": "spk_1", "name": "", "issues": []}]}\nDone.', F.col("confidence").cast("string"), issues)
-    rows = v.responses.select("call_id", review.validation_response(F.when(F.col("call_id") % 2 == 0, F.concat(F.lit("```json\n"), F.regexp_replace(F.regexp_replace(body, "^Sure:\n", ""), "\nDone.$", ""), F.lit("\n```"))).otherwise(body)).alias("r"))
-    return rows.select("call_id", "r.confidence", F.size("r.issues").alias("n_issues"), F.size("r.assignments").alias("n_assignments"), F.col("r.assignments")[0]["speaker"].alias("speaker"))
+    one = F.to_json(F.struct(F.col("a_index").alias("index"), "speaker", "name", F.array(F.lit("made_up")).alias("issues")))
+    listed = v.assignments.groupBy("call_id").agg(F.concat(F.lit("["), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("a_index", "pos", one.alias("body")))), lambda a: a["body"]), ", "), F.lit("]")).alias("list"))
+    issues = F.when(F.col("file_issue") == "", F.lit('"made_up"')).otherwise(F.concat(F.lit('"'), "file_issue", F.lit('", "made_up"')))
+    body = F.concat(F.lit('{"confidence": '), F.col("confidence").cast("string"), F.lit(', "issues": ['), issues, F.lit('], "assignments": '), "list", F.lit("}"))
+    kind = F.col("call_id") % 4
+    text_ = F.when(kind == 0, F.concat(F.lit("```json\n"), body, F.lit("\n```"))).when(kind == 1, F.concat(F.lit("Sure:\n"), body, F.lit("\nDone."))).when(kind == 2, F.col("list")).otherwise(F.concat(F.lit("{broken "), body))
+    rows = v.responses.join(listed, "call_id").select("call_id", review.validation_response(text_).alias("r"))
+    said = F.transform("r.assignments", lambda a: F.concat_ws(":", a["index"].cast("string"), a["speaker"], a["name"]))
+    return rows.select("call_id", "r.confidence", F.array_join("r.issues", ",").alias("issues"), F.array_join(said, ",").alias("assigned"))
 
 
-@query("x4_json_text", "SELECT conv_id, turn, turn % 3 <> 2 AS found FROM conversations")
+@query("x4_json_text", """
+    WITH t AS (SELECT conv_id, turn, chr(123) || '"n": ' || turn || ', "text": ' || to_json(text) || chr(125) AS obj, '[' || turn || ', ' || to_json(text) || ']' AS arr, regexp_matches(text, '[\\x7B\\x7D\\[\\]`]') AS odd FROM conversations)
+    SELECT conv_id, turn, CASE WHEN odd OR turn % 5 = 3 THEN NULL WHEN turn % 5 = 2 THEN arr ELSE obj END AS found FROM t""")
 def _(v):
-    body = F.when(F.col("turn") % 3 == 0, F.concat(F.lit("Here: {\"n\": "), F.col("turn").cast("string"), F.lit("} ok"))).when(F.col("turn") % 3 == 1, F.concat(F.lit("```\n["), F.col("turn").cast("string"), F.lit("]\n```"))).otherwise("none {bad} [1]")
-    return v.conversations.select("conv_id", "turn", text.json_text(body).isNotNull().alias("found"))
+    quoted = F.regexp_replace(F.to_json(F.struct("text")), r'^\{"text":|\}$', "")
+    obj = F.concat(F.lit('{"n": '), F.col("turn").cast("string"), F.lit(', "text": '), quoted, F.lit("}"))
+    arr = F.concat(F.lit("["), F.col("turn").cast("string"), F.lit(", "), quoted, F.lit("]"))
+    kind = F.col("turn") % 5
+    noisy = F.when(kind == 0, F.concat(F.lit("Here: "), obj, F.lit(" ok"))).when(kind == 1, F.concat(F.lit("```json\n"), obj, F.lit("\n```"))).when(kind == 2, F.concat(F.lit("So "), arr, F.lit(" it is"))).when(kind == 3, F.concat(F.lit("{bad "), arr, F.lit("}"))).otherwise(obj)
+    return v.conversations.select("conv_id", "turn", F.when(~F.col("text").rlike(r"[{}\[\]`]"), text.json_text(noisy)).alias("found"))
 
 
 @query("x5_scored_turns", "SELECT call_id, idx, 'Speaker_' || CAST(idx % 2 + 1 AS VARCHAR) AS speaker, CAST(length(trim(replace(text, chr(10), ' '))) AS INT) AS chars FROM {turns}")
@@ -286,7 +306,7 @@ def _(v):
 
 
 @query("w8_audio_issue", FRAMES4 + """,
-    c AS (SELECT clip_id, 20 * log10(sqrt(avg(v*v) + 1e-12) + 1e-12) AS level FROM {samples} GROUP BY clip_id),
+    c AS (SELECT clip_id, 20 * log10(sqrt(avg(v*v) + 1e-10) + 1e-12) AS level FROM {samples} GROUP BY clip_id),
     a AS (SELECT clip_id, count(*) FILTER (db > -30) AS speech, avg(db) FILTER (db > -30 AND frame < 5) AS head, avg(db) FILTER (db > -30 AND frame >= 10) AS tail FROM f GROUP BY clip_id)
     SELECT clip_id, CASE WHEN level < -40 THEN 'mostly_silence' WHEN level < -30 THEN 'low_energy' WHEN speech < 10 OR head IS NULL OR tail IS NULL THEN 'mostly_silence' WHEN head - tail > 5 THEN 'tail_decay' END AS issue FROM c JOIN a USING (clip_id)""")
 def _(v):
@@ -294,10 +314,11 @@ def _(v):
 
 
 @query("w9_snr", """
-    WITH f AS (SELECT clip_id, floor(i / 8) AS frame, avg(v*v) AS p FROM {samples} GROUP BY ALL)
-    SELECT clip_id, round(10 * log10((max(p) + 1e-10) / (min(p) + 1e-10)), 4) AS snr FROM f GROUP BY clip_id""")
+    WITH f AS (SELECT s.clip_id, k.frame, sqrt(avg(s.v*s.v)) AS level FROM {samples} s JOIN (SELECT unnest(range(0, 61)) AS frame) k ON s.i >= k.frame AND s.i < k.frame + 4 GROUP BY ALL),
+    r AS (SELECT *, row_number() OVER (PARTITION BY clip_id ORDER BY level) AS rn, count(*) OVER (PARTITION BY clip_id) AS n FROM f)
+    SELECT clip_id, round(20 * log10((avg(level) FILTER (rn > n - n // 10) + 1e-10) / (avg(level) FILTER (rn <= n // 10) + 1e-10)), 4) + 0.0 AS snr FROM r GROUP BY clip_id""")
 def _(v):
-    return v.clips.select("clip_id", F.round(signal.snr(F.col("samples"), 8), 4).alias("snr"))
+    return v.clips.select("clip_id", (F.round(signal.snr(F.col("samples"), 4, 1), 4) + 0.0).alias("snr"))
 
 
 @query("w4_trim_bounds", """
@@ -466,10 +487,31 @@ def _(v):
     return catalog.issue_counts(tables, tables["calls"].select("call_id"))
 
 
-@query("b12_invalidation", "SELECT 'segment' AS stage, count(*) AS rows FROM {turns} t JOIN {calls} c USING (call_id) WHERE language = 'de' UNION ALL SELECT 'filter', count(*) FROM {judged} t JOIN {calls} c USING (call_id) WHERE language = 'de'")
+GONE = "SELECT '{what}' AS what, '{stage}' AS stage, count(*) AS rows FROM {table} t LEFT JOIN {calls} c ON c.call_id = t.call_id WHERE {cond}"
+
+
+def gone(what: str, stage: str, table: str, cond: str) -> str:
+    """SQL of the rows of a stage that go or stay."""
+    return GONE.replace("{what}", what).replace("{stage}", stage).replace("{table}", table).replace("{cond}", cond)
+
+
+@query("b12_invalidation", " UNION ALL ".join([
+    gone("goes", "segment", "{turns}", "c.language = 'de'"), gone("goes", "filter", "{judged}", "c.language = 'de'"),
+    gone("stays", "validate", "{calls}", "true"), gone("stays", "segment", "{turns}", "c.language IS DISTINCT FROM 'de'"), gone("stays", "filter", "{judged}", "c.language IS DISTINCT FROM 'de'"),
+]))
 def _(v):
     tables = {"validate": v.calls, "segment": v.turns, "filter": v.judged}
-    return catalog.Invalidation(catalog.where(_catalog(v), "language = 'de'"), ["segment"], ["validate", "segment", "filter"]).preview(tables)
+    plan = catalog.Invalidation(catalog.where(_catalog(v), "language = 'de'"), ["segment"], ["validate", "segment", "filter"])
+    out = plan.preview(tables).select(F.lit("goes").alias("what"), "stage", "rows")
+    for stage, left in plan.apply(tables).items():
+        out = out.unionByName(left.agg(F.count("*").alias("rows")).select(F.lit("stays").alias("what"), F.lit(stage).alias("stage"), "rows"))
+    return out
+
+
+@query("q6_listing", ISSUES + " SELECT c.call_id, count(ti.issue) AS n FROM (SELECT DISTINCT call_id FROM {calls} WHERE language = 'fr') c LEFT JOIN ti ON ti.call_id = c.call_id GROUP BY c.call_id")
+def _(v):
+    tables = _catalog(v)
+    return catalog.Invalidation(catalog.where(tables, "language = 'fr'"), ["segment"], ["segment"]).listing(tables)
 
 
 @query("u3_first_wins", "SELECT text_len, min(doc_id) AS doc_id FROM (SELECT length(text) AS text_len, doc_id FROM documents) GROUP BY text_len")
@@ -528,15 +570,20 @@ def _(v):
     return _rounded(stats.segment_stats(calls, merged.select(F.length("text").alias("length"))))
 
 
-@query("g20_label_stats", "WITH l AS (SELECT * FROM {labelled}) " + long_sql("label", "l", {"me_turns": "count(*) FILTER (speaker_label = 'me')", "other_turns": "count(*) FILTER (speaker_label <> 'me')", "me_seconds": "sum(duration) FILTER (speaker_label = 'me')"}) + " UNION ALL SELECT 'label', 'flagged_calls', CAST(count(*) FILTER (num_speakers < 2) AS DOUBLE) FROM {calls}")
+@query("g20_label_stats", LANGS.replace("FROM {labelled}", "FROM {labelled} WHERE speaker_label = 'me'") + ", x AS (SELECT * FROM {labelled}) " + long_sql("label", "x", {"me_turns": "count(*) FILTER (speaker_label = 'me')", "other_turns": "count(*) FILTER (speaker_label <> 'me')", "me_seconds": "sum(duration) FILTER (speaker_label = 'me')"}) + """
+    UNION ALL SELECT 'label', 'flagged_calls', CAST(count(*) FILTER (num_speakers < 2 OR language = 'de') AS DOUBLE) FROM {calls}
+    UNION ALL SELECT 'label', 'flag:low_similarity', CAST(count(*) AS DOUBLE) FROM {calls} WHERE num_speakers < 2 HAVING count(*) > 0
+    UNION ALL SELECT 'label', 'flag:ambiguous_match', CAST(count(*) AS DOUBLE) FROM {calls} WHERE language = 'de' HAVING count(*) > 0
+    UNION ALL SELECT 'label', 'me_seconds:' || label, round(seconds, 3) FROM g WHERE label <> 'other' OR seconds >= 1""")
 def _(v):
-    flags = v.calls.select("call_id", F.array_compact(F.array(F.when(F.col("num_speakers") < 2, F.lit("low_similarity")))).alias("flags"))
-    return _rounded(stats.label_stats(v.labelled, flags))
+    flags = v.calls.select("call_id", F.array_compact(F.array(F.when(F.col("num_speakers") < 2, F.lit("low_similarity")), F.when(F.col("language") == "de", F.lit("ambiguous_match")))).alias("flags"))
+    return _rounded(stats.label_stats(v.labelled, flags, 2))
 
 
-@query("g21_export_stats", SPLIT + " SELECT 'finetune' AS stage, split || '_rows' AS metric, CAST(count(*) AS DOUBLE) AS value FROM s GROUP BY split UNION ALL SELECT 'finetune', split || '_seconds', round(sum(duration), 3) FROM s GROUP BY split")
+@query("g21_export_stats", SPLIT + " SELECT 'finetune' AS stage, split || '_rows' AS metric, CAST(count(*) AS DOUBLE) AS value FROM s GROUP BY split UNION ALL SELECT 'finetune', split || '_seconds', 0.0 FROM s GROUP BY split UNION ALL SELECT 'finetune', 'seconds', round(sum(duration), 3) FROM {labelled}")
 def _(v):
-    return _rounded(stats.export_stats(dataset.split(dataset.own_turns(v.labelled), order=draw())))
+    rows = dataset.split(dataset.own_turns(v.labelled), order=draw()).withColumn("duration", F.lit(None).cast("double"))
+    return _rounded(stats.export_stats(rows, v.labelled.select("duration")))
 
 
 @query("s5_reason_ranks", "WITH r AS (SELECT file_issue AS reason FROM {responses} WHERE file_issue <> '' UNION ALL SELECT 'low_confidence' FROM {responses} WHERE confidence < 0.6) SELECT reason, count(*) AS n, CAST(row_number() OVER (ORDER BY count(*) DESC, reason) AS INT) AS rank FROM r GROUP BY reason")
@@ -586,7 +633,7 @@ def curation(v):
     return calls.select("call_id", "language", "original_turn_count", "filtered_turn_count", count("too_short"), count("too_long"), "rejected")
 
 
-@query("p_wav_round_trip", "SELECT clip_id, count(*) AS frames, round(sum(round(v * 32767) / 32768), 3) AS total FROM {samples} GROUP BY clip_id")
+@query("p_wav_round_trip", "SELECT clip_id, count(*) AS frames, CAST(sum(trunc(v * 16384)) AS BIGINT) AS total FROM {samples} GROUP BY clip_id")
 def _(v):
     from turnloom.sources import wav
 
@@ -595,13 +642,11 @@ def _(v):
         import pyarrow as pa
 
         for b in batches:
-            sounds = [wav.decode(wav.encode(np.array(x), 16000))[0][:, 0] for x in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(s) for s in sounds], pa.int64()), pa.array([round(float(s.astype("float64").sum()), 3) for s in sounds])], names=["clip_id", "frames", "total"])
-
-    return v.clips.mapInArrow(run, "clip_id bigint, frames bigint, total double")
+            # samples on the grid of 16 bits, so that the round trip is exact
+            sounds = [wav.decode(wav.encode(np.trunc(np.array(x) * 16384) / 32767, 16000))[0][:, 0] for x in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(s) for s in sounds], pa.int64()), pa.array([round(float((s.astype("float64") * 32768).sum())) for s in sounds], pa.int64())], names=["clip_id", "frames", "total"])
 
-
-del ORACLES["p_wav_round_trip"]  # rounding of halves differs; the tests hold the round trip exactly
+    return v.clips.mapInArrow(run, "clip_id bigint, frames bigint, total bigint")
 
 
 @query("m5_isolation", "SELECT call_id, idx, idx % 4 <> 3 AS ok FROM {turns}")
@@ -619,15 +664,191 @@ def _(v):
     return models.isolated(v.turns.select("call_id", "idx"), "idx", "answer", factory, call).select("call_id", "idx", "answer.ok")
 
 
-@query("f5_carried_context", "SELECT call_id, idx, CASE WHEN min(speaker) FILTER (idx = 0) OVER (PARTITION BY call_id) = 'spk_0' THEN 'spk_0' ELSE 'spk_1' END AS speaker FROM {turns}")
+@query("f5_carried_context", """
+    WITH RECURSIVE n AS (SELECT *, CAST(row_number() OVER (PARTITION BY call_id ORDER BY idx) - 1 AS BIGINT) AS k FROM {turns}),
+    r AS (SELECT call_id, idx, k, CASE WHEN length(text) % 2 = 0 THEN 'spk_0' ELSE speaker END AS speaker FROM n WHERE k < 2
+      UNION ALL SELECT n.call_id, n.idx, n.k, CASE WHEN length(n.text) % 2 = 0 THEN r.speaker ELSE n.speaker END FROM r JOIN n ON n.call_id = r.call_id AND n.k = r.k + 2)
+    SELECT call_id, idx, speaker FROM r""")
 def _(v):
+    """The stand-in model gives a turn of even length the speaker that the turn two before has now: a chain through all batches."""
     from turnloom import models
 
     def factory():
         return None
 
     def call(_, before, part):
-        first = before[-1]["speaker"] if before else part[0]["speaker"]
-        return [first] * len(part)
+        own = [None, None, *before][-2:] if len(before) >= 2 else [None, None]
+        made = []
+        for row in part:
+            old = own[len(made)]
+            made.append((old["speaker"] if old else "spk_0") if len(row["text"]) % 2 == 0 else row["speaker"])
+        return made
+
+    return models.carried(v.turns.select("call_id", "idx", "speaker", "text"), 2, 10, factory, call).select("call_id", "idx", "speaker")
+
+
+WORD_TURNS = ORACLES["f3_words_to_turns"]
+
+
+@query("p2_word_calls")
+def _(v):
+    from turnloom.plans import stages
+
+    return stages.diarize_words(v.items, v.word_labels.drop("ord").withColumnRenamed("seg", "ord"), "en")[1]
+
+
+ORACLES["p2_word_calls"] = f"SELECT call_id, 'en' AS language, CAST(count(DISTINCT speaker) AS INT) AS num_speakers FROM ({WORD_TURNS}) GROUP BY call_id"
+
+
+@query("p2_timeline_turns", LOOKED_UP + """,
+    c AS (SELECT call_id, idx, speaker, count(*) AS n FROM r WHERE rn = 1 AND idx % 4 <> 3 GROUP BY ALL),
+    m AS (SELECT call_id, idx, speaker FROM (SELECT *, row_number() OVER (PARTITION BY call_id, idx ORDER BY n DESC, speaker) AS q FROM c) WHERE q = 1),
+    z AS (SELECT s.call_id, s.idx, t.speaker, row_number() OVER (PARTITION BY s.call_id, s.idx ORDER BY CASE WHEN t.start_s <= s.mid AND s.mid <= t.end_s THEN 0 ELSE 1 END,
+        CASE WHEN t.start_s <= s.mid AND s.mid <= t.end_s THEN 0.0 ELSE least(abs(s.mid - t.start_s), abs(s.mid - t.end_s)) END, t.ord) AS rn
+      FROM (SELECT *, (start_s + end_s) / 2 AS mid FROM {turns} WHERE idx % 4 = 3) s JOIN {timeline} t ON t.call_id = s.call_id),
+    k AS (SELECT call_id, idx, speaker FROM m UNION ALL SELECT call_id, idx, speaker FROM z WHERE rn = 1),
+    s AS (SELECT t.call_id, t.idx, k.speaker, t.start_s, t.end_s, trim(t.text, chr(32)||chr(9)||chr(10)||chr(13)) AS text FROM {turns} t JOIN k ON k.call_id = t.call_id AND k.idx = t.idx WHERE length(trim(t.text, chr(32)||chr(9)||chr(10)||chr(13))) > 0),
+    b AS (SELECT *, CASE WHEN speaker = lag(speaker) OVER w THEN 0 ELSE 1 END AS nw FROM s WINDOW w AS (PARTITION BY call_id ORDER BY idx)),
+    i AS (SELECT *, CAST(sum(nw) OVER (PARTITION BY call_id ORDER BY idx) - 1 AS BIGINT) AS island FROM b)
+    SELECT call_id, island AS idx, arg_min(speaker, idx) AS speaker, string_agg(text, ' ' ORDER BY idx) AS text FROM i GROUP BY call_id, island""")
+def _(v):
+    from turnloom.plans import stages
+
+    segments = v.turns.select("call_id", F.col("idx").alias("seg"), "start_s", "end_s", "text")
+    words = v.words.where("idx % 4 <> 3").select("call_id", F.col("idx").alias("seg"), "mid_s")
+    return stages.diarize_timeline(segments, words, v.timeline)[0].select("call_id", "idx", "speaker", "text")
+
+
+class _Reviewer:
+    """A stand-in model: it answers from what the prompt shows, so the SQL can say what it answers."""
+
+    def complete(self, prompts, max_tokens):
+        import json
+        import re
+
+        out = []
+        for p in prompts:
+            shown = re.findall(r"(?m)^\[(\d+)\] (\S+) \(", p)
+            start = int(shown[-1][0]) // 4 * 4
+            before, rows = [r for r in shown if int(r[0]) < start], [r for r in shown if int(r[0]) >= start]
+            first = before[-1][1] if before else rows[0][1]
+            made = [{"index": int(i), "speaker": first if int(i) % 2 == 0 else s, "name": "", "issues": []} for i, s in rows]
+            out.append("none" if len(rows) == 3 else json.dumps({"confidence": 0.5 if len(rows) == 1 else 0.9, "issues": [], "assignments": made}))
+        return out
+
+
+BLOCKS3 = """
+    WITH RECURSIVE o AS (SELECT t.* FROM {turns} t JOIN {calls} c ON c.call_id = t.call_id WHERE c.language IN ('en', 'fr') AND c.num_speakers >= 2),
+    n AS (SELECT call_id, count(*) AS n FROM o GROUP BY call_id),
+    r AS (SELECT o.call_id, o.idx, o.speaker AS first, o.speaker FROM o WHERE o.idx = 0
+      UNION ALL SELECT o.call_id, o.idx, CASE WHEN o.idx % 4 = 0 THEN r.speaker ELSE r.first END, CASE WHEN o.idx % 2 = 0 THEN CASE WHEN o.idx % 4 = 0 THEN r.speaker ELSE r.first END ELSE o.speaker END
+      FROM r JOIN o ON o.call_id = r.call_id AND o.idx = r.idx + 1),
+    held AS (SELECT call_id FROM n WHERE n % 4 = 3)"""
+
+
+@query("p4_validated_turns", BLOCKS3 + " SELECT t.call_id, t.idx, coalesce(r.speaker, t.speaker) AS speaker FROM {turns} t LEFT JOIN r ON r.call_id = t.call_id AND r.idx = t.idx WHERE t.call_id NOT IN (SELECT call_id FROM held)")
+def _(v):
+    from turnloom.plans import stages
+
+    return stages.validate(v.calls, v.turns, _Reviewer, ("en", "fr"), 4)[1].select("call_id", "idx", "speaker")
+
+
+@query("p4_validated_calls", BLOCKS3 + """
+    SELECT c.call_id, concat_ws(',', CASE WHEN language NOT IN ('en', 'fr') THEN 'language_not_allowed' END, CASE WHEN num_speakers < 2 THEN 'mono_speaker' END, CASE WHEN n.n % 4 = 1 THEN 'low_confidence' END) AS reasons,
+      CAST(CASE WHEN n.n IS NULL THEN NULL WHEN n.n % 4 = 1 THEN 0.5 ELSE 0.9 END AS DOUBLE) AS confidence
+    FROM {calls} c LEFT JOIN n ON n.call_id = c.call_id WHERE c.call_id NOT IN (SELECT call_id FROM held)""")
+def _(v):
+    from turnloom.plans import stages
+
+    return stages.validate(v.calls, v.turns, _Reviewer, ("en", "fr"), 4)[0].select("call_id", F.array_join("reject_reasons", ",").alias("reasons"), "confidence")
+
+
+@query("m5_quarantine", BLOCKS3 + " SELECT call_id, CAST(n // 4 AS BIGINT) AS batch, 'not accepted' AS error FROM n WHERE n % 4 = 3")
+def _(v):
+    from turnloom.plans import stages
+
+    return stages.validate(v.calls, v.turns, _Reviewer, ("en", "fr"), 4)[2].select("call_id", "batch", "error")
+
+
+@query("m7_embeddings", "SELECT vec_id AS clip_id, CASE WHEN vec_id % 5 = 0 THEN NULL WHEN vec_id % 7 = 0 THEN NULL ELSE CAST(64 AS INT) END AS size, vec_id % 7 = 0 AS failed FROM embeddings")
+def _(v):
+    from turnloom import models
+
+    class Lengths:
+        def embed(self, content):
+            from turnloom.sources import wav
+
+            return [float(len(wav.decode(content)[0]))]
+
+    def clip(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        from turnloom.sources import wav
+
+        for b in batches:
+            ids = b.column(0).to_pylist()
+            n = [16 if i % 5 == 0 else 64 for i in ids]
+            sounds = [wav.encode(np.array(x[:k]), 100) for x, k in zip(b.column(1).to_pylist(), n, strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array([8 if i % 7 == 0 else 64 for i in ids], pa.int32()), pa.array(sounds, pa.binary())], names=["clip_id", "n_samples", "sample_rate", "content"])
+
+    clips = v.clips.select("clip_id", "samples").mapInArrow(clip, "clip_id bigint, n_samples bigint, sample_rate int, content binary")
+    return models.embedded(clips, Lengths, 64).select("clip_id", F.col("embedding")[0].cast("int").alias("size"), F.col("error").isNotNull().alias("failed"))
+
+
+@query("u7_reject_form", """
+    WITH d AS (SELECT *, greatest(0.0, end_s - start_s) AS dur FROM {judged}), x AS (SELECT c.call_id, r.confidence < 0.6 AS low, r.file_issue FROM {calls} c LEFT JOIN {responses} r ON r.call_id = c.call_id),
+    f AS (SELECT call_id, concat_ws(',', CASE WHEN low THEN 'low_confidence' END, nullif(file_issue, '')) AS reasons FROM x WHERE low OR file_issue <> ''),
+    k AS (SELECT call_id, issue IS NULL AND dur BETWEEN 3 AND 45 AND has_audio AND audio_issue IS NULL AS kept FROM d),
+    s AS (SELECT call_id, count(*) AS n, count(*) FILTER (kept) AS left FROM k GROUP BY call_id)
+    SELECT c.call_id, coalesce(f.reasons, CASE s.left WHEN 0 THEN 'all_turns_filtered' ELSE 'single_turn' END) AS reasons, CAST(s.n AS INT) AS original_turn_count, CAST(0 AS INT) AS filtered_turn_count, CAST(0 AS INT) AS n_turns
+    FROM {calls} c JOIN s ON s.call_id = c.call_id LEFT JOIN f ON f.call_id = c.call_id WHERE f.call_id IS NOT NULL OR s.left <= 1""")
+def _(v):
+    from turnloom.plans import stages
+
+    turns = v.judged.withColumn("issues", F.array_compact(F.array("issue")))
+    clips = v.judged.where("has_audio").select("call_id", "idx", "audio_issue")
+    calls = v.calls.join(review.confidence_gate(_responses(v)), "call_id")
+    _, whole, _ = stages.screen(turns.drop("has_audio", "audio_issue"), calls, clips)
+    out = stages.rejections(turns, whole)
+    return out.select("call_id", F.array_join("reject_reasons", ",").alias("reasons"), "original_turn_count", "filtered_turn_count", F.size("turns").alias("n_turns"))
+
+
+@query("c7_file_rejections", "SELECT c.call_id FROM {calls} c JOIN {responses} r ON r.call_id = c.call_id WHERE r.confidence < 0.6 OR r.file_issue <> ''")
+def _(v):
+    return review.confidence_gate(_responses(v)).where(screening.file_rejected()).select("call_id")
+
+
+@query("c5_known_issues", "SELECT call_id, idx, concat_ws(',', issue, issue) AS issues FROM {judged}")
+def _(v):
+    return v.judged.select("call_id", "idx", F.array_join(review.known_turn_issues(F.array_compact(F.array("issue", F.lit("made_up"), "audio_issue", "issue"))), ",").alias("issues"))
+
+
+@query("s2_manifests", SPLIT + " SELECT CAST(row_number() OVER (PARTITION BY split ORDER BY call_id, idx) AS INT) AS place, split, '/c/' || call_id || '_turn_' || printf('%03d', idx) || '.wav' AS audio FROM s")
+def _(v):
+    from pyspark.sql import Window
+
+    from turnloom.plans import stages
+
+    rows = dataset.split(dataset.own_turns(v.labelled), order=draw()).withColumn("audio", F.concat(F.lit("/c/"), text.clip_name(F.col("call_id"), F.col("idx"))))
+    both = dataset.combined(*[m.withColumn("_at", F.monotonically_increasing_id()) for m in stages.manifests(rows)])
+    return both.select(F.row_number().over(Window.partitionBy("split").orderBy("_at")).alias("place"), "split", "audio")
+
+
+@query("b10_data_uri", "SELECT conv_id, turn, 'data:audio/wav;base64,' || to_base64(encode(text)) AS uri FROM conversations")
+def _(v):
+    return v.conversations.select("conv_id", "turn", text.data_uri(F.col("text").cast("binary")).alias("uri"))
+
+
+@query("x1_strip", "SELECT doc_id, trim(text, chr(32)||chr(9)||chr(10)||chr(11)||chr(12)||chr(13)||chr(28)||chr(29)||chr(30)||chr(31)||chr(133)||chr(160)) AS text FROM (SELECT doc_id, chr(160)||chr(9)||chr(28)||text||chr(133)||' '||chr(31) AS text FROM documents)")
+def _(v):
+    edge = F.concat(F.lit("\xa0\t\x1c"), "text", F.lit("\x85 \x1f"))
+    return v.documents.select("doc_id", text.strip(edge).alias("text"))
+
+
+@query("g24_tallies", "SELECT CASE WHEN idx % 4 = 3 THEN 'failed' ELSE 'succeeded' END AS status, count(*) AS n FROM {turns} GROUP BY 1")
+def _(v):
+    from turnloom import models
 
-    return models.carried(v.turns.select("call_id", "idx", "speaker"), 2, 10, factory, call)
+    rows = v.turns.select(F.struct((F.col("idx") % 4 != 3).alias("ok"), F.lit("x").alias("value"), F.lit(None).cast("string").alias("error")).alias("answer"))
+    return models.tallies(rows, "answer")

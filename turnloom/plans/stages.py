@@ -1,4 +1,7 @@
-"""Composite stages: each takes and returns long tables, lazily."""
+"""Composite stages: each takes and returns long tables, lazily.
+
+Answers of models are kept on disk by Spark while a stage's tables are used, so that reading several of them does not ask a model again.
+"""
 
 from __future__ import annotations
 
@@ -6,16 +9,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from turnloom import models
 from turnloom.operators import dataset, dialogue, review, screening, voiceprint
-from turnloom.schemas import CONTEXT_TURNS, KEEP_MAX, KEEP_MIN, MERGE_GAP, PARSE_RETRIES, SCRUB_BATCH, VALIDATION_BATCH
+from turnloom.schemas import CONTEXT_TURNS, KEEP_MAX, KEEP_MIN, MERGE_GAP, PARSE_RETRIES, SCRUB_BATCH, TURN, VALIDATION_BATCH
 
 
 def diarize(files: DataFrame, factory: Callable[[], models.Transcriber], num_speakers: int | None = None, language: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Transcribe recordings; return turns, calls and the quarantine."""
     heard = models.isolated(files.select("call_id", "content"), "content", "answer", factory, lambda m, x: m.transcribe(x, num_speakers, language))
-    good, bad = models.succeeded(heard, "answer")
+    good, bad = models.succeeded(heard.persist(StorageLevel.DISK_ONLY), "answer")
     segment = "array<struct<speaker:string,start:double,end:double,text:string>>"
     rows = good.select("call_id", F.posexplode(F.from_json("answer", segment)).alias("seg", "s")).select("call_id", "seg", "s.speaker", F.col("s.start").alias("start_s"), F.col("s.end").alias("end_s"), "s.text")
     turns = dialogue.segments_to_turns(rows)
@@ -23,35 +27,71 @@ def diarize(files: DataFrame, factory: Callable[[], models.Transcriber], num_spe
     return turns, calls, bad.drop("content")
 
 
+def diarize_words(words: DataFrame, labels: DataFrame, language: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Turns and calls of word-level transcripts with speaker labels; see ``sources.documents.read_cloud_result``."""
+    turns = dialogue.words_to_turns(words, labels)
+    return turns, dialogue.call_speakers(turns).select("call_id", F.lit(language).alias("language"), "num_speakers")
+
+
+def diarize_timeline(segments: DataFrame, words: DataFrame, timeline: DataFrame, language: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Turns and calls of segments (call_id, seg, start_s, end_s, text), their words (call_id, seg, mid_s) and a speaker timeline.
+
+    A segment has the speaker of most of its words, or, without words, the one in its middle.
+    """
+    voted = dialogue.majority_speaker(dialogue.speakers_at(words, timeline), ["call_id", "seg"])
+    plain = segments.join(voted.select("call_id", "seg"), ["call_id", "seg"], "left_anti").withColumn("mid_s", (F.col("start_s") + F.col("end_s")) / 2)
+    middle = dialogue.speakers_at(plain, timeline).select("call_id", "seg", "speaker")
+    turns = dialogue.segments_to_turns(segments.drop("speaker").join(voted.unionByName(middle), ["call_id", "seg"]))
+    return turns, dialogue.call_speakers(turns).select("call_id", F.lit(language).alias("language"), "num_speakers")
+
+
 def scrub(turns: DataFrame, factory: Callable[[], models.Scorer], prompt: Callable[[str], str] = lambda body: body, size: int = SCRUB_BATCH) -> tuple[DataFrame, DataFrame]:
-    """Remove the turns that the model calls sensitive; return turns and the quarantine."""
+    """Remove the turns that the model calls sensitive; return turns and the quarantine of batches, whose turns stay out.
+
+    A call with a batch in quarantine is held back as a whole.
+    """
     asked = review.numbered_turns(turns, size)
-    answered = models.isolated(asked, "prompt", "answer", factory, lambda m, p: m.complete([prompt(p)], 20 * size)[0])
-    good, bad = models.succeeded(answered, "answer")
+    answered = models.completed(asked, "prompt", "answer", factory, 20 * size, prompt)
+    good, bad = models.succeeded(answered.persist(StorageLevel.DISK_ONLY), "answer")
     lines = review.response_lines(good.select("call_id", (F.col("batch") * size).alias("offset"), F.col("answer").alias("response")))
-    return review.without_sensitive(turns, review.scrub_flags(lines)), bad
+    whole = turns.join(bad.select("call_id").distinct(), "call_id", "left_anti")
+    return review.without_sensitive(whole, review.scrub_flags(lines)), bad
+
 
+def _indexed(row: dict) -> str:
+    return f"[{row['idx']}] {row['speaker']} ({row['start_s']:.1f}s - {row['end_s']:.1f}s): {row['text'] or ''}"
 
-def validate(calls: DataFrame, turns: DataFrame, factory: Callable[[], models.Scorer], allowed: tuple[str, ...] = ("en",), size: int = VALIDATION_BATCH, prompt: Callable[[str], str] = lambda body: body) -> tuple[DataFrame, DataFrame]:
-    """Gate calls, let the model correct speakers, and gate again; return calls and turns.
 
-    The cheap gate comes first, so the model sees only calls that pass it.  Batches here are independent; ``models.carried`` gives the
-    model its own corrections as context.
+def with_context(before: list[dict], turns: list[dict]) -> str:
+    """The body of a prompt for turns, after those that were corrected already."""
+    parts = ["CORRECTED SO FAR (not to be answered):", *map(_indexed, before), ""] if before else []
+    return "\n".join([*parts, *map(_indexed, turns)])
+
+
+def validate(calls: DataFrame, turns: DataFrame, factory: Callable[[], models.Scorer], allowed: tuple[str, ...] = ("en",), size: int = VALIDATION_BATCH, prompt: Callable[[str], str] = lambda body: body) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Gate calls, let the model correct speakers, and gate again; return calls, turns and the quarantine.
+
+    The cheap gate comes first, so the model sees only calls that pass it.  Calls of one batch are asked for in batches of prompts; longer
+    ones batch by batch, with the last ``CONTEXT_TURNS`` turns as corrected so far.  A call without a usable answer to each of its batches
+    is in quarantine: it is neither among the calls nor among the turns.
     """
     gated = review.language_gate(calls, allowed)
     open_calls = gated.where("NOT rejected").drop("reject_reasons", "rejected")
-    asked = review.indexed_turns(turns.join(open_calls.select("call_id"), "call_id", "left_semi"), size)
-    answered = models.isolated(asked, "prompt", "answer", factory, lambda m, p: m.complete([prompt(p)], 8192)[0], accept=lambda text: "assignments" in text or text.lstrip().startswith("["), retries=PARSE_RETRIES)
-    good, _ = models.succeeded(answered, "answer")
-    parsed = good.withColumn("r", review.validation_response(F.col("answer"))).where("r IS NOT NULL")
+    shown = turns.join(open_calls.select("call_id"), "call_id", "left_semi").select("call_id", "idx", "speaker", "start_s", "end_s", "text")
+    long_ids = shown.groupBy("call_id").agg(F.max("idx").alias("top")).where(F.col("top") >= size).select("call_id")
+    once = models.completed(review.indexed_turns(shown.join(long_ids, "call_id", "left_anti"), size), "prompt", "answer", factory, 8192, prompt, lambda text: models.assignments_in(text) is not None, PARSE_RETRIES)
+    often = models.carried_answers(shown.join(long_ids, "call_id", "left_semi"), size, CONTEXT_TURNS, factory, lambda before, part: prompt(with_context(before, part)), 8192, PARSE_RETRIES)
+    good, bad = models.succeeded(once.select("call_id", "batch", "answer").unionByName(often).persist(StorageLevel.DISK_ONLY), "answer")
+    held = bad.select("call_id").distinct()
+    parsed = good.join(held, "call_id", "left_anti").withColumn("r", review.validation_response(F.col("answer"))).where("r IS NOT NULL")
     assigned = parsed.select("call_id", F.posexplode("r.assignments").alias("pos", "a")).select("call_id", F.col("a.index").alias("a_index"), "pos", "a.speaker", "a.name", "a.issues")
-    fixed = review.apply_assignments(turns, assigned)
+    fixed = review.apply_assignments(turns.join(held, "call_id", "left_anti"), assigned)
     timed = review.timing_issues(fixed, dialogue.duration(fixed))
     judged = review.batch_confidence(parsed.select("call_id", "batch", "r.confidence", "r.issues"))
     names = review.speaker_names(fixed)
-    passed = review.confidence_gate(open_calls.join(judged, "call_id", "left").withColumn("confidence", F.coalesce("confidence", F.lit(-1.0))).join(names, "call_id", "left"))
+    passed = review.confidence_gate(open_calls.join(held, "call_id", "left_anti").join(judged, "call_id", "left").withColumn("confidence", F.coalesce("confidence", F.lit(-1.0))).join(names, "call_id", "left"))
     refused = gated.where("rejected")
-    return passed.unionByName(refused, allowMissingColumns=True), timed
+    return passed.unionByName(refused, allowMissingColumns=True), timed, bad
 
 
 def segment(turns: DataFrame, max_gap: float = MERGE_GAP) -> DataFrame:
@@ -61,7 +101,7 @@ def segment(turns: DataFrame, max_gap: float = MERGE_GAP) -> DataFrame:
 
 
 def screen(turns: DataFrame, calls: DataFrame, clips: DataFrame | None = None, shortest: float = KEEP_MIN, longest: float = KEEP_MAX) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Drop turns and calls; return kept turns, calls with counts and reasons, and all turns with their codes.
+    """Drop turns and calls; return kept turns, calls with counts and sorted reject reasons, and all turns with their codes.
 
     File-level rejections and cheap rules come before anything about audio, so clips are judged for what is left only.
     """
@@ -72,11 +112,27 @@ def screen(turns: DataFrame, calls: DataFrame, clips: DataFrame | None = None, s
         open_turns = open_turns.join(judged, ["call_id", "idx"], "left")
     coded = screening.drop_codes(open_turns, dialogue.duration(open_turns), shortest, longest)
     fate = screening.survivors(coded)
-    whole = calls.select("call_id", *[c for c in ("language",) if c in calls.columns]).join(fate, "call_id", "left").join(screening.removed_map(coded), "call_id", "left")
-    whole = whole.join(refused.withColumn("_refused", F.lit(True)), "call_id", "left").withColumn("rejected", F.coalesce("_refused", F.lit(False)) | F.coalesce("rejected", F.lit(True))).drop("_refused")
+    stated = F.coalesce("reject_reasons", F.array().cast("array<string>"))
+    known = calls.select("call_id", *[c for c in ("language",) if c in calls.columns], screening.file_rejected().alias("_refused"), stated.alias("_stated"))
+    whole = known.join(fate, "call_id", "left").join(screening.removed_map(coded), "call_id", "left")
+    reasons = F.when(F.col("_refused"), F.col("_stated")).otherwise(F.array(F.coalesce("reject_reason", F.when(F.col("original_turn_count").isNull(), F.lit("all_turns_filtered")))))
+    whole = whole.withColumn("reject_reasons", screening.sorted_reasons(reasons)).withColumn("rejected", F.size("reject_reasons") > 0).drop("_refused", "_stated")
     return screening.final_turns(coded, fate), whole, coded
 
 
+def rejections(turns: DataFrame, calls: DataFrame) -> DataFrame:
+    """The reject form of calls as ``screen`` returns them: sorted distinct reasons, how many turns there were, and none that are left."""
+    before = turns.groupBy("call_id").agg(F.count("*").cast("int").alias("original_turn_count"))
+    out = calls.where("rejected").select("call_id", "rejected", "reject_reasons").join(before, "call_id", "left").withColumn("original_turn_count", F.coalesce("original_turn_count", F.lit(0)))
+    return out.withColumn("filtered_turn_count", F.lit(0)).withColumn("turns", F.array().cast(f"array<{TURN}>"))
+
+
+def embed_speakers(turns: DataFrame, clips: DataFrame, factory: Callable[[], models.Encoder], rate: int = 16000) -> DataFrame:
+    """Vectors (call_id, speaker, idx, embedding, error) of the longest turns of each speaker; clips: call_id, idx, n_samples, sample_rate, content."""
+    top = voiceprint.longest_turns(turns).select("call_id", "speaker", "idx")
+    return models.embedded(top.join(clips.select("call_id", "idx", "n_samples", "sample_rate", "content"), ["call_id", "idx"]), factory, rate).drop("content")
+
+
 def label(turns: DataFrame, vectors: DataFrame, print_: DataFrame, model: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Label turns as me or other by voiceprint; return turns and matches with flags.  vectors: call_id, speaker, idx, embedding."""
     top = voiceprint.longest_turns(turns)
@@ -87,6 +143,12 @@ def label(turns: DataFrame, vectors: DataFrame, print_: DataFrame, model: str |
     return voiceprint.label_turns(turns, matches), matches
 
 
+def manifests(rows: DataFrame, audio: str = "audio") -> tuple[DataFrame, DataFrame]:
+    """The train and the val manifest of exported rows, in order of calls and turns."""
+    made = [dataset.manifest(rows.where(F.col("split") == part).orderBy("call_id", "idx"), audio) for part in ("train", "val")]
+    return made[0], made[1]
+
+
 def export(turns: DataFrame, languages: tuple[str, ...] | None = None, cap: int = 50, share: float = 0.06) -> DataFrame:
     """Rows of the training set: own turns in the chosen languages, capped a call, split into train and val."""
     chosen = dataset.own_turns(turns.where(dataset.in_languages(F.col("language"), languages)))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import shutil
 import tempfile
 from collections.abc import Callable
@@ -14,10 +15,11 @@ _SENT: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Add the package to the session's files, once, unless the workers' path has it already."""
+    """Add the package to the session's files, once; workers of a ``local`` master share the driver's path and may have it already."""
     root = Path(__file__).resolve().parent
     context = spark.sparkContext
-    if context.applicationId in _SENT or str(root.parent) in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+    at_hand = re.fullmatch(r"local(\[.*\])?", context.master) and str(root.parent) in os.environ.get("PYTHONPATH", "").split(os.pathsep)
+    if context.applicationId in _SENT or at_hand:
         return
     _SENT.add(context.applicationId)
     made = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="turnloom-"), "turnloom"), "zip", root.parent, root.name)

@@ -15,11 +15,11 @@ def read_calls(spark: SparkSession, path: str, schema: str = CALL_DOCUMENT) -> D
 
 
 def read_json(spark: SparkSession, path: str, schema: str, default: DataFrame | None = None) -> DataFrame:
-    """JSON documents; where nothing is there, the default."""
+    """JSON documents; where no file is there, the default."""
     try:
         return spark.read.schema(schema).option("multiLine", True).json(path)
-    except AnalysisException:
-        if default is None:
+    except AnalysisException as e:
+        if default is None or e.getCondition() != "PATH_NOT_FOUND":
             raise
         return default
 
@@ -52,6 +52,29 @@ def nested_calls(calls: DataFrame, turns: DataFrame) -> DataFrame:
     return calls.join(packed, "call_id", "left").withColumn("turns", F.coalesce("turns", F.array().cast("array<struct<speaker:string,start:double,end:double,text:string>>")))
 
 
+def write_documents(calls: DataFrame, path: str, pretty: bool = False) -> None:
+    """Call documents as JSON, one folder a call (``call_id=...``), committed as a whole."""
+    body = calls.select("call_id", F.to_json(F.struct(*calls.columns), {"pretty": str(pretty).lower()}).alias("value"))
+    body.write.mode("overwrite").partitionBy("call_id").text(path)
+
+
+def read_manifests(spark: SparkSession, train: str, val: str) -> DataFrame:
+    """Both manifests of a data set as one, with ``split``; one that is not there is empty."""
+    nothing = spark.createDataFrame([], MANIFEST)
+    parts = [read_json_lines(spark, p, nothing).withColumn("split", F.lit(name)) for p, name in ((train, "train"), (val, "val"))]
+    return parts[0].unionByName(parts[1])
+
+
+def read_json_lines(spark: SparkSession, path: str, default: DataFrame, schema: str = MANIFEST) -> DataFrame:
+    """JSON lines; where no file is there, the default."""
+    try:
+        return read_lines(spark, path, schema)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return default
+
+
 def write_lines(rows: DataFrame, path: str, files: int | None = None) -> None:
     """JSON lines as Spark writes them: committed as a whole, not escaped to ASCII, nulls left out."""
     (rows if files is None else rows.coalesce(files)).write.mode("overwrite").json(path)

@@ -1,11 +1,15 @@
 """PCM audio: scanning, decoding and cutting inside tasks.
 
-Recordings stay binary rows; samples exist only inside an Arrow batch.  Other containers need a decoder that the caller plugs in.
+Recordings stay binary rows; samples exist only inside an Arrow batch.  Other containers need a decoder that the caller plugs in, and another
+resampler can be plugged in too.  A recording that cannot be read is a row with its error; the others go on.
 """
 
 from __future__ import annotations
 
+import os
+import re
 import struct
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -13,10 +17,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnloom.functions.text import call_id_of
+from turnloom.functions.text import call_id_of, data_uri, utc_iso
 from turnloom.schemas import AUDIO_SUFFIXES, SILENCE_DB
 
 Decoder = Callable[[bytes], tuple[np.ndarray, int]]
+Resampler = Callable[[np.ndarray, int, int], np.ndarray]
 
 
 def scan(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
@@ -26,6 +31,13 @@ def scan(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
     return files.where(suffix.isin(*AUDIO_SUFFIXES)).withColumn("call_id", call_id_of(F.col("path")))
 
 
+def under(spark: SparkSession, prefix: str) -> DataFrame:
+    """All files below a prefix of a store that Spark reads, with their names relative to it; folder markers are left out."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(prefix)
+    name = F.regexp_replace("path", "^.*?" + re.escape(prefix.rstrip("/").split("://")[-1].lstrip("/")) + "/", "")
+    return files.where(~F.col("path").endswith("/") & ~((F.col("length") == 0) & F.col("path").endswith("_$folder$"))).withColumn("name", name)
+
+
 def whole_calls(files: DataFrame, name: str = "full_normalized.wav") -> DataFrame:
     """One file a call: its whole recording; the plain files only if there is no whole recording at all."""
     marked = files.withColumn("_whole", F.element_at(F.split("path", "/"), -1) == name)
@@ -33,20 +45,37 @@ def whole_calls(files: DataFrame, name: str = "full_normalized.wav") -> DataFram
     return marked.join(any_whole).where(F.col("_whole") | ~F.col("_any")).drop("_whole", "_any")
 
 
-def decode(content: bytes) -> tuple[np.ndarray, int]:
-    """Samples (frames x channels, float32 within -1 and 1) and rate of a PCM or float WAV; ValueError for anything else."""
+def _chunks(content: bytes) -> tuple[tuple, int, int]:
+    """The format fields of a WAV, and where its samples begin and end."""
     if len(content) < 12 or content[:4] != b"RIFF" or content[8:12] != b"WAVE":
         raise ValueError("not a WAV file")
     at, form, body = 12, None, None
     while at + 8 <= len(content):
         name, size = content[at : at + 4], struct.unpack_from("<I", content, at + 4)[0]
         if name == b"fmt ":
+            if size < 16 or at + 24 > len(content):
+                raise ValueError("a WAV file with a broken header")
             form = struct.unpack_from("<HHIIHH", content, at + 8)
         elif name == b"data":
-            body = content[at + 8 : at + 8 + size]
+            body = (at + 8, at + 8 + size)
         at += 8 + size + size % 2
     if form is None or body is None:
         raise ValueError("a WAV file without format or data")
+    if not form[1] or not form[2] or form[1] * form[5] < 8:
+        raise ValueError("a WAV file without channels, rate or sample size")
+    return form, *body
+
+
+def header(content: bytes, length: int | None = None) -> tuple[int, int, int]:
+    """Rate, channels and frames of a WAV from its header alone; ``length``: the file's, where ``content`` is only its beginning."""
+    (_, channels, rate, _, _, bits), start, end = _chunks(content)
+    return rate, channels, max(0, min(end, len(content) if length is None else length) - start) // (channels * bits // 8)
+
+
+def decode(content: bytes) -> tuple[np.ndarray, int]:
+    """Samples (frames x channels, float32 within -1 and 1) and rate of a PCM or float WAV; ValueError for anything else."""
+    form, start, end = _chunks(content)
+    body = content[start:end]
     kind, channels, rate, _, _, bits = form
     step = channels * bits // 8
     body = body[: len(body) // step * step] if step else b""
@@ -82,6 +111,11 @@ def mono(samples: np.ndarray) -> np.ndarray:
     return samples if samples.ndim == 1 else samples.mean(axis=1, dtype=np.float32)
 
 
+def channels_first(samples: np.ndarray) -> np.ndarray:
+    """Samples as channels x frames."""
+    return samples[None, :] if samples.ndim == 1 else np.ascontiguousarray(samples.T)
+
+
 def split_channels(samples: np.ndarray) -> list[np.ndarray]:
     """One array a channel."""
     return [samples] if samples.ndim == 1 else [np.ascontiguousarray(samples[:, k]) for k in range(samples.shape[1])]
@@ -114,8 +148,8 @@ def frame_levels(samples: np.ndarray, size: int, hop: int) -> np.ndarray:
 
 
 def trim(samples: np.ndarray, silence_db: float = SILENCE_DB, size: int = 2048, hop: int = 512) -> np.ndarray:
-    """From the first loud frame to the end of the last; unchanged if no frame is loud."""
-    loud = np.flatnonzero(20 * np.log10(frame_levels(samples, size, hop) + 1e-10) > silence_db)
+    """From the first loud frame of the mean over channels to the end of the last; unchanged if no frame is loud."""
+    loud = np.flatnonzero(20 * np.log10(frame_levels(mono(samples), size, hop) + 1e-10) > silence_db)
     return samples if not len(loud) else samples[loud[0] * hop : min(len(samples), loud[-1] * hop + size)]
 
 
@@ -150,7 +184,12 @@ def _unit_ring(impulse: np.ndarray, b: np.ndarray, ring: np.ndarray, m: int, del
 
 
 def loudness(samples: np.ndarray, rate: int) -> float:
-    """Integrated loudness in LUFS: K-weighting, 0.4 s blocks with three quarters of overlap, absolute and relative gates."""
+    """Integrated loudness in LUFS: K-weighting, 0.4 s blocks with three quarters of overlap, absolute and relative gates.
+
+    The power of several channels (frames x channels) is summed.
+    """
+
+    # The filters of ITU-R BS.1770 as analogue parameters (gain in dB, quality, frequency in Hz).
     def shelf() -> tuple[np.ndarray, np.ndarray]:
         gain, q, f = 3.999843853973347, 0.7071752369554196, 1681.974450955533
         k, v = np.tan(np.pi * f / rate), 10 ** (gain / 20)
@@ -164,11 +203,12 @@ def loudness(samples: np.ndarray, rate: int) -> float:
         d = 1 + k / q + k * k
         return np.array([1.0, -2.0, 1.0]), np.array([d, 2 * (k * k - 1), 1 - k / q + k * k]) / d
 
-    x = np.asarray(samples, dtype=np.float64)
-    for b, a in (shelf(), high_pass()):
-        x = _filtered(x, b, a)
     size, hop = int(0.4 * rate), int(0.1 * rate)
-    power = frame_levels(x, size, hop) ** 2
+    power = 0.0
+    for x in split_channels(np.asarray(samples, dtype=np.float64)):
+        for b, a in (shelf(), high_pass()):
+            x = _filtered(x, b, a)
+        power = power + frame_levels(x, size, hop) ** 2
     with np.errstate(divide="ignore"):
         level = -0.691 + 10 * np.log10(power)
     loud = power[level >= -70]
@@ -187,14 +227,13 @@ def normalize(samples: np.ndarray, rate: int, target: float = -23.0) -> np.ndarr
     return samples if not np.isfinite(level) else (samples * 10 ** ((target - level) / 20)).astype(np.float32)
 
 
-def estimate_snr(samples: np.ndarray, rate: int, frame_ms: int = 30) -> float:
-    """Decibels between the loudest and the quietest tenth of frames."""
-    size = rate * frame_ms // 1000
-    power = np.sort(frame_levels(samples, size, size).astype(np.float64) ** 2)
-    if not len(power):
+def estimate_snr(samples: np.ndarray, size: int = 2048, hop: int = 512) -> float:
+    """Decibels between the mean levels of the loudest and the quietest tenth of overlapping frames; 0 without a whole frame."""
+    level = np.sort(frame_levels(mono(samples), size, hop).astype(np.float64))
+    if not len(level):
         return 0.0
-    k = max(1, len(power) // 10)
-    return float(10 * np.log10((power[-k:].mean() + 1e-10) / (power[:k].mean() + 1e-10)))
+    k = max(1, len(level) // 10)
+    return float(20 * np.log10((level[-k:].mean() + 1e-10) / (level[:k].mean() + 1e-10)))
 
 
 def cut(samples: np.ndarray, rate: int, start: float, end: float) -> np.ndarray:
@@ -206,21 +245,29 @@ def cut(samples: np.ndarray, rate: int, start: float, end: float) -> np.ndarray:
 INFO = "path string, call_id string, ok boolean, error string, sample_rate int, channels int, frames bigint, duration double"
 
 
-def headers(files: DataFrame, decoder: Decoder = decode) -> DataFrame:
-    """Rate, channels, frames and seconds of each file; a bad file is a row with its error."""
+def headers(files: DataFrame, decoder: Decoder | None = None) -> DataFrame:
+    """Rate, channels, frames and seconds of each file; a bad file is a row with its error.
+
+    Only the first 64 KiB of each file go to Python; a ``decoder`` for other containers gets whole files.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for path, call, content in zip(*(batch.column(c).to_pylist() for c in ("path", "call_id", "content")), strict=True):
+            for path, call, content, length in zip(*(batch.column(c).to_pylist() for c in ("path", "call_id", "content", "length")), strict=True):
                 try:
-                    x, rate = decoder(content)
-                    rows.append((path, call, True, None, rate, x.shape[1], len(x), len(x) / rate))
+                    if decoder is None:
+                        rate, channels, frames = header(content, length)
+                    else:
+                        x, rate = decoder(content)
+                        channels, frames = x.shape[1], len(x)
+                    rows.append((path, call, True, None, rate, channels, frames, frames / rate))
                 except ValueError as e:
                     rows.append((path, call, False, str(e), None, None, None, None))
             yield _batch(rows, INFO)
 
-    return files.select("path", "call_id", "content").mapInArrow(run, INFO)
+    start = F.substring("content", 1, 1 << 16) if decoder is None else F.col("content")
+    return files.select("path", "call_id", start.alias("content"), F.length("content").cast("bigint").alias("length")).mapInArrow(run, INFO)
 
 
 _TYPES = {"string": pa.string(), "boolean": pa.bool_(), "int": pa.int32(), "bigint": pa.int64(), "double": pa.float64(), "binary": pa.binary()}
@@ -232,35 +279,71 @@ def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
 
 
 PREPARED = (
-    "call_id string, part string, original_file string, original_sample_rate int, original_channels int, original_duration_seconds double, output_sample_rate int, "
-    "output_duration_seconds double, snr_db double, error string, content binary"
+    "call_id string, part string, original_file string, original_format string, original_sample_rate int, original_channels int, original_duration_seconds double, "
+    "output_sample_rate int, output_bit_depth int, output_duration_seconds double, target_lufs double, silence_threshold_db double, snr_db double, error string, content binary"
 )
 
 
-def prepare(files: DataFrame, rate: int = 24000, target: float = -23.0, silence_db: float = SILENCE_DB, decoder: Decoder = decode) -> DataFrame:
-    """Decode, resample, trim and level each recording: one row for the mix and, for several channels, one for each."""
+def prepare(files: DataFrame, rate: int = 24000, target: float = -23.0, silence_db: float = SILENCE_DB, decoder: Decoder = decode, resampler: Resampler = resample) -> DataFrame:
+    """Decode, resample, trim and level each recording: one row for the mix and, for several channels, one for each.
+
+    Channels are trimmed and levelled together, so they stay in step.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, call, content in zip(*(batch.column(c).to_pylist() for c in ("path", "call_id", "content")), strict=True):
+                name = path.rsplit("/", 1)[-1]
                 try:
                     x, own = decoder(content)
                 except ValueError as e:
-                    yield _batch([(call, None, path, None, None, None, None, None, None, str(e), None)], PREPARED)
+                    yield _batch([(call, None, name, *[None] * 10, str(e), None)], PREPARED)
                     continue
-                parts = [("full", mono(x))] + ([(f"channel_{k}", c) for k, c in enumerate(split_channels(x))] if x.shape[1] > 1 else [])
-                for name, part in parts:
-                    y = normalize(trim(resample(part, own, rate), silence_db), rate, target)
-                    yield _batch([(call, name, path, own, x.shape[1], round(len(x) / own, 2), rate, round(len(y) / rate, 2), round(estimate_snr(y, rate), 1), None, encode(y, rate))], PREPARED)
+                y = np.stack([resampler(c, own, rate) for c in split_channels(x)], axis=1)
+                y = normalize(trim(y, silence_db), rate, target)
+                parts = [("full_normalized", mono(y))] + ([(f"channel_{k}", c) for k, c in enumerate(split_channels(y))] if y.shape[1] > 1 else [])
+                about = (name, name.rpartition(".")[2], own, x.shape[1], round(len(x) / own, 2), rate, 16, round(len(y) / rate, 2), target, silence_db, round(estimate_snr(y), 1), None)
+                for part, sound in parts:
+                    yield _batch([(call, part, *about, encode(sound, rate))], PREPARED)
 
     return files.select("path", "call_id", "content").mapInArrow(run, PREPARED)
 
 
-CLIPS = "call_id string, idx int, name string, audio_issue string, n_samples bigint, content binary"
+def recording_metadata(prepared: DataFrame) -> DataFrame:
+    """One row a recording: what it was, what was made of it, and the names of its files, the mix first."""
+    about = [f.split()[0] for f in PREPARED.split(", ")][2:13]
+    names = F.collect_list(F.when(F.col("content").isNotNull(), F.struct((F.col("part") != "full_normalized").alias("k"), F.concat("part", F.lit(".wav")).alias("name"))))
+    made = prepared.groupBy("call_id", "error", *about).agg(F.transform(F.array_sort(names), lambda x: x["name"]).alias("output_files"))
+    return made.withColumn("processed_at", utc_iso())
+
+
+def write_files(rows: DataFrame, root: str, folder: str = "call_id", name: str = "name", content: str = "content") -> DataFrame:
+    """Write each row's content to ``root/folder/name`` and return (path, bytes) of what was written.
+
+    ``root`` is a folder that all executors mount.  A file appears whole or not at all, and a task that runs again writes it again.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = []
+            for home, file, body in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+                place = os.path.join(root, str(home))
+                os.makedirs(place, exist_ok=True)
+                path = os.path.join(place, file)
+                with open(f"{path}.{uuid.uuid4().hex}", "wb") as out:
+                    out.write(body)
+                os.replace(out.name, path)
+                made.append((path, len(body)))
+            yield _batch(made, "path string, bytes bigint")
+
+    return rows.where(F.col(content).isNotNull()).select(folder, name, content).mapInArrow(run, "path string, bytes bigint")
+
+
+CLIPS = "call_id string, idx int, name string, audio_issue string, n_samples bigint, sample_rate int, error string, content binary"
 
 
 def clips(turns: DataFrame, audio: DataFrame) -> DataFrame:
-    """Cut each turn out of its call's recording and judge it; calls without audio have no clips.
+    """Cut each turn out of its call's recording and judge it; calls without audio have no clips, and a broken recording is one row with its error.
 
     Turns are grouped into one row a call before they meet the recording, so a recording moves once.
     """
@@ -269,29 +352,38 @@ def clips(turns: DataFrame, audio: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for call, content, parts in zip(*(batch.column(c).to_pylist() for c in ("call_id", "content", "turns")), strict=True):
-                x, rate = decode(content)
+                try:
+                    x, rate = decode(content)
+                except ValueError as e:
+                    yield _batch([(call, None, None, None, None, None, str(e), None)], CLIPS)
+                    continue
                 x = mono(x)
                 rows = []
                 for t in parts:
                     y = cut(x, rate, t["start_s"], t["end_s"])
-                    rows.append((call, t["idx"], f"turn_{t['idx'] + 1:03d}_{t['speaker']}.wav", issue(y, rate), len(y), encode(y, rate)))
+                    rows.append((call, t["idx"], f"turn_{t['idx'] + 1:03d}_{t['speaker']}.wav", issue(y, rate), len(y), rate, None, encode(y, rate)))
                 yield _batch(rows, CLIPS)
 
     return listed.join(audio.select("call_id", "content"), "call_id").mapInArrow(run, CLIPS)
 
 
+def clip_uris(turns: DataFrame, audio: DataFrame) -> DataFrame:
+    """Each turn's own stretch of its call's recording as a data URI."""
+    return clips(turns, audio).where("error IS NULL").select("call_id", "idx", data_uri(F.col("content")).alias("uri"))
+
+
 def issue(samples: np.ndarray, rate: int, frame_ms: int = 30) -> str | None:
     """The first defect of a clip; see ``turnloom.functions.signal.audio_issue``."""
     from turnloom.schemas import LOW_ENERGY_DB, MAX_DECAY_DB, SPEECH_FLOOR_DB
 
     if not len(samples):
         return "mostly_silence"
-    level = 20 * np.log10(np.sqrt(np.mean(samples.astype(np.float64) ** 2) + 1e-12) + 1e-12)
+    level = 20 * np.log10(np.sqrt(np.mean(samples.astype(np.float64) ** 2) + 1e-10) + 1e-12)
     if level < SILENCE_DB:
         return "mostly_silence"
     if level < LOW_ENERGY_DB:
         return "low_energy"
-    size = rate * frame_ms // 1000
+    size = max(1, rate * frame_ms // 1000)
     db = 20 * np.log10(np.sqrt(frame_levels(samples, size, size).astype(np.float64) ** 2 + 1e-12) + 1e-12)
     speech = db > SPEECH_FLOOR_DB
     n = len(db)

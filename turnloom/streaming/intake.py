@@ -18,23 +18,26 @@ def new_files(spark: SparkSession, path: str, schema: str, format: str = "parque
 
 
 def run_available(stream: DataFrame, out: str, checkpoint: str, stage: Callable[[DataFrame], DataFrame] = lambda df: df, key: str | None = None) -> int:
-    """Append the stage's rows for all that is new, and return the number of batches.
+    """Write the stage's rows for all that is new under ``out``, a folder for each batch, and return the number of batches.
 
-    With ``key``, rows whose key the output holds already are left out, so a batch that is repeated after a failure adds nothing.
+    A batch that is repeated after a failure replaces its own folder.  With ``key``, rows whose key another batch has written already are
+    left out; only that column is read for it.
     """
-    spark = stream.sparkSession
+    spark, seen = stream.sparkSession, []
 
-    def write(batch: DataFrame, _: int) -> None:
+    def write(batch: DataFrame, number: int) -> None:
         made = stage(batch)
         if key is not None:
             path = spark._jvm.org.apache.hadoop.fs.Path(out)
             if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-                made = made.join(spark.read.schema(made.schema).parquet(out).select(key).distinct(), key, "left_anti")
-        made.write.mode("append").parquet(out)
+                known = spark.read.schema(f"{key} {made.schema[key].dataType.simpleString()}, batch bigint").parquet(out).where(F.col("batch") != number)
+                made = made.join(known.select(key).distinct(), key, "left_anti")
+        made.write.mode("overwrite").parquet(f"{out}/batch={number}")
+        seen.append(number)
 
     query = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
-    return len(query.recentProgress)
+    return len(set(seen))
 
 
 def talk_sessions(turns: DataFrame, gap: str = "10 minutes", late: str = "1 hour") -> DataFrame:
