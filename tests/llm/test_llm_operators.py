@@ -77,10 +77,20 @@ def test_url_parts_rules_and_model(spark):
     assert [made[i].rule for i in (0, 6, 7, 9)] == [None] * 4
     assert (made[6].verdict, made[7].verdict) == ("block", "allow")
     model = url_filter.train(spark, rounds=2)
-    held = spark.createDataFrame(url_filter.SEED_URLS, "url string, label int").withColumn("page_id", F.monotonically_increasing_id())
+    known = set(url_filter.seed_urls())
+    fresh = [x for x in url_filter.seed_urls(5) + url_filter.seed_urls(11) if x not in known]  # other pairs of the words
+    held = spark.createDataFrame(fresh, "url string, label int").withColumn("page_id", F.monotonically_increasing_id()).cache()
     right = url_filter.judge(held, [], url_filter.train(spark)).join(held, "page_id").where((F.col("verdict") == "block") == (F.col("label") == 1)).count()
-    assert right >= 0.95 * len(url_filter.SEED_URLS) and len(model["weights"]) == url_filter.BUCKETS
+    assert len(fresh) > 250 and right >= 0.95 * len(fresh) and len(model["weights"]) == url_filter.BUCKETS
     assert url_filter.judge(pages.where("false"), url_filter.RULES, model).isEmpty()
+    many = url_filter.RULES + [(f"h{i}.example.com/p{i % 7}/", "block") for i in range(2000)] + [("com/de/", "block"), ("com/de/", "allow"), ("blog.therin.org/en/", "block")]
+    more = pages.unionByName(spark.createDataFrame([(100 + i, f"http://a.h{i}.example.com/p{i % 7}/x", "") for i in range(0, 50, 7)] + [(200, "http://www.x.com/de/1", ""), (201, None, "")], "page_id bigint, url string, host string"))
+    joined = {r.page_id: (r.rule, r.verdict) for r in url_filter.judge(more, many, model).collect()}
+    plain = {}
+    for r in more.select("page_id", url_filter.host_of(F.col("url")).alias("h"), url_filter.path_of(F.col("url")).alias("p")).collect():
+        fits = [(len(x), x.index("/"), a, x) for x, a in many if (r.h == x[: x.index("/")] or r.h.endswith("." + x[: x.index("/")])) and r.p.startswith(x[x.index("/") :])]
+        plain[r.page_id] = max(fits)[3:1:-1] if fits else None
+    assert {i: x for i, x in joined.items() if x[0]} == {i: x for i, x in plain.items() if x} and joined.keys() == plain.keys()
 
 
 def test_fingerprints(spark, docs, nothing):

@@ -140,3 +140,15 @@ def next_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint every document and its edited text, and compare them and the next document."""
     return next_documents(spark.read.parquet(f"{sf_dir}/documents.parquet")).mapInArrow(_neighbours, SCHEMA)
+
+
+def l2_edited_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can say of every document and its edited text: length and hash."""
+    return op2_fingerprints(spark, sf_dir).select("doc_id", "n_chars", "edited_sha256")
+
+
+ORACLE = """
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+n AS (SELECT doc_id, text, length(text) AS n, length(text) // 3 AS cut, coalesce(lead(text) OVER (ORDER BY doc_id DESC), (SELECT arg_max(text, doc_id) FROM t)) AS after FROM t)
+SELECT doc_id, n::BIGINT AS n_chars, sha256(substr(text, 1, n - cut) || substr(after, 1, cut)) AS edited_sha256 FROM n
+"""

@@ -17,6 +17,7 @@ repeat are documents of their own; an empty table gives an empty result; with no
 from __future__ import annotations
 
 import zlib
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 from turnloom.llm import kernel
 from turnloom.llm.exchange import FOLDS as CHUNK_FOLDS
 from turnloom.llm.exchange import Answers, Asked, Chunk, answered, ask_all, bucket_count, chunks, exchange, merged
+from turnloom.llm.storage import release
 
 FOLDS = 7
 HELD_OUT = 2
@@ -58,36 +60,36 @@ def _before(tokens: np.ndarray, first: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
-def _grams(chunk: Chunk) -> tuple[list[np.ndarray], np.ndarray]:
-    """Return the keys of the word, the pair and the triple that end at every token, and the first token of each row."""
+def _grams(chunk: Chunk, order: int = ORDER) -> tuple[list[np.ndarray], np.ndarray]:
+    """Return the keys of the word, the pair and the triple (up to ``order`` words) that end at every token, and the first token of each row."""
     words, first = kernel.word_hashes(chunk.data, chunk.offsets, lower=True)
     tokens = np.insert(words, first[1:], END)
     first = first + np.arange(len(chunk.ids) + 1)
     keys = [tokens]
-    for k in range(1, ORDER):
+    for k in range(1, order):
         keys.append(kernel.mix(keys[-1] + kernel.mix(_before(tokens, first, k) ^ np.uint64(0xA0761D6478BD642F)) * np.uint64(0xD1342543DE82EF95 + 2 * k)))
     return keys, first
 
 
-def _ask(chunk: Chunk) -> Asked:
-    """Ask for words, pairs and triples (kinds 0 to 2), bringing the counts of this chunk's training documents."""
-    grams, first = _grams(chunk)
-    train = np.repeat(folds(chunk.ids, chunk.nulls) != HELD_OUT, np.diff(first))
-    asked: Asked = []
-    for kind, keys in enumerate(grams):
-        order = np.argsort(keys)
-        sorted_keys = keys[order]
-        edge = np.flatnonzero(np.concatenate([[True], sorted_keys[1:] != sorted_keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+def _ask(kind: int) -> Callable[[Chunk], Asked]:
+    """Ask for words, pairs or triples (kind 0 to 2), bringing the counts of a chunk's training documents."""
+
+    def ask(chunk: Chunk) -> Asked:
+        grams, first = _grams(chunk, kind + 1)
+        train = np.repeat(folds(chunk.ids, chunk.nulls) != HELD_OUT, np.diff(first))
+        order = np.argsort(grams[kind])
+        keys = grams[kind][order]
+        edge = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
         count = np.add.reduceat(train[order].astype(np.uint32), edge).astype(np.uint32) if len(keys) else np.zeros(0, np.uint32)
-        asked.append((kind, sorted_keys[edge], [count, np.where(chunk.fold == 1, count, 0).astype(np.uint32)]))
-    return asked
+        return [(0, keys[edge], [count, np.where(chunk.fold == 1, count, 0).astype(np.uint32)])]
+
+    return ask
 
 
-def _sum(kind: int, n: int, index: np.ndarray, values: list[np.ndarray]) -> tuple[list[np.ndarray], dict]:
+def _sum(_: int, n: int, index: np.ndarray, values: list[np.ndarray]) -> tuple[list[np.ndarray], dict]:
     whole = np.bincount(index, values[0], n)
     rest = whole - np.bincount(index, values[1], n)
-    totals = {"tokens": whole.sum(), "types": (whole > 0).sum(), "rest_tokens": rest.sum(), "rest_types": (rest > 0).sum()} if kind == 0 else {}
-    return [whole, rest], totals
+    return [whole, rest], {"tokens": whole.sum(), "types": (whole > 0).sum(), "rest_tokens": rest.sum(), "rest_types": (rest > 0).sum()}
 
 
 def _counts(chunk: Chunk, replies: Answers, which: int) -> tuple[list[np.ndarray], np.ndarray]:
@@ -96,7 +98,7 @@ def _counts(chunk: Chunk, replies: Answers, which: int) -> tuple[list[np.ndarray
     out = []
     for kind, keys in enumerate(grams):
         at = np.searchsorted(kernel.unique_counts(keys)[0], keys)
-        out.append(merged(replies[0].get(kind, []), which, np.uint32)[at].astype(np.float64))
+        out.append(merged(replies[kind].get(0, []), which, np.uint32)[at].astype(np.float64))
     return out, first
 
 
@@ -157,9 +159,12 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     table = chunks(docs, "lm-chunks", id_col, text_col, _deal)
     names = ("tokens", "types", "rest_tokens", "rest_types")
     n_buckets = bucket_count(table)
-    # only chunks of the deleted part need the counts without it
-    replies = exchange(ask_all(table, n_buckets, _ask), n_buckets, "lm-counts", _sum, np.uint32, (np.uint32, np.uint32), names, lambda chunk: 1 + chunk % CHUNK_FOLDS)
-    tokens, types, rest_tokens, rest_types = (float(x or 0) for x in replies.where("chunk < 0").agg(*[F.sum(n) for n in names]).first())
+    replies = []
+    for kind in range(ORDER):  # one after the other, so that only one kind's questions lie on disk
+        # only chunks of the deleted part need the counts without it
+        replies.append(exchange(ask_all(table, n_buckets, _ask(kind)), n_buckets, "lm-counts", _sum, np.uint32, (np.uint32, np.uint32), names, lambda chunk: 1 + chunk % CHUNK_FOLDS))
+        release(docs.sparkSession)
+    tokens, types, rest_tokens, rest_types = (float(x or 0) for x in replies[0].where("chunk < 0").agg(*[F.sum(n) for n in names]).first())
 
     def deleted(chunk: Chunk, answers: Answers) -> pa.Table:
         counts, first = _counts(chunk, answers, 1)
@@ -170,7 +175,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         keys, n = kernel.unique_counts(cell.astype(np.uint64))
         return pa.table({"cell": pa.array(keys.astype(np.int64)), "n": pa.array(n.astype(np.int64))})
 
-    cells = answered(table.where("fold = 1"), [replies], deleted, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).collect()
+    cells = answered(table.where("fold = 1"), replies, deleted, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).collect()
     weights = learn([(c >> 30, *((c >> 10 * k & 1023) - 1 for k in (2, 1, 0)), n) for c, n in cells], rest_types)
 
     def judge(chunk: Chunk, answers: Answers) -> pa.Table:
@@ -195,7 +200,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         ]
         return pa.Table.from_arrays(columns, names=[x.split()[0] for x in SCHEMA.split(", ")])
 
-    return answered(table, [replies], judge, SCHEMA)
+    return answered(table, replies, judge, SCHEMA)
 
 
 def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:

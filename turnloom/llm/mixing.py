@@ -131,3 +131,19 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), cap: int = 3, t
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mix all documents with weights 5, 2, 1 and at most three times each source."""
     return mix(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "size", "source_size", "target", "taken", "rate", "copies")
+
+
+def l10_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can say of the mix of all documents: sizes and targets."""
+    return op10_mixing(spark, sf_dir).select("doc_id", "size", "source_size", F.round("target", 3).alias("target"))
+
+
+ORACLE = r"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size, [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST)) - 1) % 3 + 1] AS weight FROM d GROUP BY source),
+o AS (SELECT *, 3.0 * source_size / weight AS reach, sum(source_size) OVER () AS total,
+  coalesce(sum(3.0 * source_size) OVER (ORDER BY 3.0 * source_size / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS held,
+  sum(weight) OVER (ORDER BY 3.0 * source_size / weight, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS free FROM s),
+l AS (SELECT arg_min((total - held) / free, reach) FILTER ((total - held) / free <= reach) AS level FROM o)
+SELECT d.doc_id, d.size, o.source_size, round(CAST(least(3.0 * o.source_size, o.weight * coalesce(l.level, 1e300)) AS DOUBLE), 3) AS target FROM d JOIN o ON d.source IS NOT DISTINCT FROM o.source, l
+"""

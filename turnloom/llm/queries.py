@@ -10,7 +10,7 @@ from turnloom.llm import decontamination, fingerprints, html_text, language_mode
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    """Return each query by name."""
+    """Return each query by name: the operators, and parts of them that SQL can express (``l``)."""
     return {
         "op1_url_filter": url_filter.op1_url_filter,
         "op2_fingerprints": fingerprints.op2_fingerprints,
@@ -22,9 +22,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_output": token_output.op8_token_output,
         "op9_substring_dedup": substring_dedup.op9_substring_dedup,
         "op10_mixing": mixing.op10_mixing,
+        "l1_url_rules": url_filter.l1_url_rules,
+        "l2_edited_texts": fingerprints.l2_edited_texts,
+        "l10_targets": mixing.l10_targets,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """Return DuckDB SQL by query name."""
-    return {"op7_near_dedup": near_dedup.ORACLE}
+    return {"op7_near_dedup": near_dedup.ORACLE, "op9_substring_dedup": substring_dedup.ORACLE, "l1_url_rules": url_filter.ORACLE, "l2_edited_texts": fingerprints.ORACLE, "l10_targets": mixing.ORACLE}

@@ -5,6 +5,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 import uuid
@@ -35,6 +36,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return table
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished queries now: it does so when the driver's objects of a query are collected."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """Return ``name``, lengthened until ``df`` has no such column."""
     while name.lower() in map(str.lower, df.columns):

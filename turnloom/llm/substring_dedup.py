@@ -128,3 +128,15 @@ def _kept(chunk: Chunk, first: np.ndarray, gone: np.ndarray, keep_text: bool) ->
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Remove 50-word passages that start in a smaller document from every document."""
     return dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"), keep_text=False).drop("kept")
+
+
+ORACLE = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+p AS (SELECT doc_id, i, md5(array_to_string(ws[i:i+49], ' ')) AS h FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM w WHERE len(ws) >= 50)),
+m AS (SELECT h, min(doc_id) AS low FROM p GROUP BY h),
+g AS (SELECT DISTINCT doc_id, i + unnest(range(0, 50)) AS j FROM (SELECT p.doc_id, p.i FROM p JOIN m USING (h) WHERE m.low < p.doc_id)),
+e AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS j FROM w),
+k AS (SELECT e.doc_id, e.j, e.word, g.j IS NOT NULL AS gone, before.j IS NULL AS first FROM e LEFT JOIN g ON g.doc_id = e.doc_id AND g.j = e.j LEFT JOIN g before ON before.doc_id = e.doc_id AND before.j = e.j - 1),
+a AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed, count(*) FILTER (gone AND first) AS n_spans, string_agg(word, ' ' ORDER BY j) FILTER (NOT gone) AS kept FROM k GROUP BY doc_id)
+SELECT w.doc_id, len(w.ws)::BIGINT AS n_words, coalesce(a.n_removed, 0)::BIGINT AS n_removed, coalesce(a.n_spans, 0)::BIGINT AS n_spans, sha256(coalesce(a.kept, '')) AS kept_sha256 FROM w LEFT JOIN a USING (doc_id)
+"""

@@ -1,7 +1,10 @@
 """URL filter: host and path rules, then logistic regression on hashed character n-grams.
 
-Everything here is DataFrame and SQL functions.  Nothing is shuffled when pages are judged: the rules and the weights are literals of
-bounded size (``MAX_RULES`` rules, ``buckets`` weights).
+Everything here is DataFrame and SQL functions.  Nothing is shuffled when pages are judged by up to ``LITERAL_RULES`` rules: rules and weights
+are literals.  More rules are a table, which is joined on the suffixes of the distinct hosts.
+
+The labelled table that the model learns from is small; ``seed_urls`` makes a neutral one from lists of words that often stand in hosts and
+paths of advertising, gambling, pharmacy spam and the like, and of words from ordinary sites.  It knows nothing of the pages that are judged.
 
 Defined results: a null url, or one without ``://``, has an empty host and path and is judged by the bias alone; repeated rows are judged
 alike; an empty table gives an empty result.  Only the id and url columns are read, so other columns cannot clash.
@@ -14,35 +17,24 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MAX_RULES = 1000
+LITERAL_RULES = 1000
 GRAMS = (3, 4, 5)
 BUCKETS = 4096
 
-# The small labelled table that the model learns from (1: block, 0: allow).
-SEED_URLS = [
-    ("http://casino-royal.example/slots/1", 1), ("https://www.best-casino.example/en/12", 1), ("http://win-casino-online.example/play", 1),
-    ("https://casino-win-big.example/de/9.html", 1), ("http://m.poker-bets.example/en/3", 1), ("https://free-bets-now.example/fr/8", 1),
-    ("http://sports-bets.example/es/77?ref=x", 1), ("https://www.betting-free.example/en/5", 1), ("http://cheap-pills.example/en/2", 1),
-    ("https://www.pills-cheap-online.example/de/44/", 1), ("http://buy-pills.example/en/81.html", 1), ("https://cheap-meds.example/fr/7", 1),
-    ("http://spam-site.example/en/13", 1), ("https://link-spam-farm.example/es/6", 1), ("http://content-farm.example/en/1?utm_source=feed", 1),
-    ("https://www.spam-farm-net.example/fr/19#top", 1), ("http://ads-server.example/track/1", 1), ("https://ads-track-net.example/en/22", 1),
-    ("http://click-track-ads.example/de/3", 1), ("https://m.popup-ads.example/en/15", 1), ("http://free-money-win.example/en/6", 1),
-    ("https://win-free-prizes.example/es/2", 1), ("http://xxx-video.example/en/4", 1), ("https://adult-xxx.example/de/12", 1),
-    ("http://cheap-watches.example/en/45", 1), ("https://www.cheap-loans-fast.example/en/3", 1), ("http://free-casino-bets.example/fr/31", 1),
-    ("https://cheap-pills-win.example/en/92?page=2", 1), ("http://track-ads-free.example/es/8", 1), ("https://farm-spam.example/de/10", 1),
-    ("http://therin.example/en/1", 0), ("https://www.university.example/en/research/2", 0), ("http://blog.gardening.example/en/353/", 0),
-    ("https://news.city.example/fr/10", 0), ("http://m.library.example/en/88", 0), ("https://docs.python.example/en/3/library.html", 0),
-    ("http://www.museum.example/de/41", 0), ("https://blog.thertion.example/es/9?page=2", 0), ("http://history.example/en/176", 0),
-    ("https://www.weather.example/en/27#top", 0), ("http://science.example/fr/65.html", 0), ("https://m.recipes.example/es/12", 0),
-    ("http://blog.tionther.example/en/4/", 0), ("https://www.school.example/de/7", 0), ("http://forum.example/en/512?utm_source=feed", 0),
-    ("https://thenres.example/fr/43", 0), ("http://www.hospital.example/es/3", 0), ("https://books.example/en/64.html", 0),
-    ("http://blog.edition.example/en/8#top", 0), ("https://m.travelnotes.example/de/19", 0), ("http://council.example/en/25", 0),
-    ("https://www.thered.example/en/33/", 0), ("http://journal.example/fr/71?ref=x", 0), ("https://music.example/es/50", 0),
-    ("http://m.encyclopedia.example/en/6", 0), ("https://blog.anderen.example/de/2.html", 0), ("http://www.oration.example/en/95", 0),
-    ("https://thesis.example/en/11", 0), ("http://maps.example/fr/36", 0), ("https://www.theater.example/es/29", 0),
-    ("http://blog.nation.example/en/17?page=2", 0), ("https://m.station.example/fr/5", 0), ("http://www.motion.example/de/63", 0),
-    ("https://archive.example/en/404", 0), ("http://blog.writers.example/es/21", 0), ("https://www.kitchen.example/en/58", 0),
-]
+# Words of the labelled table, blocked and allowed.
+BLOCKED = "casino poker slots betting jackpot lottery bingo pills viagra pharmacy-discount replica-watches payday-loans adult webcams escorts adserver banner-ads popunder clicktracker spam doorway warez keygen torrents".split()
+ALLOWED = "university library museum recipes gardening weather history science council hospital school journal archive music travel cooking astronomy railway village theatre orchestra chemistry physics engineering".split()
+SHAPES = ["http://{w}.example/{p}/1", "https://www.{w}-{v}.example/index.html", "https://{v}.example/{w}/7?ref=a", "http://m.{w}{v}.test/{p}"]
+
+
+def seed_urls(step: int = 1) -> list[tuple[str, int]]:
+    """Labelled urls (1: block) made from the lists: word k with word k + ``step`` of its own list, in each shape."""
+    out = []
+    for words, label in ((BLOCKED, 1), (ALLOWED, 0)):
+        for k, w in enumerate(words):
+            v = words[(k + step) % len(words)]
+            out += [(shape.format(w=w, v=v, p=("go", "item", "page")[k % 3]), label) for shape in SHAPES]
+    return out
 
 
 def host_of(url: Column) -> Column:
@@ -65,17 +57,33 @@ def best_rule(host: Column, path: Column, rules: list[tuple[str, str]]) -> Colum
     A rule is a host and a path prefix in one string; it fits its host and all subdomains.  Of equally long rules the one with the longer
     host wins, then ``block``.
     """
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"{len(rules)} rules; the literal rule list takes {MAX_RULES} at most")
     if not rules:
         return F.lit(None).cast("struct<rule:string,action:string>")
     rows = [{"host": r[: r.index("/")], "path": r[r.index("/") :], "rule": r, "action": a} for r, a in rules]
     table = F.from_json(F.lit(json.dumps(rows)), "array<struct<host:string,path:string,rule:string,action:string>>")
-    fits = F.filter(table, lambda r: ((host == r["host"]) | host.endswith(F.concat(F.lit("."), r["host"]))) & path.startswith(r["path"]))
+    return _longest(F.filter(table, lambda r: ((host == r["host"]) | host.endswith(F.concat(F.lit("."), r["host"]))) & path.startswith(r["path"])))
+
+
+def _longest(fits: Column) -> Column:
     ranked = F.array_max(F.transform(fits, lambda r: F.struct(F.length(r["rule"]).alias("n"), F.length(r["host"]).alias("h"), r["action"].alias("action"), r["rule"].alias("rule"))))
     return F.when(ranked.isNotNull(), F.struct(ranked["rule"].alias("rule"), ranked["action"].alias("action")))
 
 
+def with_rule(parts: DataFrame, rules: DataFrame) -> DataFrame:
+    """Add ``_rule``, as ``best_rule`` finds it, from a table of any number of rules (rule, action).
+
+    Distinct hosts meet the rules of their suffixes; pages then meet the rules of their host.
+    """
+    at = F.instr("rule", "/")
+    table = rules.select(F.substring("rule", F.lit(1), at - 1).alias("suffix"), F.substring("rule", at, F.length("rule")).alias("path"), "rule", "action")
+    labels = F.split("host", r"\.")
+    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))
+    near = parts.select("host").distinct().select("host", F.explode(suffixes).alias("suffix")).join(table, "suffix")
+    by_host = near.groupBy("host").agg(F.collect_list(F.struct(F.col("suffix").alias("host"), "path", "rule", "action")).alias("_rules"))
+    joined = parts.join(by_host, "host", "left")
+    return joined.withColumn("_rule", _longest(F.filter("_rules", lambda r: F.col("path").startswith(r["path"])))).drop("_rules")
+
+
 def ngram_buckets(host: Column, path: Column, buckets: int = BUCKETS) -> Column:
     """Array of hashed character n-grams; host and path have separate hash spaces."""
     parts = []
@@ -99,10 +107,10 @@ def _margin(grams: Column, model: dict) -> Column:
 def train(spark: SparkSession, table: DataFrame | None = None, buckets: int = BUCKETS, rounds: int = 30, rate: float = 4.0, decay: float = 1e-3) -> dict:
     """Fit the weights by full-batch gradient descent; each round is one aggregation over the labelled table (columns url, label).
 
-    The labelled table is small by contract (``SEED_URLS`` by default); what comes to the driver is one gradient of at most ``buckets``
+    The labelled table is small by contract (``seed_urls`` by default); what comes to the driver is one gradient of at most ``buckets``
     sums a round, whatever the table's size.
     """
-    table = spark.createDataFrame(SEED_URLS, "url string, label int") if table is None else table
+    table = spark.createDataFrame(seed_urls(), "url string, label int") if table is None else table
     grams = ngram_buckets(host_of(F.col("url")), path_of(F.col("url")), buckets)
     rows = table.where("url IS NOT NULL AND label IS NOT NULL").select(F.col("label").cast("double").alias("label"), grams.alias("grams")).coalesce(1).cache()
     n = max(rows.count(), 1)
@@ -121,13 +129,16 @@ def train(spark: SparkSession, table: DataFrame | None = None, buckets: int = BU
     return model
 
 
-def judge(pages: DataFrame, rules: list[tuple[str, str]], model: dict, id_col: str = "page_id", url_col: str = "url", threshold: float = 0.5) -> DataFrame:
+def judge(pages: DataFrame, rules: list[tuple[str, str]] | DataFrame, model: dict, id_col: str = "page_id", url_col: str = "url", threshold: float = 0.5) -> DataFrame:
     """Return id, host, path, rule, verdict and block_probability of every page.
 
-    A fitting rule decides; without one, the model blocks at ``threshold``.
+    A fitting rule decides; without one, the model blocks at ``threshold``.  Rules are a list or a table (rule, action).
     """
     parts = pages.select(F.col(id_col), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
-    ruled = parts.withColumn("_rule", best_rule(F.col("host"), F.col("path"), rules)).withColumn("_grams", ngram_buckets(F.col("host"), F.col("path"), len(model["weights"])))
+    if not isinstance(rules, DataFrame) and len(rules) > LITERAL_RULES:
+        rules = pages.sparkSession.createDataFrame(rules, "rule string, action string")
+    ruled = with_rule(parts, rules) if isinstance(rules, DataFrame) else parts.withColumn("_rule", best_rule(F.col("host"), F.col("path"), rules))
+    ruled = ruled.withColumn("_grams", ngram_buckets(F.col("host"), F.col("path"), len(model["weights"])))
     scored = ruled.withColumn("block_probability", 1.0 / (1.0 + F.exp(-_margin(F.col("_grams"), model))))
     verdict = F.coalesce(F.col("_rule.action"), F.when(F.col("block_probability") >= threshold, F.lit("block")).otherwise(F.lit("allow")))
     return scored.select(id_col, "host", "path", F.col("_rule.rule").alias("rule"), verdict.alias("verdict"), "block_probability")
@@ -139,3 +150,16 @@ RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/"
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Judge every page url."""
     return judge(spark.read.parquet(f"{sf_dir}/pages.parquet"), RULES, train(spark))
+
+
+def l1_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can say of every page url: host, path and rule."""
+    return op1_url_filter(spark, sf_dir).select("page_id", "host", "path", "rule")
+
+
+ORACLE = r"""
+WITH r AS (SELECT rule, split_part(rule, '/', 1) AS h, substr(rule, strpos(rule, '/')) AS p FROM (VALUES ('com/'), ('example.com/en/'), ('www.example.com/en/'), ('net/es/'), ('net/fr/')) t(rule)),
+u AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN translate(regexp_extract(substr(url, strpos(url, '://') + 3), '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE '' END AS host,
+  CASE WHEN strpos(url, '://') > 0 THEN regexp_extract(substr(url, strpos(url, '://') + 3), '^[^/?#]*([^?#]*)', 1) ELSE '' END AS path FROM pages)
+SELECT page_id, host, path, (SELECT arg_max(rule, length(rule)) FROM r WHERE (u.host = r.h OR ends_with(u.host, '.' || r.h)) AND starts_with(u.path, r.p)) AS rule FROM u
+"""
