@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from turnloom.llm.storage import discard, materialize
+from turnloom.llm.storage import discard, materialize, release
 
 WORD = r"[^\x20\x09-\x0D]+"
 GROUP = 400
@@ -91,6 +91,7 @@ def balance(sizes: DataFrame, targets: DataFrame, cap: float, tilt: float, round
         if (state.agg(F.max("error")).first()[0] or 0.0) <= tolerance:
             break
     discard(spread)
+    release(targets.sparkSession)
     return state.select("key", F.when(~F.col("full"), F.col("lam")).alias("lam"))
 
 

@@ -7,8 +7,8 @@ by side, so a shingle contributes one slice of the permutation.
 Candidates.  50 bands of 5 rows: two documents with a Jaccard similarity of 0.75 share no band with probability (1 - 0.75**5)**50 = 1.3e-6.
 Equal sets are one class from the start, and only classes are compared.  Comparison goes in waves, with new components between them.  In the
 first wave each class meets the leader of each of its buckets.  After that only buckets whose members lie in several components are open, and
-there only the members outside the bucket's largest component look for links: with about 8, then 64 drawn members of other components, and in
-the last wave with all of them.  Most members of a dense group are linked after a few looks, so what the last wave meets in full are the few
+there only the members outside the bucket's largest component look for links: with about 16 drawn members of other components, then 16 times as
+many, and so on, until no open bucket has more members.  Most members of a dense group are linked after a few looks, so what the last wave meets in full are the few
 members that are linked with hardly anyone.  No pair is made inside a component and none twice.  The join itself leaves out pairs whose
 sketches (four bits of each coordinate) differ too much for a similarity of 0.75, which adds about the error of the bands, and pairs whose
 parity maps differ too much, which adds no error: sets differ in at least as many shingles as their maps in bits.  So hardly more pairs than
@@ -31,14 +31,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnloom.llm import kernel
-from turnloom.llm.storage import discard, materialize
+from turnloom.llm.storage import discard, materialize, release
 
 WORDS = 5
 ROWS = 5
 BANDS = 50
 CIRCLE = 1 << 20
-#: members of a bucket that are met in the waves between the first one (the leader) and the last one (all)
-LOOKS = (8, 64)
+#: members of a bucket that are met in the second wave, and how many times as many in each further one
+LOOKS = 16
 #: bits of a parity map: each shingle flips one
 MAP = 4096
 #: parts of a class that meet its row apart, so that thousands of exact copies do not meet in one task
@@ -223,26 +223,28 @@ def linked_classes(firsts: DataFrame, docs: DataFrame, classes: DataFrame, perce
     leaders = members.where("id = leader").select("band", F.col("n").alias("m"))
     tested = materialize(members.where("id <> leader").join(leaders, "band").where(fits).select(*_pairs("id", "leader")).distinct(), "near-pairs")
     labels = joined_up(labels, verified(tested, sets, percent))
-    now = members
-    for wave, most in enumerate((*LOOKS, None)):
+    now, most, wave = members, LOOKS, 0
+    while True:
+        release(docs.sparkSession)
         placed = now.join(labels, "id")
         shares = placed.groupBy("band", "component").agg(F.count("*").alias("k"))
         split = shares.groupBy("band").agg(F.count("*").alias("parts"), F.sum("k").alias("size"), F.max_by("component", F.struct("k", -F.col("component"))).alias("major")).where("parts > 1").drop("parts")
         opened = materialize(placed.join(split, "band"), "near-open")
+        largest = opened.agg(F.max("size")).first()[0]
         if wave:
             discard(now)
-        else:
+        if largest is None:
+            discard(opened)
+            break
+        if not wave:
             ids = opened.select("id").distinct()
             maps = sets.join(ids, "id", "left_semi").mapInArrow(_maps, "id bigint, map array<bigint>")
             looks = firsts.join(ids, "id", "left_semi").select("id", "sketch", marks).join(maps, "id")
             bare, opened = opened, materialize(opened.join(looks, "id"), "near-open")
             discard(bare)
         minor = opened.where("component <> major")
-        if minor.isEmpty():
-            discard(opened)
-            break
         # a member is drawn alike in all its buckets of one size, so a pair meets there or nowhere in this wave
-        draw = F.lit(True) if most is None else F.pmod(F.xxhash64("id", F.lit(wave)), F.lit(1 << 20)) * F.col("size") < F.lit(most << 20)
+        draw = F.lit(True) if most >= largest else F.pmod(F.xxhash64("id", F.lit(wave)), F.lit(1 << 20)) * F.col("size") < F.lit(most << 20)
         met = opened.where(draw).select("band", F.col("id").alias("other"), F.col("n").alias("m"), F.col("component").alias("other_component"), F.col("sketch").alias("other_sketch"), F.col("marks").alias("other_marks"), F.col("map").alias("other_map"))
         alike = unlike(F.col("sketch"), F.col("other_sketch")) <= MOST_UNLIKE
         may = differing(F.col("map"), F.col("other_map")) * (100 + percent) <= (F.col("n") + F.col("m")) * (100 - percent)
@@ -251,12 +253,14 @@ def linked_classes(firsts: DataFrame, docs: DataFrame, classes: DataFrame, perce
         found = minor.join(met, "band").where("component <> other_component").where(fits & alike & first & may).select(*_pairs("id", "other")).distinct()
         pairs = materialize(found.join(tested, ["a", "b"], "left_anti"), "near-pairs")
         labels = joined_up(labels, verified(pairs, sets, percent))
-        both = materialize(tested.unionByName(pairs), "near-pairs") if most is not None else tested
-        discard(pairs, *([tested] if both is not tested else []))
+        if most >= largest:
+            discard(pairs, opened)
+            break
+        both = materialize(tested.unionByName(pairs), "near-pairs")
+        discard(pairs, tested)
         tested, now = both, opened.select("band", "band_no", "id", "n", "sketch", "marks", "map")
         now._stored_at = opened._stored_at
-    else:
-        discard(now)
+        most, wave = most * LOOKS, wave + 1
     discard(members, sets, tested)
     return labels
 
@@ -287,6 +291,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
     named = classes.select("id", "least").join(labels, "id").groupBy("component").agg(F.min("least").alias("component_id"))
     of_class = materialize(labels.join(named, "component").select("id", "component_id"), "near-components")
     discard(signed, classes, firsts, labels, shared)
+    release(docs.sparkSession)
     final = owned.join(of_class, "id", "left").select("doc_id", "n_shingles", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("component_id", "class_id", "doc_id").alias("component_id"))
     return final.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 

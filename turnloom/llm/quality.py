@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from turnloom.llm import kernel
-from turnloom.llm.storage import discard, materialize
+from turnloom.llm.storage import discard, materialize, release
 
 TRIGRAMS = 1024
 REPEATS = 2
@@ -273,6 +273,7 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 8000, rounds:
         slope, intercept = logistic(table[:, k : k + 1], table[:, 0], np.ones(len(table)), 1e-4)
         scale.append((max(float(slope), 0.0), float(intercept)) if slope > 0 else (0.0, float(np.log(table[:, 0].mean() / (1 - table[:, 0].mean())))))
     discard(known, views, voted)
+    release(docs.sparkSession)
     good = counts[(True, 1.0)] / (counts[(True, 1.0)] + counts[(True, 0.0)])
     return Classifier(text, meta, *scale, float(np.log(good / (1 - good))))
 

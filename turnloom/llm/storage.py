@@ -37,7 +37,10 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of finished queries now: it does so when the driver's objects of a query are collected."""
+    """Let Spark delete the shuffle files of finished queries now, and the driver the code it made for them.
+
+    Both happen when the driver's objects of a query are collected, which a driver with enough memory puts off.
+    """
     gc.collect()
     spark._jvm.System.gc()
 
