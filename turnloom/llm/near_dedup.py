@@ -175,14 +175,13 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each round a vertex takes the least label of its neighbours and itself, and then the label of that label.
     """
-    links = materialize(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "near-links")
-    labels = materialize(links.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("component")).withColumnRenamed("a", "id"), "near-labels")
+    ends = edges.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")), F.struct("a", F.col("a").alias("b")), F.struct(F.col("b").alias("a"), "b"))).alias("e"))
+    links = materialize(ends.select("e.a", "e.b").distinct(), "near-links")  # both ways, and each vertex with itself
+    labels = materialize(links.groupBy("a").agg(F.min("b").alias("component")).withColumnRenamed("a", "id"), "near-labels")
     while True:
-        seen = links.join(labels, links["b"] == labels["id"]).groupBy("a").agg(F.min("component").alias("near"))
-        lower = labels.join(seen, labels["id"] == seen["a"]).select("id", F.col("component").alias("old"), F.least("component", "near").alias("low"))
-        up = labels.select(F.col("id").alias("low"), F.col("component").alias("over"))
-        step = lower.join(up, "low", "left").select("id", "old", F.least("low", F.coalesce("over", "low")).alias("component"))
-        step = materialize(step, "near-labels")
+        seen = links.join(labels.select(F.col("id").alias("b"), "component"), "b").groupBy("a").agg(F.max(F.when(F.col("a") == F.col("b"), F.col("component"))).alias("old"), F.min("component").alias("low"))
+        over = labels.select(F.col("id").alias("low"), F.col("component").alias("over"))
+        step = materialize(seen.join(over, "low").select(F.col("a").alias("id"), "old", F.least("low", "over").alias("component")), "near-labels")
         discard(labels)
         labels = step
         if step.where("old <> component").isEmpty():
@@ -223,7 +222,7 @@ def linked_classes(firsts: DataFrame, docs: DataFrame, classes: DataFrame, perce
     leaders = members.where("id = leader").select("band", F.col("n").alias("m"))
     tested = materialize(members.where("id <> leader").join(leaders, "band").where(fits).select(*_pairs("id", "leader")).distinct(), "near-pairs")
     labels = joined_up(labels, verified(tested, sets, percent))
-    now, most, wave = members, LOOKS, 0
+    now, most, wave, made = members, LOOKS, 0, [tested]
     while True:
         release(docs.sparkSession)
         placed = now.join(labels, "id")
@@ -256,12 +255,11 @@ def linked_classes(firsts: DataFrame, docs: DataFrame, classes: DataFrame, perce
         if most >= largest:
             discard(pairs, opened)
             break
-        both = materialize(tested.unionByName(pairs), "near-pairs")
-        discard(pairs, tested)
-        tested, now = both, opened.select("band", "band_no", "id", "n", "sketch", "marks", "map")
+        made.append(pairs)
+        tested, now = tested.unionByName(pairs), opened.select("band", "band_no", "id", "n", "sketch", "marks", "map")
         now._stored_at = opened._stored_at
         most, wave = most * LOOKS, wave + 1
-    discard(members, sets, tested)
+    discard(members, sets, *made)
     return labels
 
 
