@@ -113,6 +113,23 @@ def test_fingerprints(spark, docs, nothing):
     assert [(r.doc_id, r.near_next) for r in one] == [(None, 1.0)]
 
 
+def test_fingerprints_of_rows_without_ids(spark):
+    """Rows without ids and with equal ids are spread over ranges, and each is compared with the one after it."""
+    rng = random.Random(2)
+    rows = [(None, " ".join(str(rng.randrange(50)) for _ in range(rng.randint(5, 30)))) for _ in range(300)] + [(i // 3, f"row {i} of many words {i % 7}") for i in range(90)] + [(None, "same")] * 20
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(7)
+    laid = fingerprints.next_documents(df)
+    assert laid.where("late = 0").groupBy("bucket").count().agg(F.max("count")).first()[0] < 120
+    made = laid.mapInArrow(fingerprints._neighbours, fingerprints.SCHEMA).collect()
+    hashed = {r.text: r.h for r in df.select("text", F.xxhash64("text").alias("h")).distinct().collect()}
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, hashed[r[1]], r[1]), reverse=True)
+    plain = []
+    for k, (i, t) in enumerate(order):
+        after, cut = order[(k + 1) % len(order)][1], len(t) // 3
+        plain.append((str(i), len(t), hashlib.sha256((t[: len(t) - cut] + after[:cut]).encode()).hexdigest()))
+    assert sorted((str(r.doc_id), r.n_chars, r.edited_sha256) for r in made) == sorted(plain)
+
+
 def test_densified_bins_agree_like_the_sets():
     rng = np.random.default_rng(1)
     grams = rng.integers(0, 2**63, 40, dtype=np.uint64)

@@ -5,8 +5,8 @@ first non-empty bin of its own fixed random order, so each copies a uniformly ch
 and likeness corrects for the ``2**-BITS`` of bins that agree by chance.
 
 Defined results: a null text is an empty text; a text without words has the fingerprint ``""``, like only another such text; fewer than
-five words count as one shingle; rows that repeat a doc_id follow each other in order of their texts; a null doc_id comes after all
-others; the only document of a table is its own next one; an empty table gives an empty result.
+five words count as one shingle; rows that repeat a doc_id follow each other in order of a hash of their texts; rows without doc_id come after
+all others, in the same order; the only document of a table is its own next one; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -127,14 +127,20 @@ def next_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     a bucket is also the next one of the lowest document above, so it is sent there as well, marked late: one extra text a bucket.
     """
     spark = docs.sparkSession
-    keyed = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("key", F.coalesce("doc_id", F.lit(-(2**63))))
-    binned = range_buckets(keyed)
-    tops = sorted((b, k) for b, k in binned.groupBy("bucket").agg(F.max("key")).collect())  # one row a bucket
-    above = [(k, tops[(i + 1) % len(tops)][0]) for i, (_, k) in enumerate(tops)]
-    extra = F.broadcast(spark.createDataFrame(above, "key bigint, above int"))  # as many rows as buckets
-    sent = binned.join(extra, "key", "left").withColumn("to", F.when(F.col("above").isNull(), F.array(F.struct("bucket", F.lit(0).alias("late")))).otherwise(F.array(F.struct("bucket", F.lit(0).alias("late")), F.struct(F.col("above").alias("bucket"), F.lit(1).alias("late")))))
-    laid = sent.select("doc_id", "key", "text", F.explode("to").alias("to")).select("doc_id", "key", "text", "to.bucket", "to.late")
-    return laid.repartition(partitions(spark), "bucket").sortWithinPartitions("bucket", "late", F.col("key").desc(), F.col("text").desc()).drop("key")
+    keyed = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    # rows without doc_id lie below all ids, spread by their texts; if there are none, ranges are cut without a look at the texts
+    ids_only = keyed.where("doc_id IS NULL").isEmpty()
+    keyed = keyed.withColumn("tie", F.lit(0).cast("bigint") if ids_only else F.xxhash64("text"))
+    binned = range_buckets(keyed.withColumn("key", F.coalesce(F.col("doc_id").cast("double"), F.col("tie").cast("double") - 2e19)))
+    tops = sorted((r.bucket, tuple(r.top)) for r in binned.groupBy("bucket").agg(F.max(F.struct("key", "doc_id", "tie")).alias("top")).collect())  # one row a bucket
+    above = [(*top, tops[(i + 1) % len(tops)][0]) for i, (_, top) in enumerate(tops)]
+    extra = F.broadcast(spark.createDataFrame(above, "top_key double, top_id bigint, top_tie bigint, above int"))  # as many rows as buckets
+    own = F.struct("bucket", F.lit(0).alias("late"))
+    both = F.array(own, F.struct(F.col("above").alias("bucket"), F.lit(1).alias("late")))
+    sent = binned.join(extra, (F.col("key") == F.col("top_key")) & (F.col("tie") == F.col("top_tie")) & F.col("doc_id").eqNullSafe(F.col("top_id")), "left")
+    laid = sent.select("doc_id", "key", "tie", "text", F.explode(F.when(F.col("above").isNull(), F.array(own)).otherwise(both)).alias("to")).select("doc_id", "key", "tie", "text", "to.bucket", "to.late")
+    order = ["bucket", "late", F.col("key").desc(), F.col("doc_id").desc(), F.xxhash64("text").desc(), F.col("text").desc()]
+    return laid.repartition(partitions(spark), "bucket").sortWithinPartitions(*order).drop("key", "tie")
 
 
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
