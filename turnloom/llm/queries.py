@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from turnloom.llm import decontamination, fingerprints, html_text, language_model, mixing, near_dedup, quality, substring_dedup, token_output, url_filter
+from turnloom.llm import centroids, decontamination, fingerprints, html_text, language_model, mixing, near_dedup, quality, substring_dedup, token_output, url_filter, warc, whitening
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,6 +22,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_output": token_output.op8_token_output,
         "op9_substring_dedup": substring_dedup.op9_substring_dedup,
         "op10_mixing": mixing.op10_mixing,
+        "op11_warc": warc.op11_warc,
+        "op12_centroids": centroids.op12_centroids,
+        "op13_whitening": whitening.op13_whitening,
         "l1_url_rules": url_filter.l1_url_rules,
         "l2_edited_texts": fingerprints.l2_edited_texts,
         "l10_targets": mixing.l10_targets,
@@ -30,4 +33,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """Return DuckDB SQL by query name."""
-    return {"op7_near_dedup": near_dedup.ORACLE, "op9_substring_dedup": substring_dedup.ORACLE, "l1_url_rules": url_filter.ORACLE, "l2_edited_texts": fingerprints.ORACLE, "l10_targets": mixing.ORACLE}
+    return {"op7_near_dedup": near_dedup.ORACLE, "op9_substring_dedup": substring_dedup.ORACLE, "l1_url_rules": url_filter.ORACLE, "l2_edited_texts": fingerprints.ORACLE, "l10_targets": mixing.ORACLE, "op11_warc": warc.ORACLE, "op12_centroids": centroids.ORACLE}
