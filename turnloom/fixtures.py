@@ -63,6 +63,8 @@ DUCK = {
     "samples": """
       SELECT vec_id AS clip_id, i - 1 AS i, CAST(embedding[i] AS DOUBLE) * power(CAST(10 AS DOUBLE), -((vec_id % 20) + (vec_id % 7)*CAST(2 AS DOUBLE)*(i - 1)/64)/20) AS v
       FROM (SELECT vec_id, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM {embeddings})""",
+    "takes": """
+      SELECT clip_id // 64 AS take_id, row_number() OVER (PARTITION BY clip_id // 64 ORDER BY clip_id, i) - 1 AS i, v * CASE WHEN clip_id % 64 < 4 OR clip_id % 64 >= 59 THEN 0.001 ELSE 1.0 END AS v FROM {samples}""",
 }
 BOTH = {
     "items": """
@@ -89,6 +91,11 @@ class Views:
         elif name == "clips":
             gain = lambda i: F.pow(F.lit(10.0), -((F.col("vec_id") % 20) + (F.col("vec_id") % 7) * 2.0 * i / 64) / 20)
             df = self.embeddings.select(F.col("vec_id").alias("clip_id"), F.transform("embedding", lambda x, i: x.cast("double") * gain(i)).alias("samples"))
+        elif name == "takes":  # recordings of 64 clips one after the other, quiet at both ends
+            place = F.col("clip_id") % 64
+            quiet = F.when((place < 4) | (place >= 59), 0.001).otherwise(1.0)
+            each = self.clips.select(F.floor(F.col("clip_id") / 64).alias("take_id"), F.struct("clip_id", F.transform("samples", lambda x: x * quiet).alias("x")).alias("part"))
+            df = each.groupBy("take_id").agg(F.flatten(F.transform(F.array_sort(F.collect_list("part")), lambda p: p["x"])).alias("samples"))
         else:
             text = (COMMON | SPARK | BOTH)[name]
             df = self.spark.sql(text, **{n: getattr(self, n) for n in names_in(text)})

@@ -95,6 +95,13 @@ class Invalidation:
         """The chosen calls with the number of their turn issues."""
         return issue_counts(catalog, self.ids)
 
+    def remove(self, spark: SparkSession, root: str, execute: bool = False) -> DataFrame | dict[str, int]:
+        """Remove the calls from the bucketed stage tables under ``root``; without ``execute``, say only which buckets would change."""
+        from turnloom.plans import tables
+
+        paths = {s: f"{root}/{s}" for s in self.stages if tables.files_under(spark, f"{root}/{s}") is not None}
+        return tables.remove_calls(spark, paths, self.ids) if execute else tables.removal(spark, paths, self.ids)
+
     def apply(self, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
         """The stage tables without the chosen calls."""
         return {s: df.join(self.ids, "call_id", "left_anti") if s in self.stages else df for s, df in tables.items()}

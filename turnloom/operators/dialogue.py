@@ -5,6 +5,11 @@ All of these partition by ``call_id`` alone, so one exchange serves a chain of t
 
 from __future__ import annotations
 
+import itertools
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -89,20 +94,125 @@ def words_to_turns(words: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-def speakers_at(points: DataFrame, timeline: DataFrame, at: str = "mid_s") -> DataFrame:
-    """Add ``speaker``: that of the first interval, in timeline order, that holds the time, ends included; else of the nearest one.
+STEPS = "at_s double, side int, next_s double, holder string, left_s double, left_ord bigint, left_who string, right_s double, right_ord bigint, right_who string"
 
-    A call's timeline is one array, looked up for each point, so points are not multiplied.  Without a timeline: UNKNOWN.
-    """
-    lines = timeline.groupBy("call_id").agg(F.array_sort(F.collect_list(F.struct("ord", "start_s", "end_s", F.col("speaker").alias("who")))).alias("_line"))
 
-    def rank(s: Column) -> Column:
-        inside = (s["start_s"] <= F.col(at)) & (F.col(at) <= s["end_s"])
-        away = F.least(F.abs(F.col(at) - s["start_s"]), F.abs(F.col(at) - s["end_s"]))
-        return F.struct((~inside).alias("out"), F.when(inside, F.lit(0.0)).otherwise(away).alias("away"), s["ord"].alias("ord"), s["who"].alias("who"))
+def call_steps(start: np.ndarray, end: np.ndarray, order: list, who: list) -> list[tuple]:
+    """The steps of one call's intervals, which are in timeline order.
+
+    Between two neighbouring borders, and at each border, the intervals that hold a time are the same.  In the order of the timeline each
+    interval takes those of its stretches that are still free, and each stretch is taken once, so the cost is that of sorting.
+    """
+    border = np.unique(np.concatenate([start, end]))
+    n, low, high = len(border), np.searchsorted(border, start), np.searchsorted(border, end)
+    holder, free = [-1] * (2 * n), list(range(2 * n + 1))  # 2i: border i, 2i + 1: what follows it; free: the next free stretch from here
+
+    def next_free(i: int) -> int:
+        while free[i] != i:
+            free[i] = free[free[i]]
+            i = free[i]
+        return i
+
+    for k, (a, b) in enumerate(zip((2 * low).tolist(), (2 * high).tolist(), strict=True)):
+        i = next_free(a)
+        while i <= b:
+            holder[i], free[i] = k, i + 1
+            i = next_free(i)
+    first = np.full(n, len(start))  # the earliest interval with a border here
+    np.minimum.at(first, low, np.arange(len(start)))
+    np.minimum.at(first, high, np.arange(len(start)))
+    none = (None, None, None)
+    edges = [(t, order[k], who[k]) for t, k in zip(border.tolist(), first.tolist(), strict=True)] + [none]
+    out = [(float("-inf"), 2, None, *none, *edges[0])]
+    for j in range(2 * n):
+        i, k = j // 2, holder[j]
+        if k < 0:
+            out.append((edges[i][0], 2 * (j % 2), None, *edges[i], *(edges[i + 1] if j % 2 else none)))
+        elif j == 0 or holder[j - 1] != k:
+            out.append((edges[i][0], 2 * (j % 2), who[k], *none, *none))
+    return [(*x[:2], y[0], *x[2:]) for x, y in zip(out, [*out[1:], (None,)], strict=True)]
+
+
+def timeline_steps(timeline: DataFrame) -> DataFrame:
+    """A timeline (call_id, ord, start_s, end_s, speaker) as a function of time: a row wherever the answer to "who speaks now" changes.
+
+    ``holder`` speaks from ``at_s`` on (``side`` 0: including it, 2: after it) up to the next row; without a holder, the nearest borders on
+    both sides are there.  Calls stream through a task one after the other, so it holds one call's timeline at a time; intervals without a
+    start or an end are left out.
+    """
+    rows = timeline.select("call_id", F.col("ord").cast("bigint").alias("ord"), F.col("start_s").cast("double").alias("start_s"), F.col("end_s").cast("double").alias("end_s"), "speaker")
+    kind = timeline.schema["call_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = [pa.float64(), pa.int32(), pa.float64(), pa.string(), pa.float64(), pa.int64(), pa.string(), pa.float64(), pa.int64(), pa.string()]
+        held: list[pa.RecordBatch] = []
+
+        def made(table: pa.Table, bounds: list[int]) -> Iterator[pa.RecordBatch]:
+            start, end = (table.column(c).to_numpy() for c in ("start_s", "end_s"))
+            ids, order, who = (table.column(c).to_pylist() for c in ("call_id", "ord", "speaker"))
+            calls, steps = [], []
+            for a, b in itertools.pairwise(bounds):
+                steps += call_steps(start[a:b], end[a:b], order[a:b], who[a:b])
+                calls += [ids[a]] * (len(steps) - len(calls))
+            columns = [pa.array([x[j] for x in steps], t) for j, t in enumerate(types)]
+            yield pa.RecordBatch.from_arrays([pa.array(calls, table.schema.field("call_id").type), *columns], names=["call_id", *(x.split()[0] for x in STEPS.split(", "))])
+
+        def cuts(table: pa.Table) -> list[int]:
+            codes = table.column("call_id").combine_chunks().dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+            return (np.flatnonzero(codes[1:] != codes[:-1]) + 1).tolist()
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            if len(held) > 1 and held[0].column("call_id")[0] == batch.column("call_id")[batch.num_rows - 1]:
+                continue  # still the same call
+            table = pa.Table.from_batches(held)
+            if inner := cuts(table):
+                yield from made(table.slice(0, inner[-1]), [0, *inner])
+                held = table.slice(inner[-1]).combine_chunks().to_batches()
+        if held:
+            table = pa.Table.from_batches(held)
+            yield from made(table, [0, *cuts(table), table.num_rows])
+
+    laid = rows.where("start_s IS NOT NULL AND end_s IS NOT NULL").repartition("call_id").sortWithinPartitions("call_id", "ord")
+    return laid.mapInArrow(run, f"call_id {kind}, {STEPS}")
+
+
+def speakers_at(points: DataFrame, timeline: DataFrame, at: str = "mid_s", bin_s: float | None = None) -> DataFrame:
+    """Add ``speaker``: that of the first interval, in timeline order, that holds the time, ends included; else of the nearest one.
 
-    best = F.array_min(F.transform("_line", rank))["who"]
-    return points.join(lines, "call_id", "left").withColumn("speaker", F.coalesce(best, F.lit("UNKNOWN"))).drop("_line")
+    Points and the steps of the timeline are sorted by time together, and each point takes the last step before it: one exchange, nothing is
+    multiplied, and memory does not grow with a call.  With ``bin_s`` a call is split into bins of so many seconds, each of which knows the step
+    that it begins in, so a call that holds a large part of all points is as many tasks as bins; this costs one more exchange, for points
+    before the first and after the last border.  Without a timeline, or without a time: UNKNOWN.
+    """
+    steps = timeline_steps(timeline)
+    value = F.struct("holder", "left_s", "left_ord", "left_who", "right_s", "right_ord", "right_who").alias("_step")
+    time = F.col(at).cast("double")
+    keys = ["call_id"]
+    marked = points.withColumn("_at", time).withColumn("_side", F.lit(1))
+    known = steps.select("call_id", F.col("at_s").alias("_at"), F.col("side").alias("_side"), value, "next_s")
+    if bin_s is not None:
+        keys.append("_bin")
+        of = lambda c: F.floor(c / F.lit(float(bin_s)))
+        begin = F.when(F.col("_at") == float("-inf"), F.col("next_s")).otherwise(F.col("_at"))
+        marked = marked.withColumn("_bin", of(F.col("_at")))
+        known = known.withColumn("_bin", F.explode(F.sequence(of(begin), of(F.coalesce("next_s", begin)))))
+    order = Window.partitionBy(*keys).orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, 0)
+    both = marked.unionByName(known.drop("next_s"), allowMissingColumns=True)
+    found = both.withColumn("_step", F.last("_step", ignorenulls=True).over(order)).where("_side = 1")
+    step, near = F.col("_step"), F.col("_at")
+    left, right = F.abs(near - step["left_s"]), F.abs(near - step["right_s"])
+    nearer = F.when(step["right_s"].isNull() | (left < right) | ((left == right) & (step["left_ord"] <= step["right_ord"])), step["left_who"]).otherwise(step["right_who"])
+    nearest = F.when(step["left_s"].isNull(), step["right_who"]).otherwise(nearer)
+    held = F.when(step["left_s"].isNull() & step["right_s"].isNull(), step["holder"]).otherwise(nearest)
+    if bin_s is not None:
+        ends = steps.groupBy("call_id").agg(F.max(F.when(F.col("at_s") == float("-inf"), F.col("right_s"))).alias("_begin"), F.max(F.when(F.col("at_s") == float("-inf"), F.struct("right_who"))).alias("_first"), F.max(F.when(F.col("next_s").isNull(), F.struct("left_who"))).alias("_last"))
+        beyond = F.when(near < F.col("_begin"), F.col("_first.right_who")).otherwise(F.col("_last.left_who"))
+        found = found.join(ends, "call_id", "left")
+        held = F.when(step.isNotNull(), held).when(near.isNotNull(), beyond)
+    return found.withColumn("speaker", F.coalesce(held, F.lit("UNKNOWN"))).select(*points.columns, "speaker")
 
 
 def majority_speaker(words: DataFrame, keys: list[str]) -> DataFrame:

@@ -84,6 +84,16 @@ def export_stats(rows: DataFrame, clips: DataFrame | None = None) -> DataFrame:
     return pairs.select("stage", "p.metric", "p.value").unionByName(long_form(total, "finetune"))
 
 
+def stage_rollup(stages: dict[str, DataFrame]) -> DataFrame:
+    """Calls, turns and seconds by stage and language, by stage, and over all, in one pass: stage, language, level (0, 1, 3), calls, turns, seconds.
+
+    stages: rows with call_id, language and seconds, one a turn.  ``level`` tells a total's null from a language that is not known.
+    """
+    rows = reduce(DataFrame.unionByName, [df.select(F.lit(name).alias("stage"), "call_id", language_code(F.col("language")).alias("language"), "seconds") for name, df in stages.items()])
+    calls = rows.groupBy("stage", "language", "call_id").agg(F.count("*").alias("turns"), F.sum("seconds").alias("seconds"))  # so that counting calls needs no distinct
+    return calls.rollup("stage", "language").agg(F.grouping_id().cast("int").alias("level"), F.count("*").alias("calls"), F.sum("turns").alias("turns"), F.sum("seconds").alias("seconds"))
+
+
 def dashboard(parts: list[DataFrame]) -> DataFrame:
     """All stage tables as one."""
     return reduce(DataFrame.unionByName, parts)

@@ -846,9 +846,4 @@ def _(v):
     return v.documents.select("doc_id", text.strip(edge).alias("text"))
 
 
-@query("g24_tallies", "SELECT CASE WHEN idx % 4 = 3 THEN 'failed' ELSE 'succeeded' END AS status, count(*) AS n FROM {turns} GROUP BY 1")
-def _(v):
-    from turnloom import models
-
-    rows = v.turns.select(F.struct((F.col("idx") % 4 != 3).alias("ok"), F.lit("x").alias("value"), F.lit(None).cast("string").alias("error")).alias("answer"))
-    return models.tallies(rows, "answer")
+from turnloom.plans import table_queries  # noqa: E402, F401  (registers the queries that write and read tables)

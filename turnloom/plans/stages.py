@@ -1,30 +1,31 @@
-"""Composite stages: each takes and returns long tables, lazily.
+"""Composite stages: each takes and returns long tables.
 
-Answers of models are kept on disk by Spark while a stage's tables are used, so that reading several of them does not ask a model again.
+Answers of models are written as a table in the shared folder before a stage's tables are made of them: a model is asked once, however many of
+these are read, and not again when an executor is lost.  ``validation_answers`` gives them alone, for runs that make them a step of their own.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from turnloom import models
 from turnloom.operators import dataset, dialogue, review, screening, voiceprint
+from turnloom.plans.tables import stored
 from turnloom.schemas import CONTEXT_TURNS, KEEP_MAX, KEEP_MIN, MERGE_GAP, PARSE_RETRIES, SCRUB_BATCH, TURN, VALIDATION_BATCH
 
 
 def diarize(files: DataFrame, factory: Callable[[], models.Transcriber], num_speakers: int | None = None, language: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Transcribe recordings; return turns, calls and the quarantine."""
     heard = models.isolated(files.select("call_id", "content"), "content", "answer", factory, lambda m, x: m.transcribe(x, num_speakers, language))
-    good, bad = models.succeeded(heard.persist(StorageLevel.DISK_ONLY), "answer")
+    good, bad = models.succeeded(stored(heard.drop("content"), "transcripts"), "answer")
     segment = "array<struct<speaker:string,start:double,end:double,text:string>>"
     rows = good.select("call_id", F.posexplode(F.from_json("answer", segment)).alias("seg", "s")).select("call_id", "seg", "s.speaker", F.col("s.start").alias("start_s"), F.col("s.end").alias("end_s"), "s.text")
     turns = dialogue.segments_to_turns(rows)
     calls = dialogue.call_speakers(turns).select("call_id", F.lit(language).alias("language"), "num_speakers")
-    return turns, calls, bad.drop("content")
+    return turns, calls, bad
 
 
 def diarize_words(words: DataFrame, labels: DataFrame, language: str | None = None) -> tuple[DataFrame, DataFrame]:
@@ -52,7 +53,7 @@ def scrub(turns: DataFrame, factory: Callable[[], models.Scorer], prompt: Callab
     """
     asked = review.numbered_turns(turns, size)
     answered = models.completed(asked, "prompt", "answer", factory, 20 * size, prompt)
-    good, bad = models.succeeded(answered.persist(StorageLevel.DISK_ONLY), "answer")
+    good, bad = models.succeeded(stored(answered, "scrub-answers"), "answer")
     lines = review.response_lines(good.select("call_id", (F.col("batch") * size).alias("offset"), F.col("answer").alias("response")))
     whole = turns.join(bad.select("call_id").distinct(), "call_id", "left_anti")
     return review.without_sensitive(whole, review.scrub_flags(lines)), bad
@@ -68,20 +69,35 @@ def with_context(before: list[dict], turns: list[dict]) -> str:
     return "\n".join([*parts, *map(_indexed, turns)])
 
 
+def validation_answers(calls: DataFrame, turns: DataFrame, factory: Callable[[], models.Scorer], allowed: tuple[str, ...] = ("en",), size: int = VALIDATION_BATCH, prompt: Callable[[str], str] = lambda body: body) -> DataFrame:
+    """The model's answers (call_id, batch, answer) about the calls that pass the cheap gate.
+
+    Calls of one batch are asked for in batches of prompts; longer ones batch by batch, with the last ``CONTEXT_TURNS`` turns as corrected so
+    far.  How long a call is, is a column of its turns, so both ways share one exchange of them.
+    """
+    gated = review.language_gate(calls, allowed).where("NOT rejected")
+    shown = turns.join(gated.select("call_id"), "call_id", "left_semi").select("call_id", "idx", "speaker", "start_s", "end_s", "text")
+    sized = shown.withColumn("_top", F.max("idx").over(Window.partitionBy("call_id")))
+    short, long = (sized.where(F.col("_top") < size).drop("_top"), sized.where(F.col("_top") >= size).drop("_top"))
+    once = models.completed(review.indexed_turns(short, size), "prompt", "answer", factory, 8192, prompt, lambda text: models.assignments_in(text) is not None, PARSE_RETRIES)
+    often = models.carried_answers(long, size, CONTEXT_TURNS, factory, lambda before, part: prompt(with_context(before, part)), 8192, PARSE_RETRIES)
+    return once.select("call_id", "batch", "answer").unionByName(often)
+
+
 def validate(calls: DataFrame, turns: DataFrame, factory: Callable[[], models.Scorer], allowed: tuple[str, ...] = ("en",), size: int = VALIDATION_BATCH, prompt: Callable[[str], str] = lambda body: body) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Gate calls, let the model correct speakers, and gate again; return calls, turns and the quarantine.
+    """Gate calls, let the model correct speakers, and gate again; return calls, turns and the quarantine."""
+    return validated(calls, turns, stored(validation_answers(calls, turns, factory, allowed, size, prompt), "validation-answers"), allowed)
+
+
+def validated(calls: DataFrame, turns: DataFrame, answers: DataFrame, allowed: tuple[str, ...] = ("en",)) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Calls, turns and the quarantine by a table of answers.
 
-    The cheap gate comes first, so the model sees only calls that pass it.  Calls of one batch are asked for in batches of prompts; longer
-    ones batch by batch, with the last ``CONTEXT_TURNS`` turns as corrected so far.  A call without a usable answer to each of its batches
-    is in quarantine: it is neither among the calls nor among the turns.
+    The cheap gate comes first, so the model sees only calls that pass it.  A call without a usable answer to each of its batches is in
+    quarantine: it is neither among the calls nor among the turns.
     """
     gated = review.language_gate(calls, allowed)
     open_calls = gated.where("NOT rejected").drop("reject_reasons", "rejected")
-    shown = turns.join(open_calls.select("call_id"), "call_id", "left_semi").select("call_id", "idx", "speaker", "start_s", "end_s", "text")
-    long_ids = shown.groupBy("call_id").agg(F.max("idx").alias("top")).where(F.col("top") >= size).select("call_id")
-    once = models.completed(review.indexed_turns(shown.join(long_ids, "call_id", "left_anti"), size), "prompt", "answer", factory, 8192, prompt, lambda text: models.assignments_in(text) is not None, PARSE_RETRIES)
-    often = models.carried_answers(shown.join(long_ids, "call_id", "left_semi"), size, CONTEXT_TURNS, factory, lambda before, part: prompt(with_context(before, part)), 8192, PARSE_RETRIES)
-    good, bad = models.succeeded(once.select("call_id", "batch", "answer").unionByName(often).persist(StorageLevel.DISK_ONLY), "answer")
+    good, bad = models.succeeded(answers, "answer")
     held = bad.select("call_id").distinct()
     parsed = good.join(held, "call_id", "left_anti").withColumn("r", review.validation_response(F.col("answer"))).where("r IS NOT NULL")
     assigned = parsed.select("call_id", F.posexplode("r.assignments").alias("pos", "a")).select("call_id", F.col("a.index").alias("a_index"), "pos", "a.speaker", "a.name", "a.issues")

@@ -6,12 +6,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from turnloom import failures
 from turnloom.schemas import CALL_DOCUMENT, CLOUD_RESULT, MANIFEST
 
 
+def read_documents(spark: SparkSession, path: str, schema: str = CALL_DOCUMENT, lines: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Sound JSON documents with their file (``source``), and the failures: one (stage, item, error) for each that does not parse.
+
+    One document a file, or with ``lines`` one a line.  A document fails alone, by its file and the beginning of its text.
+    """
+    raw = spark.read.schema(f"{schema}, _corrupt string").option("multiLine", not lines).option("columnNameOfCorruptRecord", "_corrupt").json(path)
+    raw = raw.withColumn("source", F.col("_metadata.file_path"))
+    first = F.col(schema.split()[0]).cast("string")  # what was understood before it broke, if anything
+    broken = F.concat(F.lit("not a document"), F.coalesce(F.concat(F.lit(" of "), first), F.lit("")), F.lit(": "), F.substring("_corrupt", 1, 80))
+    return raw.where("_corrupt IS NULL").drop("_corrupt"), failures.of_rows(raw.select(F.when(F.col("_corrupt").isNotNull(), broken).alias("error"), "source"), "read", "source")
+
+
 def read_calls(spark: SparkSession, path: str, schema: str = CALL_DOCUMENT) -> DataFrame:
-    """Call documents, one JSON file a call; ``source`` is the file."""
-    return spark.read.schema(schema).option("multiLine", True).json(path).withColumn("source", F.col("_metadata.file_path"))
+    """Call documents, one JSON file a call; ``source`` is the file.  Broken ones are left out; ``read_documents`` tells them too."""
+    return read_documents(spark, path, schema)[0]
 
 
 def read_json(spark: SparkSession, path: str, schema: str, default: DataFrame | None = None) -> DataFrame:

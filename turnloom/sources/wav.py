@@ -6,10 +6,8 @@ resampler can be plugged in too.  A recording that cannot be read is a row with
 
 from __future__ import annotations
 
-import os
 import re
 import struct
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -19,6 +17,7 @@ from pyspark.sql import functions as F
 
 from turnloom.functions.text import call_id_of, data_uri, utc_iso
 from turnloom.schemas import AUDIO_SUFFIXES, SILENCE_DB
+from turnloom.sources import measures, riff, wavfiles
 
 Decoder = Callable[[bytes], tuple[np.ndarray, int]]
 Resampler = Callable[[np.ndarray, int, int], np.ndarray]
@@ -45,65 +44,36 @@ def whole_calls(files: DataFrame, name: str = "full_normalized.wav") -> DataFram
     return marked.join(any_whole).where(F.col("_whole") | ~F.col("_any")).drop("_whole", "_any")
 
 
-def _chunks(content: bytes) -> tuple[tuple, int, int]:
-    """The format fields of a WAV, and where its samples begin and end."""
-    if len(content) < 12 or content[:4] != b"RIFF" or content[8:12] != b"WAVE":
-        raise ValueError("not a WAV file")
-    at, form, body = 12, None, None
-    while at + 8 <= len(content):
-        name, size = content[at : at + 4], struct.unpack_from("<I", content, at + 4)[0]
-        if name == b"fmt ":
-            if size < 16 or at + 24 > len(content):
-                raise ValueError("a WAV file with a broken header")
-            form = struct.unpack_from("<HHIIHH", content, at + 8)
-        elif name == b"data":
-            body = (at + 8, at + 8 + size)
-        at += 8 + size + size % 2
-    if form is None or body is None:
-        raise ValueError("a WAV file without format or data")
-    if not form[1] or not form[2] or form[1] * form[5] < 8:
-        raise ValueError("a WAV file without channels, rate or sample size")
-    return form, *body
-
-
-def header(content: bytes, length: int | None = None) -> tuple[int, int, int]:
-    """Rate, channels and frames of a WAV from its header alone; ``length``: the file's, where ``content`` is only its beginning."""
-    (_, channels, rate, _, _, bits), start, end = _chunks(content)
-    return rate, channels, max(0, min(end, len(content) if length is None else length) - start) // (channels * bits // 8)
+def header(content: bytes) -> tuple[int, int, int]:
+    """Rate, channels and frames of a WAV from its header alone."""
+    return riff.frames_of(riff.in_memory(content))
 
 
 def decode(content: bytes) -> tuple[np.ndarray, int]:
     """Samples (frames x channels, float32 within -1 and 1) and rate of a PCM or float WAV; ValueError for anything else."""
-    form, start, end = _chunks(content)
-    body = content[start:end]
-    kind, channels, rate, _, _, bits = form
+    source = riff.in_memory(content)
+    (kind, channels, rate, _, _, bits), start, end = riff.chunks(source)
     step = channels * bits // 8
-    body = body[: len(body) // step * step] if step else b""
-    if kind == 3 and bits in (32, 64):
-        x = np.frombuffer(body, f"<f{bits // 8}").astype(np.float32)
-    elif bits == 8:
-        x = (np.frombuffer(body, np.uint8).astype(np.float32) - 128) / 128
-    elif bits == 16:
-        x = np.frombuffer(body, "<i2").astype(np.float32) / 32768
-    elif bits == 24:
-        raw = np.frombuffer(body, np.uint8).reshape(-1, 3).astype(np.int32)
-        x = ((raw[:, 0] << 8 | raw[:, 1] << 16 | raw[:, 2] << 24) >> 8).astype(np.float32) / (1 << 23)
-    elif bits == 32:
-        x = (np.frombuffer(body, "<i4") / 2147483648.0).astype(np.float32)
-    else:
-        raise ValueError(f"{bits} bits a sample are not supported")
+    x = riff.samples_of(source.read(start, (end - start) // step * step), kind, bits)
     if not len(x):
         raise ValueError("no audio frames")
     return x.reshape(-1, channels), rate
 
 
+def wav_head(size: int, channels: int, rate: int) -> bytes:
+    """The header of a 16-bit PCM WAV of ``size`` bytes."""
+    return struct.pack("<4sI4s4sIHHIIHH4sI", b"RIFF", 36 + size, b"WAVE", b"fmt ", 16, 1, channels, rate, rate * channels * 2, channels * 2, 16, b"data", size)
+
+
+def pcm(samples: np.ndarray) -> bytes:
+    """Samples as 16 bits, held within -1 and 1."""
+    return np.round(np.clip(np.asarray(samples, dtype=np.float64), -1.0, 1.0) * 32767).astype("<i2").tobytes()
+
+
 def encode(samples: np.ndarray, rate: int) -> bytes:
     """A 16-bit PCM WAV of samples (frames, or frames x channels), held within -1 and 1."""
-    x = np.clip(np.asarray(samples, dtype=np.float64), -1.0, 1.0)
-    channels = 1 if x.ndim == 1 else x.shape[1]
-    body = np.round(x * 32767).astype("<i2").tobytes()
-    head = struct.pack("<4sI4s4sIHHIIHH4sI", b"RIFF", 36 + len(body), b"WAVE", b"fmt ", 16, 1, channels, rate, rate * channels * 2, channels * 2, 16, b"data", len(body))
-    return head + body
+    body = pcm(samples)
+    return wav_head(len(body), 1 if np.ndim(samples) == 1 else np.shape(samples)[1], rate) + body
 
 
 def mono(samples: np.ndarray) -> np.ndarray:
@@ -125,117 +95,63 @@ def resample(samples: np.ndarray, rate: int, to: int, taps: int = 32) -> np.ndar
     """Windowed-sinc resampling of one channel."""
     if rate == to or not len(samples):
         return samples
-    scale = min(1.0, to / rate)
-    n = int(round(len(samples) * to / rate))
-    where = np.arange(n) * (rate / to)
-    half = int(np.ceil(taps / scale))
-    base = np.floor(where).astype(np.int64)
-    padded = np.pad(samples.astype(np.float64), half + 1)
-    out = np.zeros(n)
-    for k in range(-half, half + 1):
-        d = where - (base + k)
-        kernel = scale * np.sinc(scale * d) * (0.5 + 0.5 * np.cos(np.pi * np.clip(d / (half + 1), -1, 1)))
-        out += padded[base + k + half + 1] * kernel
-    return out.astype(np.float32)
+    bank = measures.Resampler(rate, to, taps)
+    return np.concatenate([*(bank(samples[at : at + measures.BLOCK]) for at in range(0, len(samples), measures.BLOCK)), bank.end()]).astype(np.float32)
 
 
 def frame_levels(samples: np.ndarray, size: int, hop: int) -> np.ndarray:
     """Root mean square of each whole frame."""
-    if len(samples) < size:
-        return np.zeros(0, np.float32)
-    view = np.lib.stride_tricks.sliding_window_view(samples, size)[::hop]
-    return np.sqrt((view * view).mean(axis=1))
+    return np.sqrt(measures.mean_squares(samples, size, hop))
+
+
+def loud_bounds(levels: np.ndarray, n: int, silence_db: float, size: int, hop: int) -> tuple[int, int]:
+    """The samples from the first loud frame to the end of the last; all of them if no frame is loud."""
+    loud = np.flatnonzero(20 * np.log10(levels + 1e-10) > silence_db)
+    return (int(loud[0]) * hop, min(n, int(loud[-1]) * hop + size)) if len(loud) else (0, n)
 
 
 def trim(samples: np.ndarray, silence_db: float = SILENCE_DB, size: int = 2048, hop: int = 512) -> np.ndarray:
     """From the first loud frame of the mean over channels to the end of the last; unchanged if no frame is loud."""
-    loud = np.flatnonzero(20 * np.log10(frame_levels(mono(samples), size, hop) + 1e-10) > silence_db)
-    return samples if not len(loud) else samples[loud[0] * hop : min(len(samples), loud[-1] * hop + size)]
-
-
-def _filtered(x: np.ndarray, b: np.ndarray, a: np.ndarray) -> np.ndarray:
-    """Second-order recursion by blocks: its response to each block's samples is a convolution, and two values carry over."""
-    n = 512
-    impulse, ring1, ring2 = np.zeros(n), np.zeros(n), np.zeros(n)
-    for out, (start, feed) in ((impulse, ((0.0, 0.0), True)), (ring1, ((1.0, 0.0), False)), (ring2, ((0.0, 1.0), False))):
-        y1, y2 = start
-        for i in range(n):
-            y = (b[i] if feed and i < 3 else 0.0) - a[1] * y1 - a[2] * y2
-            out[i], y2, y1 = y, y1, y
-    y = np.zeros(len(x))
-    y1 = y2 = x1 = x2 = 0.0
-    size = 1024
-    for at in range(0, len(x), n):
-        part = x[at : at + n]
-        m = len(part)
-        got = np.fft.irfft(np.fft.rfft(part, size) * np.fft.rfft(impulse, size), size)[:m]
-        tail = (b[1] * x1 + b[2] * x2) * _unit_ring(impulse, b, ring1, m, 0) + b[2] * x1 * _unit_ring(impulse, b, ring1, m, 1)
-        y[at : at + m] = got + tail + ring1[:m] * y1 + ring2[:m] * y2
-        if m > 1:
-            x1, x2, y1, y2 = part[-1], part[-2], y[at + m - 1], y[at + m - 2]
-    return y
-
-
-def _unit_ring(impulse: np.ndarray, b: np.ndarray, ring: np.ndarray, m: int, delay: int) -> np.ndarray:
-    out = np.zeros(m)
-    whole = np.concatenate([[1.0], ring])[: max(m - delay, 0)]
-    out[delay : delay + len(whole)] = whole
-    return out
+    first, last = loud_bounds(frame_levels(mono(samples), size, hop), len(samples), silence_db, size, hop)
+    return samples[first:last]
 
 
 def loudness(samples: np.ndarray, rate: int) -> float:
-    """Integrated loudness in LUFS: K-weighting, 0.4 s blocks with three quarters of overlap, absolute and relative gates.
+    """Integrated loudness in LUFS (samples: frames, or frames x channels)."""
+    x = samples.reshape(len(samples), -1)
+    meter = measures.Loudness(rate, x.shape[1])
+    for at in range(0, len(x), measures.BLOCK):
+        meter.add(x[at : at + measures.BLOCK])
+    return meter.value()
 
-    The power of several channels (frames x channels) is summed.
-    """
 
-    # The filters of ITU-R BS.1770 as analogue parameters (gain in dB, quality, frequency in Hz).
-    def shelf() -> tuple[np.ndarray, np.ndarray]:
-        gain, q, f = 3.999843853973347, 0.7071752369554196, 1681.974450955533
-        k, v = np.tan(np.pi * f / rate), 10 ** (gain / 20)
-        vb = v**0.4996667741545416
-        d = 1 + k / q + k * k
-        return np.array([v + vb * k / q + k * k, 2 * (k * k - v), v - vb * k / q + k * k]) / d, np.array([d, 2 * (k * k - 1), 1 - k / q + k * k]) / d
-
-    def high_pass() -> tuple[np.ndarray, np.ndarray]:
-        q, f = 0.5003270373238773, 38.13547087602444
-        k = np.tan(np.pi * f / rate)
-        d = 1 + k / q + k * k
-        return np.array([1.0, -2.0, 1.0]), np.array([d, 2 * (k * k - 1), 1 - k / q + k * k]) / d
-
-    size, hop = int(0.4 * rate), int(0.1 * rate)
-    power = 0.0
-    for x in split_channels(np.asarray(samples, dtype=np.float64)):
-        for b, a in (shelf(), high_pass()):
-            x = _filtered(x, b, a)
-        power = power + frame_levels(x, size, hop) ** 2
-    with np.errstate(divide="ignore"):
-        level = -0.691 + 10 * np.log10(power)
-    loud = power[level >= -70]
-    if not len(loud):
-        return float("-inf")
-    gate = -0.691 + 10 * np.log10(loud.mean()) - 10
-    return float(-0.691 + 10 * np.log10(power[(level >= -70) & (level >= gate)].mean()))
+def gain_to(target: float, level: float, peak: float, frames: int, rate: int) -> float:
+    """The factor to the target loudness; for less than 0.4 s to a peak of 0.9; 1 for silence."""
+    if frames < 0.4 * rate:
+        return 0.9 / peak if peak else 1.0
+    return 10 ** ((target - level) / 20) if np.isfinite(level) else 1.0
 
 
 def normalize(samples: np.ndarray, rate: int, target: float = -23.0) -> np.ndarray:
     """At the target loudness; a clip of less than 0.4 s at a peak of 0.9; silence unchanged."""
-    if len(samples) < 0.4 * rate:
-        peak = float(np.abs(samples).max(initial=0.0))
-        return samples if peak == 0 else (samples * (0.9 / peak)).astype(np.float32)
-    level = loudness(samples, rate)
-    return samples if not np.isfinite(level) else (samples * 10 ** ((target - level) / 20)).astype(np.float32)
+    short = len(samples) < 0.4 * rate
+    return (samples * gain_to(target, 0.0 if short else loudness(samples, rate), float(np.abs(samples).max(initial=0.0)), len(samples), rate)).astype(np.float32)
 
 
-def estimate_snr(samples: np.ndarray, size: int = 2048, hop: int = 512) -> float:
-    """Decibels between the mean levels of the loudest and the quietest tenth of overlapping frames; 0 without a whole frame."""
-    level = np.sort(frame_levels(mono(samples), size, hop).astype(np.float64))
+def snr_of(levels: np.ndarray) -> float:
+    """Decibels between the mean levels of the loudest and the quietest tenth of frames; 0 without a whole frame."""
+    level = np.sort(levels.astype(np.float64))
     if not len(level):
         return 0.0
     k = max(1, len(level) // 10)
     return float(20 * np.log10((level[-k:].mean() + 1e-10) / (level[:k].mean() + 1e-10)))
 
 
+def estimate_snr(samples: np.ndarray, size: int = 2048, hop: int = 512) -> float:
+    """The ratio of loud to quiet frames of the mean over channels."""
+    return snr_of(frame_levels(mono(samples), size, hop))
+
+
 def cut(samples: np.ndarray, rate: int, start: float, end: float) -> np.ndarray:
     """Samples between two times, cut off toward zero and held within the clip."""
     a, b = (max(0, min(len(samples), int(t * rate))) for t in (start, end))
@@ -248,26 +164,28 @@ INFO = "path string, call_id string, ok boolean, error string, sample_rate int,
 def headers(files: DataFrame, decoder: Decoder | None = None) -> DataFrame:
     """Rate, channels, frames and seconds of each file; a bad file is a row with its error.
 
-    Only the first 64 KiB of each file go to Python; a ``decoder`` for other containers gets whole files.
+    Files are asked by byte ranges at their paths, so their contents are neither scanned nor sent to Python; see ``wavfiles.headers_under`` for
+    a scan that does the listing too.  A ``decoder`` for other containers gets whole contents.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for path, call, content, length in zip(*(batch.column(c).to_pylist() for c in ("path", "call_id", "content", "length")), strict=True):
-                try:
-                    if decoder is None:
-                        rate, channels, frames = header(content, length)
-                    else:
+            if decoder is None:
+                for path, call, length in zip(*(batch.column(c).to_pylist() for c in ("path", "call_id", "length")), strict=True):
+                    system, place = wavfiles.opened(path)
+                    _, _, _, ok, error, *about = wavfiles.header_row(system, place, path, length)
+                    rows.append((path, call, ok, error, *about))
+            else:
+                for path, call, content in zip(*(batch.column(c).to_pylist() for c in ("path", "call_id", "content")), strict=True):
+                    try:
                         x, rate = decoder(content)
-                        channels, frames = x.shape[1], len(x)
-                    rows.append((path, call, True, None, rate, channels, frames, frames / rate))
-                except ValueError as e:
-                    rows.append((path, call, False, str(e), None, None, None, None))
+                        rows.append((path, call, True, None, rate, x.shape[1], len(x), len(x) / rate))
+                    except Exception as e:  # whatever a decoder raises: the file fails, the others go on
+                        rows.append((path, call, False, f"{type(e).__name__}: {e}", None, None, None, None))
             yield _batch(rows, INFO)
 
-    start = F.substring("content", 1, 1 << 16) if decoder is None else F.col("content")
-    return files.select("path", "call_id", start.alias("content"), F.length("content").cast("bigint").alias("length")).mapInArrow(run, INFO)
+    return files.select("path", "call_id", "length" if decoder is None else "content").mapInArrow(run, INFO)
 
 
 _TYPES = {"string": pa.string(), "boolean": pa.bool_(), "int": pa.int32(), "bigint": pa.int64(), "double": pa.float64(), "binary": pa.binary()}
@@ -284,27 +202,102 @@ PREPARED = (
 )
 
 
+Blocks = Callable[[], Iterator[np.ndarray]]
+
+
+def sliced(samples: np.ndarray) -> Blocks:
+    """Samples (frames x channels) that are there already, block by block."""
+    return lambda: (samples[at : at + measures.BLOCK] for at in range(0, len(samples), measures.BLOCK))
+
+
+def resampled(blocks: Blocks, channels: int, rate: int, to: int) -> Blocks:
+    """Blocks at another rate."""
+    if rate == to:
+        return blocks
+
+    def run() -> Iterator[np.ndarray]:
+        banks = [measures.Resampler(rate, to) for _ in range(channels)]
+        for block in blocks():
+            yield np.stack([bank(block[:, c]) for c, bank in enumerate(banks)], axis=1).astype(np.float32)
+        yield np.stack([bank.end() for bank in banks], axis=1).astype(np.float32)
+
+    return run
+
+
+def within(blocks: Blocks, first: int, last: int) -> Iterator[np.ndarray]:
+    """The blocks' samples between two places."""
+    at = 0
+    for block in blocks():
+        part = block[max(0, first - at) : max(0, last - at)]
+        at += len(block)
+        if len(part):
+            yield part
+
+
+def levelled(blocks: Blocks, channels: int, rate: int, target: float, silence_db: float, size: int = 2048, hop: int = 512) -> tuple[int, float, list[bytes]]:
+    """Trim and level a recording in three passes over its blocks: frame levels; loudness of what is left; samples of 16 bits.
+
+    Returns frames, SNR and the bodies of the mix and of each channel.  Beside the bodies, only a few numbers a hop are held.
+    """
+    whole = measures.Energies(size, hop)
+    for block in blocks():
+        whole.add(mono(block))
+    first, last = loud_bounds(np.sqrt(whole.mean_squares()), whole.n, silence_db, size, hop)
+    meter, peak = measures.Loudness(rate, channels), 0.0
+    for block in within(blocks, first, last):
+        peak = max(peak, float(np.abs(block).max()))
+        meter.add(block)
+    gain = gain_to(target, meter.value() if last - first >= 0.4 * rate else 0.0, peak, last - first, rate)
+    bodies, left = [bytearray() for _ in range(1 + channels)], measures.Energies(size, hop)
+    for block in within(blocks, first, last):
+        block = (block * gain).astype(np.float32)
+        mixed = mono(block)
+        left.add(mixed)
+        for body, sound in zip(bodies, (mixed, *block.T), strict=True):
+            body += pcm(sound)
+    return last - first, snr_of(np.sqrt(left.mean_squares())), [bytes(b) for b in bodies]
+
+
 def prepare(files: DataFrame, rate: int = 24000, target: float = -23.0, silence_db: float = SILENCE_DB, decoder: Decoder = decode, resampler: Resampler = resample) -> DataFrame:
     """Decode, resample, trim and level each recording: one row for the mix and, for several channels, one for each.
 
-    Channels are trimmed and levelled together, so they stay in step.
+    Channels are trimmed and levelled together, so they stay in step.  WAV goes through block by block; a plugged-in decoder or resampler gets
+    whole recordings, and whatever it raises is the error of that recording alone.
     """
+    own_decoder, own_resampler = decoder is decode, resampler is resample
+
+    def one(content: bytes) -> tuple[int, int, int, int, float, list[bytes]]:
+        if own_decoder:
+            source = riff.in_memory(content)
+            own, channels, frames = riff.frames_of(source)
+            if not frames:
+                raise ValueError("no audio frames")
+            blocks: Blocks = lambda: riff.blocks_of(source)
+        else:
+            x, own = decoder(content)
+            x = x.reshape(len(x), -1)
+            frames, channels = x.shape
+            blocks = sliced(x)
+        if own_resampler:
+            blocks = resampled(blocks, channels, own, rate)
+        else:
+            x = np.concatenate(list(blocks()))
+            blocks = sliced(np.stack([resampler(c, own, rate) for c in split_channels(x)], axis=1))
+        return own, channels, frames, *levelled(blocks, channels, rate, target, silence_db)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, call, content in zip(*(batch.column(c).to_pylist() for c in ("path", "call_id", "content")), strict=True):
                 name = path.rsplit("/", 1)[-1]
                 try:
-                    x, own = decoder(content)
-                except ValueError as e:
-                    yield _batch([(call, None, name, *[None] * 10, str(e), None)], PREPARED)
+                    own, channels, frames, left, snr, bodies = one(content)
+                except Exception as e:  # the recording fails, the others go on
+                    yield _batch([(call, None, name, *[None] * 10, f"{type(e).__name__}: {e}", None)], PREPARED)
                     continue
-                y = np.stack([resampler(c, own, rate) for c in split_channels(x)], axis=1)
-                y = normalize(trim(y, silence_db), rate, target)
-                parts = [("full_normalized", mono(y))] + ([(f"channel_{k}", c) for k, c in enumerate(split_channels(y))] if y.shape[1] > 1 else [])
-                about = (name, name.rpartition(".")[2], own, x.shape[1], round(len(x) / own, 2), rate, 16, round(len(y) / rate, 2), target, silence_db, round(estimate_snr(y), 1), None)
-                for part, sound in parts:
-                    yield _batch([(call, part, *about, encode(sound, rate))], PREPARED)
+                parts = ["full_normalized"] + [f"channel_{k}" for k in range(channels)] * (channels > 1)
+                about = (name, name.rpartition(".")[2], own, channels, round(frames / own, 2), rate, 16, round(left / rate, 2), target, silence_db, round(snr, 1), None)
+                for part, body in zip(parts, bodies, strict=False):
+                    yield _batch([(call, part, *about, wav_head(len(body), 1, rate) + body)], PREPARED)
 
     return files.select("path", "call_id", "content").mapInArrow(run, PREPARED)
 
@@ -317,51 +310,47 @@ def recording_metadata(prepared: DataFrame) -> DataFrame:
     return made.withColumn("processed_at", utc_iso())
 
 
-def write_files(rows: DataFrame, root: str, folder: str = "call_id", name: str = "name", content: str = "content") -> DataFrame:
-    """Write each row's content to ``root/folder/name`` and return (path, bytes) of what was written.
+CLIPS = "call_id string, idx int, name string, audio_issue string, n_samples bigint, sample_rate int, error string, content binary"
 
-    ``root`` is a folder that all executors mount.  A file appears whole or not at all, and a task that runs again writes it again.
-    """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = []
-            for home, file, body in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                place = os.path.join(root, str(home))
-                os.makedirs(place, exist_ok=True)
-                path = os.path.join(place, file)
-                with open(f"{path}.{uuid.uuid4().hex}", "wb") as out:
-                    out.write(body)
-                os.replace(out.name, path)
-                made.append((path, len(body)))
-            yield _batch(made, "path string, bytes bigint")
+def clips(turns: DataFrame, audio: DataFrame, decoder: Decoder = decode) -> DataFrame:
+    """Cut each turn out of its call's recording and judge it; calls without audio have no clips, and a broken recording is one row with its error.
 
-    return rows.where(F.col(content).isNotNull()).select(folder, name, content).mapInArrow(run, "path string, bytes bigint")
+    Turns are grouped into one row a call before they meet the recording, so a recording moves once.  Of a WAV only the turns' own stretches
+    become samples; a plugged-in decoder gets whole recordings.
+    """
+    own_decoder = decoder is decode
 
+    def reader_of(content: bytes) -> tuple[int, Callable[[float, float], np.ndarray]]:
+        if not own_decoder:
+            x, rate = decoder(content)
+            return rate, lambda start, end: cut(x, rate, start, end)
+        source = riff.in_memory(content)
+        (kind, channels, rate, _, _, bits), begin, stop = riff.chunks(source)
+        step = channels * bits // 8
+        frames = (stop - begin) // step
+        if not frames:
+            raise ValueError("no audio frames")
 
-CLIPS = "call_id string, idx int, name string, audio_issue string, n_samples bigint, sample_rate int, error string, content binary"
+        def read(start: float, end: float) -> np.ndarray:
+            a, b = (max(0, min(frames, int(t * rate))) for t in (start, end))
+            return riff.samples_of(source.read(begin + a * step, max(0, b - a) * step), kind, bits).reshape(-1, channels)
 
+        return rate, read
 
-def clips(turns: DataFrame, audio: DataFrame) -> DataFrame:
-    """Cut each turn out of its call's recording and judge it; calls without audio have no clips, and a broken recording is one row with its error.
-
-    Turns are grouped into one row a call before they meet the recording, so a recording moves once.
-    """
     listed = turns.groupBy("call_id").agg(F.sort_array(F.collect_list(F.struct(F.col("idx").cast("int").alias("idx"), "start_s", "end_s", "speaker"))).alias("turns"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for call, content, parts in zip(*(batch.column(c).to_pylist() for c in ("call_id", "content", "turns")), strict=True):
-                try:
-                    x, rate = decode(content)
-                except ValueError as e:
-                    yield _batch([(call, None, None, None, None, None, str(e), None)], CLIPS)
-                    continue
-                x = mono(x)
                 rows = []
-                for t in parts:
-                    y = cut(x, rate, t["start_s"], t["end_s"])
-                    rows.append((call, t["idx"], f"turn_{t['idx'] + 1:03d}_{t['speaker']}.wav", issue(y, rate), len(y), rate, None, encode(y, rate)))
+                try:
+                    rate, read = reader_of(content)
+                    for t in parts:
+                        y = mono(read(t["start_s"], t["end_s"]))
+                        rows.append((call, t["idx"], f"turn_{t['idx'] + 1:03d}_{t['speaker']}.wav", issue(y, rate), len(y), rate, None, encode(y, rate)))
+                except Exception as e:  # the recording fails, the others go on
+                    rows = [(call, None, None, None, None, None, f"{type(e).__name__}: {e}", None)]
                 yield _batch(rows, CLIPS)
 
     return listed.join(audio.select("call_id", "content"), "call_id").mapInArrow(run, CLIPS)
