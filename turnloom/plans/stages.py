@@ -70,7 +70,7 @@ def with_context(before: list[dict], turns: list[dict]) -> str:
 
 
 def validation_answers(calls: DataFrame, turns: DataFrame, factory: Callable[[], models.Scorer], allowed: tuple[str, ...] = ("en",), size: int = VALIDATION_BATCH, prompt: Callable[[str], str] = lambda body: body) -> DataFrame:
-    """The model's answers (call_id, batch, answer) about the calls that pass the cheap gate.
+    """The model's answers (call_id, batch, answer, response: the answer parsed) about the calls that pass the cheap gate.
 
     Calls of one batch are asked for in batches of prompts; longer ones batch by batch, with the last ``CONTEXT_TURNS`` turns as corrected so
     far.  How long a call is, is a column of its turns, so both ways share one exchange of them.
@@ -81,7 +81,7 @@ def validation_answers(calls: DataFrame, turns: DataFrame, factory: Callable[[],
     short, long = (sized.where(F.col("_top") < size).drop("_top"), sized.where(F.col("_top") >= size).drop("_top"))
     once = models.completed(review.indexed_turns(short, size), "prompt", "answer", factory, 8192, prompt, lambda text: models.assignments_in(text) is not None, PARSE_RETRIES)
     often = models.carried_answers(long, size, CONTEXT_TURNS, factory, lambda before, part: prompt(with_context(before, part)), 8192, PARSE_RETRIES)
-    return once.select("call_id", "batch", "answer").unionByName(often)
+    return once.select("call_id", "batch", "answer").unionByName(often).withColumn("response", review.validation_response(F.col("answer")["value"]))
 
 
 def validate(calls: DataFrame, turns: DataFrame, factory: Callable[[], models.Scorer], allowed: tuple[str, ...] = ("en",), size: int = VALIDATION_BATCH, prompt: Callable[[str], str] = lambda body: body) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -99,7 +99,7 @@ def validated(calls: DataFrame, turns: DataFrame, answers: DataFrame, allowed: t
     open_calls = gated.where("NOT rejected").drop("reject_reasons", "rejected")
     good, bad = models.succeeded(answers, "answer")
     held = bad.select("call_id").distinct()
-    parsed = good.join(held, "call_id", "left_anti").withColumn("r", review.validation_response(F.col("answer"))).where("r IS NOT NULL")
+    parsed = good.join(held, "call_id", "left_anti").withColumnRenamed("response", "r").where("r IS NOT NULL")
     assigned = parsed.select("call_id", F.posexplode("r.assignments").alias("pos", "a")).select("call_id", F.col("a.index").alias("a_index"), "pos", "a.speaker", "a.name", "a.issues")
     fixed = review.apply_assignments(turns.join(held, "call_id", "left_anti"), assigned)
     timed = review.timing_issues(fixed, dialogue.duration(fixed))
@@ -107,7 +107,7 @@ def validated(calls: DataFrame, turns: DataFrame, answers: DataFrame, allowed: t
     names = review.speaker_names(fixed)
     passed = review.confidence_gate(open_calls.join(held, "call_id", "left_anti").join(judged, "call_id", "left").withColumn("confidence", F.coalesce("confidence", F.lit(-1.0))).join(names, "call_id", "left"))
     refused = gated.where("rejected")
-    return passed.unionByName(refused, allowMissingColumns=True), timed, bad
+    return passed.unionByName(refused, allowMissingColumns=True), timed, bad.drop("response")
 
 
 def segment(turns: DataFrame, max_gap: float = MERGE_GAP) -> DataFrame:

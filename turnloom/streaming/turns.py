@@ -1,6 +1,6 @@
 """Merging turns while they arrive, with keyed state.
 
-A call's turns are state, one entry a turn.  Whenever a batch brings turns of a call, in whatever order, its merged turns are made again from
+A call's turns are state, one list that is read and written at once.  Whenever a batch brings turns of a call, in whatever order, its merged turns are made again from
 the state and sent as the call's next version; a reader takes each call's latest version, so a turn that comes late changes what was sent
 before.  Where turns have a time with a watermark, a call's turns leave the state once the watermark has passed the last one by ``idle_s``
 seconds; what comes after that is another session of the call.
@@ -18,7 +18,7 @@ from pyspark.sql.types import StructType
 
 from turnloom.schemas import MERGE_GAP
 
-TURN = "speaker string, start_s double, end_s double, text string"
+TURN = "idx bigint, speaker string, start_s double, end_s double, text string"
 MERGED = "session bigint, version bigint, idx bigint, speaker string, start_s double, end_s double, text string, merged_from bigint, first_idx bigint, turn int"
 
 
@@ -36,7 +36,7 @@ def islands(turns: list[tuple], max_gap: float) -> list[list[tuple]]:
 
 
 class MergeTurns(StatefulProcessor):
-    """Keyed by call: a map of turns by their index, the version that was sent last, and a timer that ends an idle call."""
+    """Keyed by call: a list of turns, the version that was sent last, and a timer that ends an idle call."""
 
     def __init__(self, max_gap: float, idle_s: float | None):
         self.max_gap, self.idle_ms = max_gap, None if idle_s is None else int(idle_s * 1000)
@@ -44,18 +44,20 @@ class MergeTurns(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         """Declare the state."""
         self.handle = handle
-        self.turns = handle.getMapState("turns", "idx bigint", TURN)
+        self.turns = handle.getListState("turns", TURN)
         self.version = handle.getValueState("version", "session bigint, n bigint")
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         """Add turns and send the call's merged turns anew; a turn that comes again replaces the one of its index."""
-        ends = 0
+        ends, held = 0, {t[0]: tuple(t) for t in self.turns.get()} if self.turns.exists() else {}
         for frame in rows:
             if self.idle_ms is not None:
                 ends = max(ends, int(frame["at"].max().timestamp() * 1000) + self.idle_ms)
             for idx, *turn in zip(*(frame[c] for c in ("idx", "speaker", "start_s", "end_s", "text")), strict=True):
                 speaker, start, end, text = (None if pd.isna(x) else x for x in turn)
-                self.turns.updateValue((int(idx),), (speaker, start, end, text))
+                held[int(idx)] = (int(idx), speaker, start, end, text)
+        known = [held[k] for k in sorted(held)]
+        self.turns.put(known)
         session, number = self.version.get() if self.version.exists() else (0, 0)
         number += 1
         self.version.update((session, number))
@@ -65,7 +67,6 @@ class MergeTurns(StatefulProcessor):
                 for old in before:
                     self.handle.deleteTimer(old)
                 self.handle.registerTimer(ends)
-        known = sorted((k[0], *v) for k, v in self.turns.iterator())
         made = []
         for n, group in enumerate(islands(known, self.max_gap)):
             made.append((key[0], session, number, n, group[0][1], group[0][2], group[-1][3], " ".join(t[4] or "" for t in group), len(group), group[0][0], n + 1))
