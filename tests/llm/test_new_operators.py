@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from turnloom.llm import centroids, warc, whitening
+from turnloom.llm import centroids, html_text, warc, whitening
 
 PAGES = "page_id bigint, url string, html string"
 VECTORS = "vec_id bigint, embedding array<float>"
@@ -249,3 +249,47 @@ def test_minres_solves_indefinite_systems():
     a = rng.standard_normal((25, 25))
     a, b = a + a.T, rng.standard_normal((25, 4))
     assert np.abs(whitening.minres(lambda v: a @ v, b, 40) - np.linalg.solve(a, b)).max() < 1e-9
+
+
+# ---------------------------------------------------------------- HTML in proportion to the page
+@pytest.mark.parametrize("part", ["<a ", '<a x="', "<a '>", '<a ">"', "<div>x", "<li>", "<li>x", "<ul><li>x", "<blockquote>", "<blockquote>x", "<b>", "<b><p>x", "<p><button><div>", "<!", "</", "<table><tr><td>x"])
+def test_html_time_and_text_grow_with_the_page(part):
+    import time
+
+    took, text = [], []
+    for size in (250_000, 500_000):
+        page = part * (size // len(part)) + ('"' if part == '<a ">"' else "")
+        best = math.inf
+        for _ in range(2):
+            began = time.perf_counter()
+            text = html_text.render(page)
+            best = min(best, time.perf_counter() - began)
+        took.append(best)
+        assert len(text) < 70 * size
+    assert took[1] < 3.5 * took[0] + 0.5, took
+
+
+def test_html_of_five_megabytes_of_unclosed_tags():
+    import time
+
+    began = time.perf_counter()
+    assert html_text.render("<a " * 1_700_000).startswith("<a <a")
+    assert html_text.render('<a x="' * 850_000 + ">end") == "end"
+    assert time.perf_counter() - began < 20
+
+
+@pytest.mark.parametrize(
+    ("page", "expected"),
+    [
+        ("a</br>b", "a\nb"),
+        ("<ol><li>a<li value=7>b<li>c</ol>", "1. a\n7. b\n8. c"),
+        ("<ol reversed><li>a<li>b<li>c</ol>", "3. a\n2. b\n1. c"),
+        ("<ol reversed start=9><li>a<li>b</ol>", "9. a\n8. b"),
+        ("x﷐y﷓<pre> a\tb</pre>", "x﷐y﷓\n\n a\tb"),
+        ("<a title=\"it's >\">b</a>", "b"),
+        ("<a title=\"open>b</a> it's", "b it's"),
+        ("<blockquote>" * 40 + "x", " " * 64 + "x"),
+    ],
+)
+def test_html_defined_cases(page, expected):
+    assert html_text.render(page) == expected
