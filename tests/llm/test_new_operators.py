@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from turnloom.llm import centroids, html_text, warc, whitening
+from turnloom.llm import centroids, html_text, token_codec, warc, whitening
 
 PAGES = "page_id bigint, url string, html string"
 VECTORS = "vec_id bigint, embedding array<float>"
@@ -293,3 +293,48 @@ def test_html_of_five_megabytes_of_unclosed_tags():
 )
 def test_html_defined_cases(page, expected):
     assert html_text.render(page) == expected
+
+
+# ---------------------------------------------------------------- token segments
+@pytest.mark.parametrize(("n", "top"), [(70_000, 2**32), (150_000, 70_000), (30_000, token_codec.ALPHABET), (40_000, token_codec.ALPHABET + 1)])
+def test_codec_takes_any_ids(n, top):
+    ids = np.random.default_rng(n).permutation(np.arange(n, dtype=np.uint64) * 2654435761 % top).astype("<u4")
+    assert np.array_equal(token_codec.decode_segment(token_codec.encode_segment(ids)), ids)
+
+
+def test_damaged_blocks_cost_no_others():
+    ids = np.random.default_rng(3).integers(0, 40_000, 20 * token_codec.BLOCK + 5).astype("<u4")
+    blob = token_codec.encode_segment(ids)
+    whole = [ids[a : a + token_codec.BLOCK] for a in range(0, len(ids), token_codec.BLOCK)]
+    bent = bytearray(blob)
+    bent[len(blob) // 2] ^= 255
+    for broken, most in ((bytes(bent), 1), (blob[: len(blob) * 3 // 4], 6)):
+        parts = token_codec.decode_blocks(broken)
+        bad = [k for k, p in enumerate(parts) if p is None]
+        assert 1 <= len(bad) <= most and all(np.array_equal(p, w) for p, w in zip(parts, whole, strict=True) if p is not None)
+        with pytest.raises(ValueError, match="damaged blocks"):
+            token_codec.decode_segment(broken)
+    for broken in (blob[:10], blob[:60], blob[:40] + b"\0\0" + blob[42:]):
+        with pytest.raises(ValueError):
+            token_codec.decode_segment(broken)
+
+
+def test_vocabularies_are_read_by_their_definition():
+    import json
+
+    from turnloom.llm import token_output
+
+    made = json.load(open(token_output.default_tokenizer(), encoding="utf-8"))
+    assert token_output.splits_at_spaces(made)
+    split = made["pre_tokenizer"]["pretokenizers"][0]
+    for change in (
+        {"pre_tokenizer": made["pre_tokenizer"]["pretokenizers"][1]},
+        {"pre_tokenizer": split | {"pattern": {"Regex": r"\s?\p{L}+"}}},
+        {"pre_tokenizer": split | {"behavior": "Isolated"}},
+        {"pre_tokenizer": None},
+        {"normalizer": {"type": "Prepend", "prepend": "_"}},
+        {"post_processor": {"type": "TemplateProcessing"}},
+        {"added_tokens": [made["added_tokens"][0] | {"lstrip": True}]},
+    ):
+        assert not token_output.splits_at_spaces(made | change), change
+    assert token_output.splits_at_spaces(made | {"pre_tokenizer": {"type": "WhitespaceSplit"}})

@@ -1,7 +1,9 @@
 """Context-mixing range coder for token ids.
 
 A segment codes many blocks at once, one numpy lane a block; blocks share only the segment's header (the ids that occur and their rough
-shares) and are reset and checksummed one by one.  Three predictions are mixed for every id: order 0, a distribution over all ids from
+shares) and are reset and checksummed one by one, so a damaged block costs no other.  The ``ALPHABET`` most frequent ids of a segment are
+symbols; any other id, of 32 bits, is the escape symbol and stands plainly behind its block's words.  So what a coder holds is bounded by
+``LANES`` times ``ALPHABET``, whatever the vocabulary.  Three predictions are mixed for every id: order 0, a distribution over all ids from
 counts that start at the header's shares and adapt; order 1 and order 2, which put all their probability on the id that followed the last
 one or two ids last time.  The probability of an id is the weighted sum of all three, and one carry-less range coder with 64 bits of state
 and 16-bit output words codes it in one step.
@@ -11,7 +13,8 @@ the step of expectation-maximisation that lowers the cost.  There is one set of
 row each was right (0 to 3), and whether they agree.  All arithmetic that both sides must agree on is in whole numbers, but for one division
 of whole numbers in double precision.
 
-Segment: magic, sizes, compressed dictionary, then for each block its number of ids, the CRC-32 of its ids and its words.
+Segment: magic, sizes, CRC-32 of what follows up to the bodies; compressed dictionary; for each block its number of ids, the CRC-32 of its ids
+and the sizes of its words and of its escaped ids; then the blocks' bodies.
 """
 
 from __future__ import annotations
@@ -25,7 +28,10 @@ import zstandard
 BLOCK = 4096
 #: blocks that are coded side by side; a larger segment is worked through in groups
 LANES = 1024
-MAGIC = b"TLS2"
+#: symbols of a segment, the escape among them
+ALPHABET = 1 << 14
+MAGIC = b"TLS3"
+_HEAD = struct.Struct("<4sIIIIIII")  # magic, ids, block, blocks, bytes of the dictionary, symbols, whether the last one escapes, CRC-32
 _U64 = np.uint64
 _TOP, _BOTTOM, _WORD = _U64(1 << 48), _U64(1 << 40), _U64(16)
 _ONE = _U64(1)
@@ -227,13 +233,16 @@ def encode_segment(ids: np.ndarray) -> bytes:
     """Code an array of ids (unsigned 32-bit)."""
     ids = np.ascontiguousarray(ids, dtype="<u4")
     n = len(ids)
-    head = struct.pack("<4sIII", MAGIC, n, BLOCK, 0)
-    if not n:
-        return head
     known, symbols, count = np.unique(ids, return_inverse=True, return_counts=True)
-    share = np.minimum(1 + np.round(count * (2.0**14 / n)), 2**14).astype("<u2")
+    escapes = len(known) > ALPHABET
+    if escapes:
+        best = np.sort(np.argsort(-count, kind="stable")[: ALPHABET - 1])
+        place = np.full(len(known), ALPHABET - 1)
+        place[best] = np.arange(ALPHABET - 1)
+        symbols, known, count = place[symbols], known[best], np.append(count[best], n - count[best].sum())
+    share = np.minimum(1 + np.round(count * (2.0**14 / max(n, 1))), 2**14).astype("<u2")
     table = zstandard.ZstdCompressor(level=9).compress(np.diff(known, prepend=np.uint32(0)).astype("<u4").tobytes() + share.tobytes())
-    parts = [struct.pack("<4sIII", MAGIC, n, BLOCK, len(table)), struct.pack("<I", len(known)), table]
+    heads, bodies = [], []
     for a in range(0, n, LANES * BLOCK):
         own = symbols[a : a + LANES * BLOCK]
         blocks = -(-len(own) // BLOCK)
@@ -243,34 +252,46 @@ def encode_segment(ids: np.ndarray) -> bytes:
         lengths[-1] = len(own) - (blocks - 1) * BLOCK
         for i, w in enumerate(_encode_lanes(grid.reshape(blocks, BLOCK)[:, : lengths[0]], lengths, share)):
             at = a + i * BLOCK
-            parts += [struct.pack("<III", lengths[i], zlib.crc32(ids[at : at + lengths[i]].tobytes()), len(w)), w]
-    return b"".join(parts)
+            part = ids[at : at + lengths[i]]
+            plain = part[symbols[at : at + lengths[i]] == ALPHABET - 1].tobytes() if escapes else b""
+            heads.append(struct.pack("<IIII", lengths[i], zlib.crc32(part.tobytes()), len(w), len(plain)))
+            bodies += [w, plain]
+    middle = table + b"".join(heads)
+    return _HEAD.pack(MAGIC, n, BLOCK, len(heads), len(table), len(share), escapes, zlib.crc32(middle)) + middle + b"".join(bodies)
 
 
-def decode_segment(blob: bytes) -> np.ndarray:
-    """Return the ids of a segment; a damaged block raises ValueError."""
-    magic, n, block, size = struct.unpack_from("<4sIII", blob)
-    if magic != MAGIC:
+def decode_blocks(blob: bytes) -> list[np.ndarray | None]:
+    """Return the ids of each block of a segment, or None for blocks that are damaged or missing; ValueError if the header is damaged."""
+    if len(blob) < _HEAD.size or blob[:4] != MAGIC:
         raise ValueError("not a token segment")
-    if not n:
-        return np.zeros(0, dtype="<u4")
-    (k,) = struct.unpack_from("<I", blob, 16)
-    table = zstandard.ZstdDecompressor().decompress(blob[20 : 20 + size])
-    known = np.cumsum(np.frombuffer(table, "<u4", k), dtype=np.uint32)
-    prior = np.frombuffer(table, "<u2", k, 4 * k)
-    at, lengths, sums, words = 20 + size, [], [], []
-    while at < len(blob):
-        length, crc, many = struct.unpack_from("<III", blob, at)
-        lengths.append(length)
-        sums.append(crc)
-        words.append(blob[at + 12 : at + 12 + many])
-        at += 12 + many
-    out = []
-    for a in range(0, len(words), LANES):
-        own = np.array(lengths[a : a + LANES], dtype=np.int64)
-        grid = known[_decode_lanes(words[a : a + LANES], own, prior)].astype("<u4")
-        for i, (length, crc) in enumerate(zip(own.tolist(), sums[a : a + LANES], strict=True)):
-            if zlib.crc32(grid[i, :length].tobytes()) != crc:
-                raise ValueError(f"block {a + i} is damaged")
-        out += [grid[:-1].reshape(-1), grid[-1, : own[-1]]]
-    return np.concatenate(out)
+    _, n, block, many, size, k, escapes, crc = _HEAD.unpack_from(blob)
+    at = _HEAD.size + size + 16 * many
+    if zlib.crc32(blob[_HEAD.size : at]) != crc or block != BLOCK or -(-n // block) != many:
+        raise ValueError("the segment's header is damaged")
+    table = zstandard.ZstdDecompressor().decompress(blob[_HEAD.size : _HEAD.size + size])
+    known = np.cumsum(np.frombuffer(table, "<u4", k - escapes), dtype=np.uint32)
+    known, prior = np.append(known, np.zeros(escapes, np.uint32)), np.frombuffer(table, "<u2", k, 4 * (k - escapes))
+    heads = np.frombuffer(blob, "<u4", 4 * many, _HEAD.size + size).reshape(many, 4).astype(np.int64)
+    ends = at + np.cumsum(heads[:, 2] + heads[:, 3])
+    out: list[np.ndarray | None] = []
+    for a in range(0, many, LANES):
+        own = heads[a : a + LANES]
+        starts = ends[a : a + LANES] - own[:, 2] - own[:, 3]
+        grid = _decode_lanes([blob[i : i + j] if i + j <= len(blob) and not j % 2 else b"" for i, j in zip(starts.tolist(), own[:, 2].tolist(), strict=True)], own[:, 0], prior)
+        for i, (length, crc, words, plain) in enumerate(own.tolist()):
+            row = grid[i, :length]
+            part = known[row].astype("<u4")
+            if plain:
+                found, place = np.frombuffer(blob[starts[i] + words : starts[i] + words + plain // 4 * 4], "<u4"), np.flatnonzero(row == k - 1)
+                if len(found) == len(place):
+                    part[place] = found
+            out.append(part if zlib.crc32(part.tobytes()) == crc else None)
+    return out
+
+
+def decode_segment(blob: bytes) -> np.ndarray:
+    """Return the ids of a segment; ValueError with the numbers of the damaged blocks, whose neighbours ``decode_blocks`` still gives."""
+    parts = decode_blocks(blob)
+    if bad := [i for i, part in enumerate(parts) if part is None]:
+        raise ValueError(f"damaged blocks: {', '.join(map(str, bad[:20]))}")
+    return np.concatenate(parts) if parts else np.zeros(0, dtype="<u4")

@@ -5,8 +5,8 @@ ids; each partition ("bucket") is written as segments of whole documents, coded
 self-contained: its documents, their lengths, the number of ids before it in its range, and the coded ids.  The table is written by Spark,
 so a lost task is simply written again.
 
-If a vocabulary splits at ASCII white space, which is tried out when it is loaded, the tokenizer sees each distinct word once, since the ids
-of a text are then those of its words in order; the cache of words is bounded.  Other vocabularies get whole texts.
+If a vocabulary's definition says that it removes white space and never looks across it (``splits_at_spaces``), the tokenizer sees each distinct
+word once, since the ids of a text are then those of its words in order; the cache of words is bounded.  Other vocabularies get whole texts.
 
 Defined results: a null or empty text is the end id alone; rows that repeat are written as often as they occur; an empty table gives an
 empty result.
@@ -14,7 +14,9 @@ empty result.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -31,9 +33,6 @@ END_ID = 2
 SEGMENT_IDS = 1 << 22
 CACHE_WORDS = 400_000
 SEGMENTS = "bucket int, seq int, before bigint, n_ids bigint, doc_ids binary, no_ids binary, lengths binary, payload binary"
-#: texts that a vocabulary must encode word by word as it encodes them whole
-_PROBES = ["Ab cd", " ab\tcd\n\nef  gh ", "it's don't 12 34,56", "x\x0by\x0cz\r\nw", "\u00e9 \u0308\u00df <|endoftext|> a", "a\u00a0b \u2028 c", "1 2 3 . . !", "\n the\n The"]
-
 _TOKENIZERS: dict[str, tuple] = {}
 _CACHE: dict[str, dict[bytes, bytes]] = {}
 
@@ -45,6 +44,28 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def splits_at_spaces(definition: dict) -> bool:
+    """Whether the ids of a text are those of its words between ASCII white space, as a tokenizer's definition states it.
+
+    That holds if no normaliser moves anything across white space, if the first pre-tokenizer keeps only pieces without white space (it splits
+    at it, or removes all that its pattern does not match and the pattern cannot match white space), if nothing is added around a text, and if
+    no added token has white space in it or takes any along.
+    """
+    parts = lambda x, name: [] if x is None else [y for p in x[name] for y in parts(p, name)] if x["type"] == "Sequence" else [x]
+    for step in parts(definition["normalizer"], "normalizers"):
+        spaces = step["type"] == "Replace" and step["pattern"] in ({"Regex": "\\s+"}, {"Regex": "\\s"}) and step["content"] == " "
+        if step["type"] not in ("NFC", "NFD", "NFKD", "NFKC", "Lowercase", "StripAccents", "BertNormalizer") and not spaces:
+            return False
+    first = (parts(definition["pre_tokenizer"], "pretokenizers") or [{"type": ""}])[0]
+    # alternatives that hold no white space: letters, digits and marks of contractions, or classes that shut it out
+    solid = re.compile(r"'\w+|\[?\\p\{[LN]\}\]?\+?|\[\^\\s[^\]]*\]\+?")
+    removes = first["type"] == "Split" and first["behavior"] == "Removed" and first["invert"] and "Regex" in first["pattern"] and all(solid.fullmatch(x) for x in first["pattern"]["Regex"].split("|"))
+    if not removes and first["type"] not in ("Whitespace", "WhitespaceSplit", "BertPreTokenizer"):
+        return False
+    plain = all(not (t["lstrip"] or t["rstrip"] or re.search(r"\s", t["content"])) for t in definition["added_tokens"])
+    return plain and definition["post_processor"] is None
+
+
 def encode_text(text: bytes, path: str) -> bytes:
     """Return the ids of a whole text as little-endian unsigned 32-bit integers, without special tokens."""
     if path not in _TOKENIZERS:
@@ -52,9 +73,7 @@ def encode_text(text: bytes, path: str) -> bytes:
         from tokenizers import Tokenizer
 
         made = Tokenizer.from_file(path)
-        ids = lambda x: made.encode(x, add_special_tokens=False).ids
-        by_word = all(ids(x) == [i for w in x.encode().split() for i in ids(w.decode())] for x in _PROBES)
-        _TOKENIZERS[path], _CACHE[path] = (made, by_word), {}
+        _TOKENIZERS[path], _CACHE[path] = (made, splits_at_spaces(json.loads(made.to_str()))), {}
     tokenizer, by_word = _TOKENIZERS[path]
     if not by_word:
         return np.array(tokenizer.encode_batch_fast([text.decode()], add_special_tokens=False)[0].ids, dtype="<u4").tobytes()
