@@ -282,9 +282,9 @@ def decode_blocks(blob: bytes) -> list[np.ndarray | None]:
             row = grid[i, :length]
             part = known[row].astype("<u4")
             if plain:
-                found, place = np.frombuffer(blob[starts[i] + words : starts[i] + words + plain // 4 * 4], "<u4"), np.flatnonzero(row == k - 1)
-                if len(found) == len(place):
-                    part[place] = found
+                raw, place = blob[starts[i] + words : starts[i] + words + plain], np.flatnonzero(row == k - 1)
+                if len(raw) == 4 * len(place):
+                    part[place] = np.frombuffer(raw, "<u4")
             out.append(part if zlib.crc32(part.tobytes()) == crc else None)
     return out
 
