@@ -61,7 +61,9 @@ def partial_sums(rows: DataFrame, keys: list[str], vector: str) -> DataFrame:
             group = np.array([codes.setdefault(k, len(codes)) for k in zip(*(batch.column(k).to_pylist() for k in keys), strict=True)] if keys else [codes.setdefault((), 0)] * batch.num_rows)
             order = np.argsort(group, kind="stable")
             first = np.searchsorted(group[order], np.arange(len(codes)))
-            for key, n, s in zip(codes, np.add.reduceat(counts[order], first), np.add.reduceat(values[order], first), strict=True):
+            longest = np.maximum.reduceat(length[order], first)
+            for key, n, s, width in zip(codes, np.add.reduceat(counts[order], first), np.add.reduceat(values[order], first), longest.tolist(), strict=True):
+                n, s = n[:width], s[:width]
                 if key not in held:
                     held[key] = [n, s]
                     size += 2 * width
