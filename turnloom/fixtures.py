@@ -33,7 +33,7 @@ COMMON = {
     "verdicts": """
       SELECT call_id, idx, concat(CAST(idx % 20 + 1 AS STRING), '. ', CASE WHEN length(text) % 5 = 0 THEN 'SENSITIVE' ELSE 'CLEAN' END) AS line
       FROM {turns} WHERE idx % 7 <> 6""",
-    "checkpoints": "SELECT event_id AS step, value AS loss FROM {events} WHERE event_type = 'view'",
+    "checkpoints": "SELECT event_id * 7 AS step, value AS loss FROM {events}",
     "judged": """
       SELECT t.call_id, t.idx, t.speaker, t.start_s, t.end_s, t.text, CASE WHEN t.idx = 0 AND r.toxic = 1 THEN 'garbled_transcript' END AS issue,
         (t.call_id + t.idx) % 13 <> 0 AS has_audio, CASE WHEN (t.call_id*3 + t.idx) % 17 = 0 THEN 'low_energy' END AS audio_issue

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnloom.functions.text import json_text, strip
+from turnloom.functions.text import json_text, strip, unfenced
 from turnloom.operators.dialogue import in_order
 from turnloom.schemas import ASSIGNMENT, FILE_ISSUES, MAX_TURN, MIN_CONFIDENCE, MIN_TURN, MODEL_TURN_ISSUES, TURN_ISSUES, VALIDATION_RESPONSE
 
@@ -48,14 +48,18 @@ def without_sensitive(turns: DataFrame, flags: DataFrame) -> DataFrame:
 
 
 def scored_turns(responses: DataFrame) -> DataFrame:
-    """Turns of a speech model's answer (call_id, response): a JSON list, else ``Speaker N:`` lines, else the whole text as one turn."""
-    listed = F.from_json(json_text(F.col("response")), "array<struct<speaker:string,text:string>>")
-    items = F.filter(listed, lambda t: F.length(strip(F.coalesce(t["text"], F.lit("")))) > 0)
+    """Turns of a speech model's answer (call_id, response): a JSON list, else ``Speaker N:`` lines, else the whole text as one turn.
+
+    A code fence around the answer is taken off; an item of a list without a speaker is UNKNOWN, and one without text is left out.
+    """
+    bare = unfenced(F.col("response"))
+    listed = F.from_json(json_text(bare), "array<struct<speaker:string,text:string>>")
+    items = F.transform(F.filter(listed, lambda t: F.length(F.coalesce(t["text"], F.lit(""))) > 0), lambda t: F.struct(F.coalesce(t["speaker"], F.lit("UNKNOWN")).alias("speaker"), strip(t["text"]).alias("text")))
     pattern = r"(?m)^(Speaker[_ ]?\d+)\s*:\s*(.+)"
-    said = F.arrays_zip(F.transform(F.regexp_extract_all("response", F.lit(pattern), 1), lambda s: F.regexp_replace(s, " ", "_")).alias("speaker"), F.regexp_extract_all("response", F.lit(pattern), 2).alias("text"))
-    whole = F.when(F.length(strip(F.col("response"))) > 0, F.array(F.struct(F.lit("Speaker_1").alias("speaker"), strip(F.col("response")).alias("text")))).otherwise(F.array().cast("array<struct<speaker:string,text:string>>"))
+    said = F.arrays_zip(F.transform(F.regexp_extract_all(bare, F.lit(pattern), 1), lambda s: F.regexp_replace(s, " ", "_")).alias("speaker"), F.transform(F.regexp_extract_all(bare, F.lit(pattern), 2), strip).alias("text"))
+    whole = F.when(F.length(bare) > 0, F.array(F.struct(F.lit("Speaker_1").alias("speaker"), bare.alias("text")))).otherwise(F.array().cast("array<struct<speaker:string,text:string>>"))
     turns = F.when(F.size(items) > 0, items).when(F.size(said) > 0, said).otherwise(whole)
-    return responses.select("call_id", F.posexplode(turns).alias("idx", "t")).select("call_id", "idx", F.coalesce("t.speaker", F.lit("Speaker_1")).alias("speaker"), strip(F.col("t.text")).alias("text"), F.lit(0.0).alias("start_s"), F.lit(0.0).alias("end_s"))
+    return responses.select("call_id", F.posexplode(turns).alias("idx", "t")).select("call_id", "idx", "t.speaker", "t.text", F.lit(0.0).alias("start_s"), F.lit(0.0).alias("end_s"))
 
 
 def validation_response(response: Column) -> Column:

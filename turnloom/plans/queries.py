@@ -68,6 +68,15 @@ def _(v):
     return dialogue.segments_to_turns(v.segments, 6)
 
 
+ROUNDED = "CAST(round(CAST(CAST({c} AS VARCHAR) AS DECIMAL(38, 18)), 2) AS DOUBLE)"  # halves up by the number as it is written, as Spark rounds
+
+
+@query("f1_rounded_turns", islands("SELECT call_id, seg, speaker, start_s, end_s, trim(text, chr(32)||chr(9)||chr(10)||chr(13)) AS text FROM {segments} WHERE length(trim(text, chr(32)||chr(9)||chr(10)||chr(13))) > 0", "speaker = lag(speaker) OVER w", "seg")
+    + f" SELECT call_id, island AS idx, {ROUNDED.format(c='arg_min(start_s, seg)')} AS start_s, {ROUNDED.format(c='arg_max(end_s, seg)')} AS end_s FROM i GROUP BY call_id, island")
+def _(v):
+    return dialogue.segments_to_turns(v.segments).select("call_id", "idx", "start_s", "end_s")
+
+
 MERGED = islands("SELECT * FROM {turns}", "speaker = lag(speaker) OVER w AND start_s - lag(end_s) OVER w <= 0.5", "idx") + """,
     m AS (SELECT call_id, island AS idx, arg_min(speaker, idx) AS speaker, arg_min(start_s, idx) AS start_s, arg_max(end_s, idx) AS end_s, string_agg(text, ' ' ORDER BY idx) AS text, count(*) AS merged_from, min(idx) AS first_idx FROM i GROUP BY call_id, island)"""
 
@@ -246,22 +255,39 @@ def _(v):
 
 
 @query("x4_json_text", """
-    WITH t AS (SELECT conv_id, turn, chr(123) || '"n": ' || turn || ', "text": ' || to_json(text) || chr(125) AS obj, '[' || turn || ', ' || to_json(text) || ']' AS arr, regexp_matches(text, '[\\x7B\\x7D\\[\\]`]') AS odd FROM conversations)
-    SELECT conv_id, turn, CASE WHEN odd OR turn % 5 = 3 THEN NULL WHEN turn % 5 = 2 THEN arr ELSE obj END AS found FROM t""")
+    WITH t AS (SELECT conv_id, turn, chr(123) || '"n": ' || turn || ', "text": ' || to_json(text) || chr(125) AS obj, '[' || turn || ', ' || to_json(text) || ']' AS arr FROM conversations),
+    o AS (SELECT *, strpos(arr, chr(123)) AS first, CASE WHEN strpos(arr, chr(125)) > 0 THEN length(arr) - strpos(reverse(arr), chr(125)) + 1 ELSE 0 END AS last FROM t),
+    p AS (SELECT *, CASE WHEN first > 0 AND last > first THEN substring(arr, first, last - first + 1) END AS inner_ FROM o)
+    SELECT conv_id, turn, CASE WHEN turn % 5 = 3 THEN NULL WHEN turn % 5 <> 2 THEN obj WHEN inner_ IS NULL THEN arr WHEN json_valid(inner_) THEN inner_ END AS found FROM p""")
 def _(v):
+    """Objects and arrays around every given text; brackets in a text count as they stand."""
     quoted = F.regexp_replace(F.to_json(F.struct("text")), r'^\{"text":|\}$', "")
     obj = F.concat(F.lit('{"n": '), F.col("turn").cast("string"), F.lit(', "text": '), quoted, F.lit("}"))
     arr = F.concat(F.lit("["), F.col("turn").cast("string"), F.lit(", "), quoted, F.lit("]"))
     kind = F.col("turn") % 5
     noisy = F.when(kind == 0, F.concat(F.lit("Here: "), obj, F.lit(" ok"))).when(kind == 1, F.concat(F.lit("```json\n"), obj, F.lit("\n```"))).when(kind == 2, F.concat(F.lit("So "), arr, F.lit(" it is"))).when(kind == 3, F.concat(F.lit("{bad "), arr, F.lit("}"))).otherwise(obj)
-    return v.conversations.select("conv_id", "turn", F.when(~F.col("text").rlike(r"[{}\[\]`]"), text.json_text(noisy)).alias("found"))
+    return v.conversations.select("conv_id", "turn", text.json_text(noisy).alias("found"))
 
 
-@query("x5_scored_turns", "SELECT call_id, idx, 'Speaker_' || CAST(idx % 2 + 1 AS VARCHAR) AS speaker, CAST(length(trim(replace(text, chr(10), ' '))) AS INT) AS chars FROM {turns}")
+SPOKEN = "trim(regexp_replace(text, '[\\s\\x1c-\\x1f\\x85\\xa0]+', ' ', 'g'))"
+SCORED = f"""
+    WITH t AS (SELECT call_id, idx, {SPOKEN} AS text FROM {{turns}})
+    SELECT call_id * 1000 + idx AS item, CAST(n AS INT) AS pos, CASE WHEN idx % 3 = 2 THEN 'Speaker_1' WHEN idx % 3 = 1 AND n = 1 THEN 'UNKNOWN' ELSE 'Speaker_' || CAST(n + 1 AS VARCHAR) END AS speaker, CASE WHEN n = 0 THEN text ELSE 'yes ' || text END AS text
+    FROM t, (SELECT unnest([0, 1]) AS n) WHERE n = 0 OR idx % 3 < 2"""
+
+
+def scored_answers(v: Views) -> DataFrame:
+    """Answers (call_id, response) in each of the three forms about every turn: lines by speaker, a list in a fence, and plain text."""
+    said = F.trim(F.regexp_replace("text", r"[\s\x1c-\x1f\x85\xa0]+", " "))
+    lines = F.concat(F.lit("Speaker 1: "), said, F.lit("\nSpeaker_2 : yes "), said)
+    listed = F.concat(F.lit("```json\n"), F.to_json(F.array(F.struct(F.lit("Speaker_1").alias("speaker"), said.alias("text")), F.struct(F.lit(None).cast("string").alias("speaker"), F.concat(F.lit("yes "), said).alias("text")))), F.lit("\n```"))
+    kind = F.col("idx") % 3
+    return v.turns.select((F.col("call_id") * 1000 + F.col("idx")).alias("call_id"), F.when(kind == 0, lines).when(kind == 1, listed).otherwise(said).alias("response"))
+
+
+@query("x5_scored_turns", SCORED)
 def _(v):
-    line = F.concat(F.lit("Speaker "), (F.col("idx") % 2 + 1).cast("string"), F.lit(": "), F.trim(F.regexp_replace("text", "\n", " ")))
-    said = v.turns.groupBy("call_id").agg(F.array_join(dialogue.in_order(line, "idx"), "\n").alias("response"))
-    return review.scored_turns(said).select("call_id", F.col("idx").cast("bigint").alias("idx"), "speaker", F.length("text").alias("chars"))
+    return review.scored_turns(scored_answers(v)).select(F.col("call_id").alias("item"), F.col("idx").alias("pos"), "speaker", "text")
 
 
 CASCADE = """
@@ -373,11 +399,11 @@ def _(v):
     return voiceprint.best_match(_scored(v)).select("call_id", "best_speaker", r6("best_similarity"), r6("margin"))
 
 
-@query("p7_quality_flags", MEANS + """, u AS (SELECT call_id, speaker, count(*) AS usable FROM {vectors} WHERE idx % 3 <> 0 GROUP BY ALL)
+@query("p7_quality_flags", MEANS + """, u AS (SELECT call_id, speaker, count(*) FILTER (embedding[1] > 0) AS usable FROM {vectors} GROUP BY ALL)
     SELECT b.call_id, concat_ws(',', CASE WHEN best_similarity < 0.1 THEN 'low_similarity' END, CASE WHEN margin < 0.05 THEN 'ambiguous_match' END,
       (SELECT string_agg('insufficient_audio:' || speaker, ',' ORDER BY speaker) FROM u WHERE u.call_id = b.call_id AND usable > 0 AND usable < 4)) AS flags FROM b""")
 def _(v):
-    usable = v.vectors.where("idx % 3 <> 0").groupBy("call_id", "speaker").agg(F.count("*").alias("usable"))
+    usable = v.vectors.groupBy("call_id", "speaker").agg(F.count_if(F.col("embedding")[0] > 0).alias("usable"))
     return voiceprint.quality_flags(voiceprint.best_match(_scored(v)), usable, 0.1, 0.05, 4).select("call_id", F.array_join("flags", ",").alias("flags"))
 
 
@@ -701,21 +727,24 @@ ORACLES["p2_word_calls"] = f"SELECT call_id, 'en' AS language, CAST(count(DISTIN
 
 
 @query("p2_timeline_turns", LOOKED_UP + """,
-    c AS (SELECT call_id, idx, speaker, count(*) AS n FROM r WHERE rn = 1 AND idx % 4 <> 3 GROUP BY ALL),
-    m AS (SELECT call_id, idx, speaker FROM (SELECT *, row_number() OVER (PARTITION BY call_id, idx ORDER BY n DESC, speaker) AS q FROM c) WHERE q = 1),
-    z AS (SELECT s.call_id, s.idx, t.speaker, row_number() OVER (PARTITION BY s.call_id, s.idx ORDER BY CASE WHEN t.start_s <= s.mid AND s.mid <= t.end_s THEN 0 ELSE 1 END,
+    c AS (SELECT call_id, idx, speaker, count(*) AS n FROM r WHERE rn = 1 GROUP BY ALL),
+    m AS (SELECT call_id, idx * 2 AS seg, speaker FROM (SELECT *, row_number() OVER (PARTITION BY call_id, idx ORDER BY n DESC, speaker) AS q FROM c) WHERE q = 1),
+    z AS (SELECT s.call_id, s.seg, t.speaker, row_number() OVER (PARTITION BY s.call_id, s.seg ORDER BY CASE WHEN t.start_s <= s.mid AND s.mid <= t.end_s THEN 0 ELSE 1 END,
         CASE WHEN t.start_s <= s.mid AND s.mid <= t.end_s THEN 0.0 ELSE least(abs(s.mid - t.start_s), abs(s.mid - t.end_s)) END, t.ord) AS rn
-      FROM (SELECT *, (start_s + end_s) / 2 AS mid FROM {turns} WHERE idx % 4 = 3) s JOIN {timeline} t ON t.call_id = s.call_id),
-    k AS (SELECT call_id, idx, speaker FROM m UNION ALL SELECT call_id, idx, speaker FROM z WHERE rn = 1),
-    s AS (SELECT t.call_id, t.idx, k.speaker, t.start_s, t.end_s, trim(t.text, chr(32)||chr(9)||chr(10)||chr(13)) AS text FROM {turns} t JOIN k ON k.call_id = t.call_id AND k.idx = t.idx WHERE length(trim(t.text, chr(32)||chr(9)||chr(10)||chr(13))) > 0),
-    b AS (SELECT *, CASE WHEN speaker = lag(speaker) OVER w THEN 0 ELSE 1 END AS nw FROM s WINDOW w AS (PARTITION BY call_id ORDER BY idx)),
-    i AS (SELECT *, CAST(sum(nw) OVER (PARTITION BY call_id ORDER BY idx) - 1 AS BIGINT) AS island FROM b)
-    SELECT call_id, island AS idx, arg_min(speaker, idx) AS speaker, string_agg(text, ' ' ORDER BY idx) AS text FROM i GROUP BY call_id, island""")
-def _(v):
+      FROM (SELECT call_id, idx * 2 + 1 AS seg, (start_s + end_s) / 2 AS mid FROM {turns}) s JOIN {timeline} t ON t.call_id = s.call_id),
+    k AS (SELECT call_id, seg, speaker FROM m UNION ALL SELECT call_id, seg, speaker FROM z WHERE rn = 1),
+    g AS (SELECT call_id, idx * 2 AS seg, text FROM {turns} UNION ALL SELECT call_id, idx * 2 + 1, 'yes' FROM {turns}),
+    s AS (SELECT g.call_id, g.seg, k.speaker, trim(g.text, chr(32)||chr(9)||chr(10)||chr(13)) AS text FROM g JOIN k ON k.call_id = g.call_id AND k.seg = g.seg WHERE length(trim(g.text, chr(32)||chr(9)||chr(10)||chr(13))) > 0),
+    b AS (SELECT *, CASE WHEN speaker = lag(speaker) OVER w THEN 0 ELSE 1 END AS nw FROM s WINDOW w AS (PARTITION BY call_id ORDER BY seg)),
+    i AS (SELECT *, CAST(sum(nw) OVER (PARTITION BY call_id ORDER BY seg) - 1 AS BIGINT) AS island FROM b)
+    SELECT call_id, island AS idx, arg_min(speaker, seg) AS speaker, string_agg(text, ' ' ORDER BY seg) AS text FROM i GROUP BY call_id, island""")
+def _(v):
+    """Each turn is a segment with all its words, and another one without any, whose speaker is the one in its middle."""
     from turnloom.plans import stages
 
-    segments = v.turns.select("call_id", F.col("idx").alias("seg"), "start_s", "end_s", "text")
-    words = v.words.where("idx % 4 <> 3").select("call_id", F.col("idx").alias("seg"), "mid_s")
+    spoken = v.turns.select("call_id", (F.col("idx") * 2).alias("seg"), "start_s", "end_s", "text")
+    segments = spoken.unionByName(spoken.withColumn("seg", F.col("seg") + 1).withColumn("text", F.lit("yes")))
+    words = v.words.select("call_id", (F.col("idx") * 2).alias("seg"), "mid_s")
     return stages.diarize_timeline(segments, words, v.timeline)[0].select("call_id", "idx", "speaker", "text")
 
 

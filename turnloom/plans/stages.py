@@ -12,9 +12,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnloom import models
+from turnloom.functions.text import clip_name
 from turnloom.operators import dataset, dialogue, review, screening, voiceprint
 from turnloom.plans.tables import stored
 from turnloom.schemas import CONTEXT_TURNS, KEEP_MAX, KEEP_MIN, MERGE_GAP, PARSE_RETRIES, SCRUB_BATCH, TURN, VALIDATION_BATCH
+from turnloom.sources.documents import write_lines
+from turnloom.sources.wavfiles import write_files
 
 
 def diarize(files: DataFrame, factory: Callable[[], models.Transcriber], num_speakers: int | None = None, language: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -46,6 +49,23 @@ def diarize_timeline(segments: DataFrame, words: DataFrame, timeline: DataFrame,
     return turns, dialogue.call_speakers(turns).select("call_id", F.lit(language).alias("language"), "num_speakers")
 
 
+def diarize_answers(files: DataFrame, factory: Callable[[], models.Transcriber], num_speakers: int | None = None, language: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Turns, calls and the quarantine of a model that hears a recording and writes down who says what; its turns have no times."""
+    heard = models.isolated(files.select("call_id", "content"), "content", "answer", factory, lambda m, x: m.transcribe(x, num_speakers, language))
+    good, bad = models.succeeded(stored(heard.drop("content"), "answers"), "answer")
+    turns = review.scored_turns(good.select("call_id", F.col("answer").alias("response")))
+    return turns, dialogue.call_speakers(turns).select("call_id", F.lit(language).alias("language"), "num_speakers"), bad
+
+
+# The modes by name; any other name means the timeline.
+BACK_ENDS = {"aws": diarize_words, "whisperx": diarize, "mlx": diarize_timeline, "llamacpp": diarize_answers}
+
+
+def diarize_by_mode(mode: str, *inputs: object, **options: object) -> tuple[DataFrame, ...]:
+    """Turns, calls and, where a model is asked here, the quarantine of the back end that a mode names, with its own inputs."""
+    return BACK_ENDS.get(mode, diarize_timeline)(*inputs, **options)
+
+
 def scrub(turns: DataFrame, factory: Callable[[], models.Scorer], prompt: Callable[[str], str] = lambda body: body, size: int = SCRUB_BATCH) -> tuple[DataFrame, DataFrame]:
     """Remove the turns that the model calls sensitive; return turns and the quarantine of batches, whose turns stay out.
 
@@ -165,6 +185,18 @@ def manifests(rows: DataFrame, audio: str = "audio") -> tuple[DataFrame, DataFra
     return made[0], made[1]
 
 
+def export_files(rows: DataFrame, clips: DataFrame, root: str, files: int | None = None) -> None:
+    """Write a training set: the rows' clips (call_id, idx, content) as files, and both manifests with the paths of these files.
+
+    A row without a clip is left out of the manifest; all files appear together, before the manifests do.
+    """
+    named = rows.join(clips.where("content IS NOT NULL").select("call_id", "idx", "content"), ["call_id", "idx"]).withColumn("name", clip_name(F.col("call_id"), F.col("idx")))
+    kept = stored(named.withColumn("audio", F.concat_ws("/", F.lit(root.rstrip("/")), "split", "name")), "export")
+    write_files(kept, root, "split", mode="overwrite")
+    for part, made in zip(("train", "val"), manifests(kept), strict=True):
+        write_lines(made, f"{root.rstrip('/')}/{part}.jsonl", files)
+
+
 def export(turns: DataFrame, languages: tuple[str, ...] | None = None, cap: int = 50, share: float = 0.06) -> DataFrame:
     """Rows of the training set: own turns in the chosen languages, capped a call, split into train and val."""
     chosen = dataset.own_turns(turns.where(dataset.in_languages(F.col("language"), languages)))

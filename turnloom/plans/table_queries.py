@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from turnloom import failures
 from turnloom.fixtures import Views
-from turnloom.operators import catalog, dialogue, review, stats
+from turnloom.functions import text
+from turnloom.operators import catalog, dataset, dialogue, review, stats, voiceprint
 from turnloom.plans import pipeline, stages, tables
-from turnloom.plans.queries import BLOCKS3, LOOKED_UP, MERGED, ORACLES, _Reviewer, _verdict_lines, islands, query, r6
+from turnloom.plans.queries import BLOCKS3, LOOKED_UP, MEANS, MERGED, ORACLES, SCORED, _catalog, _Reviewer, _verdict_lines, islands, query, r6, scored_answers
 from turnloom.sources import documents, measures, wav, wavfiles
 from turnloom.streaming import intake, turns
 
@@ -293,3 +294,84 @@ def _(v: Views) -> DataFrame:
     told = lambda rows: rows.join(v.calls.select("call_id", "language"), "call_id").withColumn("seconds", dialogue.duration(rows))
     out = stats.stage_rollup({"diarize": told(v.turns), "segment": told(dialogue.merge_turns(v.turns))})
     return out.withColumn("seconds", F.round("seconds", 3))
+
+
+# ---------------------------------------------------------------- whole stages
+class _Censor:
+    """A stand-in model: every fourth numbered line of a prompt is sensitive."""
+
+    def complete(self, prompts, max_tokens):
+        import re
+
+        return ["\n".join(f"{i}. {'SENSITIVE' if int(i) % 4 == 3 else 'CLEAN'}" for i in re.findall(r"(?m)^(\d+)\. \[spk_", p)) for p in prompts]
+
+
+@query("p3_scrubbed_turns", "SELECT call_id, idx, speaker FROM {turns} WHERE (idx % 20 + 1) % 4 <> 3")
+def _(v: Views) -> DataFrame:
+    return stages.scrub(v.turns, _Censor)[0].select("call_id", "idx", "speaker")
+
+
+class _Hearer:
+    """A stand-in model: what it hears is the text of the recording's bytes."""
+
+    def transcribe(self, content, num_speakers, language):
+        return bytes(content).decode()
+
+
+@query("p2_multimodal_turns", SCORED.replace(" AS item,", " AS call_id,"))
+def _(v: Views) -> DataFrame:
+    """The back end whose model writes down who says what, chosen by its mode."""
+    files = scored_answers(v).select("call_id", F.col("response").cast("binary").alias("content"))
+    return stages.diarize_by_mode("llamacpp", files, _Hearer, language="en")[0].select("call_id", F.col("idx").alias("pos"), "speaker", "text")
+
+
+@query("p7_labelled_turns", MEANS + " SELECT v.call_id, v.idx, v.speaker, CASE WHEN v.speaker = b.best_speaker THEN 'me' ELSE 'other' END AS speaker_label FROM {vectors} v JOIN b ON b.call_id = v.call_id")
+def _(v: Views) -> DataFrame:
+    """The whole stage: longest turns, mean vectors, match and labels."""
+    rows = v.vectors.select("call_id", "speaker", "idx", (F.col("idx") * 7 % 11).cast("double").alias("duration"))
+    print_ = voiceprint.enroll(v.vectors.where("label = 0"), "made-up", "label-0")
+    return stages.label(rows, v.vectors, print_, "made-up")[0].select("call_id", "idx", "speaker", "speaker_label")
+
+
+@query("p8_exported_files", "SELECT CAST(call_id AS VARCHAR) || '_turn_' || printf('%03d', idx) || '.wav' AS name, 'train' AS split, trim(text, chr(32)||chr(9)||chr(10)||chr(13)) AS text, CAST(44 + 2 * length(text) AS BIGINT) AS bytes FROM {labelled} WHERE speaker_label = 'me' AND has_audio")
+def _(v: Views) -> DataFrame:
+    """Clips and manifests written as files and read back; a manifest's path must be that of a file."""
+    root = tables.new_path(v.spark, "export")
+    rows = dataset.own_turns(v.labelled).withColumn("split", F.lit("train"))
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for b in batches:
+            made = [wav.encode(np.zeros(n, np.float32), 8000) for n in b.column("n").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("call_id"), b.column("idx"), pa.array(made, pa.binary())], names=["call_id", "idx", "content"])
+
+    clips = v.labelled.select("call_id", "idx", F.length("text").alias("n")).mapInArrow(run, "call_id bigint, idx bigint, content binary")
+    stages.export_files(rows, clips, root)
+    listed = documents.read_manifests(v.spark, f"{root}/train.jsonl", f"{root}/val.jsonl")
+    found = wav.scan(v.spark, root, recursive=True).select(F.regexp_replace("path", "^file:/+", "/").alias("audio"), F.col("length").alias("bytes"))
+    placed = listed.withColumn("audio", F.regexp_replace("audio", "^file:/+", "/"))
+    return placed.join(found, "audio").select(F.element_at(F.split("audio", "/"), -1).alias("name"), "split", "text", "bytes")
+
+
+@query("a10_manifest_lines", "SELECT CAST(call_id AS VARCHAR) || '-' || CAST(idx AS VARCHAR) AS audio, text, round(duration, 3) AS duration, count(*) OVER () AS checked FROM {labelled} WHERE text IS NOT NULL")
+def _(v: Views) -> DataFrame:
+    """Manifest lines with blank ones between them, read back and counted as valid."""
+    path = tables.new_path(v.spark, "lines")
+    lines = v.labelled.select(F.concat_ws("-", "call_id", "idx").alias("audio"), "text", F.round("duration", 3).alias("duration"))
+    lines.select(F.explode(F.array(F.to_json(F.struct("audio", "text", "duration")), F.lit(""), F.lit("  "))).alias("value")).write.text(path)
+    back = documents.read_lines(v.spark, path)
+    return back.withColumn("checked", F.lit(dataset.checked(back)).cast("bigint"))
+
+
+@query("x13_utc_stamps", "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f+00:00') AS stamp FROM events")
+def _(v: Views) -> DataFrame:
+    return v.events.select("event_id", text.utc_iso(F.col("ts").cast("timestamp")).alias("stamp"))
+
+
+@query("q1_catalog_tables", "SELECT 'calls' AS name, count(*) AS rows, CAST(8 AS INT) AS columns FROM {calls} UNION ALL SELECT 'turns', count(*), 7 FROM {judged} UNION ALL SELECT 'turn_issues', count(issue) + count(audio_issue), 3 FROM {judged} UNION ALL SELECT 'reject_reasons', count(*) FILTER (file_issue <> '') + count(*) FILTER (confidence < 0.6), 2 FROM {responses}")
+def _(v: Views) -> DataFrame:
+    """Rows of the catalog's tables and the number of columns that its printed schema gives them."""
+    made, schema = _catalog(v), dict(line.rstrip(")").split("(", 1) for line in catalog.schema_text().splitlines())
+    return failures.gathered(*[df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("name"), "rows", F.lit(len(schema[name].split(", "))).alias("columns")) for name, df in made.items()])
