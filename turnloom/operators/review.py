@@ -52,14 +52,18 @@ def scored_turns(responses: DataFrame) -> DataFrame:
 
     A code fence around the answer is taken off; an item of a list without a speaker is UNKNOWN, and one without text is left out.
     """
-    bare = unfenced(F.col("response"))
-    listed = F.from_json(json_text(bare), "array<struct<speaker:string,text:string>>")
-    items = F.transform(F.filter(listed, lambda t: F.length(F.coalesce(t["text"], F.lit(""))) > 0), lambda t: F.struct(F.coalesce(t["speaker"], F.lit("UNKNOWN")).alias("speaker"), strip(t["text"]).alias("text")))
-    pattern = r"(?m)^(Speaker[_ ]?\d+)\s*:\s*(.+)"
-    said = F.arrays_zip(F.transform(F.regexp_extract_all(bare, F.lit(pattern), 1), lambda s: F.regexp_replace(s, " ", "_")).alias("speaker"), F.transform(F.regexp_extract_all(bare, F.lit(pattern), 2), strip).alias("text"))
-    whole = F.when(F.length(bare) > 0, F.array(F.struct(F.lit("Speaker_1").alias("speaker"), bare.alias("text")))).otherwise(F.array().cast("array<struct<speaker:string,text:string>>"))
-    turns = F.when(F.size(items) > 0, items).when(F.size(said) > 0, said).otherwise(whole)
-    return responses.select("call_id", F.posexplode(turns).alias("idx", "t")).select("call_id", "idx", "t.speaker", "t.text", F.lit(0.0).alias("start_s"), F.lit(0.0).alias("end_s"))
+    turn = "array<struct<speaker:string,text:string>>"
+    pattern = F.lit(r"(?m)^(Speaker[_ ]?\d+)\s*:\s*(.+)")
+    item = lambda t: F.struct(F.coalesce(t["speaker"], F.lit("UNKNOWN")).alias("speaker"), strip(t["text"]).alias("text"))
+    # one step after the other, so that each is computed once for all that reads it
+    rows = responses.select("call_id", unfenced(F.col("response")).alias("_bare"))
+    rows = rows.withColumn("_json", json_text(F.col("_bare")))
+    rows = rows.withColumn("_listed", F.filter(F.from_json("_json", turn), lambda t: F.length(strip(F.coalesce(t["text"], F.lit("")))) > 0))
+    rows = rows.withColumn("_who", F.regexp_extract_all("_bare", pattern, 1)).withColumn("_what", F.regexp_extract_all("_bare", pattern, 2))
+    said = F.arrays_zip(F.transform("_who", lambda s: F.regexp_replace(s, " ", "_")).alias("speaker"), F.transform("_what", strip).alias("text"))
+    whole = F.filter(F.array(F.struct(F.lit("Speaker_1").alias("speaker"), F.col("_bare").alias("text"))), lambda t: F.length(t["text"]) > 0)
+    turns = F.when(F.size("_listed") > 0, F.transform("_listed", item)).when(F.size("_who") > 0, said).otherwise(whole)
+    return rows.select("call_id", F.posexplode(turns).alias("idx", "t")).select("call_id", "idx", "t.speaker", "t.text", F.lit(0.0).alias("start_s"), F.lit(0.0).alias("end_s"))
 
 
 def validation_response(response: Column) -> Column:
