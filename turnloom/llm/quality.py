@@ -12,7 +12,7 @@ round each view is calibrated on held-out labels (Platt), and the calibrated log
 knows nothing is calibrated to the prior and so has no say.
 
 Labelled documents are a sample of about ``max_labelled``, chosen by hash; a fifth of them is held out.  Marking and scoring cover all whole
-texts, without a shuffle of texts.
+texts, and move none of them; only texts of which the metadata view is confident meet the labels, to leave labelled ones out.
 
 Defined results: a null text is an empty text; null metadata is a value of its own; rows that repeat are scored alike; several labels of one
 document count by majority, a tie as good; null labels are left out (a toxic document without a quality label is bad); if labels of both
