@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnloom.functions.text import strip
+from turnloom.plans.tables import new_path, written
 
 
 def in_languages(language: Column, codes: tuple[str, ...] | None) -> Column:
@@ -63,14 +64,17 @@ def first_n(rows: DataFrame, n: int, order: str, *keys: str, cells: int = 4096,
 
 
 def split(rows: DataFrame, share: float = 0.06, order: Column | None = None) -> DataFrame:
-    """Add ``split``: the first rows in a fixed pseudo-random order are val, the rest train."""
+    """Add ``split``: the first rows in a fixed pseudo-random order are val, the rest train.
+
+    The order of all rows is stored once; counting and cutting read that table, so what made the rows runs twice, not once a pass.
+    """
     draw = shuffled("call_id", "idx", seed=1) if order is None else order
-    n = holdout_size(rows.count(), share)
-    keyed = rows.withColumn("_order", draw)
+    keys, counts = written(rows.select("call_id", "idx", draw.alias("_order")), new_path(rows.sparkSession, "split"))
+    n = holdout_size(counts["rows"], share)
     if n == 0:
-        return keyed.withColumn("split", F.lit("train")).drop("_order")
-    held = first_n(keyed.select("call_id", "idx", "_order"), n, "_order", "call_id", "idx").select("call_id", "idx", F.lit("val").alias("split"))
-    return keyed.join(held, ["call_id", "idx"], "left").withColumn("split", F.coalesce("split", F.lit("train"))).drop("_order")
+        return rows.withColumn("split", F.lit("train"))
+    held = first_n(keys, n, "_order", "call_id", "idx").select("call_id", "idx", F.lit("val").alias("split"))
+    return rows.join(held, ["call_id", "idx"], "left").withColumn("split", F.coalesce("split", F.lit("train")))
 
 
 def manifest(rows: DataFrame, audio: str = "audio") -> DataFrame:
