@@ -118,10 +118,15 @@ class Moves(WriterCommitMessage):
 
 
 class FileWriter(DataSourceArrowWriter):
-    """Tasks write below a folder of this job; only the commit moves files to their places, and an abort takes the folder away."""
+    """Tasks write below a folder of this job; only the commit moves files to their places, and an abort takes the folder away.
+
+    The driver makes that folder, and tasks only folders in it, so what still runs after an abort fails and leaves nothing.
+    """
 
     def __init__(self, options: dict, overwrite: bool):
         self.root, self.overwrite, self.job = options["path"].rstrip("/"), overwrite, f".job-{uuid.uuid4().hex}"
+        system, root = opened(self.root)
+        system.create_dir(f"{root}/{self.job}", recursive=True)
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Moves:
         """Write what one task has, into a folder of its own."""
@@ -135,7 +140,7 @@ class FileWriter(DataSourceArrowWriter):
                 if place.startswith(("..", "/")):
                     raise ValueError(f"{place} is outside the folder")
                 if not pairs:
-                    system.create_dir(own, recursive=True)
+                    system.create_dir(own, recursive=False)
                 with system.open_output_stream(f"{own}/{len(pairs)}") as out:
                     out.write(content)
                 pairs.append((f"{own}/{len(pairs)}", f"{root}/{place}"))
@@ -163,8 +168,14 @@ class FileWriter(DataSourceArrowWriter):
         self._clear(*opened(self.root))
 
     def _clear(self, system: fs.FileSystem, root: str) -> None:
-        if system.get_file_info(f"{root}/{self.job}").type == fs.FileType.Directory:
-            system.delete_dir(f"{root}/{self.job}")
+        for last in range(-9, 1):  # a task that is still writing may add a file meanwhile
+            if system.get_file_info(f"{root}/{self.job}").type != fs.FileType.Directory:
+                return
+            try:
+                system.delete_dir(f"{root}/{self.job}")
+            except OSError:
+                if last == 0:
+                    raise
 
 
 class WavFiles(DataSource):
