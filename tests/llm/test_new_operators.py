@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from turnloom.llm import centroids, html_text, token_codec, warc, whitening
+from turnloom.llm import centroids, fingerprints, html_text, token_codec, url_filter, warc, whitening
 
 PAGES = "page_id bigint, url string, html string"
 VECTORS = "vec_id bigint, embedding array<float>"
@@ -338,3 +338,48 @@ def test_vocabularies_are_read_by_their_definition():
     ):
         assert not token_output.splits_at_spaces(made | change), change
     assert token_output.splits_at_spaces(made | {"pre_tokenizer": {"type": "WhitespaceSplit"}})
+
+
+# ---------------------------------------------------------------- earlier operators, restated
+def test_likeness_to_the_next_document_is_the_similarity_of_shingles(spark):
+    """Over many ranges of ids: each document against the one before it in id, the first against the last."""
+    rng = random.Random(6)
+    vocabulary = [f"w{k}" for k in range(3000)]
+    texts, last = [], []
+    for k in range(150):
+        last = [rng.choice(vocabulary) for _ in range(rng.randint(150, 400))] if k % 3 == 0 else [w if rng.random() > 0.04 else rng.choice(vocabulary) for w in last]
+        texts.append(" ".join(last))
+    texts[40], texts[41] = "", None
+    ids = [k * 7 + k % 2 for k in range(150)]
+    docs = spark.createDataFrame(list(zip(ids, texts, strict=True)), "doc_id bigint, text string").repartition(6)
+    made = {r.doc_id: r for r in fingerprints.next_documents(docs).mapInArrow(fingerprints._neighbours, fingerprints.SCHEMA).collect()}
+
+    def shingles(text):
+        words = (text or "").lower().split()
+        return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+
+    errors = []
+    for k, own in enumerate(ids):
+        a, b = shingles(texts[k]), shingles(texts[k - 1])
+        true = len(a & b) / len(a | b) if a and b else float(a == b)
+        errors.append(made[own].near_next - true)
+    assert max(map(abs, errors)) < 0.13 and abs(np.mean(errors)) < 0.01 and len(made) == 150
+
+
+def test_url_model_is_plain_gradient_descent(spark):
+    table = spark.createDataFrame(url_filter.seed_urls()[::5], "url string, label int")
+    grams = table.select("label", url_filter.ngram_buckets(url_filter.host_of(F.col("url")), url_filter.path_of(F.col("url")), 256).alias("g")).collect()
+    x = np.zeros((len(grams), 257))
+    for i, r in enumerate(grams):
+        np.add.at(x[i], r.g, 1 / math.sqrt(max(len(r.g), 1)))
+    x[:, 256] = 1
+    y, w = np.array([r.label for r in grams], dtype=float), np.zeros(257)
+    for _ in range(12):
+        gradient = x.T @ (1 / (1 + np.exp(-x @ w)) - y) / len(y)
+        w[:256] *= 1 - 4.0 * 1e-3
+        w -= 4.0 * gradient * np.append(np.ones(256), 0.25)
+    model = url_filter.train(spark, table, buckets=256, rounds=12)
+    assert np.abs(np.array(model["weights"]) - w[:256]).max() < 1e-9 and abs(model["bias"] - w[256]) < 1e-9
+    judged = url_filter.judge(table.withColumn("page_id", F.monotonically_increasing_id()), [], model).orderBy("page_id").collect()
+    assert np.abs(np.array([r.block_probability for r in judged]) - 1 / (1 + np.exp(-x @ w))).max() < 1e-9
+    assert [r.verdict for r in judged] == ["block" if p >= 0.5 else "allow" for p in 1 / (1 + np.exp(-x @ w))]
