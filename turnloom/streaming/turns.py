@@ -8,9 +8,11 @@ seconds; what comes after that is another session of the call.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -88,6 +90,7 @@ def merged_turns(turns: DataFrame, max_gap: float = MERGE_GAP, idle_s: float | N
     With ``idle_s`` turns need ``at``, a time that has a watermark; turns that are older than it are dropped by Spark.  Needs a state store with
     transform support (RocksDB).  See ``latest`` for reading what was written.
     """
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])  # Spark asks the processor on the driver, without the session's files
     kind = turns.schema["call_id"].dataType.simpleString()
     timed = ["at"] if idle_s is not None else []
     slim = turns.select("call_id", F.col("idx").cast("bigint").alias("idx"), "speaker", F.col("start_s").cast("double").alias("start_s"), F.col("end_s").cast("double").alias("end_s"), "text", *timed)
