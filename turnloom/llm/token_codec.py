@@ -237,7 +237,7 @@ def encode_segment(ids: np.ndarray) -> bytes:
     escapes = len(known) > ALPHABET
     if escapes:
         best = np.sort(np.argsort(-count, kind="stable")[: ALPHABET - 1])
-        place = np.full(len(known), ALPHABET - 1)
+        place = np.full(len(known), ALPHABET - 1, dtype=np.int32)
         place[best] = np.arange(ALPHABET - 1)
         symbols, known, count = place[symbols], known[best], np.append(count[best], n - count[best].sum())
     share = np.minimum(1 + np.round(count * (2.0**14 / max(n, 1))), 2**14).astype("<u2")

@@ -44,6 +44,13 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def definition_of(made: object) -> dict:
+    """What a tokenizer's definition says about the text around its model, without its vocabulary, which is large."""
+    part = lambda x: None if x is None else json.loads(x.__getstate__())
+    added = [{"content": t.content, "lstrip": t.lstrip, "rstrip": t.rstrip} for t in made.get_added_tokens_decoder().values()]
+    return {"normalizer": part(made.normalizer), "pre_tokenizer": part(made.pre_tokenizer), "post_processor": part(made.post_processor), "added_tokens": added}
+
+
 def splits_at_spaces(definition: dict) -> bool:
     """Whether the ids of a text are those of its words between ASCII white space, as a tokenizer's definition states it.
 
@@ -73,7 +80,7 @@ def encode_text(text: bytes, path: str) -> bytes:
         from tokenizers import Tokenizer
 
         made = Tokenizer.from_file(path)
-        _TOKENIZERS[path], _CACHE[path] = (made, splits_at_spaces(json.loads(made.to_str()))), {}
+        _TOKENIZERS[path], _CACHE[path] = (made, splits_at_spaces(definition_of(made))), {}
     tokenizer, by_word = _TOKENIZERS[path]
     if not by_word:
         return np.array(tokenizer.encode_batch_fast([text.decode()], add_special_tokens=False)[0].ids, dtype="<u4").tobytes()
