@@ -31,7 +31,7 @@ from turnloom.llm.token_codec import decode_segment, encode_segment
 
 END_ID = 2
 SEGMENT_IDS = 1 << 22
-CACHE_WORDS = 400_000
+CACHE_WORDS = 100_000
 SEGMENTS = "bucket int, seq int, before bigint, n_ids bigint, doc_ids binary, no_ids binary, lengths binary, payload binary"
 _TOKENIZERS: dict[str, tuple] = {}
 _CACHE: dict[str, dict[bytes, bytes]] = {}
