@@ -296,6 +296,33 @@ def test_html_defined_cases(page, expected):
 
 
 # ---------------------------------------------------------------- token segments
+def test_words_have_the_librarys_ids(monkeypatch):
+    from tokenizers import Tokenizer
+
+    from turnloom.llm import token_output
+
+    path = token_output.default_tokenizer()
+    whole = Tokenizer.from_file(path)
+    monkeypatch.setattr(token_output, "CACHE_WORDS", 8)
+    monkeypatch.setattr(token_output, "CACHE_PIECES", 6)
+    monkeypatch.setattr(token_output, "_TOKENIZERS", {})
+    texts = ["It's 'TIS don't''s ÉßÿÀ×÷ naïve", "<unk> a<unk>b </w> x² 1²3", "İstanbul ΑΣ e\u0301a ªº a\u200bb", "'S ÿ'RE!!9a a,b a.b. ((x)) 2024-01-01", "", "word Word WORD word, " * 5]
+    for text in texts * 2:
+        assert np.frombuffer(token_output.encode_text(text.encode(), path), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, text
+    assert token_output._CACHE[path].model is not None and len(token_output._CACHE[path].pieces) < 20
+
+
+def test_codec_states_what_follows_in_the_header():
+    rng = np.random.default_rng(8)
+    follows = rng.integers(0, 5000, 5000)
+    ids = np.zeros(60_000, dtype="<u4")
+    for i, (new, jump) in enumerate(zip(rng.integers(0, 5000, 60_000).tolist(), (rng.random(60_000) < 0.2).tolist(), strict=True)):
+        ids[i] = new if jump or not i else follows[ids[i - 1]]
+    blob = token_codec.encode_segment(ids)
+    # what follows is told for all blocks at once; a coder that learns it anew in each block needs over 9 bits an id
+    assert np.array_equal(token_codec.decode_segment(blob), ids) and len(blob) * 8 < 7 * len(ids)
+
+
 @pytest.mark.parametrize(("n", "top"), [(70_000, 2**32), (150_000, 70_000), (30_000, token_codec.ALPHABET), (40_000, token_codec.ALPHABET + 1)])
 def test_codec_takes_any_ids(n, top):
     ids = np.random.default_rng(n).permutation(np.arange(n, dtype=np.uint64) * 2654435761 % top).astype("<u4")

@@ -1,20 +1,18 @@
-"""Context-mixing range coder for token ids.
+"""Context-mixing coder for token ids.
 
-A segment codes many blocks at once, one numpy lane a block; blocks share only the segment's header (the ids that occur and their rough
-shares) and are reset and checksummed one by one, so a damaged block costs no other.  The ``ALPHABET`` most frequent ids of a segment are
-symbols; any other id, of 32 bits, is the escape symbol and stands plainly behind its block's words.  So what a coder holds is bounded by
-``LANES`` times ``ALPHABET``, whatever the vocabulary.  Three predictions are mixed for every id: order 0, a distribution over all ids from
-counts that start at the header's shares and adapt; order 1 and order 2, which put all their probability on the id that followed the last
-one or two ids last time.  The probability of an id is the weighted sum of all three, and one carry-less range coder with 64 bits of state
-and 16-bit output words codes it in one step.
+A segment codes many blocks at once, one numpy lane a block; blocks share only the segment's header (the ids that occur and the model) and are
+checksummed one by one, so a damaged block costs no other.  The ``ALPHABET`` most frequent ids of a segment are symbols; any other id, of 32
+bits, is the escape symbol and stands plainly behind its block's words.  So what a coder holds is bounded by ``LANES`` times ``BLOCK`` and by
+``ALPHABET``, whatever the vocabulary.
 
-The weights are learned from coding cost: after each id they move towards the shares that the predictions had in its probability, which is
-the step of expectation-maximisation that lowers the cost.  There is one set of weights for each state of the two contexts: how often in a
-row each was right (0 to 3), and whether they agree.  All arithmetic that both sides must agree on is in whole numbers, but for one division
-of whole numbers in double precision.
+Three predictions are mixed for every id: order 2, the id that most often follows the last two (by their hash); order 1, the one that most
+often follows the last one where order 2 is wrong; and order 0, the distribution of the ids that neither tells.  The first two have a weight
+for each context: how often in the segment its prediction is right.  All of them are learned from the whole segment before it is coded and
+stand in its header, so blocks start with a full model and coding is a few array operations a step, in whole numbers.  Symbols are coded by
+asymmetric numeral systems (rANS) with 64 bits of state and 32-bit words, from the last to the first, and decoded forwards.
 
-Segment: magic, sizes, CRC-32 of what follows up to the bodies; compressed dictionary; for each block its number of ids, the CRC-32 of its ids
-and the sizes of its words and of its escaped ids; then the blocks' bodies.
+Segment: magic, sizes, CRC-32 of what follows up to the bodies; compressed header; for each block its number of ids, the CRC-32 of its ids and
+the sizes of its words and of its escaped ids; then the blocks' bodies.
 """
 
 from __future__ import annotations
@@ -25,239 +23,217 @@ import zlib
 import numpy as np
 import zstandard
 
-BLOCK = 4096
+BLOCK = 2048
 #: blocks that are coded side by side; a larger segment is worked through in groups
-LANES = 1024
+LANES = 2048
 #: symbols of a segment, the escape among them
 ALPHABET = 1 << 14
-MAGIC = b"TLS3"
-_HEAD = struct.Struct("<4sIIIIIII")  # magic, ids, block, blocks, bytes of the dictionary, symbols, whether the last one escapes, CRC-32
-_U64 = np.uint64
-_TOP, _BOTTOM, _WORD = _U64(1 << 48), _U64(1 << 40), _U64(16)
-_ONE = _U64(1)
-_HASH1, _HASH2 = 11, 12
-#: bits of the weights, of the order-0 shares, and of both
-_WBITS, _SBITS = 12, 16
-_BITS = _U64(_WBITS + _SBITS)
-_RATE = 5
-_GAIN = 8
-_LEAST0 = 64
-_REFRESH = frozenset((0, 64, 128, 256, 512, 1024, 1536, 2048, 3072))
+MAGIC = b"TLS4"
+_HEAD = struct.Struct("<4sIIIIIII")  # magic, ids, block, blocks, bytes of the header, symbols, whether the last one escapes, CRC-32
+_SYMBOL = 14
+#: bits of the hash of two symbols, of the weights, of the order-0 shares, and of both of these
+_HASH, _WBITS, _SBITS = 18, 12, 16
+_BITS = _WBITS + _SBITS
+_ONE = 1 << _WBITS
+#: the most that a prediction can weigh, and how often it must be right to stand in the header
+_MOST, _LEAST = _ONE - 128, (4, 6)
+#: a state is at least this; a word is 32 bits
+_LOW = 1 << 31
+#: ids below this are counted in an array
+_DENSE = 1 << 22
+#: steps whose intervals are worked out together
+_STRIDE = 64
 
 
-class _Model:
-    """Adaptive state of all lanes; encoder and decoder drive it alike."""
+def _hash(p1: np.ndarray, p2: np.ndarray) -> np.ndarray:
+    return (p2 * 40503 + p1 * 30011 ^ p2 >> 5) & ((1 << _HASH) - 1)
 
-    def __init__(self, lanes: int, prior: np.ndarray):
-        k = len(prior)
-        self.k = k
-        self.counts = np.tile(prior.astype(np.uint32), lanes)
-        self.cum = np.zeros((lanes, k + 1), dtype=np.int32)
-        self.flat = self.cum.reshape(-1)
-        # what followed a context last, times 4, plus how often in a row (0 to 3); small tables stay in the processor's cache
-        self.next1, self.next2 = np.zeros(lanes << _HASH1, dtype=np.int32), np.zeros(lanes << _HASH2, dtype=np.int32)
-        state = np.arange(32)
-        start2, start1 = np.where(state >> 3, 1024, 0), np.where(state >> 1 & 3, 1024, 0)
-        self.weight2, self.weight1 = np.tile(start2, lanes), np.tile(start1, lanes)
-        lane = np.arange(lanes)
-        self.base1, self.base2, self.rows, self.starts, self.tops = lane << _HASH1, lane << _HASH2, lane * 32, lane * (k + 1), lane * k
-        self.p1, self.p2 = np.zeros(lanes, dtype=np.int64), np.zeros(lanes, dtype=np.int64)
 
-    def refresh(self, m: int) -> None:
-        """Bring the order-0 shares of 2**16 up to date; each id keeps one part at least."""
-        for i in range(0, m, 128):
-            j = min(i + 128, m)
-            sums = np.cumsum(self.counts[i * self.k : j * self.k].reshape(j - i, self.k), axis=1, dtype=np.float64)
-            sums *= ((1 << _SBITS) - self.k) / sums[:, -1:]
-            self.cum[i:j, 1:] = sums.astype(np.int32) + np.arange(1, self.k + 1, dtype=np.int32)
-            self.cum[i:j, -1] = 1 << _SBITS
+def _best(context: np.ndarray, symbols: np.ndarray, size: int, least: int) -> np.ndarray:
+    """Return for each context ``symbol << 12 | weight`` of its most frequent symbol; the weight is 0 where that is rare."""
+    keys = np.sort((context.astype(np.uint32) << np.uint32(_SYMBOL)) | symbols.astype(np.uint32))
+    out = np.zeros(size, dtype=np.int32)
+    if not len(keys):
+        return out
+    edge = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    runs, own = np.diff(np.append(edge, len(keys))), keys[edge]
+    of = (own >> np.uint32(_SYMBOL)).astype(np.int64)
+    first = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
+    total = np.add.reduceat(runs, first)
+    top = np.maximum.reduceat(runs << _SYMBOL | (own & np.uint32((1 << _SYMBOL) - 1)).astype(np.int64), first)
+    right, symbol = top >> _SYMBOL, top & ((1 << _SYMBOL) - 1)
+    weight = np.minimum((right << _WBITS) // (total + 1), _MOST)
+    fine = (right >= least) & (right * 16 >= total)
+    out[of[first][fine]] = symbol[fine] << _WBITS | weight[fine]
+    return out
 
-    def predict(self, m: int) -> None:
-        p1 = self.p1[:m]
-        self.at1 = self.base1[:m] + ((p1 * 40503 >> 4) & ((1 << _HASH1) - 1))
-        self.at2 = self.base2[:m] + ((self.p2[:m] * 40503 + p1 * 30011 >> 4) & ((1 << _HASH2) - 1))
-        e1, e2 = self.next1.take(self.at1), self.next2.take(self.at2)
-        self.c1, self.c2, self.n1, self.n2 = e1 >> 2, e2 >> 2, e1 & 3, e2 & 3
-        self.row = self.rows[:m] + (self.n2 << 3 | self.n1 << 1 | (self.c1 == self.c2))
-        self.w1, self.w2 = self.weight1.take(self.row), self.weight2.take(self.row)
-        self.w0 = (1 << _WBITS) - self.w1 - self.w2
 
-    def learn(self, m: int, s: np.ndarray, right1: np.ndarray, right2: np.ndarray, size: np.ndarray) -> None:
-        """``size`` is what the id had of the 2**28 parts."""
-        share = float(1 << _WBITS + _SBITS) / size
-        w1, w2 = self.w1, self.w2
-        w2 += (w2 * right2 * share).astype(np.int64) - w2 >> _RATE
-        w1 += (w1 * right1 * share).astype(np.int64) - w1 >> _RATE
-        np.minimum(w2, (1 << _WBITS) - _LEAST0, out=w2)
-        np.minimum(w1, (1 << _WBITS) - _LEAST0 - w2, out=w1)
-        self.weight2[self.row], self.weight1[self.row] = w2, w1
-        self.counts[self.tops[:m] + s] += np.uint32(_GAIN)
-        self.next1[self.at1] = (s << 2) + np.minimum(self.n1 * right1 + 1, 3)
-        self.next2[self.at2] = (s << 2) + np.minimum(self.n2 * right2 + 1, 3)
-        self.p2[:m] = self.p1[:m]
-        self.p1[:m] = s
+class _Model:
+    """The predictions of a segment: what follows one and two symbols, and the shares of the symbols that neither tells."""
 
+    def __init__(self, one: np.ndarray, two: np.ndarray, share: np.ndarray):
+        self.one, self.two, self.share = one, two, share
+        self.below = np.cumsum(share, dtype=np.int32) - share
+        self.symbol_at = np.repeat(np.arange(len(share), dtype=np.int32), share)
 
-def _due(lo: np.ndarray, wi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Return the lanes that must shift a word, and those among them whose range is cut to stop a carry."""
-    same = (lo ^ (lo + wi)) < _TOP
-    go = np.flatnonzero(same | (wi < _BOTTOM))
-    return go, go[~same[go]]
+    @classmethod
+    def learn(cls, symbols: np.ndarray, k: int) -> _Model:
+        """``symbols`` in blocks of BLOCK; before a block stand two symbols 0."""
+        p1, p2 = np.zeros_like(symbols), np.zeros_like(symbols)
+        p1[1:], p2[2:] = symbols[:-1], symbols[:-2]
+        p1[::BLOCK] = p2[::BLOCK] = p2[1::BLOCK] = 0
+        context = _hash(p1, p2)
+        two = _best(context, symbols, 1 << _HASH, _LEAST[1])
+        got = two[context]
+        rest = (got >> _WBITS != symbols) | (got & (_ONE - 1) == 0)
+        symbols, p1 = symbols[rest], p1[rest]
+        one = _best(p1, symbols, k, _LEAST[0])
+        got = one[p1]
+        count = np.bincount(symbols, minlength=k)
+        # a symbol that order 1 tells may still need its share, where order 2 tells the same and so hides it
+        known = np.bincount(symbols[(got >> _WBITS == symbols) & (got & (_ONE - 1) > 0)], minlength=k)
+        left = np.where(count > 0, np.maximum(count - known, 1), 0)
+        share = np.where(left > 0, 1 + left * ((1 << _SBITS) - (left > 0).sum()) // max(left.sum(), 1), 0)
+        share[np.argmax(share)] += (1 << _SBITS) - share.sum()
+        return cls(one, two, share.astype(np.int32))
 
+    def pack(self) -> bytes:
+        at = np.flatnonzero(self.two)
+        parts = [self.share.astype("<i4"), self.one.astype("<i4"), np.diff(at, prepend=0).astype("<i4"), self.two[at].astype("<i4")]
+        return b"".join(np.ascontiguousarray(x.view(np.uint8).reshape(-1, 4).T).tobytes() for x in parts)
 
-def _encode_lanes(symbols: np.ndarray, lengths: np.ndarray, prior: np.ndarray) -> list[bytes]:
-    """Code each row of ``symbols``; rows are in order of falling lengths."""
-    lanes, longest = symbols.shape
-    model = _Model(lanes, prior)
-    low, wide = np.zeros(lanes, dtype=_U64), np.full(lanes, 2**64 - 1, dtype=_U64)
-    out, pos = np.zeros((lanes, 3 * longest + 16), dtype=np.uint16), np.zeros(lanes, dtype=np.int64)
-    active = np.searchsorted(-lengths, -np.arange(longest), side="left").tolist()
-    columns = np.ascontiguousarray(symbols.T)
-    for t in range(longest):
-        m = active[t]
-        if t in _REFRESH:
-            model.refresh(m)
-        s = columns[t, :m]
-        model.predict(m)
-        c1, c2 = model.c1, model.c2
-        at = model.starts[:m] + s
-        below = model.flat.take(at)
-        right1, right2 = c1 == s, c2 == s
-        start = model.w0 * below + ((model.w1 * (c1 < s) + model.w2 * (c2 < s)) << _SBITS)
-        size = model.w0 * (model.flat.take(at + 1) - below) + ((model.w1 * right1 + model.w2 * right2) << _SBITS)
-        r = wide[:m] >> _BITS
-        lo = low[:m] + r * start.view(_U64)
-        wi = r * size.view(_U64)
-        model.learn(m, s, right1, right2, size)
-        go, cut = _due(lo, wi)
-        while len(go):
-            wi[cut] = (~lo[cut] + _ONE) & (_BOTTOM - _ONE)
-            out[go, pos[go]] = lo[go] >> _U64(48)
-            pos[go] += 1
-            lo[go] <<= _WORD
-            wi[go] <<= _WORD
-            a, b = _due(lo[go], wi[go])
-            go, cut = go[a], go[b]
-        low[:m], wide[:m] = lo, wi
-    for shift in (48, 32, 16, 0):
-        out[np.arange(lanes), pos] = (low >> _U64(shift)).astype(np.uint16)
-        pos += 1
-    return [out[i, : pos[i]].tobytes() for i in range(lanes)]
+    @classmethod
+    def unpack(cls, raw: bytes, k: int) -> _Model:
+        n = len(raw) // 8 - k
+        parts, at = [], 0
+        for size in (k, k, n, n):
+            parts.append(np.ascontiguousarray(np.frombuffer(raw, np.uint8, 4 * size, at).reshape(4, size).T).reshape(-1).view("<i4"))
+            at += 4 * size
+        two = np.zeros(1 << _HASH, dtype=np.int32)
+        two[np.cumsum(parts[2])] = parts[3]
+        return cls(parts[1], two, parts[0])
+
+    def predict(self, p1: np.ndarray, p2: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Return the symbols that orders 2 and 1 predict, where their parts end (order 2 first), and the weight of order 0."""
+        e2, e1 = self.two.take(_hash(p1, p2)), self.one.take(p1)
+        c2, c1, w2, w1 = e2 >> _WBITS, e1 >> _WBITS, e2 & (_ONE - 1), e1 & (_ONE - 1)
+        w1 = (w1 * (_ONE - w2) >> _WBITS) * ((c1 != c2) | (w2 == 0))
+        both = w2 + w1
+        return c2, c1, w2 << _SBITS, both << _SBITS, _ONE - both
 
+    def intervals(self, s: np.ndarray, p1: np.ndarray, p2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Return start and size of the part of 2**28 that codes each symbol."""
+        c2, c1, end2, end1, w0 = self.predict(p1, p2)
+        right2, right1 = (s == c2) & (end2 > 0), (s == c1) & (end1 > end2)
+        start = np.where(right2, 0, np.where(right1, end2, end1 + w0 * self.below.take(s)))
+        return start, np.where(right2, end2, np.where(right1, end1 - end2, w0 * self.share.take(s)))
 
-class _Finder:
-    """Finds the id of an order-0 value: a table of the 256 upper bits gives a range of ids, which is then halved."""
 
-    def __init__(self, lanes: int):
-        self.first = np.zeros((lanes, 257), dtype=np.int64)
-        self.flat, self.at = self.first.reshape(-1), np.arange(lanes) * 257
+def _active(lengths: np.ndarray, longest: int) -> list[int]:
+    return np.searchsorted(-lengths, -np.arange(longest), side="left").tolist()
 
-    def refresh(self, model: _Model, m: int) -> None:
-        marks = np.arange(0, (1 << _SBITS) + 1, 256)
-        for i in range(m):
-            self.first[i] = np.searchsorted(model.cum[i], marks, side="right") - 1
-        np.minimum(self.first, model.k - 1, out=self.first)
-        self.steps = int((self.first[:m, 1:] - self.first[:m, :-1]).max()).bit_length()
 
-    def find(self, model: _Model, m: int, value: np.ndarray) -> np.ndarray:
-        cell = self.at[:m] + (value >> 8)
-        low, high = self.flat.take(cell), self.flat.take(cell + 1)  # the last id at or below ``value`` lies in low .. high
-        start = model.starts[:m]
-        for _ in range(self.steps):
-            middle = low + high + 1 >> 1
-            fits = model.flat.take(start + middle) <= value
-            low, high = np.where(fits, middle, low), np.where(fits, high, middle - 1)
-        return low
+def _encode_lanes(symbols: np.ndarray, lengths: np.ndarray, model: _Model) -> list[bytes]:
+    """Code each row of ``symbols``; rows are in order of falling lengths."""
+    lanes, longest = symbols.shape
+    columns = np.zeros((longest + 2, lanes), dtype=np.int32)
+    columns[2:] = symbols.T
+    state, out, pos = np.full(lanes, _LOW, dtype=np.uint64), np.zeros((lanes, longest + 1), dtype=np.uint32), np.zeros(lanes, dtype=np.int64)
+    active = _active(lengths, longest)
+    room, word, bits = np.uint64(63 - _BITS), np.uint64(32), np.uint64(_BITS)
+    for a in range((longest - 1) // _STRIDE * _STRIDE, -1, -_STRIDE):
+        z = min(a + _STRIDE, longest)
+        starts, sizes = (x.astype(np.uint64) for x in model.intervals(columns[a + 2 : z + 2], columns[a + 1 : z + 1], columns[a:z]))
+        limits = sizes << room
+        for t in range(z - 1, a - 1, -1):
+            m = active[t]
+            x, size = state[:m], sizes[t - a, :m]
+            full = np.flatnonzero(x >= limits[t - a, :m])
+            if len(full):
+                own = x[full]
+                out[full, pos[full]] = own.astype(np.uint32)
+                pos[full] += 1
+                x[full] = own >> word
+            q = x // size
+            x += starts[t - a, :m] - q * size
+            x += q << bits
+    return [state[i : i + 1].astype("<u8").tobytes() + out[i, : pos[i]][::-1].astype("<u4").tobytes() for i in range(lanes)]
 
 
-def _decode_lanes(words: list[bytes], lengths: np.ndarray, prior: np.ndarray) -> np.ndarray:
+def _decode_lanes(words: list[bytes], lengths: np.ndarray, model: _Model) -> np.ndarray:
     lanes, longest = len(words), int(lengths[0]) if len(lengths) else 0
-    model, finder = _Model(lanes, prior), _Finder(lanes)
-    low, wide, code = np.zeros(lanes, dtype=_U64), np.full(lanes, 2**64 - 1, dtype=_U64), np.zeros(lanes, dtype=_U64)
-    body = np.zeros((lanes, max(len(w) for w in words) // 2 + 4), dtype=np.uint16)
+    body = np.zeros((lanes, max(map(len, words), default=0) // 4 + 3), dtype=np.uint64)
     for i, w in enumerate(words):
-        body[i, : len(w) // 2] = np.frombuffer(w, dtype=np.uint16)
-    pos = np.full(lanes, 4, dtype=np.int64)
-    for i in range(4):
-        code = (code << _WORD) | body[:, i]
-    out = np.zeros((longest, lanes), dtype=np.int64)
-    active = np.searchsorted(-lengths, -np.arange(longest), side="left").tolist()
-    last, most = body.shape[1] - 1, (1 << _WBITS + _SBITS) - 1
-    for t in range(longest):
-        m = active[t]
-        if t in _REFRESH:
-            model.refresh(m)
-            finder.refresh(model, m)
-        model.predict(m)
-        c1, c2, w0, starts = model.c1, model.c2, model.w0, model.starts[:m]
-        lo, co = low[:m].copy(), code[:m].copy()
-        r = wide[:m] >> _BITS
-        value = np.minimum((co - lo) // r, _U64(most)).view(np.int64)
-        # the two contexts' parts stand at their ids, the smaller one first
-        swap = c2 < c1
-        near, far = np.where(swap, c2, c1), np.where(swap, c1, c2)
-        w_near = np.where(swap, model.w2, model.w1) << _SBITS
-        w_both = model.w1 + model.w2 << _SBITS
-        cum = model.flat
-        a, b = w0 * cum.take(starts + near), w0 * cum.take(starts + near + 1)
-        c, d = w0 * cum.take(starts + far) + w_near, w0 * cum.take(starts + far + 1) + w_both
-        equal = c1 == c2
-        b = np.where(equal, b + w_both, b + w_near)
-        past_near = value >= a
-        past_far = value >= np.where(equal, b, c)
-        plain = np.clip((value - np.where(past_far, w_both, np.where(past_near, w_near, 0))) // w0, 0, (1 << _SBITS) - 1)
-        s = finder.find(model, m, plain)
-        s = np.where(past_near & (value < b), near, np.where(past_far & (value < d), far, s))
-        below = cum.take(starts + s)
-        right1, right2 = c1 == s, c2 == s
-        start = w0 * below + ((model.w1 * (c1 < s) + model.w2 * (c2 < s)) << _SBITS)
-        size = w0 * (cum.take(starts + s + 1) - below) + ((model.w1 * right1 + model.w2 * right2) << _SBITS)
-        lo += r * start.view(_U64)
-        wi = r * size.view(_U64)
-        out[t, :m] = s
-        model.learn(m, s, right1, right2, size)
-        go, cut = _due(lo, wi)
-        while len(go):
-            wi[cut] = (~lo[cut] + _ONE) & (_BOTTOM - _ONE)
-            co[go] = (co[go] << _WORD) | body[go, np.minimum(pos[go], last)]
-            pos[go] += 1
-            lo[go] <<= _WORD
-            wi[go] <<= _WORD
-            a, b = _due(lo[go], wi[go])
-            go, cut = go[a], go[b]
-        low[:m], wide[:m], code[:m] = lo, wi, co
-    return np.ascontiguousarray(out.T)
+        body[i, : len(w) // 4] = np.frombuffer(w, dtype="<u4")
+    state = (body[:, 0] | body[:, 1] << np.uint64(32)).view(np.int64)
+    flat, width = body.reshape(-1).view(np.int64), body.shape[1]
+    pos, last = np.arange(lanes) * width + 2, np.arange(lanes) * width + width - 1
+    out = np.zeros((longest + 2, lanes), dtype=np.int32)
+    mask, top = (1 << _BITS) - 1, (1 << _SBITS) - 1
+    for t, m in enumerate(_active(lengths, longest)):
+        c2, c1, end2, end1, w0 = model.predict(out[t + 1, :m], out[t, :m])
+        x = state[:m]
+        slot = (x & mask).astype(np.int32)
+        past = slot - end1
+        # below 2**28, a quotient in double precision is never rounded up to a whole number
+        s = model.symbol_at.take(np.minimum(np.maximum((past / w0).astype(np.int32), 0), top))
+        low, size = past - w0 * model.below.take(s), w0 * model.share.take(s)
+        told = np.flatnonzero(past < 0)
+        if len(told):
+            e2, here = end2[told], slot[told]
+            by2 = here < e2
+            s[told] = np.where(by2, c2[told], c1[told])
+            low[told] = np.where(by2, here, here - e2)
+            size[told] = np.where(by2, e2, end1[told] - e2)
+        out[t + 2, :m] = s
+        x >>= _BITS
+        x *= size
+        x += low
+        short = np.flatnonzero(x < _LOW)
+        if len(short):
+            at = pos[short]
+            x[short] = x[short] << 32 | flat.take(np.minimum(at, last[short]))
+            pos[short] = at + 1
+    return np.ascontiguousarray(out[2:].T)
 
 
 def encode_segment(ids: np.ndarray) -> bytes:
     """Code an array of ids (unsigned 32-bit)."""
     ids = np.ascontiguousarray(ids, dtype="<u4")
     n = len(ids)
-    known, symbols, count = np.unique(ids, return_inverse=True, return_counts=True)
+    if n and ids.max() < _DENSE:
+        every = np.bincount(ids)
+        known = np.flatnonzero(every).astype("<u4")
+        count, place = every[known], np.zeros(len(every), dtype=np.int32)
+        place[known] = np.arange(len(known), dtype=np.int32)
+        symbols = place[ids]
+    else:
+        known, symbols, count = np.unique(ids, return_inverse=True, return_counts=True)
     escapes = len(known) > ALPHABET
     if escapes:
         best = np.sort(np.argsort(-count, kind="stable")[: ALPHABET - 1])
         place = np.full(len(known), ALPHABET - 1, dtype=np.int32)
         place[best] = np.arange(ALPHABET - 1)
-        symbols, known, count = place[symbols], known[best], np.append(count[best], n - count[best].sum())
-    share = np.minimum(1 + np.round(count * (2.0**14 / max(n, 1))), 2**14).astype("<u2")
-    table = zstandard.ZstdCompressor(level=9).compress(np.diff(known, prepend=np.uint32(0)).astype("<u4").tobytes() + share.tobytes())
+        symbols, known = place[symbols], known[best]
+    symbols, k = symbols.astype(np.int32), max(len(known) + escapes, 1)
+    model = _Model.learn(symbols, k)
+    table = zstandard.ZstdCompressor(level=3).compress(np.diff(known, prepend=np.uint32(0)).astype("<u4").tobytes() + model.pack())
     heads, bodies = [], []
     for a in range(0, n, LANES * BLOCK):
         own = symbols[a : a + LANES * BLOCK]
         blocks = -(-len(own) // BLOCK)
-        grid = np.zeros(blocks * BLOCK, dtype=np.int64)
+        grid = np.zeros(blocks * BLOCK, dtype=np.int32)
         grid[: len(own)] = own
         lengths = np.full(blocks, BLOCK, dtype=np.int64)
         lengths[-1] = len(own) - (blocks - 1) * BLOCK
-        for i, w in enumerate(_encode_lanes(grid.reshape(blocks, BLOCK)[:, : lengths[0]], lengths, share)):
+        for i, w in enumerate(_encode_lanes(grid.reshape(blocks, BLOCK)[:, : lengths[0]], lengths, model)):
             at = a + i * BLOCK
             part = ids[at : at + lengths[i]]
             plain = part[symbols[at : at + lengths[i]] == ALPHABET - 1].tobytes() if escapes else b""
             heads.append(struct.pack("<IIII", lengths[i], zlib.crc32(part.tobytes()), len(w), len(plain)))
             bodies += [w, plain]
     middle = table + b"".join(heads)
-    return _HEAD.pack(MAGIC, n, BLOCK, len(heads), len(table), len(share), escapes, zlib.crc32(middle)) + middle + b"".join(bodies)
+    return _HEAD.pack(MAGIC, n, BLOCK, len(heads), len(table), k, escapes, zlib.crc32(middle)) + middle + b"".join(bodies)
 
 
 def decode_blocks(blob: bytes) -> list[np.ndarray | None]:
@@ -269,15 +245,17 @@ def decode_blocks(blob: bytes) -> list[np.ndarray | None]:
     if zlib.crc32(blob[_HEAD.size : at]) != crc or block != BLOCK or -(-n // block) != many:
         raise ValueError("the segment's header is damaged")
     table = zstandard.ZstdDecompressor().decompress(blob[_HEAD.size : _HEAD.size + size])
-    known = np.cumsum(np.frombuffer(table, "<u4", k - escapes), dtype=np.uint32)
-    known, prior = np.append(known, np.zeros(escapes, np.uint32)), np.frombuffer(table, "<u2", k, 4 * (k - escapes))
+    if not n:
+        return []
+    known = np.append(np.cumsum(np.frombuffer(table, "<u4", k - escapes), dtype=np.uint32), np.zeros(escapes, np.uint32))
+    model = _Model.unpack(table[4 * (k - escapes) :], k)
     heads = np.frombuffer(blob, "<u4", 4 * many, _HEAD.size + size).reshape(many, 4).astype(np.int64)
     ends = at + np.cumsum(heads[:, 2] + heads[:, 3])
     out: list[np.ndarray | None] = []
     for a in range(0, many, LANES):
         own = heads[a : a + LANES]
         starts = ends[a : a + LANES] - own[:, 2] - own[:, 3]
-        grid = _decode_lanes([blob[i : i + j] if i + j <= len(blob) and not j % 2 else b"" for i, j in zip(starts.tolist(), own[:, 2].tolist(), strict=True)], own[:, 0], prior)
+        grid = _decode_lanes([blob[i : i + j] if i + j <= len(blob) and not j % 4 else b"" for i, j in zip(starts.tolist(), own[:, 2].tolist(), strict=True)], own[:, 0], model)
         for i, (length, crc, words, plain) in enumerate(own.tolist()):
             row = grid[i, :length]
             part = known[row].astype("<u4")

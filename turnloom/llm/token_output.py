@@ -6,7 +6,9 @@ self-contained: its documents, their lengths, the number of ids before it in its
 so a lost task is simply written again.
 
 If a vocabulary's definition says that it removes white space and never looks across it (``splits_at_spaces``), the tokenizer sees each distinct
-word once, since the ids of a text are then those of its words in order; the cache of words is bounded.  Other vocabularies get whole texts.
+word once, since the ids of a text are then those of its words in order; the cache of words is bounded.  If it also says how words become pieces
+(``splits_into_pieces``), words of Latin letters and ASCII signs are cut and mapped here and only their pieces go to the library's model, since
+its normalisers and patterns take most of its time.  Other words, and other vocabularies, get the whole tokenizer.
 
 Defined results: a null or empty text is the end id alone; rows that repeat are written as often as they occur; an empty table gives an
 empty result.
@@ -18,6 +20,7 @@ import json
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -32,9 +35,14 @@ from turnloom.llm.token_codec import decode_segment, encode_segment
 END_ID = 2
 SEGMENT_IDS = 1 << 22
 CACHE_WORDS = 100_000
+CACHE_PIECES = 100_000
 SEGMENTS = "bucket int, seq int, before bigint, n_ids bigint, doc_ids binary, no_ids binary, lengths binary, payload binary"
 _TOKENIZERS: dict[str, tuple] = {}
-_CACHE: dict[str, dict[bytes, bytes]] = {}
+_CACHE: dict[str, _Words] = {}
+_PIECES = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+#: the same for lower-case text of the characters that ``_PLAIN`` allows, which no normaliser but lower-casing changes
+_PLAIN_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
+_PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 
 
 def default_tokenizer() -> str:
@@ -73,6 +81,91 @@ def splits_at_spaces(definition: dict) -> bool:
     return plain and definition["post_processor"] is None
 
 
+def splits_into_pieces(definition: dict) -> bool:
+    """Whether words are lower-cased, cut by ``_PIECES`` and mapped byte by byte, and nothing else is done before the model."""
+    normal = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+    split = {"type": "Split", "pattern": {"Regex": _PIECES}, "behavior": "Removed", "invert": True}
+    mapped = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+    same = definition["normalizer"] == {"type": "Sequence", "normalizers": normal} and definition["pre_tokenizer"] == {"type": "Sequence", "pretokenizers": [split, mapped]}
+    return same and splits_at_spaces(definition)
+
+
+def _byte_map() -> dict[int, int]:
+    """The characters that stand for bytes in byte-level vocabularies: printable ones for themselves, the others from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    return {b: b for b in shown} | {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in set(shown))}
+
+
+class _Words:
+    """The ids of words; of two generations of at most CACHE_WORDS / 2 words, the older is dropped when the younger is full."""
+
+    def __init__(self, tokenizer: object, definition: dict):
+        self.tokenizer, self.model = tokenizer, None
+        if splits_into_pieces(definition) and tokenizer.model.end_of_word_suffix == "</w>":
+            from tokenizers import Tokenizer, pre_tokenizers
+
+            # the same model without the steps before it
+            self.model = Tokenizer(tokenizer.model)
+            self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+            vocabulary = tokenizer.get_vocab(with_added_tokens=False)
+            self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+            self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.young, self.old, self.pieces, self.bytes = {}, {}, {}, _byte_map()
+        # words with a character of an added token may hold that token
+        self.marked = {c for t in definition["added_tokens"] for c in t["content"][:1]}
+        self.free = not any(c.isalpha() for c in self.marked)
+
+    def cut(self, missing: list[str]) -> None:
+        """Bring pieces into the cache; the last id of a piece, and no other, ends in the suffix."""
+        if len(self.pieces) + len(missing) > CACHE_PIECES:
+            self.pieces.clear()
+        mapped = [x if x.isascii() else x.encode().decode("latin-1").translate(self.bytes) for x in missing]
+        ids = np.array(self.model.encode_batch_fast([" ".join(mapped)], add_special_tokens=False)[0].ids, dtype="<u4")
+        last = np.flatnonzero(self.ends[ids]) + 1
+        if len(last) != len(missing) or last[-1] != len(ids):
+            raise ValueError("the vocabulary's pieces cannot be told apart")
+        raw, at = ids.tobytes(), (4 * last).tolist()
+        self.pieces.update(zip(missing, [raw[i:j] for i, j in zip([0, *at[:-1]], at, strict=True)], strict=True))
+
+    def add(self, new: set[bytes]) -> None:
+        """Bring words into the younger generation."""
+        others, whole, parted = [], {}, {}
+        if len(self.young) + len(new) > CACHE_WORDS // 2:
+            self.young, self.old = {}, self.young
+        young, old = self.young, self.old
+        for word in new:
+            if word in old:
+                young[word] = old[word]
+                continue
+            text = word.decode()
+            if self.model is not None and self.free and text.isascii() and text.isalpha():
+                whole[word] = text.lower()
+            elif self.model is None or not _PLAIN.fullmatch(text) or not self.marked.isdisjoint(text):
+                others.append(word)
+            else:
+                parted[word] = _PLAIN_PIECES.findall(text.lower())
+        need = set(whole.values()).union(*parted.values())
+        if missing := [x for x in need if x not in self.pieces]:
+            self.cut(missing if len(self.pieces) + len(missing) <= CACHE_PIECES else list(need))
+        pieces = self.pieces
+        young.update([(word, pieces[x]) for word, x in whole.items()])
+        young.update([(word, b"".join([pieces[x] for x in cut])) for word, cut in parted.items()])
+        if others:
+            for word, coded in zip(others, self.tokenizer.encode_batch_fast([w.decode() for w in others], add_special_tokens=False), strict=True):
+                young[word] = array("I", coded.ids).tobytes()
+
+    def encode(self, words: list[bytes]) -> bytes:
+        """Return the ids of words in order."""
+        got = list(map(self.young.get, words))
+        if None in got:
+            self.add({w for w, ids in zip(words, got, strict=True) if ids is None})
+            got = list(map(self.young.get, words))
+            if None in got:  # the generations changed
+                self.add({w for w, ids in zip(words, got, strict=True) if ids is None})
+                got = [self.young.get(w) or self.old[w] for w in words]
+        return b"".join(got)
+
+
 def encode_text(text: bytes, path: str) -> bytes:
     """Return the ids of a whole text as little-endian unsigned 32-bit integers, without special tokens."""
     if path not in _TOKENIZERS:
@@ -80,20 +173,12 @@ def encode_text(text: bytes, path: str) -> bytes:
         from tokenizers import Tokenizer
 
         made = Tokenizer.from_file(path)
-        _TOKENIZERS[path], _CACHE[path] = (made, splits_at_spaces(definition_of(made))), {}
+        definition = definition_of(made)
+        _TOKENIZERS[path], _CACHE[path] = (made, splits_at_spaces(definition)), _Words(made, definition)
     tokenizer, by_word = _TOKENIZERS[path]
     if not by_word:
         return np.array(tokenizer.encode_batch_fast([text.decode()], add_special_tokens=False)[0].ids, dtype="<u4").tobytes()
-    cache = _CACHE[path]
-    words = text.split()
-    new = [w for w in set(words) if w not in cache]
-    if len(cache) + len(new) > CACHE_WORDS:
-        cache.clear()
-        new = list(set(words))
-    if new:
-        for word, coded in zip(new, tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False), strict=True):
-            cache[word] = np.array(coded.ids, dtype="<u4").tobytes()
-    return b"".join([cache[w] for w in words])
+    return _CACHE[path].encode(text.split())
 
 
 def _segments(path: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
