@@ -295,6 +295,18 @@ def test_html_defined_cases(page, expected):
     assert html_text.render(page) == expected
 
 
+# ---------------------------------------------------------------- what is moved and kept
+def test_bitmap_leaves_out_rows_of_other_ids(spark):
+    from turnloom.llm import near_dedup
+
+    rows, ids = spark.range(-20_000, 20_000).selectExpr("id AS doc_id", "'t' AS text"), spark.range(0, 2000, 2).selectExpr("id AS least")
+    left = near_dedup.among(rows, "doc_id", ids, 1000)
+    found = {r.doc_id for r in left.collect()}
+    assert left.columns == ["doc_id", "text"] and set(range(0, 2000, 2)) <= found and len(found) < 10_000
+    assert near_dedup.among(rows, "doc_id", ids.limit(0), 0).isEmpty()
+    assert near_dedup.among(rows, "doc_id", ids, near_dedup.MOST_MARKED + 1) is rows
+
+
 # ---------------------------------------------------------------- token segments
 def test_words_have_the_librarys_ids(monkeypatch):
     from tokenizers import Tokenizer

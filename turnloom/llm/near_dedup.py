@@ -7,7 +7,7 @@ by side, so a shingle contributes one slice of the permutation.
 Candidates.  50 bands of 5 rows: two documents with a Jaccard similarity of 0.75 share no band with probability (1 - 0.75**5)**50 = 1.3e-6.
 Equal sets are one class from the start, and only classes are compared.  Comparison goes in waves, with new components between them.  In the
 first wave each class meets the leader of each of its buckets.  After that only buckets whose members lie in several components are open, and
-there only the members outside the bucket's largest component look for links: with about 16 drawn members of other components, then 16 times as
+there only the members outside the bucket's largest component look for links: with about 16 drawn members of other components, then 32 times as
 many, and so on, until no open bucket has more members.  Most members of a dense group are linked after a few looks, so what the last wave meets in full are the few
 members that are linked with hardly anyone.  No pair is made inside a component and none twice.  The join itself leaves out pairs whose
 sketches (four bits of each coordinate) differ too much for a similarity of 0.75, which adds about the error of the bands, and pairs whose
@@ -39,11 +39,14 @@ BANDS = 50
 CIRCLE = 1 << 20
 #: members of a bucket that are met in the second wave, and how many times as many in each further one
 LOOKS = 16
+TIMES = 32
 #: bits of a parity map: each shingle flips one
 MAP = 4096
 #: parts of a class that meet its row apart, so that thousands of exact copies do not meet in one task
 SALTS = 16
 SKETCH = 16
+#: more ids than these are not marked in a bitmap that is broadcast
+MOST_MARKED = 1 << 24
 #: sketches of sets with a similarity of 0.75 differ in 58.6 of 250 coordinates on average (deviation 6.7); in more than 90 with probability 2e-6
 MOST_UNLIKE = 90
 
@@ -157,14 +160,33 @@ def _maps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 256), _lists(maps)], names=["id", "map"])
 
 
-def gram_sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Write and return (id, grams): the full shingle sets of ``classes`` (id, least, set_a, set_b)."""
-    chosen = docs.join(classes, docs["doc_id"] == classes["least"]).select("id", "text", "set_a", "set_b")
-    return materialize(chosen.mapInArrow(_grams, "id bigint, grams array<bigint>").dropDuplicates(["id"]), "near-sets")
+def among(rows: DataFrame, key: str, ids: DataFrame, n: int) -> DataFrame:
+    """Leave out most rows whose ``key`` is none of the ``n`` numbers of ``ids``, without moving rows; a join drops the rest.
+
+    The numbers are marked in a bitmap of eight bits a number, which is broadcast as one row for each 64 bits that hold any.
+    """
+    if n > MOST_MARKED:
+        return rows
+    place = lambda x: F.pmod(F.xxhash64(x), F.lit(8 * max(n, 8)))
+    marks = ids.select(place(F.col(ids.columns[0])).alias("_place")).groupBy(F.shiftright("_place", 6).alias("_word")).agg(F.bit_or(F.expr("shiftleft(1L, int(_place & 63))")).alias("_marks"))
+    placed = rows.withColumn("_place", place(F.col(key))).withColumn("_word", F.shiftright("_place", 6))
+    return placed.join(F.broadcast(marks), "_word").where("shiftrightunsigned(_marks, int(_place & 63)) & 1 = 1").select(rows.columns)
+
+
+def gram_sets(docs: DataFrame, classes: DataFrame, repeats: bool = True) -> DataFrame:
+    """Write and return (id, grams): the full shingle sets of ``classes`` (id, least, set_a, set_b); ``repeats``: whether a doc_id may occur in several rows."""
+    own = materialize(classes, "near-chosen")
+    chosen = among(docs, "doc_id", own.select("least"), own.count()).join(own, F.col("doc_id") == F.col("least")).select("id", "text", "set_a", "set_b")
+    sets = chosen.mapInArrow(_grams, "id bigint, grams array<bigint>")
+    made = materialize(sets.dropDuplicates(["id"]) if repeats else sets, "near-sets")
+    discard(own)
+    return made
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Keep the pairs (a, b) whose full sets have ``100 * intersection >= percent * union``."""
+    # where the pairs are few, their sets alone are moved
+    sets = sets.join(pairs.select(F.explode(F.array("a", "b")).alias("id")), "id", "left_semi")
     left, right = sets.select(F.col("id").alias("a"), F.col("grams").alias("ga")), sets.select(F.col("id").alias("b"), F.col("grams").alias("gb"))
     both = F.size(F.array_intersect("ga", "gb"))
     return pairs.join(left, "a").join(right, "b").where(both * 100 >= (F.size("ga") + F.size("gb") - both) * percent).select("a", "b")
@@ -207,22 +229,22 @@ def _pairs(id_: str, other: str) -> list[Column]:
     return [F.least(id_, other).alias("a"), F.greatest(id_, other).alias("b")]
 
 
-def linked_classes(firsts: DataFrame, docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def linked_classes(firsts: DataFrame, docs: DataFrame, classes: DataFrame, percent: int, repeats: bool = True) -> DataFrame:
     """Return the labels (id, component) of the classes that share a bucket.
 
-    firsts: (id, n, bands, sketch) of every class.
+    firsts: (id, n, bands, sketch) of every class; ``repeats``: whether a doc_id may occur in several rows.
     """
     leads = firsts.select("id", "n", F.posexplode("bands").alias("band_no", "band"))
     counts = leads.groupBy("band").agg(F.count("*").alias("size"), F.min("id").alias("leader")).where("size > 1")
     members = materialize(leads.join(counts, "band").select("band", "band_no", "id", "n", "leader"), "near-members")
     labels = materialize(members.select("id").distinct().withColumn("component", F.col("id")), "near-labels")
-    sets = gram_sets(docs, classes.join(labels, "id", "left_semi").select("id", "least", "set_a", "set_b"))
+    sets = gram_sets(docs, classes.join(labels, "id", "left_semi").select("id", "least", "set_a", "set_b"), repeats)
     fits = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
     marks = F.transform("bands", lambda x: x.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).alias("marks")
     leaders = members.where("id = leader").select("band", F.col("n").alias("m"))
     tested = materialize(members.where("id <> leader").join(leaders, "band").where(fits).select(*_pairs("id", "leader")).distinct(), "near-pairs")
     labels = joined_up(labels, verified(tested, sets, percent))
-    now, most, wave, made = members, LOOKS, 0, [tested]
+    now, most, wave, made, looks = members, LOOKS, 0, [tested], None
     while True:
         release(docs.sparkSession)
         placed = now.join(labels, "id")
@@ -235,30 +257,33 @@ def linked_classes(firsts: DataFrame, docs: DataFrame, classes: DataFrame, perce
         if largest is None:
             discard(opened)
             break
-        if not wave:
-            ids = opened.select("id").distinct()
+        if looks is None:
+            ids = materialize(opened.select("id").distinct(), "near-ids")
             maps = sets.join(ids, "id", "left_semi").mapInArrow(_maps, "id bigint, map array<bigint>")
-            looks = firsts.join(ids, "id", "left_semi").select("id", "sketch", marks).join(maps, "id")
-            bare, opened = opened, materialize(opened.join(looks, "id"), "near-open")
-            discard(bare)
-        minor = opened.where("component <> major")
+            looks = materialize(among(firsts, "id", ids, ids.count()).select("id", "sketch", marks).join(maps, "id"), "near-looks")
+            discard(ids)
+        # what is long is fetched for the members that look or are looked at, and not carried from wave to wave
+        seen = materialize(opened.join(looks, "id"), "near-seen")
+        minor = seen.where("component <> major")
         # a member is drawn alike in all its buckets of one size, so a pair meets there or nowhere in this wave
         draw = F.lit(True) if most >= largest else F.pmod(F.xxhash64("id", F.lit(wave)), F.lit(1 << 20)) * F.col("size") < F.lit(most << 20)
-        met = opened.where(draw).select("band", F.col("id").alias("other"), F.col("n").alias("m"), F.col("component").alias("other_component"), F.col("sketch").alias("other_sketch"), F.col("marks").alias("other_marks"), F.col("map").alias("other_map"))
+        met = seen.where(draw).select("band", F.col("id").alias("other"), F.col("n").alias("m"), F.col("component").alias("other_component"), F.col("sketch").alias("other_sketch"), F.col("marks").alias("other_marks"), F.col("map").alias("other_map"))
         alike = unlike(F.col("sketch"), F.col("other_sketch")) <= MOST_UNLIKE
         may = differing(F.col("map"), F.col("other_map")) * (100 + percent) <= (F.col("n") + F.col("m")) * (100 - percent)
         # a pair is made in the first band that it shares, and so once
         first = F.array_position(F.zip_with("marks", "other_marks", lambda x, y: x == y), True) == F.col("band_no") + 1
         found = minor.join(met, "band").where("component <> other_component").where(fits & alike & first & may).select(*_pairs("id", "other")).distinct()
         pairs = materialize(found.join(tested, ["a", "b"], "left_anti"), "near-pairs")
+        discard(seen)
         labels = joined_up(labels, verified(pairs, sets, percent))
         if most >= largest:
             discard(pairs, opened)
             break
         made.append(pairs)
-        tested, now = tested.unionByName(pairs), opened.select("band", "band_no", "id", "n", "sketch", "marks", "map")
+        tested, now = tested.unionByName(pairs), opened.select("band", "band_no", "id", "n")
         now._stored_at = opened._stored_at
-        most, wave = most * LOOKS, wave + 1
+        most, wave = most * TIMES, wave + 1
+    discard(*[looks] if looks else [])
     discard(members, sets, *made)
     return labels
 
@@ -277,8 +302,10 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
     spread = classes.select(*key, F.explode("salts").alias("salt"), "id", F.col("least").alias("class_id"))
     owned = materialize(salted.select("doc_id", *key, "salt").join(spread, [*key, "salt"], "left").select("doc_id", "n_shingles", "id", "class_id"), "near-documents")
     own = classes.select(*key, F.col("least").alias("doc_id"), "id")
-    firsts = materialize(signed.join(own, [*key, "doc_id"]).select("id", F.col("n_shingles").alias("n"), "bands", "sketch").dropDuplicates(["id"]), "near-firsts")
-    labels = linked_classes(firsts, docs, classes, percent)
+    firsts = materialize(signed.join(own, [*key, "doc_id"]).dropDuplicates([*key, "doc_id"]).select("id", F.col("n_shingles").alias("n"), "bands", "sketch"), "near-firsts")
+    discard(signed)
+    repeats = not owned.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").isEmpty()
+    labels = linked_classes(firsts, docs, classes, percent, repeats)
     # a doc_id with several texts links their classes
     several = owned.where("id IS NOT NULL").groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("top")).where("a < top").drop("top")
     shared = materialize(owned.join(several, "doc_id").where("id <> a").select("a", F.col("id").alias("b")).distinct(), "near-shared")
@@ -288,7 +315,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
         labels = joined_up(everyone, shared)
     named = classes.select("id", "least").join(labels, "id").groupBy("component").agg(F.min("least").alias("component_id"))
     of_class = materialize(labels.join(named, "component").select("id", "component_id"), "near-components")
-    discard(signed, classes, firsts, labels, shared)
+    discard(classes, firsts, labels, shared)
     release(docs.sparkSession)
     final = owned.join(of_class, "id", "left").select("doc_id", "n_shingles", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("component_id", "class_id", "doc_id").alias("component_id"))
     return final.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
