@@ -307,6 +307,20 @@ def test_bitmap_leaves_out_rows_of_other_ids(spark):
     assert near_dedup.among(rows, "doc_id", ids, near_dedup.MOST_MARKED + 1) is rows
 
 
+def test_weights_move_the_answers_of_their_own_chunks(spark, monkeypatch):
+    from turnloom.llm import language_model
+
+    seen, real = [], language_model.answered
+
+    def spy(table, replies, work, schema):
+        seen.append({r.fold for x in replies for r in x.where("chunk >= 0").selectExpr("chunk % 16 AS fold").distinct().collect()})
+        return real(table, replies, work, schema)
+
+    monkeypatch.setattr(language_model, "answered", spy)
+    docs = spark.range(60).selectExpr("id AS doc_id", "concat('a b ', id % 7, ' c') AS text")
+    assert language_model.score(docs).count() == 60 and seen == [{1}, {0, 1}]
+
+
 # ---------------------------------------------------------------- token segments
 def test_words_have_the_librarys_ids(monkeypatch):
     from tokenizers import Tokenizer
