@@ -321,6 +321,16 @@ def test_weights_move_the_answers_of_their_own_chunks(spark, monkeypatch):
     assert language_model.score(docs).count() == 60 and seen == [{1}, {0, 1}]
 
 
+def test_stored_tables_let_finished_plans_go(spark, monkeypatch):
+    from turnloom.llm import storage
+
+    calls, real = [], storage.release
+    monkeypatch.setattr(storage, "RELEASE_S", -1.0)
+    monkeypatch.setattr(storage, "release", lambda s: (calls.append(1), real(s)))
+    storage.discard(*[storage.materialize(spark.range(3), "small") for _ in range(2)])
+    assert len(calls) == 2
+
+
 # ---------------------------------------------------------------- token segments
 def test_words_have_the_librarys_ids(monkeypatch):
     from tokenizers import Tokenizer

@@ -8,12 +8,16 @@ from __future__ import annotations
 import gc
 import re
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: seconds between two calls of ``release`` by ``materialize``
+RELEASE_S = 4.0
 _LOCAL: dict[str, str] = {}
+_RELEASED: dict[str, float] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -31,6 +35,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/turnloom/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    # operators write dozens of tables: without this, plans and shuffle files of all before would stay until the driver's memory is full
+    if time.monotonic() - _RELEASED.setdefault(spark.sparkContext.applicationId, time.monotonic()) > RELEASE_S:
+        release(spark)
     table = spark.read.schema(df.schema).parquet(path)
     table._stored_at = path
     return table
@@ -41,6 +48,7 @@ def release(spark: SparkSession) -> None:
 
     Both happen when the driver's objects of a query are collected, which a driver with enough memory puts off.
     """
+    _RELEASED[spark.sparkContext.applicationId] = time.monotonic()
     gc.collect()
     spark._jvm.System.gc()
 
