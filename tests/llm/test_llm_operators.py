@@ -247,6 +247,55 @@ def test_html_hides_what_is_hidden(attributes):
     assert html_text.render(f"<p>a</p><div {attributes}>gone<b>too</b></div>") == "a"
 
 
+def test_fitting_and_searching_hold_few_rows_at_once():
+    import tracemalloc
+
+    rng = np.random.default_rng(4)
+    words, first = rng.integers(0, 2**63, 120_000).astype(np.uint64) * np.uint64(2), np.arange(0, 120_001, 300)
+    matrix, idf = rng.standard_normal((decontamination.FEATURES, 208)).astype(np.float32), np.ones(decontamination.FEATURES, np.float32)
+    start = decontamination.steps(first, decontamination.WIDTH)[0]
+    index = decontamination.Index(idf, matrix[:, :64])
+    items = decontamination.Items(list(range(1500)), [" ".join(f"{k}x{j}" for j in range(60)) for k in range(1500)], [None] * 1500, index, 0.6, 8)
+
+    def peak(run):
+        tracemalloc.start()
+        try:
+            return run(), tracemalloc.get_traced_memory()[1] / 1e6
+        finally:
+            tracemalloc.stop()
+
+    gram, most = peak(lambda: decontamination._gram(iter([(words, first)]), idf, matrix))
+    assert most < 70  # all words at once: over 200 MB
+    f, w = decontamination._rows(words, start, idf)
+    at, rows = decontamination._back(f, w, start, decontamination._times(f, w, start, matrix))
+    assert np.abs(gram[at] - rows).max() < 1e-3 * np.abs(rows).max() and not np.delete(gram, at, axis=0).any()
+    _, most = peak(lambda: items.leaks(words, first, 0.9, 0.6, 0.5, 8))
+    assert most < 80
+
+
+def test_tasks_give_memory_back():
+    import ctypes
+    import subprocess
+    import sys
+
+    if not hasattr(ctypes.CDLL(None), "malloc_trim"):
+        pytest.skip("needs glibc")
+    code = """if True:
+        import numpy as np, pyarrow as pa
+        from pathlib import Path
+        from turnloom.llm import kernel
+        held = lambda: int(Path("/proc/self/statm").read_text().split()[1]) * 4096 / 1e6
+        def run(batches):
+            parts = [np.ones(12_500) for _ in range(2000)]  # 200 MB below what malloc maps
+            kept = parts[-1]
+            yield from batches
+            run.kept = kept
+        before = held()
+        rows = list(kernel.tidy(run)([1]))
+        print(rows, held() - before < 60)"""
+    assert subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout.split() == ["[1]", "True"]
+
+
 def test_decontamination(spark):
     rng = random.Random(9)
     vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 8))) for _ in range(1500)]

@@ -46,7 +46,9 @@ FIT_PASSAGES = 50_000
 BLOCK_ITEMS = 2000
 BLOCKS = 4
 #: words and items of the exact join that are held at once
-HITS = 1 << 21
+HITS = 1 << 18
+#: words whose rows of a product are held at once, and passages that are compared at once
+ROWS_HELD, COMPARED = 1 << 14, 1024
 _PLAIN = np.arange(256, dtype=np.uint8)
 _PLAIN[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = 0x20
 
@@ -111,7 +113,7 @@ def frequencies(docs: DataFrame, text_col: str) -> tuple[np.ndarray, int]:
         if total[-1]:
             yield from _emit(total)
 
-    sums = _tree_sum(docs.select(F.col(text_col).alias("text")).mapInArrow(count, "part int, slice int, body binary"), "int64")
+    sums = _tree_sum(docs.select(F.col(text_col).alias("text")).mapInArrow(kernel.tidy(count), "part int, slice int, body binary"), "int64")
     return (sums[:-1], int(sums[-1])) if len(sums) else (np.zeros(FEATURES, np.int64), 0)
 
 
@@ -160,8 +162,12 @@ def _gram(parts: Iterator[tuple], idf: np.ndarray, matrix: np.ndarray, weight: f
         start, _ = steps(first, WIDTH)
         if len(start):
             f, w = _rows(words, start, idf)
-            at, rows = _back(f, w, start, _times(f, w, start, matrix))
-            total[at] += rows * weight
+            step = max(1, ROWS_HELD // WIDTH)
+            for i in range(0, len(start), step):  # a row for each word, so not for all words at once
+                own = start[i : i + step]
+                some = slice(own[0], start[i + step] if i + step < len(start) else len(f))
+                at, rows = _back(f[some], w[some], own - own[0], _times(f[some], w[some], own - own[0], matrix))
+                total[at] += rows * weight
     return total
 
 
@@ -195,7 +201,7 @@ def fit(docs: DataFrame, items: list[str], id_col: str, text_col: str, fit_passa
             if total.any():
                 yield from _emit(total.astype(np.float32))
 
-        sums = _tree_sum(chosen.coalesce(tasks).mapInArrow(run, "part int, slice int, body binary"), "float32").astype(np.float64)
+        sums = _tree_sum(chosen.coalesce(tasks).mapInArrow(kernel.tidy(run), "part int, slice int, body binary"), "float32").astype(np.float64)
         own = _gram(iter([bench]), idf, m, weight)
         return own + sums.reshape(m.shape) if len(sums) else own
 
@@ -341,8 +347,8 @@ class Items:
         found: dict[tuple[int, int], tuple] = {}
 
         def latent() -> Iterator[np.ndarray]:
-            for i in range(0, len(start), 4096):
-                near = whole[i : i + 4096] @ self.vectors
+            for i in range(0, len(start), COMPARED):
+                near = whole[i : i + COMPARED] @ self.vectors
                 high = np.flatnonzero(near.max(axis=1) >= cosine)
                 p, v = np.nonzero(near[high] >= cosine)
                 yield np.unique(np.stack([row[i + high[p]], self.owner[v], start[i + high[p]]], axis=1), axis=0)
@@ -390,7 +396,7 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.55, comm
         for b in range(k, min(k + BLOCKS, blocks)):
             block = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == b).collect()  # about BLOCK_ITEMS rows
             ready.append(Items([r.id for r in block], [r.text for r in block], [r.answer for r in block], index, common, short))
-        out = out.mapInArrow(_finder(ready, text_col, (cosine, common, answer, short)), schema)
+        out = out.mapInArrow(kernel.tidy(_finder(ready, text_col, (cosine, common, answer, short))), schema)
         if k + BLOCKS < blocks:
             before, written = written, materialize(out, "leaks")
             out = written

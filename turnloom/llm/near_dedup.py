@@ -177,7 +177,7 @@ def gram_sets(docs: DataFrame, classes: DataFrame, repeats: bool = True) -> Data
     """Write and return (id, grams): the full shingle sets of ``classes`` (id, least, set_a, set_b); ``repeats``: whether a doc_id may occur in several rows."""
     own = materialize(classes, "near-chosen")
     chosen = among(docs, "doc_id", own.select("least"), own.count()).join(own, F.col("doc_id") == F.col("least")).select("id", "text", "set_a", "set_b")
-    sets = chosen.mapInArrow(_grams, "id bigint, grams array<bigint>")
+    sets = chosen.mapInArrow(kernel.tidy(_grams), "id bigint, grams array<bigint>")
     made = materialize(sets.dropDuplicates(["id"]) if repeats else sets, "near-sets")
     discard(own)
     return made
@@ -259,7 +259,7 @@ def linked_classes(firsts: DataFrame, docs: DataFrame, classes: DataFrame, perce
             break
         if looks is None:
             ids = materialize(opened.select("id").distinct(), "near-ids")
-            maps = sets.join(ids, "id", "left_semi").mapInArrow(_maps, "id bigint, map array<bigint>")
+            maps = sets.join(ids, "id", "left_semi").mapInArrow(kernel.tidy(_maps), "id bigint, map array<bigint>")
             looks = materialize(among(firsts, "id", ids, ids.count()).select("id", "sketch", marks).join(maps, "id"), "near-looks")
             discard(ids)
         # what is long is fetched for the members that look or are looked at, and not carried from wave to wave
@@ -294,7 +294,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
     class_id is the least doc_id with the same set.
     """
     docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    signed = materialize(docs.mapInArrow(_sign, "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>, sketch array<bigint>"), "near-signatures")
+    signed = materialize(docs.mapInArrow(kernel.tidy(_sign), "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>, sketch array<bigint>"), "near-signatures")
     salted = signed.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
     key = ["set_a", "set_b", "n_shingles"]
     parts = salted.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*key, "salt").agg(F.min("doc_id").alias("least"))

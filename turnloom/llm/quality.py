@@ -132,7 +132,7 @@ class TextView:
                 columns = [part.column(part.schema.get_field_index(f.name)) for f in kept]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(self.logits(data, offsets))], names=[*[f.name for f in kept], name])
 
-        return docs.mapInArrow(run, T.StructType([*kept, T.StructField(name, T.DoubleType())]))
+        return docs.mapInArrow(kernel.tidy(run), T.StructType([*kept, T.StructField(name, T.DoubleType())]))
 
 
 def _slots() -> list[Column]:
@@ -203,7 +203,7 @@ def telling_words(known: DataFrame, n: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(label)], names=["word", "label"])
 
     good, total = known.agg(F.sum("label"), F.count("*")).first()
-    seen = known.select("text", "label").mapInArrow(distinct_words, "word bigint, label double").groupBy("word").agg(F.sum("label").alias("g"), F.count("*").cast("double").alias("n"))
+    seen = known.select("text", "label").mapInArrow(kernel.tidy(distinct_words), "word bigint, label double").groupBy("word").agg(F.sum("label").alias("g"), F.count("*").cast("double").alias("n"))
     a, b = F.col("g"), F.col("n") - F.col("g")
     spread = a * (float(total - good)) - b * float(good)
     score = spread * spread / (F.col("n") * (float(total) - F.col("n") + 0.5))
@@ -243,7 +243,7 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 8000, rounds:
         return sum(n for (_, c), n in counts.items() if c) / total if total else 0.5
     labelled, sure = sum(counts.values()), float(np.log(confident / (1 - confident)))
     telling = telling_words(known.where("NOT held"), n_words)
-    views = materialize(known.where("NOT held").select("text", "label").mapInArrow(_examples(telling), "label double, view array<float>"), "quality-views")
+    views = materialize(known.where("NOT held").select("text", "label").mapInArrow(kernel.tidy(_examples(telling)), "label double, view array<float>"), "quality-views")
     own_cells = _counted(known.where("NOT held"))
     text, meta = _fit_text(telling, views, labelled), MetaView(own_cells)
     from_meta, from_text, marks = None, [], None
@@ -255,7 +255,7 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 8000, rounds:
         # the metadata view's confident documents, for the text view
         logit = meta.logit()
         picked = need.where(F.abs(logit) >= sure).withColumn("label", (logit > 0).cast("double")).join(voted, "doc_id", "left_anti")
-        gained = materialize(picked.select("text", "label").mapInArrow(_examples(telling), "label double, view array<float>"), "quality-gained")
+        gained = materialize(picked.select("text", "label").mapInArrow(kernel.tidy(_examples(telling)), "label double, view array<float>"), "quality-gained")
         signature = gained.agg(F.count("*"), F.sum(F.xxhash64("label", "view").cast("decimal(38,0)"))).first()
         same = signature == from_meta or not (signature[0] or from_meta)
         new_text = text if same else _fit_text(telling, views.unionByName(gained), labelled + signature[0])

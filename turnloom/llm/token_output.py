@@ -29,6 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from turnloom.llm import kernel
 from turnloom.llm.storage import materialize, partitions
 from turnloom.llm.token_codec import decode_segment, encode_segment
 
@@ -215,7 +216,7 @@ def write_tokens(docs: DataFrame, path: str | None = None, tokenizer: str | None
     # rows of one id, or without one, are told apart by their texts, and equal rows by their place, so none of them gather in one range
     order = [F.col("key").asc_nulls_last(), F.xxhash64("text"), F.col("place")]
     laid = keyed.withColumn("place", F.monotonically_increasing_id()).repartitionByRange(partitions(docs.sparkSession), *order).sortWithinPartitions(*order).drop("place")
-    coded = laid.mapInArrow(_segments(tokenizer or default_tokenizer(), end_id), SEGMENTS)
+    coded = laid.mapInArrow(kernel.tidy(_segments(tokenizer or default_tokenizer(), end_id)), SEGMENTS)
     if path is None:
         return materialize(coded, "token-segments")
     coded.write.parquet(path)
@@ -244,7 +245,7 @@ def read_tokens(segments: DataFrame, digest: bool = False) -> DataFrame:
 
     name = "ids_crc32" if digest else "ids"
     located = segments.join(begin, "bucket").select((F.col("begin") + F.col("before")).alias("start"), "doc_ids", "no_ids", "lengths", "payload")
-    return located.mapInArrow(run, f"doc_id bigint, start bigint, n_tokens bigint, {name} {'bigint' if digest else 'array<bigint>'}")
+    return located.mapInArrow(kernel.tidy(run), f"doc_id bigint, start bigint, n_tokens bigint, {name} {'bigint' if digest else 'array<bigint>'}")
 
 
 def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
