@@ -199,6 +199,33 @@ def test_arriving_turns_and_idle_calls(spark, tmp_path):
     assert made == [("c", 0, "x y Z", 3, 0, 1), ("c", 1, "w", 1, 9, 2), ("d", 0, "", 1, 0, 1), ("e", 0, "q r", 2, 0, 1)]
 
 
+def test_a_call_reads_and_writes_its_state_once_a_batch():
+    asked = []
+
+    class Value:
+        held = None
+
+        def get(self):
+            asked.append("get")
+            return self.held
+
+        def update(self, value):
+            asked.append("update")
+            self.held = value
+
+    class Handle:
+        def getValueState(self, name, schema):  # noqa: N802
+            return Value()
+
+    made = arriving.MergeTurns(0.5, None)
+    made.init(Handle())
+    list(made.handleInputRows((7,), iter([(7, 2, "a", 2.0, float("nan"), "zé\ud7ff", 0), (7, 0, "a", 0.0, 1.0, None, 0)]), None))
+    asked.clear()
+    rows = [tuple(r) for r in made.handleInputRows((7,), iter([(7, 1, "a", 1.1, 1.9, "y", 0)]), None)]
+    assert asked == ["get", "update"]
+    assert rows == [(7, 0, 2, 0, "a", 0.0, None, " y zé\ud7ff", 3, 0, 1)]
+
+
 # ---------------------------------------------------------------- files
 def long_header(samples, rate, filler=200_000):
     whole = wav.encode(samples, rate)

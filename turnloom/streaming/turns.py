@@ -1,6 +1,6 @@
 """Merging turns while they arrive, with keyed state.
 
-A call's turns are state, one list that is read and written at once.  Whenever a batch brings turns of a call, in whatever order, its merged turns are made again from
+A call's turns are state, one value that is read and written once a batch.  Whenever a batch brings turns of a call, in whatever order, its merged turns are made again from
 the state and sent as the call's next version; a reader takes each call's latest version, so a turn that comes late changes what was sent
 before.  Where turns have a time with a watermark, a call's turns leave the state once the watermark has passed the last one by ``idle_s``
 seconds; what comes after that is another session of the call.
@@ -8,20 +8,20 @@ seconds; what comes after that is another session of the call.
 
 from __future__ import annotations
 
+import json
 import sys
 from collections.abc import Iterator
 
-import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
 
 from turnloom.schemas import MERGE_GAP
 
-TURN = "idx bigint, speaker string, start_s double, end_s double, text string"
 MERGED = "session bigint, version bigint, idx bigint, speaker string, start_s double, end_s double, text string, merged_from bigint, first_idx bigint, turn int"
+SENT = Row("call_id", *(c.split()[0] for c in MERGED.split(", ")))
 
 
 def islands(turns: list[tuple], max_gap: float) -> list[list[tuple]]:
@@ -38,46 +38,41 @@ def islands(turns: list[tuple], max_gap: float) -> list[list[tuple]]:
 
 
 class MergeTurns(StatefulProcessor):
-    """Keyed by call: a list of turns, the version that was sent last, and a timer that ends an idle call."""
+    """Keyed by call: one value with the version that was sent last and the turns, and a timer that ends an idle call."""
 
     def __init__(self, max_gap: float, idle_s: float | None):
         self.max_gap, self.idle_ms = max_gap, None if idle_s is None else int(idle_s * 1000)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        """Declare the state."""
+        """Declare the state; each read or write of it is a message to Spark, so a call has one value."""
         self.handle = handle
-        self.turns = handle.getListState("turns", TURN)
-        self.version = handle.getValueState("version", "session bigint, n bigint")
+        self.call = handle.getValueState("call", "session bigint, n bigint, turns string")
 
-    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: object) -> Iterator[Row]:  # noqa: N802, N803
         """Add turns and send the call's merged turns anew; a turn that comes again replaces the one of its index."""
-        ends, held = 0, {t[0]: tuple(t) for t in self.turns.get()} if self.turns.exists() else {}
-        for frame in rows:
+        session, number, turns = self.call.get() or (0, 0, "[]")
+        ends, held = 0, {t[0]: tuple(t) for t in json.loads(turns)}
+        for row in rows:
+            idx, ms = row[1], row[6]
+            speaker, start, end, text = (None if x != x else x for x in row[2:6])  # no NaN
+            held[idx] = (idx, speaker, start, end, text)
             if self.idle_ms is not None:
-                ends = max(ends, int(frame["at"].max().timestamp() * 1000) + self.idle_ms)
-            for idx, *turn in zip(*(frame[c] for c in ("idx", "speaker", "start_s", "end_s", "text")), strict=True):
-                speaker, start, end, text = (None if pd.isna(x) else x for x in turn)
-                held[int(idx)] = (int(idx), speaker, start, end, text)
+                ends = max(ends, ms + self.idle_ms)
         known = [held[k] for k in sorted(held)]
-        self.turns.put(known)
-        session, number = self.version.get() if self.version.exists() else (0, 0)
         number += 1
-        self.version.update((session, number))
+        self.call.update((session, number, json.dumps(known, ensure_ascii=False)))
         if self.idle_ms is not None:
             before = list(self.handle.listTimers())
             if ends > max(before, default=0):
                 for old in before:
                     self.handle.deleteTimer(old)
                 self.handle.registerTimer(ends)
-        made = []
         for n, group in enumerate(islands(known, self.max_gap)):
-            made.append((key[0], session, number, n, group[0][1], group[0][2], group[-1][3], " ".join(t[4] or "" for t in group), len(group), group[0][0], n + 1))
-        yield pd.DataFrame(made, columns=["call_id", *(c.split()[0] for c in MERGED.split(", "))])
+            yield SENT(key[0], session, number, n, group[0][1], group[0][2], group[-1][3], " ".join(t[4] or "" for t in group), len(group), group[0][0], n + 1)
 
-    def handleExpiredTimer(self, key: tuple, timerValues: object, expiredTimerInfo: object) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+    def handleExpiredTimer(self, key: tuple, timerValues: object, expiredTimerInfo: object) -> Iterator[Row]:  # noqa: N802, N803
         """Forget the turns of an idle call; two numbers stay."""
-        self.turns.clear()
-        self.version.update((self.version.get()[0] + 1, 0))
+        self.call.update((self.call.get()[0] + 1, 0, "[]"))
         return iter(())
 
     def close(self) -> None:
@@ -92,10 +87,10 @@ def merged_turns(turns: DataFrame, max_gap: float = MERGE_GAP, idle_s: float | N
     """
     cloudpickle.register_pickle_by_value(sys.modules[__name__])  # Spark asks the processor on the driver, without the session's files
     kind = turns.schema["call_id"].dataType.simpleString()
-    timed = ["at"] if idle_s is not None else []
+    timed = [F.unix_millis("at").alias("ms"), "at"] if idle_s is not None else [F.lit(0).cast("bigint").alias("ms")]
     slim = turns.select("call_id", F.col("idx").cast("bigint").alias("idx"), "speaker", F.col("start_s").cast("double").alias("start_s"), F.col("end_s").cast("double").alias("end_s"), "text", *timed)
     schema = StructType.fromDDL(f"call_id {kind}, {MERGED}")
-    return slim.groupBy("call_id").transformWithStateInPandas(MergeTurns(max_gap, idle_s), schema, "append", "EventTime" if timed else "None")
+    return slim.groupBy("call_id").transformWithState(MergeTurns(max_gap, idle_s), schema, "append", "None" if idle_s is None else "EventTime")
 
 
 def latest(versions: DataFrame) -> DataFrame:
