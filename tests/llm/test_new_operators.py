@@ -348,6 +348,26 @@ def test_words_have_the_librarys_ids(monkeypatch):
     assert token_output._CACHE[path].model is not None and len(token_output._CACHE[path].pieces) < 20
 
 
+def test_a_word_of_many_texts_is_looked_up_once(monkeypatch):
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    from turnloom.llm import token_output
+
+    path = token_output.default_tokenizer()
+    whole = Tokenizer.from_file(path)
+    token_output.encode_text(b"x", path)
+    words, seen = token_output._CACHE[path], []
+    real = words.made
+    monkeypatch.setattr(token_output, "CACHE_WORDS", 4)
+    monkeypatch.setattr(words, "made", lambda new: seen.extend(new) or real(new), raising=False)
+    texts = [" ".join(f"Zq{(i * 7 + k) % 40}k\u00e9 Wv{k}" for k in range(30)) for i in range(50)] + ["", " \tZq1k\u00e9\x0b\n", "  "]
+    column = pa.array(["cut off", *texts]).slice(1)
+    ids, at = token_output.encode_texts(column, path)
+    assert [ids[a:z].tolist() for a, z in zip(at[:-1], at[1:], strict=True)] == [whole.encode(x, add_special_tokens=False).ids for x in texts]
+    assert len(seen) == len(set(seen)) <= 71 and len(words.young) <= 2
+
+
 def test_codec_states_what_follows_in_the_header():
     rng = np.random.default_rng(8)
     follows = rng.integers(0, 5000, 5000)

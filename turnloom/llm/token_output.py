@@ -6,7 +6,7 @@ self-contained: its documents, their lengths, the number of ids before it in its
 so a lost task is simply written again.
 
 If a vocabulary's definition says that it removes white space and never looks across it (``splits_at_spaces``), the tokenizer sees each distinct
-word once, since the ids of a text are then those of its words in order; the cache of words is bounded.  If it also says how words become pieces
+word of a block of texts once, since the ids of a text are then those of its words in order; a bounded cache keeps words that repeat.  If it also says how words become pieces
 (``splits_into_pieces``), words of Latin letters and ASCII signs are cut and mapped here and only their pieces go to the library's model, since
 its normalisers and patterns take most of its time.  Other words, and other vocabularies, get the whole tokenizer.
 
@@ -25,6 +25,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +38,8 @@ END_ID = 2
 SEGMENT_IDS = 1 << 22
 CACHE_WORDS = 100_000
 CACHE_PIECES = 100_000
+#: bytes of texts whose distinct words are looked up together, and words that go to the model together
+BLOCK_BYTES, STEP_WORDS = 8 << 20, 20_000
 SEGMENTS = "bucket int, seq int, before bigint, n_ids bigint, doc_ids binary, no_ids binary, lengths binary, payload binary"
 _TOKENIZERS: dict[str, tuple] = {}
 _CACHE: dict[str, _Words] = {}
@@ -98,7 +101,7 @@ def _byte_map() -> dict[int, int]:
 
 
 class _Words:
-    """The ids of words; of two generations of at most CACHE_WORDS / 2 words, the older is dropped when the younger is full."""
+    """The ids of words; of two generations of at most CACHE_WORDS / 2 words that repeat, the older is dropped when the younger is full."""
 
     def __init__(self, tokenizer: object, definition: dict):
         self.tokenizer, self.model = tokenizer, None
@@ -128,47 +131,69 @@ class _Words:
         raw, at = ids.tobytes(), (4 * last).tolist()
         self.pieces.update(zip(missing, [raw[i:j] for i, j in zip([0, *at[:-1]], at, strict=True)], strict=True))
 
-    def add(self, new: set[bytes]) -> None:
-        """Bring words into the younger generation."""
-        others, whole, parted = [], {}, {}
-        if len(self.young) + len(new) > CACHE_WORDS // 2:
-            self.young, self.old = {}, self.young
-        young, old = self.young, self.old
-        for word in new:
-            if word in old:
-                young[word] = old[word]
-                continue
-            text = word.decode()
-            if self.model is not None and self.free and text.isascii() and text.isalpha():
-                whole[word] = text.lower()
+    def made(self, new: list[str]) -> list[bytes]:
+        """Return the ids of words that are not in the cache."""
+        others, parts = [], []
+        for text in new:
+            if not text:  # at the ends of a text
+                parts.append(())
+            elif self.model is not None and self.free and text.isascii() and text.isalpha():
+                parts.append((text.lower(),))
             elif self.model is None or not _PLAIN.fullmatch(text) or not self.marked.isdisjoint(text):
-                others.append(word)
+                others.append(text)
+                parts.append(None)
             else:
-                parted[word] = _PLAIN_PIECES.findall(text.lower())
-        need = set(whole.values()).union(*parted.values())
+                parts.append(_PLAIN_PIECES.findall(text.lower()))
+        need = set().union(*filter(None, parts))
         if missing := [x for x in need if x not in self.pieces]:
             self.cut(missing if len(self.pieces) + len(missing) <= CACHE_PIECES else list(need))
         pieces = self.pieces
-        young.update([(word, pieces[x]) for word, x in whole.items()])
-        young.update([(word, b"".join([pieces[x] for x in cut])) for word, cut in parted.items()])
-        if others:
-            for word, coded in zip(others, self.tokenizer.encode_batch_fast([w.decode() for w in others], add_special_tokens=False), strict=True):
-                young[word] = array("I", coded.ids).tobytes()
-
-    def encode(self, words: list[bytes]) -> bytes:
-        """Return the ids of words in order."""
-        got = list(map(self.young.get, words))
-        if None in got:
-            self.add({w for w, ids in zip(words, got, strict=True) if ids is None})
-            got = list(map(self.young.get, words))
-            if None in got:  # the generations changed
-                self.add({w for w, ids in zip(words, got, strict=True) if ids is None})
-                got = [self.young.get(w) or self.old[w] for w in words]
-        return b"".join(got)
-
+        whole = iter(self.tokenizer.encode_batch_fast(others, add_special_tokens=False) if others else ())
+        return [array("I", next(whole).ids).tobytes() if cut is None else pieces[cut[0]] if len(cut) == 1 else b"".join([pieces[x] for x in cut]) for cut in parts]
 
-def encode_text(text: bytes, path: str) -> bytes:
-    """Return the ids of a whole text as little-endian unsigned 32-bit integers, without special tokens."""
+    def ids_of(self, words: list[str], often: list[bool]) -> list[bytes]:
+        """Return the ids of distinct words; those that occur ``often`` come into the cache."""
+        young, old = self.young, self.old
+        got = list(map(young.get, words))
+        missing = []
+        for i, ids in enumerate(got):
+            if ids is None:
+                if (ids := old.get(words[i])) is None:
+                    missing.append(i)
+                else:
+                    got[i] = ids
+                    self._keep(words[i], ids)
+        for a in range(0, len(missing), STEP_WORDS):
+            some = missing[a : a + STEP_WORDS]
+            for i, ids in zip(some, self.made([words[i] for i in some]), strict=True):
+                got[i] = ids
+                if often[i]:
+                    self._keep(words[i], ids)
+        return got
+
+    def _keep(self, word: str, ids: bytes) -> None:
+        if len(self.young) >= CACHE_WORDS // 2:
+            self.young, self.old = {}, self.young
+        self.young[word] = ids
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Return the ids of all texts, one after the other, and the first one of each text (n+1 values); a word is looked up once."""
+        split = pc.ascii_split_whitespace(texts)
+        coded = split.flatten().dictionary_encode()
+        index = coded.indices.to_numpy()
+        words = coded.dictionary.to_pylist()
+        own = self.ids_of(words, (np.bincount(index, minlength=len(words)) > 1).tolist())
+        sizes = np.fromiter(map(len, own), np.int64, len(own)) // 4
+        begin, n = np.cumsum(sizes) - sizes, sizes[index]
+        ends = np.cumsum(n)
+        place = np.repeat(begin[index] - (ends - n), n)
+        place += np.arange(len(place))
+        at = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(split.value_lengths().to_numpy())])]
+        return np.frombuffer(b"".join(own), "<u4")[place], at
+
+
+def encode_texts(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Return the ids of whole texts, one after the other, without special tokens, and the first one of each text (n+1 values)."""
     if path not in _TOKENIZERS:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -177,9 +202,15 @@ def encode_text(text: bytes, path: str) -> bytes:
         definition = definition_of(made)
         _TOKENIZERS[path], _CACHE[path] = (made, splits_at_spaces(definition)), _Words(made, definition)
     tokenizer, by_word = _TOKENIZERS[path]
-    if not by_word:
-        return np.array(tokenizer.encode_batch_fast([text.decode()], add_special_tokens=False)[0].ids, dtype="<u4").tobytes()
-    return _CACHE[path].encode(text.split())
+    if by_word:
+        return _CACHE[path].encode(texts)
+    own = [np.array(tokenizer.encode_batch_fast([x], add_special_tokens=False)[0].ids, dtype="<u4") for x in texts.to_pylist()]
+    return np.concatenate([np.zeros(0, "<u4"), *own]), np.concatenate([[0], np.cumsum([len(x) for x in own], dtype=np.int64)])
+
+
+def encode_text(text: bytes, path: str) -> bytes:
+    """Return the ids of a whole text as little-endian unsigned 32-bit integers, without special tokens."""
+    return encode_texts(pa.array([text.decode()], pa.string()), path)[0].tobytes()
 
 
 def _segments(path: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -197,13 +228,16 @@ def _segments(path: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], It
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types, strict=True)], names=[x.split()[0] for x in SEGMENTS.split(", ")])
 
         for batch in batches:
-            for key, text in zip(batch.column("key").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist(), strict=True):
-                if size >= SEGMENT_IDS:
-                    yield flush()
-                    before, seq, keys, bodies, size = before + size, seq + 1, [], [], 0
-                keys.append(key)
-                bodies.append(encode_text(text, path) + end)
-                size += len(bodies[-1]) // 4
+            texts = batch.column("text")
+            for i, j in kernel.blocks(kernel.text_buffers(texts)[1], BLOCK_BYTES):
+                ids, at = encode_texts(texts.slice(i, j - i), path)
+                for key, a, z in zip(batch.column("key").slice(i, j - i).to_pylist(), at[:-1].tolist(), at[1:].tolist(), strict=True):
+                    if size >= SEGMENT_IDS:
+                        yield flush()
+                        before, seq, keys, bodies, size = before + size, seq + 1, [], [], 0
+                    keys.append(key)
+                    bodies.append(ids[a:z].tobytes() + end)
+                    size += len(bodies[-1]) // 4
         if keys:
             yield flush()
 
