@@ -368,6 +368,55 @@ def test_a_word_of_many_texts_is_looked_up_once(monkeypatch):
     assert len(seen) == len(set(seen)) <= 71 and len(words.young) <= 2
 
 
+def test_plain_words_are_cut_together_and_their_pieces_looked_up_once(monkeypatch):
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    from turnloom.llm import token_output
+
+    path = token_output.default_tokenizer()
+    whole = Tokenizer.from_file(path)
+    monkeypatch.setattr(token_output, "_TOKENIZERS", {})
+    token_output.encode_text(b"x", path)
+    words, single, seen = token_output._CACHE[path], [], []
+    made, cut = words.made, words.cut
+    monkeypatch.setattr(words, "made", lambda new: single.extend(new) or made(new), raising=False)
+    monkeypatch.setattr(words, "cut", lambda new: seen.extend(new) or cut(new), raising=False)
+    rng = random.Random(6)
+    letters = [*"abZ09,.!/~\t\n\x0b\x1c\x85 '<>|sTd", *"ÀÞß×÷ÿŸµ²é́İΣ中​　ſK", "<|endoftext|>"]
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 30))) for _ in range(400)]
+    plain = [f"Ab{k}, AB{k}. Éab/{k} ({k % 7})" for k in range(500)]
+    for some in (plain, texts, [], [""]):
+        ids, at = token_output.encode_texts(pa.array(["cut off", *some], pa.string()).slice(1), path)
+        assert [ids[a:z].tolist() for a, z in zip(at[:-1], at[1:], strict=True)] == [whole.encode(x, add_special_tokens=False).ids for x in some]
+        if some is plain:  # no word by itself, and 18 pieces: two words, signs and digits
+            assert not single and len(seen) == len(set(seen)) <= 18
+
+
+def test_what_a_writer_of_segments_holds():
+    import subprocess
+    import sys
+
+    code = """if 1:
+        import tracemalloc
+        import numpy as np, pyarrow as pa
+        from types import SimpleNamespace
+        from turnloom.llm import token_output
+        token_output.TaskContext = SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0))
+        path = token_output.default_tokenizer()
+        token_output.encode_text(b"x", path)
+        n = 400
+        words = ["".join(chr(97 + c) for c in w) for w in np.random.default_rng(2).integers(0, 26, (2000, 6)).tolist()]
+        pick = np.random.default_rng(3).integers(0, 2000, (n, 3500)).tolist()
+        batch = pa.RecordBatch.from_arrays([pa.array(range(n), pa.int64()), pa.array([" ".join(words[k] for k in p) for p in pick])], names=["key", "text"])
+        del pick
+        tracemalloc.start()
+        parts = list(token_output._segments(path, 2)(iter([batch])))
+        ids = sum(p.column("n_ids")[0].as_py() for p in parts)
+        print(ids > 4_000_000, tracemalloc.get_traced_memory()[1] < 140e6)"""
+    assert subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout.split() == ["True", "True"]
+
+
 def test_codec_states_what_follows_in_the_header():
     rng = np.random.default_rng(8)
     follows = rng.integers(0, 5000, 5000)

@@ -7,8 +7,9 @@ so a lost task is simply written again.
 
 If a vocabulary's definition says that it removes white space and never looks across it (``splits_at_spaces``), the tokenizer sees each distinct
 word of a block of texts once, since the ids of a text are then those of its words in order; a bounded cache keeps words that repeat.  If it also says how words become pieces
-(``splits_into_pieces``), words of Latin letters and ASCII signs are cut and mapped here and only their pieces go to the library's model, since
-its normalisers and patterns take most of its time.  Other words, and other vocabularies, get the whole tokenizer.
+(``splits_into_pieces``), words of Latin letters and ASCII signs are cut here, all of a block at once, and each distinct piece goes to the library's
+model once, since its normalisers and patterns take most of its time; a bounded cache keeps pieces.  Other words, and other vocabularies, get the
+whole tokenizer.
 
 Defined results: a null or empty text is the end id alone; rows that repeat are written as often as they occur; an empty table gives an
 empty result.
@@ -35,18 +36,26 @@ from turnloom.llm.storage import materialize, partitions
 from turnloom.llm.token_codec import decode_segment, encode_segment
 
 END_ID = 2
-SEGMENT_IDS = 1 << 22
+#: ids of a segment at least, and so what a coder holds (about 40 bytes an id)
+SEGMENT_IDS = 1 << 21
 CACHE_WORDS = 100_000
-CACHE_PIECES = 100_000
+CACHE_PIECES = 200_000
 #: bytes of texts whose distinct words are looked up together, and words that go to the model together
-BLOCK_BYTES, STEP_WORDS = 8 << 20, 20_000
+BLOCK_BYTES, STEP_WORDS = 4 << 20, 20_000
 SEGMENTS = "bucket int, seq int, before bigint, n_ids bigint, doc_ids binary, no_ids binary, lengths binary, payload binary"
 _TOKENIZERS: dict[str, tuple] = {}
 _CACHE: dict[str, _Words] = {}
 _PIECES = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
-#: the same for lower-case text of the characters that ``_PLAIN`` allows, which no normaliser but lower-casing changes
-_PLAIN_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
-_PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+#: kinds of bytes: white space, letter, digit, other sign; and what stands in words that get the whole tokenizer
+_SPACE, _LETTER, _DIGIT, _SIGN, _ODD = range(5)
+_KINDS = np.full(256, _ODD, dtype=np.uint8)
+_KINDS[0x21:0x7F] = _SIGN
+_KINDS[[0x20, *range(0x09, 0x0E)]] = _SPACE
+_KINDS[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = _LETTER
+_KINDS[0x30:0x3A] = _DIGIT
+_KINDS[0x27] = _ODD  # contractions are for the tokenizer
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] += 0x20
 
 
 def default_tokenizer() -> str:
@@ -101,55 +110,66 @@ def _byte_map() -> dict[int, int]:
 
 
 class _Words:
-    """The ids of words; of two generations of at most CACHE_WORDS / 2 words that repeat, the older is dropped when the younger is full."""
+    """The ids of words and pieces; of two generations of at most half of CACHE_WORDS or CACHE_PIECES, the older is dropped when the younger is full."""
 
     def __init__(self, tokenizer: object, definition: dict):
         self.tokenizer, self.model = tokenizer, None
-        if splits_into_pieces(definition) and tokenizer.model.end_of_word_suffix == "</w>":
+        # words with a character of an added token may hold that token
+        self.marked = {c for t in definition["added_tokens"] for c in t["content"][:1]}
+        if splits_into_pieces(definition) and tokenizer.model.end_of_word_suffix == "</w>" and not any(c.isalnum() for c in self.marked):
             from tokenizers import Tokenizer, pre_tokenizers
 
             # the same model without the steps before it
             self.model = Tokenizer(tokenizer.model)
-            self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+            self.model.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
             vocabulary = tokenizer.get_vocab(with_added_tokens=False)
             self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
             self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.young, self.old, self.pieces, self.bytes = {}, {}, {}, _byte_map()
-        # words with a character of an added token may hold that token
-        self.marked = {c for t in definition["added_tokens"] for c in t["content"][:1]}
-        self.free = not any(c.isalpha() for c in self.marked)
+            self.kinds = _KINDS.copy()
+            self.kinds[[ord(c) for c in self.marked if c.isascii()]] = _ODD
+        self.young, self.old, self.pieces, self.older, self.bytes = {}, {}, {}, {}, _byte_map()
 
-    def cut(self, missing: list[str]) -> None:
-        """Bring pieces into the cache; the last id of a piece, and no other, ends in the suffix."""
-        if len(self.pieces) + len(missing) > CACHE_PIECES:
-            self.pieces.clear()
+    def cut(self, missing: list[str]) -> list[bytes]:
+        """Return the ids of pieces by the model; the last id of a piece, and no other, ends in the suffix."""
         mapped = [x if x.isascii() else x.encode().decode("latin-1").translate(self.bytes) for x in missing]
         ids = np.array(self.model.encode_batch_fast([" ".join(mapped)], add_special_tokens=False)[0].ids, dtype="<u4")
         last = np.flatnonzero(self.ends[ids]) + 1
         if len(last) != len(missing) or last[-1] != len(ids):
             raise ValueError("the vocabulary's pieces cannot be told apart")
         raw, at = ids.tobytes(), (4 * last).tolist()
-        self.pieces.update(zip(missing, [raw[i:j] for i, j in zip([0, *at[:-1]], at, strict=True)], strict=True))
+        return [raw[i:j] for i, j in zip([0, *at[:-1]], at, strict=True)]
+
+    def ids_of_pieces(self, names: list[str], odd: np.ndarray, often: np.ndarray) -> list[bytes]:
+        """Return the ids of distinct pieces, and of the words among them that are ``odd``; those that occur ``often`` come into the cache."""
+        got = list(map(self.pieces.get, names))
+        for i in np.flatnonzero(odd).tolist():
+            got[i] = b""
+        missing = [i for i, ids in enumerate(got) if ids is None]
+        if older := self.older:
+            for i in missing:
+                if (ids := older.get(names[i])) is not None:
+                    got[i] = ids
+                    self._keep_piece(names[i], ids)
+            missing = [i for i in missing if got[i] is None]
+        for a in range(0, len(missing), STEP_WORDS):
+            some = missing[a : a + STEP_WORDS]
+            for i, ids, keep in zip(some, self.cut([names[i] for i in some]), often[some].tolist(), strict=True):
+                got[i] = ids
+                if keep:
+                    self._keep_piece(names[i], ids)
+        whole = np.flatnonzero(odd).tolist()
+        for i, ids in zip(whole, self.ids_of([names[i] for i in whole], often[whole].tolist()), strict=True):
+            got[i] = ids
+        return got
+
+    def _keep_piece(self, piece: str, ids: bytes) -> None:
+        if len(self.pieces) >= CACHE_PIECES // 2:
+            self.pieces, self.older = {}, self.pieces
+        self.pieces[piece] = ids
 
     def made(self, new: list[str]) -> list[bytes]:
-        """Return the ids of words that are not in the cache."""
-        others, parts = [], []
-        for text in new:
-            if not text:  # at the ends of a text
-                parts.append(())
-            elif self.model is not None and self.free and text.isascii() and text.isalpha():
-                parts.append((text.lower(),))
-            elif self.model is None or not _PLAIN.fullmatch(text) or not self.marked.isdisjoint(text):
-                others.append(text)
-                parts.append(None)
-            else:
-                parts.append(_PLAIN_PIECES.findall(text.lower()))
-        need = set().union(*filter(None, parts))
-        if missing := [x for x in need if x not in self.pieces]:
-            self.cut(missing if len(self.pieces) + len(missing) <= CACHE_PIECES else list(need))
-        pieces = self.pieces
-        whole = iter(self.tokenizer.encode_batch_fast(others, add_special_tokens=False) if others else ())
-        return [array("I", next(whole).ids).tobytes() if cut is None else pieces[cut[0]] if len(cut) == 1 else b"".join([pieces[x] for x in cut]) for cut in parts]
+        """Return the ids of words that are not in the cache, by the whole tokenizer."""
+        return [array("I", x.ids).tobytes() for x in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
 
     def ids_of(self, words: list[str], often: list[bool]) -> list[bytes]:
         """Return the ids of distinct words; those that occur ``often`` come into the cache."""
@@ -177,19 +197,62 @@ class _Words:
         self.young[word] = ids
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Return the ids of all texts, one after the other, and the first one of each text (n+1 values); a word is looked up once."""
-        split = pc.ascii_split_whitespace(texts)
-        coded = split.flatten().dictionary_encode()
-        index = coded.indices.to_numpy()
-        words = coded.dictionary.to_pylist()
-        own = self.ids_of(words, (np.bincount(index, minlength=len(words)) > 1).tolist())
+        """Return the ids of all texts, one after the other, and the first one of each text (n+1 values); a word or piece is looked up once."""
+        if self.model is not None:
+            coded, odd, first = self._pieces(*kernel.text_buffers(texts))
+        else:
+            split = pc.ascii_split_whitespace(texts)
+            coded, odd = split.flatten().dictionary_encode(), None
+            first = np.concatenate([[0], np.cumsum(split.value_lengths().to_numpy())])
+        index, names = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        del coded
+        often = np.bincount(index, minlength=len(names)) > 1
+        own = self.ids_of(names, often.tolist()) if odd is None else self.ids_of_pieces(names, odd, often)
+        del names
         sizes = np.fromiter(map(len, own), np.int64, len(own)) // 4
-        begin, n = np.cumsum(sizes) - sizes, sizes[index]
-        ends = np.cumsum(n)
-        place = np.repeat(begin[index] - (ends - n), n)
-        place += np.arange(len(place))
-        at = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(split.value_lengths().to_numpy())])]
-        return np.frombuffer(b"".join(own), "<u4")[place], at
+        flat, begin, ends = np.frombuffer(b"".join(own), "<u4"), np.cumsum(sizes) - sizes, np.concatenate([[0], np.cumsum(sizes[index])])
+        ids = np.empty(ends[-1], dtype="<u4")
+        for i in range(0, len(index), 1 << 18):  # a place for each id, so not for all at once
+            some = index[i : i + (1 << 18)]
+            low, n = ends[i], sizes[some]
+            place = np.repeat(begin[some] - (ends[i : i + len(some)] - low), n)
+            place += np.arange(len(place))
+            flat.take(place, out=ids[low : low + len(place)])
+        return ids, ends[first]
+
+    def _pieces(self, data: np.ndarray, offsets: np.ndarray) -> tuple[pa.DictionaryArray, np.ndarray, np.ndarray]:
+        """Cut texts into pieces by ``_PIECES``; return them, which distinct ones are words for the whole tokenizer, and the first of each text."""
+        begin, end, first = kernel.word_spans(data, offsets)
+        kind, low = self.kinds[data], _LOWER[data]
+        lead = np.flatnonzero(data == 0xC3)  # letters from U+00C0 to U+00FF
+        after = data[lead + 1]
+        letter = (after != 0x97) & (after != 0xB7)
+        kind[lead[letter]] = kind[lead[letter] + 1] = _LETTER
+        low[lead[letter & (after < 0x9F)] + 1] += 0x20
+        word_at = np.zeros(len(data), dtype=bool)
+        word_at[begin] = True
+        odd = np.unique(np.searchsorted(begin, np.flatnonzero(kind == _ODD), side="right") - 1)
+        if len(odd):  # whole words as they are
+            inside = np.zeros(len(data) + 1, dtype=np.int8)
+            inside[begin[odd]] += 1
+            inside[end[odd]] -= 1
+            inside = np.cumsum(inside[:-1], dtype=np.int8).view(bool)
+            kind[inside] = _ODD
+            np.copyto(low, data, where=inside)
+        starts = kind == _DIGIT
+        starts[1:] |= kind[1:] != kind[:-1]
+        starts |= word_at
+        starts &= kind != _SPACE
+        unit = np.flatnonzero(starts)
+        word = np.append(np.flatnonzero(word_at[unit]), len(unit))
+        ends = np.append(unit[1:], len(data))[: len(unit)]
+        ends[word[1:] - 1] = end
+        at = np.zeros(len(unit) + 1, dtype=np.int32)
+        np.cumsum(ends - unit, out=at[1:])
+        coded = pa.StringArray.from_buffers(len(unit), pa.py_buffer(at), pa.py_buffer(low[kind != _SPACE])).dictionary_encode()
+        whole = np.zeros(len(coded.dictionary), dtype=bool)
+        whole[coded.indices.to_numpy()[kind[unit] == _ODD]] = True
+        return coded, whole, word[first]
 
 
 def encode_texts(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
@@ -220,8 +283,9 @@ def _segments(path: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], It
         bucket, seq, before, keys, bodies, size = TaskContext.get().partitionId(), 0, 0, [], [], 0
 
         def flush() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(bodies), dtype="<u4")
             lengths = np.array([len(b) // 4 for b in bodies], dtype=np.int64)
+            ids = np.frombuffer(b"".join(bodies), dtype="<u4")
+            bodies.clear()
             nulls = np.array([k is None for k in keys])
             values = [bucket, seq, before, len(ids), np.array([k or 0 for k in keys], dtype=np.int64).tobytes(), nulls.tobytes(), lengths.tobytes(), encode_segment(ids)]
             types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
@@ -234,7 +298,7 @@ def _segments(path: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], It
                 for key, a, z in zip(batch.column("key").slice(i, j - i).to_pylist(), at[:-1].tolist(), at[1:].tolist(), strict=True):
                     if size >= SEGMENT_IDS:
                         yield flush()
-                        before, seq, keys, bodies, size = before + size, seq + 1, [], [], 0
+                        before, seq, keys, size = before + size, seq + 1, [], 0
                     keys.append(key)
                     bodies.append(ids[a:z].tobytes() + end)
                     size += len(bodies[-1]) // 4
