@@ -323,6 +323,26 @@ def test_decontamination(spark):
     assert kept.count() == 182 and decontamination.lcs(np.array([1, 2, 3, 4]), np.array([1, 3, 9, 4])) == 3
 
 
+def test_the_judge_is_right_and_asks_for_answers_of_likely_leaks_only(monkeypatch):
+    def table(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            row = [0, *(last := 0, [last := max(last, row[k + 1], row[k] + 1 if x == y else 0) for k, y in enumerate(b)])[1]]
+        return row[-1]
+
+    rng = np.random.default_rng(4)
+    for n in (0, 1, 7, 63, 64, 65, 200):
+        for top in (2, 9, 300):
+            a, b = (rng.integers(0, top, k).astype(np.uint64) for k in (n, int(rng.integers(0, 150))))
+            assert decontamination.lcs(a, b) == table(a.tolist(), b.tolist())
+    seen, real = [], decontamination.lcs
+    monkeypatch.setattr(decontamination, "lcs", lambda a, b: seen.append(len(a)) or real(a, b))
+    items = decontamination.Items.__new__(decontamination.Items)
+    items.words, items.answers = [np.arange(30)], [np.arange(20, 30)]
+    assert items._judge(0, np.arange(29, -1, -1), 0, 30, 0.6, 0.5, 8) is None and seen == [30]
+    assert items._judge(0, np.arange(25), 0, 25, 0.6, 0.5, 8) == (25 / 30, 0.5) and seen == [30, 30, 10]
+
+
 def test_decontamination_finds_all_that_the_judge_accepts(spark):
     rng = random.Random(21)
     vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 8))) for _ in range(3000)]

@@ -221,12 +221,27 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 
 def lcs(a: np.ndarray, b: np.ndarray) -> int:
-    """Return the length of the longest common subsequence."""
-    row = np.zeros(len(b) + 1, dtype=np.int32)
-    for x in a:
-        row[1:] = np.maximum(row[1:], np.where(b == x, row[:-1] + 1, 0))
-        np.maximum.accumulate(row, out=row)
-    return int(row[-1])
+    """Return the length of the longest common subsequence, by a whole number that has a bit for each word of ``a``.
+
+    A bit is 0 where a row of the table of lengths steps up; a word of ``b`` moves every step to its first place in ``a`` since the step before.
+    """
+    masks: dict = {}
+    for i, x in enumerate(a.tolist()):
+        masks[x] = masks.get(x, 0) | 1 << i
+    row = full = (1 << len(a)) - 1
+    for x in b.tolist():
+        if x in masks:
+            up = row & masks[x]
+            row = (row + up | row - up) & full
+    return len(a) - row.bit_count()
+
+
+def _distinct(row: np.ndarray, item: np.ndarray, word: np.ndarray, items: int, words: int) -> np.ndarray:
+    """Return the distinct rows (row, item, word) in order."""
+    key = np.sort((row * items + item) * words + word)  # rows x words are below 2**42: a block has 1 MB of text, or one row
+    key = key[np.concatenate([[True], key[1:] != key[:-1]])] if len(key) else key
+    rest, word = np.divmod(key, words)
+    return np.stack([*np.divmod(rest, items), word], axis=1)
 
 
 class Items:
@@ -326,7 +341,7 @@ class Items:
             ok = (b < first[own + 1]) & (low <= high)
             low, n, own, count = low[ok], n[ok], own[ok], (high[ok] - low[ok]) // STRIDE + 1
             at = np.repeat(low, count) + (np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)) * STRIDE
-            yield np.unique(np.stack([np.repeat(own, count), np.repeat(n, count), at], axis=1), axis=0)
+            yield _distinct(np.repeat(own, count), np.repeat(n, count), at, len(self.ids), len(words))
             i = j
 
     def leaks(self, words: np.ndarray, first: np.ndarray, cosine: float, common: float, answer: float, short: int) -> dict[int, list[tuple]]:
@@ -351,7 +366,7 @@ class Items:
                 near = whole[i : i + COMPARED] @ self.vectors
                 high = np.flatnonzero(near.max(axis=1) >= cosine)
                 p, v = np.nonzero(near[high] >= cosine)
-                yield np.unique(np.stack([row[i + high[p]], self.owner[v], start[i + high[p]]], axis=1), axis=0)
+                yield _distinct(row[i + high[p]], self.owner[v], start[i + high[p]], len(self.ids), len(words))
 
         for places in (*latent(), *self._places(words, first)):
             for i in range(0, len(places), 1 << 14):
@@ -373,8 +388,10 @@ class Items:
         """Return the shares of item and answer that the words low .. high hold in order, if they make a leak."""
         item, part = self.words[n], words[low:high]
         share = lcs(item, part) / len(item)
+        if share < (1.0 if len(item) < short else common):
+            return None
         kept = lcs(self.answers[n], part) / len(self.answers[n])
-        return (share, kept) if share >= (1.0 if len(item) < short else common) and kept >= answer else None
+        return (share, kept) if kept >= answer else None
 
 
 LEAK = "item_id bigint, cosine double, item_share double, answer_share double, first_word bigint, last_word bigint"
