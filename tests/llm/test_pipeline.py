@@ -87,3 +87,25 @@ def test_mixed_copies_of_one_id(spark, folder):
     for r in made:
         times[(r.doc_id, r.text)] = times.get((r.doc_id, r.text), 0) + 1
     assert max(n for k, n in times.items() if k != rows[0][:2]) <= 3 and times[rows[0][:2]] <= 30
+
+
+def test_stages_send_texts_to_python_in_small_batches(spark):
+    import pyarrow as pa
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes], pa.int64())], names=["n"])
+
+    docs = spark.range(30).selectExpr("id AS doc_id", "repeat('word ', 200000) AS text")
+    try:
+        spark.conf.unset(key)
+        corpus_pipeline.STAGES[-1][1](spark, docs.limit(1).selectExpr("doc_id", "'word' AS text"), "")
+        assert max(r.n for r in docs.coalesce(1).mapInArrow(sizes, "n bigint").collect()) < 6_000_000
+        spark.conf.set(key, "2m")  # what the owner of the session has set stays
+        corpus_pipeline.STAGES[-1][1](spark, docs.limit(1).selectExpr("doc_id", "'word' AS text"), "")
+        assert spark.conf.get(key) == "2m"
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
