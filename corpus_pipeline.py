@@ -19,7 +19,7 @@ from turnloom.llm import decontamination, mixing, near_dedup, quality, token_out
 from turnloom.llm.storage import free_name, materialize
 
 
-#: bytes of rows that go to a Python worker at once; else 10,000 texts lie in the executor and in the worker, in each of them twice
+#: bytes of rows that go to a Python worker at once; else it is 10,000 texts, 35 MB of the sample documents
 BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
 
 
