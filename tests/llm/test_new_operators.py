@@ -331,6 +331,23 @@ def test_stored_tables_let_finished_plans_go(spark, monkeypatch):
     assert len(calls) == 2
 
 
+def test_the_driver_lets_go_between_passes_of_the_decontamination(spark, monkeypatch):
+    import tracemalloc
+
+    from turnloom.llm import decontamination, storage
+
+    calls, real = [], storage.release
+    monkeypatch.setattr(storage, "RELEASE_S", -1.0)
+    monkeypatch.setattr(storage, "release", lambda s: (calls.append(1), real(s)))
+    docs = spark.range(40).selectExpr("id AS doc_id", "concat_ws(' ', transform(sequence(0, 59), x -> concat('w', (x * 7 + id) % 97))) AS text")
+    tracemalloc.start()
+    decontamination.fit(docs, [" ".join(f"w{k}" for k in range(40))], "doc_id", "text")
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(calls) == 4  # the sample's table and three products
+    assert most < 5 * 8 * decontamination.FEATURES * (decontamination.RANK + decontamination.OVERSAMPLE), most
+
+
 # ---------------------------------------------------------------- token segments
 def test_words_have_the_librarys_ids(monkeypatch):
     from tokenizers import Tokenizer

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from turnloom.llm import kernel
-from turnloom.llm.storage import discard, materialize
+from turnloom.llm.storage import discard, ease, materialize, release
 
 WIDTH, STRIDE, ITEM_STRIDE = 24, 12, 12
 FEATURES = 1 << 13
@@ -194,20 +194,24 @@ def fit(docs: DataFrame, items: list[str], id_col: str, text_col: str, fit_passa
     weight = 0.5 * min(passages, fit_passages) / many
 
     def times_gram(matrix: np.ndarray) -> np.ndarray:
-        m = matrix.astype(np.float32)
+        m = matrix.astype(np.float32, copy=False)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = _gram(((w, f) for _, w, f in _parts(batches, "text")), idf, m)
             if total.any():
                 yield from _emit(total.astype(np.float32))
 
-        sums = _tree_sum(chosen.coalesce(tasks).mapInArrow(kernel.tidy(run), "part int, slice int, body binary"), "float32").astype(np.float64)
+        sums = _tree_sum(chosen.coalesce(tasks).mapInArrow(kernel.tidy(run), "part int, slice int, body binary"), "float32")
+        ease(docs.sparkSession)
         own = _gram(iter([bench]), idf, m, weight)
-        return own + sums.reshape(m.shape) if len(sums) else own
+        if len(sums):
+            own += sums.reshape(m.shape)
+        return own
 
-    q = np.random.Generator(np.random.PCG64(seed)).standard_normal((FEATURES, RANK + OVERSAMPLE))
+    q = np.random.Generator(np.random.PCG64(seed)).standard_normal((FEATURES, RANK + OVERSAMPLE)).astype(np.float32)
     for _ in range(2):
-        q = np.linalg.qr(times_gram(q))[0]
+        q = times_gram(q)  # no name is left for what was multiplied
+        q = np.linalg.qr(q)[0]
     small = q.T @ times_gram(q)
     values, vectors = np.linalg.eigh((small + small.T) / 2)
     top = np.argsort(-values)[:RANK]
@@ -419,6 +423,7 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.55, comm
             out = written
             if before is not None:
                 discard(before)
+    release(docs.sparkSession)
     return out
 
 

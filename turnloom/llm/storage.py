@@ -13,9 +13,10 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from turnloom.llm import kernel
 
-#: seconds between two calls of ``release`` by ``materialize``
-RELEASE_S = 4.0
+#: seconds between two calls of ``release`` by ``ease``
+RELEASE_S = 2.0
 _LOCAL: dict[str, str] = {}
 _RELEASED: dict[str, float] = {}
 
@@ -36,20 +37,27 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/turnloom/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     # operators write dozens of tables: without this, plans and shuffle files of all before would stay until the driver's memory is full
-    if time.monotonic() - _RELEASED.setdefault(spark.sparkContext.applicationId, time.monotonic()) > RELEASE_S:
-        release(spark)
+    ease(spark)
     table = spark.read.schema(df.schema).parquet(path)
     table._stored_at = path
     return table
 
 
+def ease(spark: SparkSession) -> None:
+    """``release``, if the last one was more than ``RELEASE_S`` ago: for steps of which there may be many."""
+    if time.monotonic() - _RELEASED.setdefault(spark.sparkContext.applicationId, time.monotonic()) > RELEASE_S:
+        release(spark)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of finished queries now, and the driver the code it made for them.
 
-    Both happen when the driver's objects of a query are collected, which a driver with enough memory puts off.
+    Both happen when the driver's objects of a query are collected, which a driver with enough memory puts off.  What the driver's
+    Python has freed goes back to the system.
     """
     _RELEASED[spark.sparkContext.applicationId] = time.monotonic()
     gc.collect()
+    kernel.trim()
     spark._jvm.System.gc()
 
 
